@@ -11,10 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import html as H
+from ..session import spread
 
 
-def with_clean(df: DataFrame, html_col: str = "html") -> DataFrame:
-    return df.withColumn("_clean", H.clean_html(html_col))
+def with_clean(df: DataFrame, html_col: str = "html", key: str | None = None) -> DataFrame:
+    return spread(df, key).withColumn("_clean", H.clean_html(html_col))
 
 
 def extract_pages(df: DataFrame, html_col: str = "html") -> DataFrame:

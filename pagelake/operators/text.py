@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import spread
 from ..functions.text import (
     chunk_array,
     joined_summaries,
@@ -24,7 +25,7 @@ from ..functions.text import (
 
 def chunks(df: DataFrame, id_col: str, text_col: str, max_chars: int = 4000, overlap: int = 200) -> DataFrame:
     """One row per chunk: ``id, chunk_idx, start_idx, end_idx, chunk``."""
-    return df.select(F.col(id_col), F.inline(chunk_array(text_col, max_chars, overlap)))
+    return spread(df.select(id_col, text_col), id_col).select(F.col(id_col), F.inline(chunk_array(text_col, max_chars, overlap)))
 
 
 def top_keywords(df: DataFrame, id_col: str, text_col: str, top_k: int = 10, repartition: bool = True) -> DataFrame:
@@ -83,6 +84,7 @@ def summarize(
     NULL text gives ``'' / [] / [] / 0``.
     """
     arr = chunk_array(text_col, max_chars, overlap)
+    df = spread(df.select(id_col, text_col), id_col)
     if summarizer is None:
         base = df.select(id_col, F.transform(arr, lambda s: lead_summary(s["chunk"])).alias("chunk_summaries"))
         base = base.select(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import STOP_WORDS, WORD, WS, excerpt, keyword_tokens
 from ..operators import text as T
-from ..session import read_table
+from ..session import read_table, spread
 from .registry import register
 
 MAX_CHARS, OVERLAP = 4000, 200
@@ -70,7 +70,7 @@ FROM (SELECT doc_id, {tokens_sql('text')} AS tk FROM documents)
 )
 def keyword_tokens_q(spark, sf_dir):
     """Keyword tokens of every document."""
-    d = read_table(spark, sf_dir, "documents").select("doc_id", keyword_tokens("text").alias("tk"))
+    d = spread(read_table(spark, sf_dir, "documents"), "doc_id").select("doc_id", keyword_tokens("text").alias("tk"))
     return d.select("doc_id", F.size("tk").alias("n_tokens"), F.array_join("tk", " ").alias("tokens"))
 
 

@@ -66,3 +66,17 @@ def materialize(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
     spark = spark or df.sparkSession
     shared_dir(spark)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Spread CPU-heavy per-row work over the cluster.
+
+    When the scan yields fewer partitions than the cluster's parallelism (a
+    small table or one large row group), hash-partition by ``key`` (no sort)
+    to the default parallelism; a large scan that already has enough splits
+    is left alone, so no shuffle is added at scale.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key) if key else df.repartition(target)
