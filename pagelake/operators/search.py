@@ -30,56 +30,70 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.vectors import as_vector, is_valid_vector
+from ..functions.vectors import as_vector
 
 
 def _prepare(df: DataFrame, id_col: str, vec_col: str, payload: list[str]) -> DataFrame:
-    return df.where(is_valid_vector(vec_col)).select(
-        F.col(id_col).alias("_id"), as_vector(vec_col).alias("_v"), *payload
-    )
+    # NULL / empty vectors (V3) are skipped inside the scoring code, not by a
+    # Spark filter: a filter on a computed vector column would be pushed below
+    # the projection that computes it and repeat that work
+    return df.select(F.col(id_col).alias("_id"), as_vector(vec_col).alias("_v"), *payload)
+
 
+MAX_CELLS = 4_000_000
 
-def _block_topk(qids: np.ndarray, qmat: list, ids: np.ndarray, vecs: list, k: int, strict: bool):
+
+def _block_topk(qids: np.ndarray, qmat: list, ids: np.ndarray, vecs: list, k: int, strict: bool, digits: int | None = None):
     """Score one block of stored vectors against a block of queries.
 
     Returns (query position, stored position, score) for the block-local top k.
+    ``digits``: round scores first, so that equal vectors tie exactly whatever
+    order the matrix product summed them in.
     """
     if len(ids) == 0 or len(qids) == 0:
         return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0)
-    lens = np.fromiter((len(v) for v in vecs), dtype=np.int64, count=len(vecs))
-    qlens = np.fromiter((len(v) for v in qmat), dtype=np.int64, count=len(qmat))
+    # length 0 stands for NULL or empty: no vector (V3), never scored
+    lens = np.fromiter((0 if v is None else len(v) for v in vecs), dtype=np.int64, count=len(vecs))
+    qlens = np.fromiter((0 if v is None else len(v) for v in qmat), dtype=np.int64, count=len(qmat))
     out_q, out_s, out_score = [], [], []
     # Group by vector length so ragged input never breaks the matrix product.
-    for dim in np.unique(lens):
+    for dim in np.unique(lens[lens > 0]):
         sel = np.nonzero(lens == dim)[0]
+        # columns in id order: ties at the k-th score are then filled by smallest id
+        sel = sel[np.argsort(ids[sel], kind="stable")]
         B = np.stack([np.asarray(vecs[i], dtype=np.float64) for i in sel])
         bnorm = np.linalg.norm(B, axis=1)
-        for qdim in np.unique(qlens):
-            qsel = np.nonzero(qlens == qdim)[0]
-            Qm = np.stack([np.asarray(qmat[i], dtype=np.float64) for i in qsel])
-            qnorm = np.linalg.norm(Qm, axis=1)
+        # queries in slices so one score matrix stays near MAX_CELLS doubles
+        step = max(1, MAX_CELLS // len(sel))
+        for qdim in np.unique(qlens[qlens > 0]):
+            qsel_all = np.nonzero(qlens == qdim)[0]
             if qdim != dim:
                 # a zero vector scores -1 before the length matters; otherwise a mismatch
-                zero = (bnorm == 0)[None, :] | (qnorm == 0)[:, None]
-                if strict and not zero.all():
+                qzero = np.array([not np.any(np.asarray(qmat[i], dtype=np.float64)) for i in qsel_all])
+                if strict and not ((bnorm == 0).all() or qzero.all()):
                     raise ValueError(f"vector length mismatch: {qdim} vs {dim}")
                 continue
-            with np.errstate(invalid="ignore", divide="ignore"):
-                S = (Qm @ B.T) / np.outer(qnorm, bnorm)
-            S[(qnorm == 0)[:, None] | (bnorm == 0)[None, :]] = -1.0
-            S[~(S > 0)] = -np.inf  # drops <= 0 and NaN
-            kk = min(k, S.shape[1])
-            if kk < S.shape[1]:
-                part = np.argpartition(-S, kk - 1, axis=1)[:, :kk]
-            else:
-                part = np.tile(np.arange(S.shape[1]), (S.shape[0], 1))
-            rows = np.repeat(np.arange(S.shape[0]), part.shape[1])
-            cols = part.ravel()
-            vals = S[rows, cols]
-            keep = np.isfinite(vals)
-            out_q.append(qsel[rows[keep]])
-            out_s.append(sel[cols[keep]])
-            out_score.append(vals[keep])
+            for start in range(0, len(qsel_all), step):
+                qsel = qsel_all[start : start + step]
+                Qm = np.stack([np.asarray(qmat[i], dtype=np.float64) for i in qsel])
+                qnorm = np.linalg.norm(Qm, axis=1)
+                with np.errstate(invalid="ignore", divide="ignore"):
+                    S = (Qm @ B.T) / np.outer(qnorm, bnorm)
+                S[(qnorm == 0)[:, None] | (bnorm == 0)[None, :]] = -1.0
+                if digits is not None:
+                    S = np.round(S, digits)
+                S[~(S > 0)] = -np.inf  # drops <= 0 and NaN
+                kk = min(k, S.shape[1])
+                # k-th largest score per query; everything above it, then ties in id order
+                kth = np.partition(S, S.shape[1] - kk, axis=1)[:, S.shape[1] - kk][:, None]
+                above = S > kth
+                tied = S == kth
+                need = kk - above.sum(axis=1, keepdims=True)
+                keep = (above | (tied & (np.cumsum(tied, axis=1) <= need))) & np.isfinite(S)
+                rows, cols = np.nonzero(keep)
+                out_q.append(qsel[rows])
+                out_s.append(sel[cols])
+                out_score.append(S[rows, cols])
     if not out_q:
         return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0)
     return np.concatenate(out_q), np.concatenate(out_s), np.concatenate(out_score)
@@ -98,18 +112,21 @@ def cosine_topk(
     max_broadcast_queries: int = 4096,
     block_rows: int = 50_000,
     block_queries: int = 2_048,
+    score_digits: int | None = None,
 ) -> DataFrame:
     """Top ``k`` stored vectors per query by cosine similarity.
 
     Output: ``qid_col, id_col, score, rank`` plus ``payload`` columns of the
-    stored rows. Ties on the score are broken by the stored id.
+    stored rows. Ties on the score are broken by the stored id; with
+    ``score_digits`` scores are rounded before ranking (duplicate texts then tie
+    exactly and fall back to id order).
     """
     if k <= 0:
         raise ValueError("k must be > 0")
     payload = list(payload or [])
     spark = store.sparkSession
     st = _prepare(store, id_col, vec_col, payload)
-    q = queries.where(is_valid_vector(qvec_col)).select(F.col(qid_col).alias("_qid"), as_vector(qvec_col).alias("_qv"))
+    q = queries.select(F.col(qid_col).alias("_qid"), as_vector(qvec_col).alias("_qv"))
     payload_fields = [f for f in st.schema.fields if f.name in payload]
     qid_type = q.schema["_qid"].dataType
     id_type = st.schema["_id"].dataType
@@ -126,12 +143,14 @@ def cosine_topk(
 
     if nq <= max_broadcast_queries:
         qpdf = q.toPandas()  # bounded by the count check above
-        bc = spark.sparkContext.broadcast((qpdf["_qid"].to_numpy(), [np.asarray(v, dtype=np.float64) for v in qpdf["_qv"]]))
+        bc = spark.sparkContext.broadcast(
+            (qpdf["_qid"].to_numpy(), [None if v is None else np.asarray(v, dtype=np.float64) for v in qpdf["_qv"]])
+        )
 
         def score_batches(it):
             qids, qmat = bc.value
             for pdf in it:
-                qi, si, sc = _block_topk(qids, qmat, pdf["_id"].to_numpy(), list(pdf["_v"]), k, strict)
+                qi, si, sc = _block_topk(qids, qmat, pdf["_id"].to_numpy(), list(pdf["_v"]), k, strict, score_digits)
                 out = pdf.iloc[si][["_id", *payload]].reset_index(drop=True)
                 out.insert(0, "_qid", qids[qi])
                 out.insert(2, "score", sc)
@@ -151,7 +170,7 @@ def cosine_topk(
 
         def score_cell(spdf: pd.DataFrame, qpdf: pd.DataFrame) -> pd.DataFrame:
             qids = qpdf["_qid"].to_numpy()
-            qi, si, sc = _block_topk(qids, list(qpdf["_qv"]), spdf["_id"].to_numpy(), list(spdf["_v"]), k, strict)
+            qi, si, sc = _block_topk(qids, list(qpdf["_qv"]), spdf["_id"].to_numpy(), list(spdf["_v"]), k, strict, score_digits)
             out = spdf.iloc[si][["_id", *payload]].reset_index(drop=True)
             out.insert(0, "_qid", qids[qi])
             out.insert(2, "score", sc)

@@ -94,3 +94,14 @@ def test_search_empty_queries(spark):
     store = _store(spark)
     q = spark.createDataFrame([(None,)], "qvec array<double>")
     assert search_vector(store, q, k=5).count() == 0
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_ties_among_duplicates_go_to_smallest_ids(spark, broadcast):
+    # a third of the store is one identical vector: the best score ties many times over
+    rows = [(i, [1.0, 2.0, 3.0] if i % 3 == 0 else [1.0, -1.0, float(i % 5)]) for i in range(600, 0, -1)]
+    store = spark.createDataFrame(rows, "id long, embedding array<double>").repartition(7)
+    q = spark.createDataFrame([(1, [1.0, 2.0, 3.0]), (2, [2.0, 4.0, 6.0])], "qid long, qvec array<double>")
+    kw = {} if broadcast else {"max_broadcast_queries": 0, "block_rows": 50, "block_queries": 1}
+    got = cosine_topk(store, q, k=4, score_digits=12, **kw).orderBy("qid", "rank").collect()
+    assert [(r.qid, r.id) for r in got] == [(1, 3), (1, 6), (1, 9), (1, 12), (2, 3), (2, 6), (2, 9), (2, 12)]
