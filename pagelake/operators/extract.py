@@ -18,9 +18,9 @@ def with_clean(df: DataFrame, html_col: str = "html", key: str | None = None) ->
     return spread(df, key).withColumn("_clean", H.clean_html(html_col))
 
 
-def extract_pages(df: DataFrame, html_col: str = "html") -> DataFrame:
+def extract_pages(df: DataFrame, html_col: str = "html", key: str | None = None) -> DataFrame:
     """X5 over a table: adds ``title``, ``text``, ``method``."""
-    c = with_clean(df, html_col)
+    c = with_clean(df, html_col, key)
     c = c.withColumn("_t1", H.accepted(H.main_blocks("_clean"))).withColumn("_t2", H.accepted(H.paragraph_text("_clean")))
     c = c.withColumn(
         "_t3", F.when(F.col("_t1").isNull() & F.col("_t2").isNull(), H.body_text("_clean"))

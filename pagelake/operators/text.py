@@ -73,6 +73,7 @@ def summarize(
     overlap: int = 200,
     top_k: int = 15,
     summarizer=None,
+    passthrough: list[str] | None = None,
 ) -> DataFrame:
     """``id, final_summary, chunk_summaries, keywords, num_chunks``.
 
@@ -81,14 +82,17 @@ def summarize(
     ``pandas.Series[str] -> pandas.Series[str]`` applied with ``mapInPandas``
     to the chunk rows and to the joined summaries (one model load per worker).
     Keywords come from the chunk summaries joined by a blank line. Empty or
-    NULL text gives ``'' / [] / [] / 0``.
+    NULL text gives ``'' / [] / [] / 0``. ``passthrough`` columns of ``df``
+    are carried to the output.
     """
+    keep = [c for c in (passthrough or []) if c not in (id_col,)]
     arr = chunk_array(text_col, max_chars, overlap)
-    df = spread(df.select(id_col, text_col), id_col)
+    df = spread(df.select(id_col, text_col, *[c for c in keep if c != text_col]), id_col)
     if summarizer is None:
-        base = df.select(id_col, F.transform(arr, lambda s: lead_summary(s["chunk"])).alias("chunk_summaries"))
+        base = df.select(id_col, *keep, F.transform(arr, lambda s: lead_summary(s["chunk"])).alias("chunk_summaries"))
         base = base.select(
             id_col,
+            *keep,
             "chunk_summaries",
             merge_summaries("chunk_summaries").alias("final_summary"),
             joined_summaries("chunk_summaries").alias("_joined"),
@@ -96,12 +100,15 @@ def summarize(
         )
     else:
         base = _model_summaries(df, id_col, arr, summarizer)
+        if keep:
+            base = base.join(df.select(id_col, *keep), id_col, "left")
     # shuffle the (short) summaries once by id; keyword counting, ranking and the
     # joins below reuse that partitioning
     base = base.repartition(id_col)
     kw = keywords_array(base, id_col, "_joined", top_k, repartition=False)
     return base.join(kw, id_col, "left").select(
         id_col,
+        *keep,
         F.when(F.col("num_chunks") == 0, F.lit("")).otherwise(F.col("final_summary")).alias("final_summary"),
         "chunk_summaries",
         F.coalesce("keywords", F.array().cast("array<string>")).alias("keywords"),
