@@ -69,7 +69,7 @@ WHERE {'rn <= ceil(n * ' + str(TEST_SIZE) + ')' if which == 'val' else 'rn > cei
 
 
 def _split_roundtrip(spark, sf_dir, which: str):
-    """L3 + S6 + S7: split, write train/val CSV and the label map, read the split back."""
+    """L3 + S6 + S7: split, write the split as CSV, read it back (the label map: ``label_map_json``)."""
     m = _multihot(spark, sf_dir)
     s = L.train_val_split(m, "id", TEST_SIZE, SEED).select("id", "text", L.encode_bin("vec").alias("labels_bin"), "split")
     path = scratch_path(spark, f"split-{which}")
@@ -127,7 +127,7 @@ FROM documents d JOIN labels l ON d.doc_id = l.doc_id
 )
 def label_export(spark, sf_dir):
     """Export of summarised pages for labelling, through CSV."""
-    from .q_pipeline import summary_pages
+    from .q_ingest import summary_pages
 
     pages = summary_pages(spark, sf_dir)
     path = scratch_path(spark, "export")
@@ -214,3 +214,12 @@ def sample_uncertain(spark, sf_dir):
     g = X.logits(spark, sf_dir).select("vec_id", A.probs_from_logits("logits").alias("probs"))
     top = A.sample_uncertain(g, "vec_id", "probs", 50)
     return top.select("vec_id", F.round("uncertainty", 9).alias("uncertainty"))
+
+
+@register("label_map_json", f"WITH {_label_map_sql()} SELECT label, idx FROM lm")
+def label_map_json(spark, sf_dir):
+    """S6 + S7: the label map written as JSON next to the split files and read back."""
+    lm = L.label_map(X.label_rows(spark, sf_dir))
+    path = scratch_path(spark, "label-map")
+    csvio.write_label_map(lm, path)
+    return csvio.read_label_map(spark, path)

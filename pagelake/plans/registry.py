@@ -31,4 +31,4 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from . import q_embed, q_extract, q_flow, q_labels, q_lang, q_model, q_pipeline, q_text, q_vectors  # noqa: F401
+    from . import q_embed, q_extract, q_flow, q_ingest, q_labels, q_lang, q_model, q_text, q_vectors  # noqa: F401
