@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from . import extract as X
 from . import ingest as I
 from . import langid
+from ..session import materialize
 
 NO_ATTEMPT = "no fetch attempt recorded"
 
@@ -47,7 +48,9 @@ def ingest(
     j = adm.join(res, "url", "left")
     fetched_ok = F.col("allowed") & F.coalesce(F.col("ok"), F.lit(False))
     ok = j.where(fetched_ok).select("seq", "url", "status_code", "html")
-    ex = X.extract_pages(ok, "html", key="seq")
+    # the extracted pages feed both the language scoring and the page rows:
+    # written once to the shared folder instead of being extracted twice
+    ex = materialize(X.extract_pages(ok, "html", key="seq"))
     lang = langid.detect(ex.select("seq", "text"), profile, "seq", "text")
     pages_rows = ex.join(lang, "seq", "left").select(
         "seq",

@@ -65,26 +65,60 @@ class MultiLabelModel:
         PipelineModel(stages=[self.features, *[m for _, m in self.per_label]]).write().overwrite().save(path)
 
 
-def train(
+@dataclass
+class Features:
+    """Fitted features and the training rows' features, written once to the shared folder."""
+
+    model: PipelineModel
+    table: DataFrame  # ``features, _y0 .. _yk``
+    labels: list[str]
+
+
+def prepare(
     train_df: DataFrame,
     labels: list[str],
     target_col: str = "vec",
     text_col: str = "text",
-    reg_param: float = 0.01,
-    max_iter: int = 20,
     max_tokens: int = MAX_TOKENS,
     num_features: int = NUM_FEATURES,
-) -> MultiLabelModel:
-    """Fit the features on the training texts, then one logistic regression
-    per label on ``target_col`` (the multi-hot ``array<int>``)."""
+) -> Features:
+    """L5 on the training rows: fit the features, then materialise them with the
+    per-label 0/1 targets, for any number of fits (a grid reuses them)."""
     feats = feature_pipeline(text_col, max_tokens, num_features).fit(train_df)
     x = feats.transform(train_df).select("features", *[F.col(target_col)[i].cast("double").alias(f"_y{i}") for i in range(len(labels))])
-    x = materialize(x)
-    per_label = []
-    for i, lab in enumerate(labels):
+    return Features(feats, materialize(x), list(labels))
+
+
+def parallel_map(fn, items: list, parallelism: int, spark=None) -> list:
+    """Run independent Spark jobs from driver threads, as Spark ML's tuning
+    classes do with their ``parallelism`` parameter (results in input order)."""
+    if parallelism <= 1 or len(items) <= 1:
+        return [fn(x) for x in items]
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark.util import inheritable_thread_target
+
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(items))) as pool:
+        target = inheritable_thread_target(spark)(fn) if spark is not None else inheritable_thread_target(fn)
+        return list(pool.map(target, items))
+
+
+def fit(features: Features, reg_param: float = 0.01, max_iter: int = 20, parallelism: int = 4) -> MultiLabelModel:
+    """One logistic regression per label on prepared features; the
+    per-label fits are independent and run ``parallelism`` at a time."""
+    x = features.table
+    lo_hi = x.agg(*[F.struct(F.min(f"_y{i}"), F.max(f"_y{i}")).alias(f"c{i}") for i in range(len(features.labels))]).first()
+
+    def one(item):
+        i, lab = item
+        y = f"_y{i}"
+        lo, hi = lo_hi[f"c{i}"][0], lo_hi[f"c{i}"][1]
+        if lo is None or lo == hi:
+            # a label with one class only: a constant model (the fit would be degenerate)
+            return (lab, _ConstantProb(hi or 0.0, lab))
         lr = LogisticRegression(
             featuresCol="features",
-            labelCol=f"_y{i}",
+            labelCol=y,
             regParam=reg_param,
             elasticNetParam=0.0,
             maxIter=max_iter,
@@ -93,12 +127,24 @@ def train(
             probabilityCol=f"_prob_{lab}",
             predictionCol=f"_pred_{lab}",
         )
-        if x.where(F.col(f"_y{i}") == 1).limit(1).count() == 0 or x.where(F.col(f"_y{i}") == 0).limit(1).count() == 0:
-            # a label with one class only: a constant model (the fit would be degenerate)
-            per_label.append((lab, _ConstantProb(x.select(F.max(f"_y{i}")).first()[0] or 0.0, lab)))
-            continue
-        per_label.append((lab, lr.fit(x)))
-    return MultiLabelModel(feats, per_label)
+        return (lab, lr.fit(x))
+
+    return MultiLabelModel(features.model, parallel_map(one, list(enumerate(features.labels)), parallelism, x.sparkSession))
+
+
+def train(
+    train_df: DataFrame,
+    labels: list[str],
+    target_col: str = "vec",
+    text_col: str = "text",
+    reg_param: float = 0.01,
+    max_iter: int = 20,
+    max_tokens: int = MAX_TOKENS,
+    num_features: int = NUM_FEATURES,
+) -> MultiLabelModel:
+    """L5 + L6: features fitted on the training texts, then one logistic
+    regression per label on ``target_col`` (the multi-hot ``array<int>``)."""
+    return fit(prepare(train_df, labels, target_col, text_col, max_tokens, num_features), reg_param, max_iter)
 
 
 class _ConstantProb(Transformer):

@@ -10,7 +10,7 @@ from ..operators import active as A
 from ..operators import labels as L
 from ..operators import model as M
 from ..operators.metrics import flattened_f1
-from ..session import spread
+from ..session import materialize, spread
 from . import fixtures as X
 from .q_labels import SEED, TEST_SIZE
 from .registry import register
@@ -23,7 +23,8 @@ def _labelled(spark, sf_dir):
     rows = X.label_rows(spark, sf_dir)
     names = L.collect_label_list(L.label_map(rows))
     m = spread(rows, "id").select("id", "text", L.multihot(rows, names).alias("vec"))
-    return L.train_val_split(m, "id", TEST_SIZE, SEED), names
+    # read by the feature fit, the feature table and every evaluation: written once
+    return materialize(L.train_val_split(m, "id", TEST_SIZE, SEED)), names
 
 
 @register("featurize")
@@ -68,9 +69,12 @@ def model_selection(spark, sf_dir):
     ``f1_micro`` is chosen (ties: the first grid point)."""
     split, names = _labelled(spark, sf_dir)
     train_df, val = split.where("split = 'train'"), split.where("split = 'val'")
+    feats = M.prepare(train_df, names)  # features computed once for the whole grid
+    # grid points are independent fits: run them side by side
+    models = M.parallel_map(lambda g: M.fit(feats, reg_param=g[0], max_iter=g[1]), GRID, len(GRID), spark)
     rows = None
-    for i, (reg, it) in enumerate(GRID):
-        m = _evaluate(M.train(train_df, names, reg_param=reg, max_iter=it), val, names)
+    for i, ((reg, it), model) in enumerate(zip(GRID, models)):
+        m = _evaluate(model, val, names)
         r = m.select(F.lit(i).alias("grid_idx"), F.lit(reg).alias("reg_param"), F.lit(it).alias("max_iter"), "f1_micro", "f1_macro")
         rows = r if rows is None else rows.unionByName(r)
     # one row per grid point: a window over the whole (tiny) grid
