@@ -97,11 +97,10 @@ def fetch_outcomes(spark, sf_dir):
     )
 
 
-@register(
-    "upsert_pages",
-    f"""
-WITH {X.UPSERT_FIXTURES_SQL},
-red AS (SELECT *, min(seq) OVER (PARTITION BY url) AS first_seq FROM incoming WHERE url IS NOT NULL
+def upsert_tail_sql(incoming: str) -> str:
+    """CTEs ``red, old, new``: the batch ``incoming`` upserted into ``stored`` by URL."""
+    return f"""
+red AS (SELECT *, min(seq) OVER (PARTITION BY url) AS first_seq FROM {incoming} WHERE url IS NOT NULL
         QUALIFY row_number() OVER (PARTITION BY url ORDER BY seq DESC) = 1),
 old AS (SELECT s.id, s.url,
                CASE WHEN r.url IS NOT NULL THEN r.status_code ELSE s.status_code END AS status_code,
@@ -114,7 +113,14 @@ old AS (SELECT s.id, s.url,
 new AS (SELECT (SELECT coalesce(max(id), 0) FROM stored) + row_number() OVER (ORDER BY r.first_seq) AS id,
                r.url, r.status_code, r.title, r.lang, r.text_excerpt, r.html_path,
                CAST(NULL AS VARCHAR) AS summary_text, true AS is_new
-        FROM red r WHERE r.url NOT IN (SELECT url FROM stored))
+        FROM red r WHERE r.url NOT IN (SELECT url FROM stored))"""
+
+
+@register(
+    "upsert_pages",
+    f"""
+WITH {X.UPSERT_FIXTURES_SQL},
+{upsert_tail_sql('incoming').strip()}
 SELECT * FROM old UNION ALL SELECT * FROM new
 """,
 )

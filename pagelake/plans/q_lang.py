@@ -17,27 +17,37 @@ def grams_sql(t: str) -> str:
     )
 
 
+def profile_sql() -> str:
+    """CTEs ``lg_*``: the 3-gram profile learned from ``documents`` (add-one smoothing)."""
+    return f"""
+lg_tr AS (SELECT lang, {NORM_SQL.replace('{x}', 'text')} AS nt FROM documents WHERE lang IS NOT NULL AND text IS NOT NULL),
+lg_dl AS (SELECT lang, count(*) AS d FROM lg_tr GROUP BY lang),
+lg_g AS (SELECT lang, unnest({grams_sql('nt')}) AS gram FROM lg_tr),
+lg_c AS (SELECT lang, gram, count(*) AS c FROM lg_g GROUP BY lang, gram),
+lg_v AS (SELECT count(DISTINCT gram) AS V FROM lg_c),
+lg_nl AS (SELECT lang, sum(c) AS n FROM lg_c GROUP BY lang),
+lg_lp AS (SELECT lg_dl.lang, gv.gram, ln((coalesce(lg_c.c, 0) + 1.0) / (lg_nl.n + lg_v.V)) AS lp
+          FROM lg_dl CROSS JOIN (SELECT DISTINCT gram FROM lg_c) gv CROSS JOIN lg_v
+          JOIN lg_nl ON lg_nl.lang = lg_dl.lang LEFT JOIN lg_c ON lg_c.lang = lg_dl.lang AND lg_c.gram = gv.gram)"""
+
+
+def score_sql(table: str, id_col: str, text_col: str) -> str:
+    """CTEs ``lg_s*``; ``lg_best(id, lang)`` for the rows of ``table`` longer than 50 characters."""
+    return f"""
+lg_sn AS (SELECT {id_col} AS id, {NORM_SQL.replace('{x}', text_col)} AS nt FROM {table} WHERE length({text_col}) > {langid.MIN_CHARS}),
+lg_sg AS (SELECT id, unnest({grams_sql('nt')}) AS gram FROM lg_sn),
+lg_sc AS (SELECT lg_sg.id, lg_dl.lang,
+                 sum(coalesce(lg_lp.lp, ln(1.0 / (lg_nl.n + lg_v.V)))) + ln(lg_dl.d / (SELECT sum(d) FROM lg_dl)) AS s
+          FROM lg_sg CROSS JOIN lg_dl CROSS JOIN lg_v JOIN lg_nl ON lg_nl.lang = lg_dl.lang
+          LEFT JOIN lg_lp ON lg_lp.gram = lg_sg.gram AND lg_lp.lang = lg_dl.lang
+          GROUP BY lg_sg.id, lg_dl.lang, lg_dl.d, lg_nl.n, lg_v.V),
+lg_best AS (SELECT id, lang FROM lg_sc QUALIFY row_number() OVER (PARTITION BY id ORDER BY s DESC, lang) = 1)"""
+
+
 LANG_SQL = f"""
-WITH tr AS (SELECT lang, {NORM_SQL.replace('{x}', 'text')} AS nt FROM documents WHERE lang IS NOT NULL AND text IS NOT NULL),
-dl AS (SELECT lang, count(*) AS d FROM tr GROUP BY lang),
-g AS (SELECT lang, unnest({grams_sql('nt')}) AS gram FROM tr),
-c AS (SELECT lang, gram, count(*) AS c FROM g GROUP BY lang, gram),
-v AS (SELECT count(DISTINCT gram) AS V FROM c),
-nl AS (SELECT lang, sum(c) AS n FROM c GROUP BY lang),
-lp AS (SELECT dl.lang, gv.gram, ln((coalesce(c.c, 0) + 1.0) / (nl.n + v.V)) AS lp
-       FROM dl CROSS JOIN (SELECT DISTINCT gram FROM c) gv CROSS JOIN v
-       JOIN nl ON nl.lang = dl.lang LEFT JOIN c ON c.lang = dl.lang AND c.gram = gv.gram),
-sn AS (SELECT doc_id, {NORM_SQL.replace('{x}', 'text')} AS nt FROM documents WHERE length(text) > {langid.MIN_CHARS}),
-sg AS (SELECT doc_id, unnest({grams_sql('nt')}) AS gram FROM sn),
-sc AS (SELECT sg.doc_id, dl.lang,
-              sum(coalesce(lp.lp, ln(1.0 / (nl.n + v.V)))) + ln(dl.d / (SELECT sum(d) FROM dl)) AS s
-       FROM sg CROSS JOIN dl CROSS JOIN v JOIN nl ON nl.lang = dl.lang
-       LEFT JOIN lp ON lp.gram = sg.gram AND lp.lang = dl.lang
-       GROUP BY sg.doc_id, dl.lang, dl.d, nl.n, v.V),
-best AS (SELECT doc_id, arg_max(lang, s) AS lang FROM
-         (SELECT doc_id, lang, s, row_number() OVER (PARTITION BY doc_id ORDER BY s DESC, lang) AS rn FROM sc) WHERE rn = 1
-         GROUP BY doc_id)
-SELECT d.doc_id, b.lang FROM documents d LEFT JOIN best b ON d.doc_id = b.doc_id
+WITH {profile_sql().strip()},
+{score_sql('documents', 'doc_id', 'text').strip()}
+SELECT d.doc_id, b.lang FROM documents d LEFT JOIN lg_best b ON d.doc_id = b.id
 """
 
 
