@@ -26,9 +26,7 @@ def _query_vector(emb):
     return emb.where(F.col("vec_id") == QUERY_VEC_ID).select(F.col("embedding").alias("qvec"))
 
 
-@register(
-    "vector_search",
-    f"""
+VECTOR_SEARCH_SQL = f"""
 WITH q AS (SELECT embedding::DOUBLE[] AS qv FROM embeddings WHERE vec_id = {QUERY_VEC_ID}),
 s AS (SELECT e.vec_id, e.label, {_score_sql('e.embedding::DOUBLE[]', 'q.qv')} AS score
       FROM embeddings e CROSS JOIN q WHERE e.embedding IS NOT NULL AND len(e.embedding) > 0)
@@ -36,8 +34,10 @@ SELECT vec_id, label, round(score, 9) AS score,
        CAST(row_number() OVER (ORDER BY score DESC, vec_id) AS BIGINT) AS rank
 FROM s WHERE score > 0 AND NOT isnan(score)
 QUALIFY rank <= {TOP_K}
-""",
-)
+"""
+
+
+@register("vector_search", VECTOR_SEARCH_SQL)
 def vector_search(spark, sf_dir):
     """V5 (+F2, V3, V4): cosine top-k of all stored vectors against vector 0."""
     emb = read_table(spark, sf_dir, "embeddings")
@@ -105,7 +105,13 @@ def valid_vectors(spark, sf_dir):
     )
 
 
-@register("search_json")
+@register(
+    "search_json",
+    f"""
+WITH hits AS ({VECTOR_SEARCH_SQL})
+SELECT CAST(to_json({{'vec_id': vec_id, 'label': label, 'score': score, 'rank': rank}}) AS VARCHAR) AS json FROM hits
+""",
+)
 def search_json(spark, sf_dir):
     """The search hits as JSON documents (non-ASCII kept)."""
     hits = vector_search(spark, sf_dir)
