@@ -18,7 +18,7 @@ table of already-parsed rules):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .indexing import broadcast_if_small, dense_positions
@@ -112,13 +112,14 @@ def resolve_attempts(attempts: DataFrame, url_col: str = "url", retries: int = F
 
     ``attempts``: ``(url, attempt, status_code, html, error)``. The HTTP status is
     not checked: a 404 page is a success. Output: ``url, attempt, status_code,
-    html, error, ok``. One shuffle by URL; ``row_number() = 1`` plans a
-    partial group limit before it.
+    html, error, ok``. One aggregation by URL, combined map-side (``min_by``
+    keeps one candidate per URL and task before the shuffle).
     """
     a = attempts.where(F.col("attempt") <= retries + 1)
+    # successes rank by attempt, failures after every success, the last failure first
     order = F.when(F.col("error").isNull(), F.col("attempt")).otherwise(F.lit(1_000_000) - F.col("attempt"))
-    w = Window.partitionBy(url_col).orderBy(order)
-    first = a.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    pick = F.min_by(F.struct("attempt", "status_code", "html", "error"), order)
+    first = a.groupBy(url_col).agg(pick.alias("_a")).select(url_col, "_a.*")
     return first.select(url_col, "attempt", "status_code", "html", "error", F.col("error").isNull().alias("ok"))
 
 
@@ -149,22 +150,18 @@ def upsert_pages(stored: DataFrame, batch: DataFrame, now: Column | None = None)
     * new rows get ``max(id) + 1, +2, ...`` in first-seen order,
       ``fetched_at = now`` and the ``raw_meta`` marker.
 
-    The batch is reduced with one window (shuffle by URL), then one full
-    outer join with the stored table on URL (bucket the stored table by
+    The batch is reduced with one aggregation by URL (partial aggregation
+    first), then one full outer join with the stored table on URL (bucket the stored table by
     ``url`` to avoid shuffling it on every run).
     """
     from ..sources.pagestore import COLUMNS, FETCHED_BY
 
     now = now if now is not None else F.current_timestamp()
     b = batch.where(F.col("url").isNotNull())
-    w_last = Window.partitionBy("url").orderBy(F.col("seq").desc())
-    w_all = Window.partitionBy("url")
-    red = (
-        b.withColumn("_rn", F.row_number().over(w_last))
-        .withColumn("_first_seq", F.min("seq").over(w_all))
-        .where(F.col("_rn") == 1)
-        .select("url", "_first_seq", *[F.col(c).alias("_n_" + c) for c in UPDATED])
-    )
+    # one aggregation per URL, combined map-side: a URL written many times in a
+    # batch (a hot key) is reduced before the shuffle
+    last = F.max_by(F.struct(*[F.col(c).alias("_n_" + c) for c in UPDATED]), F.col("seq"))
+    red = b.groupBy("url").agg(last.alias("_last"), F.min("seq").alias("_first_seq")).select("url", "_first_seq", "_last.*")
     s = stored.select(*COLUMNS)
     j = s.join(red, "url", "full_outer")
     matched = F.col("id").isNotNull()
