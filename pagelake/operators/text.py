@@ -1,16 +1,14 @@
 """Text jobs over a documents table.
 
-Per-document work (chunks, lead summaries, their merge) is a per-row
-expression: no shuffle. Keyword counting explodes tokens; the input is hash
-partitioned by document id once, so the count aggregation and the per-document
-ranking window reuse that partitioning (one shuffle of the raw texts instead
-of two shuffles of token rows). The partial aggregation collapses repeated
-tokens of a document before anything else happens.
+Everything here is per document, so everything is a per-row expression:
+chunks, lead summaries, their merge, and the top-k keyword count (sort the
+tokens, count runs, sort the runs). No job in this module shuffles, whatever
+the number of documents; a hot key cannot exist.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import spread
@@ -28,36 +26,64 @@ def chunks(df: DataFrame, id_col: str, text_col: str, max_chars: int = 4000, ove
     return spread(df.select(id_col, text_col), id_col).select(F.col(id_col), F.inline(chunk_array(text_col, max_chars, overlap)))
 
 
+def with_top_keywords(df: DataFrame, text_col: str, top_k: int, out: str = "_kw") -> DataFrame:
+    """Adds ``out``: ``array<struct<cnt bigint, keyword string>>``, the ``top_k``
+    keyword tokens of the row by count, ties by first occurrence.
+
+    Per row, no shuffle: the (token, position) pairs are sorted, runs of equal
+    tokens give each token's count and first position, and the runs are
+    sorted by (-count, first position). Staged projections whose lambdas use
+    only their own arguments, so nothing is recomputed per element when
+    Catalyst inlines a column.
+    """
+    t = df.withColumn("_kt", F.coalesce(keyword_tokens(text_col), F.array().cast("array<string>")))
+    n = F.size("_kt")
+    idx = F.slice(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), 1, n)
+    t = t.withColumn("_ks", F.sort_array(F.zip_with("_kt", idx, lambda w, i: F.struct(w.alias("w"), i.alias("p")))))
+    n = F.size("_ks")
+    words = F.transform("_ks", lambda x: x["w"])
+    nxt = F.slice(F.concat(F.slice(words, 2, F.greatest(n - 1, F.lit(0))), F.array(F.lit(None).cast("string"))), 1, n)
+    pos = F.slice(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), 1, n)
+    t = t.withColumn("_kw_w", words).withColumn("_kn", nxt)
+    # 1-based positions where a run of one token ends
+    t = t.withColumn("_ke", F.array_compact(F.zip_with(F.zip_with("_kw_w", "_kn", lambda a, b: ~a.eqNullSafe(b)), pos, lambda f, k: F.when(f, k))))
+    starts = F.slice(F.concat(F.array(F.lit(1)), F.transform("_ke", lambda e: e + 1)), 1, F.size("_ke"))
+    t = t.withColumn("_kb", starts)
+    # the first element of a run holds the token's first position (pairs sorted by token, then position)
+    is_start = F.zip_with("_kw_w", F.slice(F.concat(F.array(F.lit(None).cast("string")), F.col("_kw_w")), 1, n), lambda a, b: ~a.eqNullSafe(b))
+    t = t.withColumn("_kf", F.array_compact(F.zip_with(is_start, "_ks", lambda f, x: F.when(f, x))))
+    t = t.withColumn("_kc", F.zip_with("_ke", "_kb", lambda e, b: (e - b + 1).cast("bigint")))
+    runs = F.sort_array(F.zip_with("_kf", "_kc", lambda x, c: F.struct((-c).alias("nc"), x["p"].alias("p"), x["w"].alias("w"))))
+    top = F.transform(F.slice(runs, 1, top_k), lambda r: F.struct((-r["nc"]).alias("cnt"), r["w"].alias("keyword")))
+    return t.withColumn(out, top).drop("_kt", "_ks", "_kw_w", "_kn", "_ke", "_kb", "_kf", "_kc")
+
+
 def top_keywords(df: DataFrame, id_col: str, text_col: str, top_k: int = 10, repartition: bool = True) -> DataFrame:
     """The ``top_k`` most frequent keyword tokens per row, ties by first occurrence.
 
-    Output: ``id, rank, keyword, cnt`` (rank from 1). Pass ``repartition=False``
-    when ``df`` is already hash partitioned by ``id_col``.
+    Output: ``id, rank, keyword, cnt`` (rank from 1). Computed inside each row
+    (no shuffle); ``repartition`` only spreads a scan with too few splits.
     """
     base = df.select(id_col, text_col)
     if repartition:
-        base = base.repartition(id_col)
-    toks = base.select(id_col, F.posexplode(keyword_tokens(text_col)).alias("pos", "keyword"))
-    counts = toks.groupBy(id_col, "keyword").agg(F.count("*").alias("cnt"), F.min("pos").alias("first_pos"))
-    w = Window.partitionBy(id_col).orderBy(F.col("cnt").desc(), F.col("first_pos").asc())
+        base = spread(base, id_col)
+    kw = with_top_keywords(base, text_col, top_k)
+    # posexplode_outer: a plain posexplode makes Catalyst infer a filter on the
+    # array and push it (inlined) below the staged projections
     return (
-        counts.withColumn("rank", F.row_number().over(w))
-        .where(F.col("rank") <= top_k)
-        .select(id_col, F.col("rank").cast("bigint").alias("rank"), "keyword", "cnt")
+        kw.select(id_col, F.posexplode_outer("_kw").alias("rank", "k"))
+        .where(F.col("k").isNotNull())
+        .select(id_col, (F.col("rank") + 1).cast("bigint").alias("rank"), F.col("k.keyword").alias("keyword"), F.col("k.cnt").alias("cnt"))
     )
 
 
 def keywords_array(df: DataFrame, id_col: str, text_col: str, top_k: int, repartition: bool = True) -> DataFrame:
     """T3 as a list column per row (``id, keywords array<string>``); rows without tokens get ``[]``."""
+    base = df.select(id_col, text_col)
     if repartition:
-        df = df.repartition(id_col)
-    ranked = top_keywords(df, id_col, text_col, top_k, repartition=False)
-    lists = ranked.groupBy(id_col).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("rank", "keyword"))), lambda s: s["keyword"]).alias("keywords")
-    )
-    return df.select(id_col).join(lists, id_col, "left").select(
-        id_col, F.coalesce("keywords", F.array().cast("array<string>")).alias("keywords")
-    )
+        base = spread(base, id_col)
+    kw = with_top_keywords(base, text_col, top_k)
+    return kw.select(id_col, F.transform("_kw", lambda k: k["keyword"]).alias("keywords"))
 
 
 def chunk_summaries(df: DataFrame, id_col: str, text_col: str, max_chars: int = 4000, overlap: int = 200) -> DataFrame:
@@ -102,16 +128,14 @@ def summarize(
         base = _model_summaries(df, id_col, arr, summarizer)
         if keep:
             base = base.join(df.select(id_col, *keep), id_col, "left")
-    # shuffle the (short) summaries once by id; keyword counting, ranking and the
-    # joins below reuse that partitioning
-    base = base.repartition(id_col)
-    kw = keywords_array(base, id_col, "_joined", top_k, repartition=False)
-    return base.join(kw, id_col, "left").select(
+    # keywords of the joined summaries, inside each row: no shuffle
+    kw = with_top_keywords(base, "_joined", top_k)
+    return kw.select(
         id_col,
         *keep,
         F.when(F.col("num_chunks") == 0, F.lit("")).otherwise(F.col("final_summary")).alias("final_summary"),
         "chunk_summaries",
-        F.coalesce("keywords", F.array().cast("array<string>")).alias("keywords"),
+        F.transform("_kw", lambda k: k["keyword"]).alias("keywords"),
         "num_chunks",
     )
 
