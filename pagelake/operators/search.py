@@ -13,7 +13,11 @@ Plan:
   ``k x queries`` rows per batch leave the task);
 * beyond that bound the work is blocked: stored vectors fall in ``P`` hash
   blocks, queries in ``Q`` hash blocks; each (query block, store block) cell is
-  a cogroup computed with numpy, again emitting a cell-local top ``k``;
+  a cogroup computed with numpy, again emitting a cell-local top ``k``. Every
+  stored row is sent to ``Q`` cells and every query to ``P`` cells, so the
+  shuffle is about ``n_store * n_queries * (1 / block_queries + 1 / block_rows)``
+  rows: blocks are as large as a task's memory allows (the scoring itself
+  works in slices of ``MAX_CELLS`` scores);
 * the candidates are cut to the final top ``k`` per query with
   ``row_number() <= k`` (Spark plans a ``WindowGroupLimit`` before the shuffle).
 
@@ -110,8 +114,8 @@ def cosine_topk(
     payload: list[str] | None = None,
     strict: bool = True,
     max_broadcast_queries: int = 4096,
-    block_rows: int = 50_000,
-    block_queries: int = 2_048,
+    block_rows: int = 100_000,
+    block_queries: int = 16_384,
     score_digits: int | None = None,
 ) -> DataFrame:
     """Top ``k`` stored vectors per query by cosine similarity.
