@@ -35,10 +35,16 @@ def test_python_only_where_numpy_block_products_run(plans):
 
 
 def test_aggregations_combine_before_the_shuffle(plans):
-    for name in ("raw_store", "top_keywords", "lang_detect", "multilabel_metrics", "robots_admission"):
+    for name in ("raw_store", "lang_detect", "multilabel_metrics", "robots_admission", "upsert_pages", "fetch_outcomes"):
         assert "partial_" in plans[name], name
 
 
+def test_per_document_text_jobs_do_not_shuffle(plans):
+    # the only exchange allowed is spread()'s repartition of a scan with too few splits
+    for name in ("chunks", "keyword_tokens", "top_keywords", "chunk_summaries", "final_summary", "summarize", "extract_main"):
+        assert "ENSURE_REQUIREMENTS" not in plans[name], name
+
+
 def test_small_sides_are_broadcast(plans):
     assert "BroadcastHashJoin" in plans["robots_admission"]
     assert "BroadcastHashJoin" in plans["lang_detect"]
