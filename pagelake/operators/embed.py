@@ -19,6 +19,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -130,7 +131,6 @@ def embed_with_model(df: DataFrame, text_col: str, encode, out_col: str = "embed
     """Model slot for V1: ``encode(list[str]) -> list[list[float]]`` runs in Arrow
     batches inside the executors (one model load per Python worker); an empty
     batch gives an empty result, as in the original."""
-    import pandas as pd
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def _enc(texts: pd.Series) -> pd.Series:
