@@ -61,7 +61,9 @@ def fit_profile(train: DataFrame, text_col: str = "text", lang_col: str = "lang"
     langs = sorted(r[lang_col] for r in docs)
     dcount = {r[lang_col]: r["d"] for r in docs}
     total_docs = sum(dcount.values())
-    g = spread(lab.select(lang_col, text_col), text_col).select(lang_col, normalized(text_col).alias("_nt")).select(lang_col, F.explode(grams("_nt")).alias("gram"))
+    # round-robin: hashing on the text would send every copy of a text (copies
+    # may be a third of a corpus) to one task
+    g = spread(lab.select(lang_col, text_col)).select(lang_col, normalized(text_col).alias("_nt")).select(lang_col, F.explode(grams("_nt")).alias("gram"))
     # the profile is small (one row per distinct gram) and read three times below:
     # keep it cached (a lost block is recomputed from lineage)
     counts = g.groupBy("gram").agg(*[F.sum((F.col(lang_col) == l).cast("long")).alias(f"c_{i}") for i, l in enumerate(langs)]).cache()

@@ -74,7 +74,9 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     When the scan yields fewer partitions than the cluster's parallelism (a
     small table or one large row group), hash-partition by ``key`` (no sort)
     to the default parallelism; a large scan that already has enough splits
-    is left alone, so no shuffle is added at scale.
+    is left alone, so no shuffle is added at scale. ``key`` must be unique
+    per row (an id); without one the rows are dealt round-robin, so copies of
+    one value never pile up in one task.
     """
     target = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
