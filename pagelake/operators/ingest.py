@@ -164,7 +164,6 @@ def upsert_pages(stored: DataFrame, batch: DataFrame, now: Column | None = None)
     red = b.groupBy("url").agg(last.alias("_last"), F.min("seq").alias("_first_seq")).select("url", "_first_seq", "_last.*")
     s = stored.select(*COLUMNS)
     j = s.join(red, "url", "full_outer")
-    matched = F.col("id").isNotNull()
     is_new = F.col("id").isNull()
     new_rows = j.where(is_new)
     old_rows = j.where(~is_new)
@@ -191,7 +190,6 @@ def upsert_pages(stored: DataFrame, batch: DataFrame, now: Column | None = None)
         cols.append(F.lit(new).alias("is_new"))
         return df.select(*cols)
 
-    _ = matched
     return shape(old_rows, False).unionByName(shape(new_rows, True))
 
 

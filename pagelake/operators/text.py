@@ -8,6 +8,7 @@ the number of documents; a hot key cannot exist.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -140,22 +141,32 @@ def summarize(
     )
 
 
+def _call_per_batch_then_row(model, texts: pd.Series) -> list:
+    """The model on a whole Arrow batch; if that raises, on each text alone, so
+    one failing text falls back (``None``) without taking its batch with it."""
+    try:
+        return list(model(texts))
+    except Exception:  # noqa: BLE001 - the original falls back per text
+        out = []
+        for t in texts:
+            try:
+                out.append(list(model(pd.Series([t])))[0])
+            except Exception:  # noqa: BLE001
+                out.append(None)
+        return out
+
+
 def _model_summaries(df: DataFrame, id_col: str, arr, summarizer) -> DataFrame:
     """Model slot for T4/T5: the summariser runs in Arrow batches over chunk rows.
 
     A failing call falls back to the lead summary for that chunk, as the original does.
     """
-    import pandas as pd
-
     rows = df.select(id_col, F.inline(arr)).select(id_col, "chunk_idx", "chunk", lead_summary("chunk").alias("lead"))
 
     def run(it):
         for pdf in it:
-            try:
-                out = summarizer(pdf["chunk"])
-                pdf["summary"] = [o.strip() if isinstance(o, str) else l for o, l in zip(out, pdf["lead"])]
-            except Exception:  # noqa: BLE001 - the original falls back per chunk
-                pdf["summary"] = pdf["lead"]
+            outs = _call_per_batch_then_row(summarizer, pdf["chunk"])
+            pdf["summary"] = [o.strip() if isinstance(o, str) else l for o, l in zip(outs, pdf["lead"])]
             yield pdf[[id_col, "chunk_idx", "summary"]]
 
     sch = rows.select(id_col, "chunk_idx", F.lit("").alias("summary")).schema
@@ -172,11 +183,8 @@ def _model_summaries(df: DataFrame, id_col: str, arr, summarizer) -> DataFrame:
     def merge(it):
         for pdf in it:
             fallback = [" ".join(s[:3]).strip() for s in pdf["chunk_summaries"]]
-            try:
-                out = summarizer(pdf["_joined"])
-                pdf["final_summary"] = [o.strip() if isinstance(o, str) else f for o, f in zip(out, fallback)]
-            except Exception:  # noqa: BLE001
-                pdf["final_summary"] = fallback
+            outs = _call_per_batch_then_row(summarizer, pdf["_joined"])
+            pdf["final_summary"] = [o.strip() if isinstance(o, str) else f for o, f in zip(outs, fallback)]
             yield pdf
 
     sch2 = per_doc.select("*", F.lit("").alias("final_summary")).schema

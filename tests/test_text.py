@@ -141,3 +141,16 @@ def test_summarize_model_slot_falls_back_per_batch(spark):
 def test_excerpt(spark):
     df = spark.createDataFrame([("abcdef",), (None,)], "t string")
     assert [r.e for r in df.select(excerpt("t", 3).alias("e")).collect()] == ["abc", ""]
+
+
+def test_summarize_model_slot_falls_back_per_chunk(spark):
+    df = spark.createDataFrame([(1, "fine text " * 5), (2, "bad text " * 5)], "id long, text string")
+
+    def picky(s):
+        if s.str.contains("bad").any():
+            raise RuntimeError("model fails on this text")
+        return s.str.upper()
+
+    rows = {r.id: r for r in T.summarize(df, "id", "text", summarizer=picky).collect()}
+    assert rows[1].chunk_summaries == [("fine text " * 5).upper().strip()]  # not dragged down by its batch
+    assert rows[2].chunk_summaries == [("bad text " * 5).strip()]  # the lead fallback
