@@ -130,14 +130,26 @@ def embed(df: DataFrame, encoder: TextEncoder, text_col: str = "text", out_col:
 def embed_with_model(df: DataFrame, text_col: str, encode, out_col: str = "embedding", batch_rows: int = 64) -> DataFrame:
     """Model slot for V1: ``encode(list[str]) -> list[list[float]]`` runs in Arrow
     batches inside the executors (one model load per Python worker); an empty
-    batch gives an empty result, as in the original."""
+    batch gives an empty result, as in the original. When a call raises, its
+    texts are encoded one by one and a text that still fails gets NULL (the
+    original rolls that page back and goes on with the others)."""
+
+    def _one(t):
+        try:
+            return [float(x) for x in encode([t])[0]]
+        except Exception:  # noqa: BLE001
+            return None
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def _enc(texts: pd.Series) -> pd.Series:
         out = []
         vals = texts.fillna("").tolist()
         for i in range(0, len(vals), batch_rows):
-            out.extend([list(map(float, v)) for v in encode(vals[i : i + batch_rows])])
+            part = vals[i : i + batch_rows]
+            try:
+                out.extend([[float(x) for x in v] for v in encode(part)])
+            except Exception:  # noqa: BLE001 - fall back to one text at a time
+                out.extend(_one(t) for t in part)
         return pd.Series(out, dtype=object)
 
     return df.withColumn(out_col, _enc(F.col(text_col)))

@@ -50,3 +50,15 @@ def test_encoder_model_slot(spark):
 
     got = {r.id: r.embedding for r in V.embed_with_model(df, "text", encode).collect()}
     assert got == {1: [2.0, 1.0], 2: [0.0, 1.0]}
+
+
+def test_encoder_model_slot_isolates_failing_texts(spark):
+    df = spark.createDataFrame([(1, "ok"), (2, "boom")], "id long, text string")
+
+    def encode(texts):
+        if "boom" in texts:
+            raise RuntimeError("model fails on this text")
+        return [[1.0] for _ in texts]
+
+    got = {r.id: r.embedding for r in V.embed_with_model(df, "text", encode).collect()}
+    assert got == {1: [1.0], 2: None}
