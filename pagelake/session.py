@@ -45,9 +45,12 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        # (``spark.checkpoint.dir`` is a static setting: it cannot be set on a
+        # running session, so the folder is registered with the context only)
         d = tempfile.mkdtemp(prefix="pagelake-ckpt-")
+    if not sc.getCheckpointDir():
+        # DataFrame.checkpoint() needs the folder registered with the context
         sc.setCheckpointDir(d)
-        spark.conf.set("spark.checkpoint.dir", d)
     return d
 
 
