@@ -1,14 +1,14 @@
 """Enrichment job (T7): pending pages -> summary record -> vector -> written back.
 
-Plan: the queue selection (F1) and the summary (T6) are per-row expressions
-plus one shuffle of the short summaries by id; the vector is a per-row
-expression with the fitted IDF inlined; the write-back is one join of the
+Plan: the queue selection (F1) and the summary with its keywords (T6) are
+per-row expressions, no shuffle; the vector is a per-row expression with the
+fitted IDF inlined; the write-back is one join of the
 page table with the updates on ``id`` (AQE broadcasts the updates when a
 run's batch is small; otherwise a shuffle join).
 
 Row isolation: every step is an expression that cannot fail on a row's
 content (NULL and empty texts have defined results), so one bad page cannot
-stop the others; the optional model slots fall back per batch, as the
+stop the others; the optional model slots fall back per text, as the
 original falls back per page.
 """
 
