@@ -38,8 +38,9 @@ def keyword_tokens(c) -> Column:
     keep tokens longer than 2 characters that are not stop words."""
     cleaned = F.regexp_replace(F.lower(_c(c)), rf"[^{WORD}{WS}]", " ")
     parts = F.split(cleaned, rf"[{WS}]+")
-    stop = F.array(*[F.lit(w) for w in sorted(set(STOP_WORDS))])
-    return F.filter(parts, lambda t: (F.length(t) >= KEYWORD_MIN_LEN) & ~F.array_contains(stop, t))
+    # isin over a long literal list becomes a hash-set lookup (InSet), not a scan
+    stop = sorted(set(STOP_WORDS))
+    return F.filter(parts, lambda t: (F.length(t) >= KEYWORD_MIN_LEN) & ~t.isin(*stop))
 
 
 def chunk_count(n: Column, max_chars: int, overlap: int) -> Column:
