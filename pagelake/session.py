@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,6 +35,27 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the executors, once per session, as a zip file that Spark distributes.
+
+    Python functions that run in tasks are pickled by reference, so executors must be able to import the
+    package even when only the driver has it on its path.
+    """
+    sc = spark.sparkContext
+    if sc.master.startswith("local[") or sc.master == "local" or getattr(sc, "_pagelake_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="pagelake-code-"), "pagelake.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(here):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.join("pagelake", os.path.relpath(full, here)))
+    sc.addPyFile(out)
+    sc._pagelake_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
