@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pagelake.session import read_table
 
-from . import annsearch, decontam, packing, sharding, simhash, tokens
+from . import annsearch, decontam, langmodel, packing, sharding, simhash, tokens
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +21,15 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    out = langmodel.held_out(F.col("doc_id"), 4, 2)
+    return langmodel.identify(docs, ~out).select(
+        "doc_id", langmodel.held_out(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score", "bits", "rejected"
+    )
+
+
 @query
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digest(decontam.find_contamination(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"), window=10))
