@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pagelake.session import read_table
 
-from . import annsearch, decontam, langmodel, packing, sharding, simhash, tokens
+from . import annsearch, decontam, langmodel, packing, sharding, simhash, tokens, toxicity
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,14 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(documents(spark, sf_dir), tokenizer="byte_bpe_50k.json", limit=1024)
 
 
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score_toxicity(
+        documents(spark, sf_dir), read_table(spark, sf_dir, "labels"), lambda i: ~langmodel.held_out(i, 3, 1), threshold=0.7
+    )
+    return scored.select("doc_id", langmodel.held_out(F.col("doc_id"), 3, 1).alias("held_out"), "score", "predicted")
+
+
 @query
 def op7_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read_table(spark, sf_dir, "embeddings")
