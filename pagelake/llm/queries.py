@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pagelake.session import read_table
 
-from . import annsearch, decontam, langmodel, packing, sharding, simhash, tokens, toxicity
+from . import annsearch, decontam, langmodel, packing, sharding, simhash, suffixdedup, tokens, toxicity
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), capacity=2048, tokenizer="word_bpe_49k.json", end_id=1)
 
 
+@query
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdedup.digest(suffixdedup.remove_repeats(documents(spark, sf_dir), length=100))
+
+
 @query
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(documents(spark, sf_dir), tokenizer="byte_bpe_50k.json", limit=1024)
