@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pagelake.session import read_table
 
-from . import annsearch, decontam, langmodel, packing, sharding, simhash, suffixdedup, tokens, toxicity
+from . import annsearch, chat, decontam, langmodel, packing, sharding, simhash, suffixdedup, tokens, toxicity
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,86 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(documents(spark, sf_dir), shards=40)
+
+
+def _chat_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Calls and results derived from the conversations by a fixed rule: every assistant turn is a call with an
+    identifier of its turn, whole text included; the turn after it is the result, unless it is one of the
+    unanswered (turn divisible by 7). The call needs the one of half its turn's number. Some calls break their schema."""
+    c = conversations.withColumn("n", F.length("text"))
+    call = F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string"))
+    parent = F.concat(F.lit("$c"), F.col("conv_id").cast("string"), F.lit("-"), ((F.col("turn") / 4).cast("long") * 2 + 1).cast("string"))
+    source = F.when(F.col("turn") >= 3, parent)
+    calls = c.where("role = 'assistant'").select(
+        "conv_id",
+        call.alias("call_id"),
+        "turn",
+        F.when(F.col("n") % 3 == 0, "search").when(F.col("n") % 3 == 1, "note").otherwise("count").alias("name"),
+        F.when(F.col("n") % 3 == 0, F.to_json(F.struct(F.col("text").alias("query"), F.when(F.col("n") % 7 != 0, F.col("n")).alias("limit"), source.alias("source"))))
+        .when(F.col("n") % 3 == 1, F.to_json(F.struct(F.col("text").alias("text"), F.when(F.col("n") % 5 == 0, True).alias("pinned"), source.alias("source"))))
+        .otherwise(F.to_json(F.struct(F.col("n").cast("string").alias("total"), F.col("text").alias("of"), source.alias("source"))))
+        .alias("arguments"),
+    )
+    before = F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), (F.col("turn") - 1).cast("string"))
+    results = c.where("role <> 'assistant' and turn > 0 and turn % 7 <> 0").select("conv_id", before.alias("call_id"), "turn", F.col("text").alias("content"))
+    return calls, results
+
+
+CHAT_SCHEMAS = [
+    ("search", "query", "string", True),
+    ("search", "limit", "integer", True),
+    ("search", "source", "string", False),
+    ("note", "text", "string", True),
+    ("note", "source", "string", False),
+    ("count", "of", "string", True),
+    ("count", "total", "integer", True),
+    ("count", "source", "string", False),
+]
+
+
+@query
+def op8_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = _chat_calls(read_table(spark, sf_dir, "conversations"))
+    schemas = spark.createDataFrame(CHAT_SCHEMAS, "name string, param string, type string, required boolean")
+    return chat.link_calls(calls, results, schemas)
+
+
+SQL["op8_tool_calls"] = """
+with recursive c as (select conv_id, turn, role, text, length(text) as n from conversations),
+calls as (
+  select conv_id, 'c' || conv_id || '-' || turn as call_id, turn, text, n,
+    case n % 3 when 0 then 'search' when 1 then 'note' else 'count' end as name,
+    case when turn >= 3 then '$c' || conv_id || '-' || ((turn // 4) * 2 + 1) end as source
+  from c where role = 'assistant'),
+results as (
+  select conv_id, 'c' || conv_id || '-' || (turn - 1) as call_id, turn, text as content
+  from c where role <> 'assistant' and turn > 0 and turn % 7 <> 0),
+canon as (
+  select *, case name
+      when 'search' then '{' || case when n % 7 <> 0 then '"limit":' || n || ',' else '' end || '"query":' || to_json(text)
+      when 'note' then '{' || case when n % 5 = 0 then '"pinned":true,' else '' end
+      else '{"of":' || to_json(text) end
+    || case when name = 'note' then case when source is not null then '"source":' || to_json(source) || ',' else '' end || '"text":' || to_json(text)
+       else case when source is not null then ',"source":' || to_json(source) else '' end end
+    || case when name = 'count' then ',"total":"' || n || '"' else '' end || '}' as arguments,
+    case when name = 'search' and n % 7 = 0 then ['missing:limit'] when name = 'note' and n % 5 = 0 then ['unknown:pinned']
+         when name = 'count' then ['type:total'] else [] end as faults,
+    substr(source, 2) as need
+  from calls),
+known as (
+  select k.*, p.call_id is not null as met, case when k.need is not null and p.call_id is null then ['need:' || k.need] else [] end as lost
+  from canon k left join canon p on p.conv_id = k.conv_id and p.call_id = k.need),
+staged(conv_id, call_id, stage) as (
+  select conv_id, call_id, 0 from known where not met
+  union all
+  select k.conv_id, k.call_id, s.stage + 1 from known k join staged s on s.conv_id = k.conv_id and s.call_id = k.need where k.met),
+joined as (
+  select coalesce(k.conv_id, r.conv_id) as conv_id, coalesce(k.call_id, r.call_id) as call_id, k.turn as called, r.turn as answered, k.name, k.arguments,
+    r.content, list_concat(coalesce(k.faults, []), coalesce(k.lost, [])) as errors,
+    case when k.call_id is null then 'no_call' when r.call_id is null then 'no_result' else 'linked' end as status
+  from known k full join results r on r.conv_id = k.conv_id and r.call_id = k.call_id)
+select j.conv_id, j.call_id, coalesce(j.called, j.answered) as turn, j.status, s.stage::int as stage, array_to_string(j.errors, ',') as errors,
+  '{"arguments":' || coalesce(j.arguments, 'null') || ',"duplicates":0,"errors":' || to_json(j.errors)::varchar || ',"id":' || to_json(j.call_id)
+  || ',"name":' || coalesce(to_json(j.name)::varchar, 'null') || ',"result":' || coalesce(to_json(j.content)::varchar, 'null') || ',"status":"' || j.status || '"}' as message
+from joined j left join staged s on s.conv_id = j.conv_id and s.call_id = j.call_id
+"""

@@ -22,9 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagelake.session import ship_code
+
 from .anchors import runs
 from .bwt import construct, suffix_places
-from .common import byte_rows, id_text, slices, written
+from .common import arrow_schema, byte_rows, slices, written
 
 GRAM = 32
 #: Bytes hashed at once; a longer text goes in parts that overlap by a window.
@@ -228,8 +230,12 @@ def repeated_spans(
     return reduce(DataFrame.unionByName, out)
 
 
-def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text", **sizes) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_bytes, spans (start, end of each maximal removed run, in bytes), kept (binary).
+def remove_repeats(
+    docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None, **sizes
+) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_bytes, spans (start, end of each maximal removed run, in bytes), kept (binary),
+    and, with ``carry``, a struct ``rest`` of the columns named there and kept_text (the kept bytes as a string, without
+    the bytes of characters of which only a part is left; null where the text is).
 
     A byte goes when a string of ``length`` bytes that covers it also starts earlier: in a smaller id, or
     further up in the same document. Null and empty texts have no bytes. Ids are integers; null is smaller
@@ -238,19 +244,24 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     """
     if not 32 <= length < 255:
         raise ValueError("length must be 32 to 254 bytes")
-    rows = id_text(docs, id_col, text_col)
-    rows = rows.select(F.col("doc_id"), F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("mark"), "text")
+    ship_code(docs.sparkSession)
+    rows = docs.select(
+        docs[id_col].alias("doc_id"),
+        docs[id_col].cast("long").alias("doc"),
+        docs[text_col].cast("string").alias("text"),
+        F.struct(*[docs[c].alias(c) for c in carry or []], F.lit(None).cast("int").alias("_")).alias("rest"),
+    ).withColumn("mark", F.xxhash64("text"))
     spans = written(repeated_spans(rows.select("doc", "mark", "text"), length, min(GRAM, length // 2), **sizes), "spans")
     # a document's spans meet as stretches of starts; neighbours are joined where they are applied
     by_doc = spans.groupBy("doc", "mark").agg(F.collect_list(F.struct("start", "windows")).alias("found"))
     key = F.coalesce("doc", F.lit(NULL_ID))
-    joined = rows.withColumn("doc", key).join(by_doc, ["doc", "mark"], "left").select("doc_id", "text", "found")
+    joined = rows.withColumn("doc", key).join(by_doc, ["doc", "mark"], "left").select("doc_id", "text", "found", "rest")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in slices(whole, "text", 8 << 20):
                 found = b.column("found")
-                size, cut, kept = [], [], []
+                size, cut, kept, whole_text = [], [], [], b.column("text")
                 for t, i in zip(byte_rows(b.column("text")), range(b.num_rows), strict=True):
                     t, out = t or b"", []
                     if found[i].is_valid:
@@ -266,13 +277,17 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
                     size.append(len(t))
                     cut.append([{"start": a, "end": e} for a, e in out])
                     kept.append(b"".join(t[a:e] for a, e in zip(at[::2], at[1::2], strict=True)) if out else t)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id"), pa.array(size, pa.int64()), pa.array(cut, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.binary())],
-                    names=["doc_id", "n_bytes", "spans", "kept"],
-                )
-
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return joined.mapInArrow(apply, f"doc_id {kind}, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
+                cols = [b.column("doc_id"), pa.array(size, pa.int64()), pa.array(cut, fields.field("spans").type), pa.array(kept, pa.binary())]
+                if carry is not None:
+                    clean = [k.decode("utf-8", "ignore") if whole_text[i].is_valid else None for i, k in enumerate(kept)]
+                    cols += [b.column("rest"), pa.array(clean, pa.string())]
+                yield pa.RecordBatch.from_arrays(cols, names=fields.names)
+
+    kind, rest = rows.schema["doc_id"].dataType.simpleString(), rows.schema["rest"].dataType.simpleString()
+    ddl = f"doc_id {kind}, n_bytes long, spans array<struct<start:long,end:long>>, kept binary"
+    ddl += f", rest {rest}, kept_text string" if carry is not None else ""
+    fields = arrow_schema(ddl)
+    return joined.mapInArrow(apply, ddl)
 
 
 def digest(out: DataFrame) -> DataFrame:
