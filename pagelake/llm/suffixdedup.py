@@ -160,7 +160,7 @@ def _collections(runs_: DataFrame, length: int, collection: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         strings, doc, mark, start = [], [], [], []
         more: list[tuple] = []  # third and further occurrences of a run, by the string that stands for them
-        size, last_hash, last, seen = 0, None, None, 0
+        size, seen, last_hash, last, place, marks = 0, 0, None, None, None, set()
 
         def solve():
             nonlocal size
@@ -189,9 +189,15 @@ def _collections(runs_: DataFrame, length: int, collection: int) -> DataFrame:
                 if h != last_hash and size >= collection:
                     yield solve()
                     last = None
-                seen = seen + 1 if h == last_hash and content == last else 1
-                last_hash, last = h, content
-                if seen > 2:
+                if h != last_hash or content != last:
+                    seen, last_hash, last, place, marks = 0, h, content, (d, s), set()
+                if (d, s) == place:  # the first place, again in a row that repeats its id
+                    if m in marks:
+                        continue
+                    marks.add(m)
+                else:
+                    seen += 1
+                if seen > 1:
                     more.append((len(strings) - 1, d, m, s))
                     continue
                 strings.append(content)
