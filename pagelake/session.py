@@ -42,7 +42,7 @@ def ship_code(spark: SparkSession) -> None:
     package even when only the driver has it on its path.
     """
     sc = spark.sparkContext
-    if sc.master.startswith("local[") or sc.master == "local" or getattr(sc, "_pagelake_shipped", False):
+    if getattr(sc, "_pagelake_shipped", False):
         return
     here = os.path.dirname(os.path.abspath(__file__))
     out = os.path.join(tempfile.mkdtemp(prefix="pagelake-code-"), "pagelake.zip")
