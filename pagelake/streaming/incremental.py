@@ -2,10 +2,14 @@
 Structured Streaming query picks them up and upserts each micro-batch into
 the page table.
 
-The page table is a chain of snapshots ``<root>/v=<n>``. Micro-batch ``n``
-reads snapshot ``n`` and writes snapshot ``n + 1`` (never the path it
-reads), so a micro-batch replayed after a failure - the streaming checkpoint
-has not recorded it yet - reads the same input and rewrites the same output.
+The page table is a chain of snapshots ``<root>/v=<n>``. A micro-batch reads
+the newest snapshot and writes the next one (never the path it reads); the
+new snapshot's folder also records the batch it came from. A micro-batch
+replayed after a failure - the streaming checkpoint has not recorded it yet -
+finds its own snapshot complete and leaves it, or finds it incomplete (no
+``_SUCCESS``) and writes it again. The checkpoint belongs to the table
+(``<root>/_checkpoint``), so every run goes on where the last one ended;
+with another checkpoint folder its own batches are told apart by its name.
 ``trigger(availableNow=True)`` processes what has landed and stops, which is
 how the original's re-run-by-hand scripts behave; a long-running trigger
 works the same way.
@@ -13,11 +17,12 @@ works the same way.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..operators.ingest import upsert_pages
-from ..session import scratch_path
 from ..sources.pagestore import conform, empty_pages, read_pages
 
 BATCH_SCHEMA = T.StructType(
@@ -51,6 +56,24 @@ def _versions(spark: SparkSession, root: str) -> list[int]:
     return sorted(out)
 
 
+_MARK = "_batch-"
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def _touch(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.create(p, True).close()
+
+
 def init_table(spark: SparkSession, root: str, pages: DataFrame | None = None) -> None:
     """Write snapshot 0 (empty unless ``pages`` is given)."""
     df = pages if pages is not None else empty_pages(spark)
@@ -75,15 +98,25 @@ def start(
 ):
     """Start the incremental upsert; returns the ``StreamingQuery``.
 
-    ``checkpoint`` defaults to a folder under the cluster's shared
-    ``spark.checkpoint.dir``; pass the same one on every run.
+    ``checkpoint`` defaults to a folder of the table itself.
     """
-    checkpoint = checkpoint or scratch_path(spark, "incremental-ckpt")
+    checkpoint = checkpoint or f"{root.rstrip('/')}/_checkpoint"
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
-        src = snapshot_path(root, batch_id)
-        out = upsert_pages(read_pages(spark, src), batch).drop("is_new")
-        conform(out).write.mode("overwrite").parquet(snapshot_path(root, batch_id + 1))
+        mark = f"{_MARK}{hashlib.sha256(checkpoint.encode()).hexdigest()[:16]}-{batch_id}"
+        done = _versions(spark, root)
+        if any(_exists(spark, f"{snapshot_path(root, v)}/{mark}") for v in done[-2:]):
+            return  # a replay: its snapshot is there
+        batch = batch.persist()  # the upsert reads it several times
+        try:
+            out = upsert_pages(read_pages(spark, snapshot_path(root, done[-1])), batch).drop("is_new")
+            target = snapshot_path(root, done[-1] + 1)
+            conform(out).write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(target)
+            # first the batch's mark, then the sign that the snapshot is complete
+            for name in (mark, "_SUCCESS"):
+                _touch(spark, f"{target}/{name}")
+        finally:
+            batch.unpersist()
 
     reader = spark.readStream.schema(BATCH_SCHEMA).option("recursiveFileLookup", "true").parquet(landing_dir)
     w = reader.writeStream.foreachBatch(upsert_batch).option("checkpointLocation", checkpoint)

@@ -34,3 +34,17 @@ def test_incremental_runs_upsert_each_landed_batch(spark, tmp_path):
     assert a.fetched_at == t1["https://a/"].fetched_at  # kept on update
     assert t2["https://c/"].id == 3
     assert INC.latest(spark, root).where(F.col("raw_meta")["fetched_by"] == "playwright").count() == 3
+
+
+def test_three_runs_without_a_checkpoint_argument(spark, tmp_path):
+    """Each run goes on where the last one ended; nothing is lost or done twice."""
+    root, landing = str(tmp_path / "pages"), str(tmp_path / "landing")
+    INC.init_table(spark, root)
+    for i, url in enumerate("abc"):
+        row = (i, f"https://{url}.org", 200, url, "en", "text", "raw/x.html")
+        spark.createDataFrame([row], INC.BATCH_SCHEMA).write.parquet(f"{landing}/batch-{i}")
+        q = INC.start(spark, landing, root)
+        q.awaitTermination()
+        assert q.exception() is None
+    got = {r["url"]: r["id"] for r in INC.latest(spark, root).collect()}
+    assert got == {"https://a.org": 1, "https://b.org": 2, "https://c.org": 3}
