@@ -18,20 +18,22 @@ SP = r"[ \t\n\r\f]"  # ASCII blank, identical in Java and RE2
 # Parts that carry no visible text: comments, script, style, template, doctype and
 # processing instructions. They are replaced by an empty tag so that the text on
 # either side stays two text nodes, as in an HTML tree.
+# What is not closed goes on to the end of the input.
+ATTRS = r"[^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*"  # attribute values in quotes may hold ">"
 NON_TEXT_RE = (
-    r"(?is)<!--.*?-->"
-    r"|<script\b[^>]*>.*?</script" + SP + r"*>"
-    r"|<style\b[^>]*>.*?</style" + SP + r"*>"
-    r"|<template\b[^>]*>.*?</template" + SP + r"*>"
+    r"(?is)<!--.*?(?:-->|\z)"
+    r"|<script\b" + ATTRS + r">.*?(?:</script" + SP + r"*>|\z)"
+    r"|<style\b" + ATTRS + r">.*?(?:</style" + SP + r"*>|\z)"
+    r"|<template\b" + ATTRS + r">.*?(?:</template" + SP + r"*>|\z)"
     r"|<![a-zA-Z][^>]*>"
     r"|<\?[^>]*>"
 )
 NODE_BREAK = "<!>"
-TAG_RE = r"<[a-zA-Z/!?][^>]*>"
-BODY_RE = r"(?is)<body\b[^>]*>(.*?)(?:</body" + SP + r"*>|\z)"
+TAG_RE = r"<[a-zA-Z/!?]" + ATTRS + r">|<[a-zA-Z/!?][^>]*>"
+BODY_RE = r"(?is)<body\b" + ATTRS + r">(.*?)(?:</body" + SP + r"*>|\z)"
 HAS_BODY_RE = r"(?i)<body\b"
 TITLE_RE = r"(?is)<title\b[^>]*>(.*?)</title" + SP + r"*>"
-LINK_RE = r"(?is)<a\b[^>]*>(.*?)</a" + SP + r"*>"
+LINK_RE = r"(?is)<a\b" + ATTRS + r">(.*?)</a" + SP + r"*>"
 
 # Parameters of the block extractor (X1) and the paragraph extractor.
 BLOCK_TAGS = "p div article section h1 h2 h3 h4 h5 h6 li ul ol table tr td blockquote pre nav footer header aside br".split()
@@ -51,8 +53,8 @@ BOILERPLATE_RE = (
         for t in ("div", "section", "span")
     )
 )
-BOUNDARY_RE = "(?i)</?(?:" + "|".join(BLOCK_TAGS) + r")\b[^>]*>"
-BOUNDARY_CAPTURE_RE = "(?i)(</?(?:" + "|".join(BLOCK_TAGS) + r")\b[^>]*>)"
+BOUNDARY_RE = "(?i)</?(?:" + "|".join(BLOCK_TAGS) + r")\b" + ATTRS + ">"
+BOUNDARY_CAPTURE_RE = "(?i)(</?(?:" + "|".join(BLOCK_TAGS) + r")\b" + ATTRS + ">)"
 LEAD_TAG_RE = r"^<(/?[a-zA-Z0-9]+)"
 MARK = "\x01"
 

@@ -79,3 +79,15 @@ def test_grams_linear_regex(spark):
     df = spark.createDataFrame([("abcd",), ("ab",)], "t string")
     assert [r.g for r in df.select(langid.grams("t").alias("g")).collect()] == [["abc", "bcd"], []]
     assert df.select(langid.normalized(F.lit("Hé, 42 X!")).alias("n")).first().n == "hé x "
+
+
+def test_quoted_brackets_and_unclosed_parts(spark):
+    rows = [
+        ('<body><a title="a>b" href=\'x>y\'>link</a> end</body>', "link\n end"),
+        ("<body>before<script>var x = '<p>no</p>';", "before"),
+        ("<body>before<!-- no <b>end</b>", "before"),
+        ("<body>before<style>p{}", "before"),
+    ]
+    df = spark.createDataFrame(rows, "html string, want string")
+    for r in df.select("want", H.body_text(H.clean_html("html")).alias("got")).collect():
+        assert r["got"] == r["want"]
