@@ -11,11 +11,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import py_strip
+
 
 def label_parts(c) -> Column:
-    """Split a comma list, trim each part, drop empties (NULL counts as ``''``)."""
+    """Split a comma list, strip white space of every kind from each part, drop empties (NULL counts as ``''``)."""
     col = F.col(c) if isinstance(c, str) else c
-    parts = F.transform(F.split(F.coalesce(col, F.lit("")), ","), lambda x: F.trim(x))
+    parts = F.transform(F.split(F.coalesce(col, F.lit("")), ","), lambda x: py_strip(x))
     return F.filter(parts, lambda x: x != "")
 
 
@@ -51,7 +53,7 @@ def decode_bin(s) -> Column:
     c = F.col(s) if isinstance(s, str) else s
     return F.transform(
         F.split(c, ","),
-        lambda x: F.when(F.trim(x).rlike("^-?[0-9]+$"), F.trim(x).cast("int")).otherwise(
+        lambda x: F.when(py_strip(x).rlike("^-?[0-9]+$"), py_strip(x).cast("int")).otherwise(
             F.raise_error(F.concat(F.lit("bad labels_bin element: "), x)).cast("int")
         ),
     )

@@ -15,12 +15,20 @@ from .registry import register
 TEST_SIZE, SEED = 0.1, 42
 
 
+# white space of every kind at both ends, written out for the oracle
+STRIP = r"regexp_replace({x}, '^[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{2000}-\x{200A}\x{3000}]+|[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{2000}-\x{200A}\x{3000}]+$', '', 'g')"
+
+
+def _strip(x: str) -> str:
+    return STRIP.replace("{x}", x)
+
+
 def _label_map_sql() -> str:
     return f"""
 lr AS ({X.LABEL_ROWS_SQL}),
 lm AS (SELECT label, CAST(row_number() OVER (ORDER BY label) - 1 AS INTEGER) AS idx
-       FROM (SELECT DISTINCT trim(p) AS label FROM (SELECT unnest(string_split(coalesce(labels, ''), ',')) AS p FROM lr)
-             WHERE trim(p) <> ''))"""
+       FROM (SELECT DISTINCT {_strip('p')} AS label FROM (SELECT unnest(string_split(coalesce(labels, ''), ',')) AS p FROM lr)
+             WHERE {_strip('p')} <> ''))"""
 
 
 @register("label_map", f"WITH {_label_map_sql()} SELECT label, idx FROM lm")
@@ -34,7 +42,7 @@ def _multihot_sql() -> str:
 {_label_map_sql()},
 ll AS (SELECT list(label ORDER BY idx) AS names FROM lm),
 mh AS (SELECT lr.id, lr.text, list_transform(ll.names, lambda n: CAST(list_contains(
-              list_filter(list_transform(string_split(coalesce(lr.labels, ''), ','), lambda x: trim(x)), lambda x: x <> ''), n) AS INTEGER)) AS vec
+              list_filter(list_transform(string_split(coalesce(lr.labels, ''), ','), lambda x: {_strip('x')}), lambda x: x <> ''), n) AS INTEGER)) AS vec
        FROM lr CROSS JOIN ll)"""
 
 

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 _WRITE_OPTS = {
     "header": "true",
@@ -30,10 +29,11 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def read_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """Read with an explicit all-string schema; NULL (empty field) becomes ``''``."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    df = spark.read.schema(schema).options(**_READ_OPTS).csv(path)
-    return df.select([F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns])
+    """The named columns as strings, found by the header, whatever its order; other columns
+    are left out, missing ones and empty fields are ``''``."""
+    raw = spark.read.options(**_READ_OPTS).csv(path)  # no type inference: every column is a string
+    named = {c: F.col(f"`{c}`") for c in raw.columns}
+    return raw.select([F.coalesce(named.get(c, F.lit(None).cast("string")), F.lit("")).alias(c) for c in columns])
 
 
 def label_export(pages: DataFrame) -> DataFrame:
@@ -49,6 +49,12 @@ def write_label_map(lmap: DataFrame, path: str) -> None:
     lmap.select("label", "idx").write.mode("overwrite").json(path)
 
 
+def read_label_map_object(spark: SparkSession, path: str) -> DataFrame:
+    """A label map stored as one JSON object ``{"label": idx, ...}``, as ``(label string, idx int)``."""
+    whole = spark.read.text(path, wholetext=True)
+    return whole.select(F.explode(F.from_json("value", "map<string,int>")).alias("label", "idx"))
+
+
 def read_label_map(spark: SparkSession, path: str) -> DataFrame:
     """The label map back as ``(label string, idx int)``."""
     return spark.read.schema("label string, idx int").json(path)

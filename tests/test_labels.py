@@ -91,3 +91,24 @@ def test_entropy_and_sampling(spark):
     assert e[3] is None
     top = A.sample_uncertain(df, "id", "p", top_k=2).collect()
     assert [r.id for r in top] == [1, 4]
+
+
+def test_white_space_of_every_kind_is_stripped(spark):
+    df = spark.createDataFrame([("a,\tb\n",), (" c , a",)], "labels string")
+    assert [r["label"] for r in L.label_map(df).orderBy("idx").collect()] == ["a", "b", "c"]
+    assert spark.range(1).select(L.decode_bin(F.lit("1,\t0 ")).alias("v")).first()["v"] == [1, 0]
+
+
+def test_csv_columns_are_found_by_the_header(spark, tmp_path):
+    from pagelake.sources import csvio
+
+    (tmp_path / "x.csv").write_text('text,extra,id\nhello,z,7\n"a, b",,8\n')
+    got = [tuple(r) for r in csvio.read_csv(spark, str(tmp_path / "x.csv"), ["id", "text", "labels"]).collect()]
+    assert got == [("7", "hello", ""), ("8", "a, b", "")]
+
+
+def test_a_label_map_as_one_object(spark, tmp_path):
+    from pagelake.sources import csvio
+
+    (tmp_path / "m.json").write_text('{\n  "b": 1,\n  "a": 0\n}')
+    assert {r["label"]: r["idx"] for r in csvio.read_label_map_object(spark, str(tmp_path / "m.json")).collect()} == {"a": 0, "b": 1}
