@@ -20,8 +20,6 @@ from . import ingest as I
 from . import langid
 from ..session import materialize
 
-NO_ATTEMPT = "no fetch attempt recorded"
-
 
 @dataclass
 class IngestResult:
@@ -68,7 +66,7 @@ def ingest(
         F.col("status_code"),
         F.length("text_excerpt"),
         F.col("lang"),
-        F.coalesce(F.col("error"), F.lit(NO_ATTEMPT)),
+        F.coalesce(F.col("error"), F.lit(I.NO_ATTEMPT)),
     )
     outcomes = j.select("seq", "url", "allowed", "ok", "error").join(
         pages_rows.select("seq", "status_code", "text_excerpt", "lang"), "seq", "left"

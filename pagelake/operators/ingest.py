@@ -18,17 +18,19 @@ table of already-parsed rules):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .indexing import broadcast_if_small, dense_positions
 
-# The crawler's user agent and configuration defaults.
-USER_AGENT = "WebClassifierBot/1.0 (+https://example.org/bot)"
+# Configuration defaults: the crawler's user agent, and fixed values.
+USER_AGENT = "PagelakeBot/1.0 (+https://example.org/bot)"
 FETCH_RETRIES = 2
 MAX_TEXT_SIZE = 200_000
 ALLOW_ROBOTS_FALLBACK = True
 
+NO_ATTEMPT = "no fetch attempt recorded"
+
 SCHEME_HOST_RE = r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)"
 PATH_RE = r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*(.*)$"
 
@@ -48,6 +50,16 @@ def url_path(url: Column) -> Column:
     return F.when(p == "", F.lit("/")).otherwise(p)
 
 
+def normal_path(path: Column) -> Column:
+    """A path with its percent-escapes decoded and written anew, so that all spellings of it compare equal.
+    What is no valid escape stays as it is."""
+    plain = F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
+    quoted = F.url_encode(plain)
+    for escape, char in (("+", "%20"), ("%2F", "/"), ("%7E", "~")):
+        quoted = F.replace(quoted, F.lit(escape), F.lit(char))
+    return quoted
+
+
 def robots_admission(
     urls: DataFrame,
     rules: DataFrame,
@@ -67,12 +79,15 @@ def robots_admission(
     """
     token = agent_token(user_agent)
     u = urls.select(F.col(key_col).alias("_key"), F.col(url_col).alias("_url")).withColumn("base", site_base(F.col("_url")))
-    u = u.withColumn("_path", url_path(F.col("_url")))
-    r = broadcast_if_small(rules.select("base", "robots_status", "agent", "group_seq", "rule_seq", "allow", "path_prefix"), max_broadcast_rules)
+    u = u.withColumn("_path", normal_path(url_path(F.col("_url"))))
+    whole = Window.partitionBy("base", "group_seq")
+    rules = rules.withColumn("_default", F.coalesce(F.max(F.col("agent") == "*").over(whole), F.lit(False)))
+    r = broadcast_if_small(rules.select("_default", "base", "robots_status", "agent", "group_seq", "rule_seq", "allow", "path_prefix"), max_broadcast_rules)
     j = u.join(r, "base", "left")
-    named = F.col("agent").isNotNull() & (F.col("agent") != "*") & (F.instr(F.lit(token), F.lower(F.col("agent"))) > 0)
+    named = ~F.col("_default") & F.col("agent").isNotNull() & (F.col("agent") != "*") & (F.instr(F.lit(token), F.lower(F.col("agent"))) > 0)
+    # a group that names "*" beside other agents is only the default
     star = F.col("agent") == "*"
-    matches = F.col("rule_seq").isNotNull() & ((F.col("path_prefix") == "*") | F.col("_path").startswith(F.col("path_prefix")))
+    matches = F.col("rule_seq").isNotNull() & ((F.col("path_prefix") == "*") | F.col("_path").startswith(normal_path(F.col("path_prefix"))))
     # an empty Disallow allows everything
     allow_val = F.col("allow") | (F.col("path_prefix") == "")
     rule_struct = F.struct(F.col("group_seq").alias("g"), F.col("rule_seq").alias("r"), allow_val.alias("a"))

@@ -18,19 +18,22 @@ LABEL_NAMES = ("quality", "toxic")
 def label_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(id, text, labels)``: every document; ``labels`` is the comma list of the
     flags that are 1 (``''`` when none or when the document has no label row).
-    Even ids use ``', '`` between labels, odd ids ``','``."""
+    Even ids use ``', '`` between labels, odd ids ``','``; where the id is divisible by 3 a tab and a
+    non-breaking space follow the comma, and a newline the last label."""
     d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     lab = read_table(spark, sf_dir, "labels")
     j = d.join(lab, "doc_id", "left")
-    sep = F.when(F.col("doc_id") % 2 == 0, F.lit(", ")).otherwise(F.lit(","))
+    sep = F.when(F.col("doc_id") % 3 == 0, F.lit(",\t\u00a0")).when(F.col("doc_id") % 2 == 0, F.lit(", ")).otherwise(F.lit(","))
+    end = F.when((F.col("doc_id") % 3 == 0) & (F.size("_parts") > 0), F.lit("\n")).otherwise(F.lit(""))
     parts = F.array_compact(F.array(*[F.when(F.col(n) == 1, F.lit(n)) for n in LABEL_NAMES]))
-    return j.select(F.col("doc_id").alias("id"), "text", parts.alias("_parts"), sep.alias("_sep")).select(
-        "id", "text", F.expr("array_join(_parts, _sep)").alias("labels")
+    return j.select(F.col("doc_id").alias("id"), "text", parts.alias("_parts"), sep.alias("_sep"), "doc_id").select(
+        "id", "text", F.concat(F.expr("array_join(_parts, _sep)"), end).alias("labels")
     )
 
 
 LABEL_ROWS_SQL = """
-SELECT id, text, CASE WHEN id % 2 = 0 THEN array_to_string(parts, ', ') ELSE array_to_string(parts, ',') END AS labels
+SELECT id, text, CASE WHEN id % 3 = 0 THEN array_to_string(parts, ',' || chr(9) || chr(160)) || CASE WHEN len(parts) > 0 THEN chr(10) ELSE '' END
+            WHEN id % 2 = 0 THEN array_to_string(parts, ', ') ELSE array_to_string(parts, ',') END AS labels
 FROM (SELECT d.doc_id AS id, d.text,
              list_filter([CASE WHEN l.quality = 1 THEN 'quality' END, CASE WHEN l.toxic = 1 THEN 'toxic' END],
                          lambda x: x IS NOT NULL) AS parts
@@ -75,8 +78,8 @@ LOGITS_SQL = "SELECT vec_id, list_transform((embedding::DOUBLE[])[1:3], lambda x
 ROBOTS_CLASSES = 7
 # (class, robots_status, agent, group_seq, rule_seq, allow, path_prefix); class = length(scheme://host) % 7
 ROBOTS_TEMPLATE = [
-    (0, 200, "WebClassifier", 1, 1, True, "/fr/"),
-    (0, 200, "WebClassifier", 1, 2, False, "/"),
+    (0, 200, "PagelakeBot", 1, 1, True, "/fr/"),
+    (0, 200, "PagelakeBot", 1, 2, False, "/"),
     (0, 200, "*", 2, 1, False, "/"),
     (1, 200, "*", 1, 1, False, "/en/"),
     (1, 200, "*", 1, 2, True, "/en/1"),
@@ -125,10 +128,10 @@ DNS_ERROR = "net::ERR_NAME_NOT_RESOLVED"
 
 
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fetch-attempt log: every page x attempts 1..4; attempt fails when
+    """Fetch-attempt log: every page x attempts 1..4, but none for ``page_id % 11 = 4``; attempt fails when
     ``(page_id + attempt) % 3 = 0``; every attempt fails for ``page_id % 10 = 9``;
     a successful page answers 404 when ``page_id % 7 = 0``, else 200."""
-    p = read_table(spark, sf_dir, "pages")
+    p = read_table(spark, sf_dir, "pages").where(F.col("page_id") % 11 != 4)
     a = p.select("page_id", "url", "html", F.explode(F.sequence(F.lit(1), F.lit(4))).alias("attempt"))
     err = F.when(F.col("page_id") % 10 == 9, F.lit(DNS_ERROR)).when((F.col("page_id") + F.col("attempt")) % 3 == 0, F.lit(TIMEOUT_ERROR))
     a = a.withColumn("error", err)
@@ -143,7 +146,7 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ATTEMPTS_SQL = f"""
-a0 AS (SELECT page_id, url, html, unnest(generate_series(1, 4)) AS attempt FROM pages),
+a0 AS (SELECT page_id, url, html, unnest(generate_series(1, 4)) AS attempt FROM pages WHERE page_id % 11 <> 4),
 a1 AS (SELECT *, CASE WHEN page_id % 10 = 9 THEN '{DNS_ERROR}'
                       WHEN (page_id + attempt) % 3 = 0 THEN '{TIMEOUT_ERROR}' END AS error FROM a0),
 attempts AS (SELECT page_id, url, attempt,
@@ -174,10 +177,10 @@ def stored_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def incoming_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An upsert batch ``(seq, url, status_code, title, lang, text_excerpt, html_path)``:
-    pages with ``page_id % 2 = 0``; those with ``page_id % 4 = 0`` are written a
+    pages with ``page_id % 2 = 0`` and those not stored; those with ``page_id % 4 = 0`` are written a
     second time later (304, NULL title and excerpt: NULLs overwrite); plus one
     row without URL."""
-    p = read_table(spark, sf_dir, "pages").where(F.col("page_id") % 2 == 0)
+    p = read_table(spark, sf_dir, "pages").where((F.col("page_id") % 2 == 0) | (F.col("page_id") % 3 == 0))
     path = F.concat(F.lit("raw/"), F.sha2(F.encode("html", "UTF-8"), 256), F.lit(".html"))
     first = p.select(
         (F.col("page_id") * 2).alias("seq"),
@@ -211,7 +214,7 @@ stored AS (SELECT page_id AS id, url, 200 AS status_code, 'stored title ' || pag
            FROM pages WHERE page_id % 3 <> 0),
 inc1 AS (SELECT page_id * 2 AS seq, url, 200 AS status_code, 'title ' || page_id AS title, CAST(NULL AS VARCHAR) AS lang,
                 'excerpt ' || url AS text_excerpt, 'raw/' || sha256(html) || '.html' AS html_path
-         FROM pages WHERE page_id % 2 = 0),
+         FROM pages WHERE page_id % 2 = 0 OR page_id % 3 = 0),
 incoming AS (SELECT * FROM inc1
              UNION ALL
              SELECT page_id * 2 + 1, url, 304, NULL, 'en', NULL, 'raw/' || sha256(html) || '.html'

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import ingest as I
+from ..operators.ingest import NO_ATTEMPT
 from ..operators.extract import raw_digest
 from ..session import read_table, scratch_path
 from ..sources import pagestore, urls
@@ -72,27 +73,28 @@ WITH {admission_sql()}, {X.ATTEMPTS_SQL},
 w AS (SELECT * FROM attempts WHERE attempt <= {I.FETCH_RETRIES + 1}
       QUALIFY row_number() OVER (PARTITION BY url ORDER BY CASE WHEN error IS NULL THEN attempt ELSE 1000000 - attempt END) = 1)
 SELECT adm.seq, adm.url,
-       CASE WHEN NOT adm.allowed THEN 'blocked_by_robots' WHEN w.error IS NULL THEN 'ok' ELSE 'error' END AS status,
+       CASE WHEN NOT adm.allowed THEN 'blocked_by_robots' WHEN w.url IS NOT NULL AND w.error IS NULL THEN 'ok' ELSE 'error' END AS status,
        CASE WHEN adm.allowed AND w.error IS NULL THEN w.status_code END AS status_code,
        CASE WHEN adm.allowed THEN w.attempt END AS attempt,
-       CASE WHEN adm.allowed THEN w.error END AS error,
+       CASE WHEN adm.allowed AND w.url IS NULL THEN 'no fetch attempt recorded' WHEN adm.allowed THEN w.error END AS error,
        CASE WHEN adm.allowed AND w.error IS NULL THEN sha256(w.html) END AS digest
-FROM adm JOIN w ON adm.url = w.url
+FROM adm LEFT JOIN w ON adm.url = w.url
 """,
 )
 def fetch_outcomes(spark, sf_dir):
     """I2 + I3: admission, then the first successful attempt (of 3) or the last error."""
     adm = _admission(spark, sf_dir)
     res = I.resolve_attempts(X.attempts(spark, sf_dir).drop("page_id"), "url")
-    j = adm.join(res, "url")
-    ok = F.col("allowed") & F.col("ok")
+    j = adm.join(res, "url", "left")  # a blocked URL has no attempt, by nature
+    tried = F.coalesce(F.col("ok"), F.lit(False))
+    ok = F.col("allowed") & tried
     return j.select(
         "seq",
         "url",
-        F.when(~F.col("allowed"), F.lit("blocked_by_robots")).when(F.col("ok"), F.lit("ok")).otherwise(F.lit("error")).alias("status"),
+        F.when(~F.col("allowed"), F.lit("blocked_by_robots")).when(tried, F.lit("ok")).otherwise(F.lit("error")).alias("status"),
         F.when(ok, F.col("status_code")).alias("status_code"),
         F.when(F.col("allowed"), F.col("attempt")).alias("attempt"),
-        F.when(F.col("allowed"), F.col("error")).alias("error"),
+        F.when(F.col("allowed") & ~tried, F.coalesce("error", F.lit(NO_ATTEMPT))).alias("error"),
         F.when(ok, raw_digest("html")).alias("digest"),
     )
 

@@ -69,6 +69,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         # (``spark.checkpoint.dir`` is a static setting: it cannot be set on a
         # running session, so the folder is registered with the context only)
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and every executor can reach")
         d = tempfile.mkdtemp(prefix="pagelake-ckpt-")
     if not sc.getCheckpointDir():
         # DataFrame.checkpoint() needs the folder registered with the context
@@ -93,6 +95,12 @@ def materialize(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _is_scan(df: DataFrame) -> bool:
+    """Whether the plan only reads, filters and projects (judged from the optimised plan, without running it)."""
+    nodes = [line.lstrip("+-: ") for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines()]
+    return all(n.startswith(("Project", "Filter", "Relation", "LogicalRDD", "LocalRelation")) for n in nodes if n)
+
+
 def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     """Spread CPU-heavy per-row work over the cluster.
 
@@ -101,8 +109,12 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     to the default parallelism; a large scan that already has enough splits
     is left alone, so no shuffle is added at scale. ``key`` must be unique
     per row (an id); without one the rows are dealt round-robin, so copies of
-    one value never pile up in one task.
+    one value never pile up in one task. Only for scans: a plan with a shuffle
+    in it has its own partitioning, and asking for its number of partitions
+    would run it, so such a plan is returned as it is.
     """
+    if not _is_scan(df):
+        return df
     target = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df

@@ -16,8 +16,8 @@ def test_robots_admission(spark):
     rules = spark.createDataFrame(
         [
             # specific group first; first matching rule wins (not the longest)
-            ("https://a.org", 200, "WebClassifier", 1, 1, False, "/private"),
-            ("https://a.org", 200, "WebClassifier", 1, 2, True, "/private/open"),
+            ("https://a.org", 200, "PagelakeBot", 1, 1, False, "/private"),
+            ("https://a.org", 200, "PagelakeBot", 1, 2, True, "/private/open"),
             ("https://a.org", 200, "*", 2, 1, False, "/"),
             # only '*' applies; an empty Disallow allows
             ("https://b.org", 200, "otherbot", 1, 1, False, "/"),
@@ -27,7 +27,7 @@ def test_robots_admission(spark):
             ("https://e.org", 503, None, None, None, None, None),
             ("https://f.org", None, None, None, None, None, None),
             # a specific group that has no matching rule still decides: allowed
-            ("https://g.org", 200, "webclassifierbot", 1, 1, False, "/x"),
+            ("https://g.org", 200, "pagelakebot", 1, 1, False, "/x"),
             ("https://g.org", 200, "*", 2, 1, False, "/"),
         ],
         RULES_SCHEMA,
@@ -146,3 +146,26 @@ def test_page_snapshot_roundtrip(spark):
     assert back.count() == 2
     with pytest.raises(Exception):
         pagestore.write_snapshot(_stored(spark), path)  # never overwrite a snapshot
+
+
+def test_robots_paths_in_any_spelling(spark):
+    """The standard library's parser, told the same rules, decides alike."""
+    from urllib.robotparser import RobotFileParser
+
+    prefixes = ["/a%20b", "/caf%C3%A9", "/x y", "/q?a=1", "/100%", "/plus+sign", "/tilde~"]
+    parser = RobotFileParser()
+    parser.parse(["User-agent: *", *(f"Disallow: {p}" for p in prefixes)])
+    paths = ["/a b/x", "/a%20b/x", "/café/x", "/caf%c3%a9/x", "/x%20y", "/q?a=1", "/q?a=2", "/100%25", "/plus+sign", "/tilde%7E", "/free"]
+    rules = spark.createDataFrame([("https://h.org", 200, "*", 1, i, False, p) for i, p in enumerate(prefixes)], RULES_SCHEMA)
+    urls_df = spark.createDataFrame([(i, "https://h.org" + p) for i, p in enumerate(paths)], "seq long, url string")
+    got = {r["seq"]: r["allowed"] for r in I.robots_admission(urls_df, rules).collect()}
+    assert got == {i: parser.can_fetch("PagelakeBot", "https://h.org" + p) for i, p in enumerate(paths)}
+
+
+def test_a_group_of_star_and_an_agent_is_the_default_only(spark):
+    rules = spark.createDataFrame(
+        [("https://h.org", 200, "*", 1, 1, False, "/"), ("https://h.org", 200, "PagelakeBot", 1, 1, False, "/"), ("https://h.org", 200, "pagelake", 2, 1, True, "/")],
+        RULES_SCHEMA,
+    )
+    urls_df = spark.createDataFrame([(1, "https://h.org/x")], "seq long, url string")
+    assert I.robots_admission(urls_df, rules).first()["allowed"]
