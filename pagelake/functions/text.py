@@ -6,8 +6,14 @@ oracle) read them alike: explicit code-point classes instead of ``\\s``/``\\w``.
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
+import pandas as pd
+import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The characters Python's str.isspace() accepts (strip()/split() semantics).
 WS = r"\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
@@ -87,7 +93,7 @@ LEAD_CHARS = 200
 
 
 def lead_summary(chunk) -> Column:
-    """T4 default backend (the original's fallback): first 200 characters stripped plus
+    """What stands in for a chunk's summary when a model fails on it: first 200 characters stripped plus
     ``...`` when the chunk is longer than 200 characters, else the stripped chunk."""
     c = _c(chunk)
     return F.when(F.length(c) > LEAD_CHARS, F.concat(py_strip(F.substring(c, 1, LEAD_CHARS)), F.lit("..."))).otherwise(
@@ -95,9 +101,37 @@ def lead_summary(chunk) -> Column:
     )
 
 
-def merge_summaries(summaries) -> Column:
-    """T5 default backend: the first three chunk summaries joined by a space, stripped."""
-    return py_strip(F.array_join(F.slice(_c(summaries), 1, 3), " "))
+SUMMARY_SENTENCES = 3
+SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")
+TOKEN = regex.compile(r"[\p{L}\p{N}_]+")
+_STOP = frozenset(STOP_WORDS)
+
+
+def extract_summary(text: str | None, sentences: int = SUMMARY_SENTENCES) -> str:
+    """The sentences of the whole text whose keyword tokens are the most frequent in it, in text order.
+
+    A sentence scores the mean frequency of its keyword tokens (none: 0); ties go to the earlier one. A text
+    without a sentence is its own summary, stripped.
+    """
+    text = text or ""
+    found = [s for s in map(str.strip, SENTENCE.findall(text)) if s]
+    tokens = [[t for t in TOKEN.findall(s.lower()) if len(t) >= KEYWORD_MIN_LEN and t not in _STOP] for s in found]
+    n = Counter(t for ts in tokens for t in ts)
+    score = [sum(n[t] for t in ts) / len(ts) if ts else 0.0 for ts in tokens]
+    best = sorted(sorted(range(len(found)), key=lambda i: (-score[i], i))[:sentences])
+    return " ".join(found[i] for i in best) if best else text.strip()
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def chunk_extracts(chunks: pd.Series) -> pd.Series:
+    """T4 default backend: the extractive summary of every chunk of a row (a whole text in Arrow batches, no shuffle)."""
+    return chunks.map(lambda cs: [extract_summary(c) for c in cs])
+
+
+@F.pandas_udf(T.StringType())
+def text_extract(texts: pd.Series) -> pd.Series:
+    """T5 default backend: the extractive summary of all chunk summaries together."""
+    return texts.map(extract_summary)
 
 
 def joined_summaries(summaries) -> Column:

@@ -1,7 +1,7 @@
 """Enrichment job (T7): pending pages -> summary record -> vector -> written back.
 
-Plan: the queue selection (F1) and the summary with its keywords (T6) are
-per-row expressions, no shuffle; the vector is a per-row expression with the
+Plan: the queue selection (F1) and the summary with its keywords (T6) work
+inside each row, no shuffle; the vector is a per-row expression with the
 fitted IDF inlined; the write-back is one join of the
 page table with the updates on ``id`` (AQE broadcasts the updates when a
 run's batch is small; otherwise a shuffle join).
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import chunk_array, lead_summary
+from ..functions.text import py_strip
 from ..session import spread
 from . import embed as V
 from .ingest import pending
@@ -47,10 +47,8 @@ def enrich(
         encoder = V.fit_encoder(pages.select("text_excerpt"), "text_excerpt")
     todo = pending(pages, limit, skip_empty_first).select("id", "text_excerpt")
     if summarizer is None:
-        # the merged lead summary is empty only when the first three chunk leads
-        # are blank: only those rows carry their text past the shuffle
-        heads = F.slice(chunk_array("text_excerpt", max_chars, overlap), 1, 3)
-        blank = (F.size(heads) > 0) & F.forall(heads, lambda c: lead_summary(c["chunk"]) == "")
+        # the summary is empty only when the text is blank: only those rows carry their text along
+        blank = py_strip("text_excerpt") == ""
         todo = todo.withColumn("_fallback", F.when(blank, F.col("text_excerpt")))
     else:
         todo = todo.withColumn("_fallback", F.col("text_excerpt"))

@@ -35,12 +35,13 @@ def ingest(
     stored: DataFrame,
     profile: langid.LangProfile,
     raw_dir: str = "raw",
-    max_text: int = I.MAX_TEXT_SIZE,
+    max_text: int | None = None,
     retries: int = I.FETCH_RETRIES,
     now: Column | None = None,
 ) -> IngestResult:
     """``urls``: ``(seq, url)``; ``rules``: parsed robots rules; ``attempts``:
-    ``(url, attempt, status_code, html, error)``; ``stored``: the page table."""
+    ``(url, attempt, status_code, html, error)``; ``stored``: the page table. ``max_text`` cuts the
+    text (F4) for a caller who asks for it, for example ``ingest.MAX_TEXT_SIZE``."""
     adm = I.robots_admission(urls, rules, "url", "seq")
     res = I.resolve_attempts(attempts, "url", retries)
     j = adm.join(res, "url", "left")
@@ -56,7 +57,7 @@ def ingest(
         "status_code",
         "title",
         "lang",
-        F.coalesce(F.substring("text", 1, max_text), F.lit("")).alias("text_excerpt"),
+        F.coalesce(F.col("text") if max_text is None else F.substring("text", 1, max_text), F.lit("")).alias("text_excerpt"),
         F.concat(F.lit(raw_dir.rstrip("/") + "/"), X.raw_digest("html"), F.lit(".html")).alias("html_path"),
     )
     upserted = I.upsert_pages(stored, pages_rows, now)

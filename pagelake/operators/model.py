@@ -5,8 +5,8 @@ here the same contract (independent per-label probability, threshold 0.5) is
 binary relevance: one ``LogisticRegression`` per label over shared sparse
 features. Weight decay maps to ``regParam``.
 
-Features: ``RegexTokenizer`` (letters, digits, ``_``), first ``max_tokens``
-tokens (the reference truncates to 256), ``HashingTF`` and ``IDF``. The
+Features: ``RegexTokenizer`` (letters, digits, ``_``), ``HashingTF`` and ``IDF`` over
+the whole text (``max_tokens`` cuts it for a caller who asks). The
 features of the training rows are computed once and written to the shared
 checkpoint folder before the per-label fits, so every fit (and every
 executor retry) reads them instead of re-tokenising the texts.
@@ -16,23 +16,24 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer, SQLTransformer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .metrics import flattened_f1
 
-MAX_TOKENS = 256
 NUM_FEATURES = 1 << 12
 
 
-def feature_pipeline(text_col: str = "text", max_tokens: int = MAX_TOKENS, num_features: int = NUM_FEATURES) -> Pipeline:
-    """Text -> sparse TF-IDF ``features`` (truncated to ``max_tokens`` tokens)."""
+def feature_pipeline(text_col: str = "text", max_tokens: int | None = None, num_features: int = NUM_FEATURES) -> Pipeline:
+    """Text -> sparse TF-IDF ``features`` (of the first ``max_tokens`` tokens, if given)."""
     tok = RegexTokenizer(inputCol=text_col, outputCol="_tokens_all", pattern=r"[^\p{L}\p{N}_]+", gaps=True, toLowercase=True)
-    cut = SQLTransformer(statement=f"SELECT *, slice(_tokens_all, 1, {int(max_tokens)}) AS _tokens FROM __THIS__")
+    tokens = "_tokens_all" if max_tokens is None else f"slice(_tokens_all, 1, {int(max_tokens)})"
+    cut = SQLTransformer(statement=f"SELECT *, {tokens} AS _tokens FROM __THIS__")
     tf = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=num_features)
     idf = IDF(inputCol="_tf", outputCol="features")
     return Pipeline(stages=[tok, cut, tf, idf])
@@ -45,7 +46,7 @@ def _prob_col(label: str) -> str:
 @dataclass
 class MultiLabelModel:
     features: PipelineModel
-    per_label: list[tuple[str, Transformer]]
+    per_label: list[tuple[str, LogisticRegressionModel | float]]  # a number: the constant probability of a label with one class
 
     @property
     def labels(self) -> list[str]:
@@ -53,16 +54,42 @@ class MultiLabelModel:
 
     def predict_proba(self, df: DataFrame) -> DataFrame:
         """Adds ``p_<label>`` (probability of the label) for every label, and
-        ``probs`` (``array<double>`` in label-index order)."""
+        ``probs`` (``array<double>`` in label-index order). Columns on the way are
+        numbered, so a label may have any name."""
         out = self.features.transform(df)
-        for lab, m in self.per_label:
-            out = m.transform(out).withColumn(_prob_col(lab), vector_to_array(F.col(f"_prob_{lab}"))[1])
-            out = out.drop(f"_raw_{lab}", f"_prob_{lab}", f"_pred_{lab}")
-        out = out.withColumn("probs", F.array(*[F.col(_prob_col(lab)) for lab in self.labels]))
-        return out.drop("_tokens_all", "_tokens", "_tf", "features")
+        probs = []
+        for i, (_, m) in enumerate(self.per_label):
+            if isinstance(m, float):  # a label with one class in training
+                probs.append(F.lit(m))
+                continue
+            out = m.transform(out).withColumn(f"_p{i}", vector_to_array(F.col(f"_prob_{i}"))[1]).drop(f"_raw_{i}", f"_prob_{i}", f"_pred_{i}")
+            probs.append(F.col(f"_p{i}"))
+        out = out.withColumn("probs", F.array(*probs)).drop(*[f"_p{i}" for i in range(len(probs))], "_tokens_all", "_tokens", "_tf", "features")
+        return out.select("*", *[F.col("probs")[i].alias(_prob_col(lab)) for i, lab in enumerate(self.labels)])
 
     def save(self, path: str) -> None:
-        PipelineModel(stages=[self.features, *[m for _, m in self.per_label]]).write().overwrite().save(path)
+        """The feature stages, one model per label, and the label map beside them."""
+        path = path.rstrip("/")
+        self.features.write().overwrite().save(f"{path}/features")
+        rows = [(lab, i, m if isinstance(m, float) else None) for i, (lab, m) in enumerate(self.per_label)]
+        spark = SparkSession.active()
+        spark.createDataFrame(rows, LABEL_FILE).coalesce(1).write.mode("overwrite").json(f"{path}/labels")
+        for i, (_, m) in enumerate(self.per_label):
+            if not isinstance(m, float):
+                m.write().overwrite().save(f"{path}/label-{i}")
+
+
+LABEL_FILE = "label string, idx int, constant double"
+
+
+def load_model(spark: SparkSession, path: str) -> MultiLabelModel:
+    """A saved model, with its labels in index order."""
+    path = path.rstrip("/")
+    rows = sorted(spark.read.schema(LABEL_FILE).json(f"{path}/labels").collect(), key=lambda r: r["idx"])
+    models = [
+        (r["label"], r["constant"] if r["constant"] is not None else LogisticRegressionModel.load(f"{path}/label-{r['idx']}")) for r in rows
+    ]
+    return MultiLabelModel(PipelineModel.load(f"{path}/features"), models)
 
 
 @dataclass
@@ -79,7 +106,7 @@ def prepare(
     labels: list[str],
     target_col: str = "vec",
     text_col: str = "text",
-    max_tokens: int = MAX_TOKENS,
+    max_tokens: int | None = None,
     num_features: int = NUM_FEATURES,
 ) -> Features:
     """L5 on the training rows: fit the features, then materialise them with the
@@ -115,7 +142,7 @@ def fit(features: Features, reg_param: float = 0.01, max_iter: int = 20, paralle
         lo, hi = lo_hi[f"c{i}"][0], lo_hi[f"c{i}"][1]
         if lo is None or lo == hi:
             # a label with one class only: a constant model (the fit would be degenerate)
-            return (lab, _ConstantProb(hi or 0.0, lab))
+            return (lab, float(hi or 0.0))
         lr = LogisticRegression(
             featuresCol="features",
             labelCol=y,
@@ -123,9 +150,9 @@ def fit(features: Features, reg_param: float = 0.01, max_iter: int = 20, paralle
             elasticNetParam=0.0,
             maxIter=max_iter,
             family="binomial",
-            rawPredictionCol=f"_raw_{lab}",
-            probabilityCol=f"_prob_{lab}",
-            predictionCol=f"_pred_{lab}",
+            rawPredictionCol=f"_raw_{i}",
+            probabilityCol=f"_prob_{i}",
+            predictionCol=f"_pred_{i}",
         )
         return (lab, lr.fit(x))
 
@@ -139,7 +166,7 @@ def train(
     text_col: str = "text",
     reg_param: float = 0.01,
     max_iter: int = 20,
-    max_tokens: int = MAX_TOKENS,
+    max_tokens: int | None = None,
     num_features: int = NUM_FEATURES,
 ) -> MultiLabelModel:
     """L5 + L6: features fitted on the training texts, then one logistic
@@ -147,15 +174,22 @@ def train(
     return fit(prepare(train_df, labels, target_col, text_col, max_tokens, num_features), reg_param, max_iter)
 
 
-class _ConstantProb(Transformer):
-    """Probability column of a label that has a single class in training."""
-
-    def __init__(self, p: float, label: str):
-        super().__init__()
-        self.p, self.label = float(p), label
-
-    def _transform(self, dataset: DataFrame) -> DataFrame:
-        from pyspark.ml.functions import array_to_vector
-
-        vec = array_to_vector(F.array(F.lit(1.0 - self.p), F.lit(self.p)))
-        return dataset.withColumn(f"_prob_{self.label}", vec)
+def f1_scores(model: MultiLabelModel, rows: DataFrame, threshold: float = 0.5, target_col: str = "vec") -> DataFrame:
+    """L7 for a model on labelled rows: the flattened F1 over all labels."""
+    n = range(len(model.labels))
+    p = model.predict_proba(rows).select(*[F.col(target_col)[i].alias(f"y{i}") for i in n], *[F.col("probs")[i].alias(f"p{i}") for i in n])
+    return flattened_f1(p, [f"y{i}" for i in n], [f"p{i}" for i in n], threshold)
+
+
+def select_model(features: Features, val: DataFrame, grid: list[tuple[float, int]], threshold: float = 0.5) -> tuple[MultiLabelModel, list[dict]]:
+    """A model for each (reg_param, max_iter) of the grid, scored on ``val``: the one with the highest micro F1
+    (ties: the first), and a row for every grid point."""
+    spark = val.sparkSession
+    models = parallel_map(lambda g: fit(features, reg_param=g[0], max_iter=g[1]), grid, len(grid), spark)
+    scores = parallel_map(lambda m: f1_scores(m, val, threshold).first(), models, len(models), spark)
+    best = max(range(len(grid)), key=lambda i: (scores[i]["f1_micro"] or 0.0, -i))
+    rows = [
+        {"grid_idx": i, "reg_param": reg, "max_iter": it, "f1_micro": s["f1_micro"], "f1_macro": s["f1_macro"], "chosen": i == best}
+        for i, ((reg, it), s) in enumerate(zip(grid, scores, strict=True))
+    ]
+    return models[best], rows

@@ -12,13 +12,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import spread
+from ..session import ship_code, spread
 from ..functions.text import (
     chunk_array,
+    chunk_extracts,
+    extract_summary,
     joined_summaries,
     keyword_tokens,
     lead_summary,
-    merge_summaries,
+    text_extract,
 )
 
 
@@ -88,8 +90,11 @@ def keywords_array(df: DataFrame, id_col: str, text_col: str, top_k: int, repart
 
 
 def chunk_summaries(df: DataFrame, id_col: str, text_col: str, max_chars: int = 4000, overlap: int = 200) -> DataFrame:
-    """T4: lead summary per chunk (``id, chunk_idx, summary``)."""
-    return chunks(df, id_col, text_col, max_chars, overlap).select(id_col, "chunk_idx", lead_summary("chunk").alias("summary"))
+    """T4: extractive summary per chunk (``id, chunk_idx, summary``)."""
+    ship_code(df.sparkSession)
+    arr = F.transform(chunk_array(text_col, max_chars, overlap), lambda c: c["chunk"])
+    s = spread(df.select(id_col, text_col), id_col).select(id_col, chunk_extracts(arr).alias("_s"))
+    return s.select(id_col, F.posexplode("_s").alias("chunk_idx", "summary"))
 
 
 def summarize(
@@ -104,8 +109,8 @@ def summarize(
 ) -> DataFrame:
     """``id, final_summary, chunk_summaries, keywords, num_chunks``.
 
-    Default backend: lead summaries per chunk and the merge fallback, all
-    per-row expressions. ``summarizer`` (optional) is a model slot: a function
+    Default backend: extractive summaries of each whole chunk, and of all chunk
+    summaries together, in Arrow batches without a shuffle. ``summarizer`` (optional) is a model slot: a function
     ``pandas.Series[str] -> pandas.Series[str]`` applied with ``mapInPandas``
     to the chunk rows and to the joined summaries (one model load per worker).
     Keywords come from the chunk summaries joined by a blank line. Empty or
@@ -116,15 +121,10 @@ def summarize(
     arr = chunk_array(text_col, max_chars, overlap)
     df = spread(df.select(id_col, text_col, *[c for c in keep if c != text_col]), id_col)
     if summarizer is None:
-        base = df.select(id_col, *keep, F.transform(arr, lambda s: lead_summary(s["chunk"])).alias("chunk_summaries"))
-        base = base.select(
-            id_col,
-            *keep,
-            "chunk_summaries",
-            merge_summaries("chunk_summaries").alias("final_summary"),
-            joined_summaries("chunk_summaries").alias("_joined"),
-            F.size("chunk_summaries").alias("num_chunks"),
-        )
+        ship_code(df.sparkSession)
+        base = df.select(id_col, *keep, chunk_extracts(F.transform(arr, lambda s: s["chunk"])).alias("chunk_summaries"))
+        base = base.select(id_col, *keep, "chunk_summaries", joined_summaries("chunk_summaries").alias("_joined"))
+        base = base.select("*", text_extract("_joined").alias("final_summary"), F.size("chunk_summaries").alias("num_chunks"))
     else:
         base = _model_summaries(df, id_col, arr, summarizer)
         if keep:
@@ -159,6 +159,7 @@ def _call_per_batch_then_row(model, texts: pd.Series) -> list:
 def _model_summaries(df: DataFrame, id_col: str, arr, summarizer) -> DataFrame:
     """Model slot for T4/T5: the summariser runs in Arrow batches over chunk rows.
 
+    A document's chunk summaries then meet in one row, as its record asks for.
     A failing call falls back to the lead summary for that chunk, as the original does.
     """
     rows = df.select(id_col, F.inline(arr)).select(id_col, "chunk_idx", "chunk", lead_summary("chunk").alias("lead"))
@@ -182,7 +183,7 @@ def _model_summaries(df: DataFrame, id_col: str, arr, summarizer) -> DataFrame:
 
     def merge(it):
         for pdf in it:
-            fallback = [" ".join(s[:3]).strip() for s in pdf["chunk_summaries"]]
+            fallback = [extract_summary(t) for t in pdf["_joined"]]
             outs = _call_per_batch_then_row(summarizer, pdf["_joined"])
             pdf["final_summary"] = [o.strip() if isinstance(o, str) else f for o, f in zip(outs, fallback)]
             yield pdf

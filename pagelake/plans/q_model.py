@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import active as A
 from ..operators import labels as L
 from ..operators import model as M
-from ..operators.metrics import flattened_f1
 from ..session import materialize, spread
 from . import fixtures as X
 from .q_labels import SEED, TEST_SIZE
@@ -29,7 +27,7 @@ def _labelled(spark, sf_dir):
 
 @register("featurize")
 def featurize(spark, sf_dir):
-    """TF-IDF features of every document from its first 256 tokens."""
+    """TF-IDF features of every whole document."""
     docs = spread(X.label_rows(spark, sf_dir).select("id", "text"), "id")
     fm = M.feature_pipeline("text").fit(docs)
     f = fm.transform(docs)
@@ -40,12 +38,6 @@ def featurize(spark, sf_dir):
     )
 
 
-def _evaluate(model, val, names):
-    p = model.predict_proba(val)
-    cells = p.select(*[F.col("vec")[i].alias(f"y_{n}") for i, n in enumerate(names)], *[f"p_{n}" for n in names])
-    return flattened_f1(cells, [f"y_{n}" for n in names], [f"p_{n}" for n in names], THRESHOLD)
-
-
 @register("train_predict")
 def train_predict(spark, sf_dir):
     """L6 + L9: train on the training split, predict the validation split:
@@ -70,19 +62,9 @@ def model_selection(spark, sf_dir):
     split, names = _labelled(spark, sf_dir)
     train_df, val = split.where("split = 'train'"), split.where("split = 'val'")
     feats = M.prepare(train_df, names)  # features computed once for the whole grid
-    # grid points are independent fits: run them side by side
-    models = M.parallel_map(lambda g: M.fit(feats, reg_param=g[0], max_iter=g[1]), GRID, len(GRID), spark)
-    rows = None
-    for i, ((reg, it), model) in enumerate(zip(GRID, models)):
-        m = _evaluate(model, val, names)
-        r = m.select(F.lit(i).alias("grid_idx"), F.lit(reg).alias("reg_param"), F.lit(it).alias("max_iter"), "f1_micro", "f1_macro")
-        rows = r if rows is None else rows.unionByName(r)
-    # one row per grid point: a window over the whole (tiny) grid
-    order = Window.orderBy(F.col("f1_micro").desc(), F.col("grid_idx").asc())
-    return rows.select(
-        "grid_idx", "reg_param", "max_iter", F.round("f1_micro", 6).alias("f1_micro"), F.round("f1_macro", 6).alias("f1_macro"),
-        (F.row_number().over(order) == 1).alias("chosen"),
-    )
+    _, rows = M.select_model(feats, val, GRID, THRESHOLD)
+    out = spark.createDataFrame(rows, "grid_idx int, reg_param double, max_iter int, f1_micro double, f1_macro double, chosen boolean")
+    return out.select("grid_idx", "reg_param", "max_iter", F.round("f1_micro", 6).alias("f1_micro"), F.round("f1_macro", 6).alias("f1_macro"), "chosen")
 
 
 @register("active_sample")

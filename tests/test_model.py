@@ -38,3 +38,22 @@ def test_single_class_label_gives_constant_probability(spark):
     model = M.train(df, ["sport", "never"], max_iter=10)
     ps = {r.p_never for r in model.predict_proba(df).collect()}
     assert ps == {0.0}
+
+
+def test_save_and_load_with_any_label_name_and_a_constant_label(spark, tmp_path):
+    rows = [(i, "good words here" if i % 2 else "bad things there", [i % 2, 1]) for i in range(20)]
+    df = spark.createDataFrame(rows, "id long, text string, vec array<int>")
+    model, table = M.select_model(M.prepare(df, ["sci.space", "always"]), df, [(0.1, 5), (0.01, 5)])
+    assert [r["chosen"] for r in table].count(True) == 1 and model.labels == ["sci.space", "always"]
+    model.save(str(tmp_path / "m"))
+    back = M.load_model(spark, str(tmp_path / "m"))
+    assert back.labels == model.labels
+    a, b = (m.predict_proba(df).orderBy("id").collect() for m in (model, back))
+    assert [r["probs"] for r in a] == [r["probs"] for r in b] and all(r["p_always"] == 1.0 for r in a)
+    assert all((r["p_sci.space"] > 0.5) == (r["id"] % 2 == 1) for r in a)
+
+
+def test_the_whole_text_counts(spark):
+    df = spark.createDataFrame([(1, "word " * 400 + "last")], "id long, text string")
+    n = lambda k: M.feature_pipeline(max_tokens=k).fit(df).transform(df).selectExpr("size(_tokens)").first()[0]
+    assert (n(None), n(256)) == (401, 256)

@@ -111,7 +111,7 @@ def test_summarize_record(spark):
     df = spark.createDataFrame([(1, text), (2, ""), (3, None)], "id long, text string")
     rows = {r.id: r for r in T.summarize(df, "id", "text", max_chars=4000, overlap=200, top_k=15).collect()}
     assert rows[1].num_chunks == 2
-    assert rows[1].chunk_summaries[0].endswith("...")
+    assert all(rows[1].chunk_summaries)
     # final summary: the first three chunk summaries joined by a space
     assert rows[1].final_summary == " ".join(rows[1].chunk_summaries[:3]).strip()
     # keywords come from the chunk summaries
@@ -154,3 +154,15 @@ def test_summarize_model_slot_falls_back_per_chunk(spark):
     rows = {r.id: r for r in T.summarize(df, "id", "text", summarizer=picky).collect()}
     assert rows[1].chunk_summaries == [("fine text " * 5).upper().strip()]  # not dragged down by its batch
     assert rows[2].chunk_summaries == [("bad text " * 5).strip()]  # the lead fallback
+
+
+def test_the_end_of_a_chunk_reaches_summary_and_keywords(spark):
+    """Nothing is cut off: the sentences that say most, wherever they stand, make the summary."""
+    text = " ".join(f"Filler{i} alone{i}." for i in range(60)) + " Zebra zebra grazing. Zebra zebra running. Zebra zebra sleeping."
+    assert len(text) > 700
+    df = spark.createDataFrame([(1, text * 8), (2, ""), (3, None), (4, "  \n "), (5, "...")], "id long, text string")
+    got = {r.id: r for r in T.summarize(df, "id", "text", 4000, 200, 3).collect()}
+    assert "Zebra zebra" in got[1].final_summary and got[1].keywords[0] == "zebra" and got[1].num_chunks > 1
+    assert all(1 <= s.count(".") <= 3 for s in got[1].chunk_summaries)
+    assert (got[2].final_summary, got[2].chunk_summaries, got[2].num_chunks) == (got[3].final_summary, [], 0) == ("", [], 0)
+    assert (got[4].final_summary, got[5].final_summary) == ("", "...")
