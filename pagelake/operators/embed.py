@@ -20,7 +20,7 @@ import math
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,6 +64,9 @@ def with_bucket_counts(df: DataFrame, text_col: str, dim: int = DIM, prefix: str
     return out.withColumn(f"{prefix}c", F.zip_with(F.col(e), prev, lambda x, p: (x - p).cast("int"))).drop(s, f, e)
 
 
+ENCODER_FILE = "n_docs long, idf array<double>"
+
+
 @dataclass
 class TextEncoder:
     """A fitted lexical encoder: ``idf[i]`` for bucket ``i``."""
@@ -75,6 +78,15 @@ class TextEncoder:
     def dim(self) -> int:
         return len(self.idf)
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        """One JSON row, so that later runs embed into the same space."""
+        spark.createDataFrame([(self.n_docs, self.idf)], ENCODER_FILE).coalesce(1).write.mode("overwrite").json(path)
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> TextEncoder:
+        r = spark.read.schema(ENCODER_FILE).json(path).first()
+        return TextEncoder(idf=list(r["idf"]), n_docs=r["n_docs"])
+
     def embed(self, df: DataFrame, text_col: str = "text", out_col: str = "embedding") -> DataFrame:
         """V1/V2: adds the normalised ``array<double>`` vector of ``text_col``.
 

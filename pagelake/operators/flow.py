@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from . import extract as X
 from . import ingest as I
 from . import langid
-from ..session import materialize
+from ..session import written
 
 
 @dataclass
@@ -42,14 +42,19 @@ def ingest(
     """``urls``: ``(seq, url)``; ``rules``: parsed robots rules; ``attempts``:
     ``(url, attempt, status_code, html, error)``; ``stored``: the page table. ``max_text`` cuts the
     text (F4) for a caller who asks for it, for example ``ingest.MAX_TEXT_SIZE``."""
-    adm = I.robots_admission(urls, rules, "url", "seq")
-    res = I.resolve_attempts(attempts, "url", retries)
-    j = adm.join(res, "url", "left")
+    adm = written(I.robots_admission(urls, rules, "url", "seq"), "admission")
+    # attempts are resolved without their html; it is fetched once, for the successes that are admitted
+    res = I.resolve_attempts(attempts.withColumn("html", F.lit(None).cast("string")), "url", retries)
+    j = written(adm.join(res.drop("html"), "url", "left"), "resolved")
     fetched_ok = F.col("allowed") & F.coalesce(F.col("ok"), F.lit(False))
-    ok = j.where(fetched_ok).select("seq", "url", "status_code", "html")
+    won = j.where(fetched_ok).select("seq", "url", "attempt", "status_code")
+    bodies = attempts.where(F.col("error").isNull() & (F.col("attempt") <= retries + 1)).select("url", "attempt", "html")
+    ok = won.join(bodies, ["url", "attempt"]).select("seq", "url", "status_code", "html")
     # the extracted pages feed both the language scoring and the page rows:
     # written once to the shared folder instead of being extracted twice
-    ex = materialize(X.extract_pages(ok, "html", key="seq"))
+    digest = F.concat(F.lit(raw_dir.rstrip("/") + "/"), X.raw_digest("html"), F.lit(".html"))
+    ex = X.extract_pages(ok, "html", key="seq").withColumn("html_path", digest).drop("html")
+    ex = written(ex, "extracted")
     lang = langid.detect(ex.select("seq", "text"), profile, "seq", "text")
     pages_rows = ex.join(lang, "seq", "left").select(
         "seq",
@@ -58,19 +63,21 @@ def ingest(
         "title",
         "lang",
         F.coalesce(F.col("text") if max_text is None else F.substring("text", 1, max_text), F.lit("")).alias("text_excerpt"),
-        F.concat(F.lit(raw_dir.rstrip("/") + "/"), X.raw_digest("html"), F.lit(".html")).alias("html_path"),
+        "html_path",
     )
+    pages_rows = written(pages_rows, "page-rows")
     upserted = I.upsert_pages(stored, pages_rows, now)
     outcome = I.outcome_struct(
         F.col("allowed"),
         F.coalesce(F.col("ok"), F.lit(False)),
         F.col("status_code"),
-        F.length("text_excerpt"),
+        F.col("len_text"),
         F.col("lang"),
         F.coalesce(F.col("error"), F.lit(I.NO_ATTEMPT)),
     )
     outcomes = j.select("seq", "url", "allowed", "ok", "error").join(
-        pages_rows.select("seq", "status_code", "text_excerpt", "lang"), "seq", "left"
+        # (an attempt that is logged twice gives two equal rows: one is enough)
+        pages_rows.select("seq", "status_code", F.length("text_excerpt").alias("len_text"), "lang").dropDuplicates(["seq"]), "seq", "left"
     ).select("seq", "url", outcome.alias("outcome"))
     raw = X.raw_store(ok, "html", raw_dir)
     return IngestResult(upserted, outcomes, raw)

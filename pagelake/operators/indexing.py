@@ -6,10 +6,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only when a count proves the side small; otherwise a shuffle join."""
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+def broadcast_if_small(df: DataFrame, max_rows: int, max_bytes: int = 64 << 20) -> DataFrame:
+    """Broadcast hint only when rows and bytes, both measured, prove the side small; otherwise a shuffle join."""
+    strings = [c for c, t in df.dtypes if t == "string"]
+    size = F.lit(32 + 8 * len(df.columns))
+    for c in strings:
+        size = size + F.coalesce(F.octet_length(c), F.lit(0))
+    r = df.agg(F.count("*").alias("n"), F.sum(size.cast("long")).alias("b")).first()
+    return F.broadcast(df) if r["n"] <= max_rows and (r["b"] or 0) <= max_bytes else df
 
 
 def dense_positions(df: DataFrame, key: str, name: str = "pos", start: int = 0, buckets: int | None = None) -> DataFrame:

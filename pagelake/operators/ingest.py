@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
 from .indexing import broadcast_if_small, dense_positions
 
 # Configuration defaults: the crawler's user agent, and fixed values.
@@ -166,7 +167,8 @@ def upsert_pages(stored: DataFrame, batch: DataFrame, now: Column | None = None)
       ``fetched_at = now`` and the ``raw_meta`` marker.
 
     The batch is reduced with one aggregation by URL (partial aggregation
-    first), then one full outer join with the stored table on URL (bucket the stored table by
+    first) and written once. Matched rows are a left join of the stored table with it; new URLs an anti join
+    the other way, numbered as narrow ``(url, first_seq)`` rows (bucket the stored table by
     ``url`` to avoid shuffling it on every run).
     """
     from ..sources.pagestore import COLUMNS, FETCHED_BY
@@ -177,13 +179,13 @@ def upsert_pages(stored: DataFrame, batch: DataFrame, now: Column | None = None)
     # batch (a hot key) is reduced before the shuffle
     last = F.max_by(F.struct(*[F.col(c).alias("_n_" + c) for c in UPDATED]), F.col("seq"))
     red = b.groupBy("url").agg(last.alias("_last"), F.min("seq").alias("_first_seq")).select("url", "_first_seq", "_last.*")
+    red = written(red, "upsert-batch")
     s = stored.select(*COLUMNS)
-    j = s.join(red, "url", "full_outer")
-    is_new = F.col("id").isNull()
-    new_rows = j.where(is_new)
-    old_rows = j.where(~is_new)
+    old_rows = s.join(red, "url", "left")
+    new_urls = written(red.select("url", "_first_seq").join(s.select("url"), "url", "left_anti"), "upsert-new")
     max_id = s.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).collect()[0]["m"]  # one number
-    new_rows = dense_positions(new_rows, "_first_seq", "_new_id", start=int(max_id) + 1)
+    new_urls = dense_positions(new_urls, "_first_seq", "_new_id", start=int(max_id) + 1)
+    new_rows = red.join(new_urls.select("url", "_new_id"), "url")
     meta = F.create_map(*[x for k, v in FETCHED_BY.items() for x in (F.lit(k), F.lit(v))])
 
     def shape(df, new: bool):

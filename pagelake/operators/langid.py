@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import spread
+from ..session import spread, written
 from .indexing import broadcast_if_small
 
 N = 3
@@ -55,18 +55,19 @@ class LangProfile:
 def fit_profile(train: DataFrame, text_col: str = "text", lang_col: str = "lang", max_langs: int = 500) -> LangProfile:
     """Learn the 3-gram profile from a labelled table."""
     lab = train.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    docs = lab.groupBy(lang_col).agg(F.count("*").alias("d")).collect()  # one row per language
+    docs = lab.groupBy(lang_col).agg(F.count("*").alias("d")).limit(max_langs + 1).collect()  # one row per language
     if len(docs) > max_langs:
-        raise ValueError(f"{len(docs)} languages, more than max_langs={max_langs}")
+        raise ValueError(f"more than max_langs={max_langs} languages")
     langs = sorted(r[lang_col] for r in docs)
     dcount = {r[lang_col]: r["d"] for r in docs}
     total_docs = sum(dcount.values())
     # round-robin: hashing on the text would send every copy of a text (copies
     # may be a third of a corpus) to one task
     g = spread(lab.select(lang_col, text_col)).select(lang_col, normalized(text_col).alias("_nt")).select(lang_col, F.explode(grams("_nt")).alias("gram"))
-    # the profile is small (one row per distinct gram) and read three times below:
-    # keep it cached (a lost block is recomputed from lineage)
-    counts = g.groupBy("gram").agg(*[F.sum((F.col(lang_col) == l).cast("long")).alias(f"c_{i}") for i, l in enumerate(langs)]).cache()
+    # counted by gram and language, combined map-side; then one row per gram, written once for the reads below
+    pairs = g.groupBy("gram", F.col(lang_col).alias("_l")).agg(F.count("*").alias("_c"))
+    wide = pairs.groupBy("gram").agg(*[F.sum(F.when(F.col("_l") == l, F.col("_c")).otherwise(0)).alias(f"c_{i}") for i, l in enumerate(langs)])
+    counts = written(wide, "grams")
     stats = counts.agg(F.count("*").alias("V"), *[F.sum(f"c_{i}").alias(f"n_{i}") for i in range(len(langs))]).collect()[0]
     V = stats["V"]
     ns = [stats[f"n_{i}"] or 0 for i in range(len(langs))]

@@ -35,6 +35,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.vectors import as_vector
+from ..session import ship_code
+from .embed import TextEncoder
 
 
 def _prepare(df: DataFrame, id_col: str, vec_col: str, payload: list[str]) -> DataFrame:
@@ -129,6 +131,7 @@ def cosine_topk(
         raise ValueError("k must be > 0")
     payload = list(payload or [])
     spark = store.sparkSession
+    ship_code(spark)
     st = _prepare(store, id_col, vec_col, payload)
     q = queries.select(F.col(qid_col).alias("_qid"), as_vector(qvec_col).alias("_qv"))
     payload_fields = [f for f in st.schema.fields if f.name in payload]
@@ -198,3 +201,23 @@ def search_vector(store: DataFrame, query_vec: DataFrame, k: int = 5, **kw) -> D
     """V5: one query vector (a one-row DataFrame with column ``qvec``)."""
     qv = query_vec.select(F.lit(0).cast("bigint").alias("qid"), F.col("qvec"))
     return cosine_topk(store, qv, k=k, **kw).drop("qid")
+
+
+PAGE_HITS = "url string, title string, score double, summary string"
+
+
+def search_pages(pages: DataFrame, text: str | None, encoder: TextEncoder, top_k: int = 5, score_digits: int | None = None) -> DataFrame:
+    """V2 + V5: the ``top_k`` pages nearest to a query text: ``url, title, score, summary``, best first.
+
+    A blank query finds nothing. Pages without a vector are filtered in the
+    scan (F2); only ids and vectors are scored, and the page columns are joined
+    to the at most ``top_k`` hits.
+    """
+    spark = pages.sparkSession
+    if not (text or "").strip():
+        return spark.createDataFrame([], PAGE_HITS)
+    query = encoder.embed(spark.createDataFrame([(text,)], "text string"), "text", "qvec").select("qvec")
+    store = pages.where(F.col("embedding").isNotNull()).select("id", "embedding")
+    hits = search_vector(store, query, k=top_k, score_digits=score_digits)
+    found = pages.select("id", "url", "title", "summary_text").join(F.broadcast(hits), "id")
+    return found.orderBy(F.desc("score"), "id").select("url", "title", "score", F.col("summary_text").alias("summary"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import embed as V
 from ..operators.search import cosine_topk
+from ..operators.search import search_pages as find_pages
 from ..session import read_table, spread
 from .registry import register
 
@@ -87,3 +88,33 @@ def search_text(spark, sf_dir):
     return hits.select(
         F.col("qid").alias("item_id"), "doc_id", F.round("score", 9).alias("score"), F.col("rank").cast("bigint").alias("rank")
     )
+
+
+@register(
+    "search_pages",
+    f"""
+WITH {ENCODER_SQL},
+one AS (SELECT item_id, text FROM benchmark ORDER BY item_id LIMIT 1),
+{_weights_sql('one', 'item_id', 'q')},
+q_w AS (SELECT q_tf.bucket, q_tf.tf * idf.idf AS w FROM q_tf JOIN idf USING (bucket)),
+q_n AS (SELECT sqrt(sum(w * w)) AS norm FROM q_w),
+sc AS (SELECT d_w.id, round(sum(q_w.w * d_w.w) / (any_value(q_n.norm) * any_value(d_n.norm)), {SCORE_DIGITS}) AS score
+       FROM q_w JOIN d_w USING (bucket) JOIN d_n ON d_n.id = d_w.id CROSS JOIN q_n WHERE d_n.norm > 0 AND q_n.norm > 0 GROUP BY d_w.id)
+SELECT 'https://docs.example/' || id AS url, source AS title, round(score, 9) AS score, lang AS summary
+FROM sc JOIN documents d ON d.doc_id = sc.id WHERE score > 0 ORDER BY sc.score DESC, id LIMIT {TOP_K}
+""",
+)
+def search_pages(spark, sf_dir):
+    """V5 from a text: the five pages nearest to the first benchmark passage, with url, title, score and
+    summary. Every document is a page; its vector comes from its whole text."""
+    docs = read_table(spark, sf_dir, "documents")
+    enc = V.fit_encoder(docs, "text", DIM)
+    pages = V.embed(spread(docs, "doc_id"), enc, "text").select(
+        F.col("doc_id").alias("id"),
+        F.concat(F.lit("https://docs.example/"), F.col("doc_id").cast("string")).alias("url"),
+        F.col("source").alias("title"),
+        F.col("lang").alias("summary_text"),
+        "embedding",
+    )
+    text = read_table(spark, sf_dir, "benchmark").orderBy("item_id").first()["text"]
+    return find_pages(pages, text, enc, TOP_K, SCORE_DIGITS).withColumn("score", F.round("score", 9))

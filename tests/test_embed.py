@@ -61,3 +61,21 @@ def test_embedding_survives_a_filter_on_it(spark):
     plan = e._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("md5(") <= 4
     assert e.count() == 6
+
+
+def test_search_pages_by_text(spark, tmp_path):
+    from pagelake.operators.search import search_pages
+
+    rows = [(1, "u1", "t1", "s1", "red apple pie"), (2, "u2", "t2", None, "green apple tart"), (3, "u3", "t3", "s3", None)]
+    df = spark.createDataFrame(rows, "id long, url string, title string, summary_text string, text string")
+    enc = V.fit_encoder(df, "text", 64)
+    enc.save(spark, str(tmp_path / "enc"))
+    assert V.TextEncoder.load(spark, str(tmp_path / "enc")) == enc
+    pages = enc.embed(df, "text").withColumn("embedding", F.when(F.col("id") != 3, F.col("embedding"))).drop("text")
+    got = search_pages(pages, "red pie", enc, 2).collect()
+    assert got[0].asDict().keys() == {"url", "title", "score", "summary"} and got[0]["url"] == "u1" and got[0]["score"] > 0
+    assert search_pages(pages, "  ", enc).collect() == search_pages(pages, None, enc).collect() == []
+    path = str(tmp_path / "pages")
+    pages.write.parquet(path)
+    plan = spark.read.parquet(path).where(F.col("embedding").isNotNull())._jdf.queryExecution().toString()
+    assert "IsNotNull(embedding)" in plan

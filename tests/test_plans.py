@@ -2,7 +2,9 @@
 
 import pytest
 
-import __spark_entry__ as E
+from pagelake.plans import registry
+
+registry.load_all()
 
 
 def _plan(df) -> str:
@@ -12,13 +14,13 @@ def _plan(df) -> str:
 @pytest.fixture(scope="module")
 def plans(spark, sf_small):
     out = {}
-    for name, fn in E.queries().items():
+    for name, fn in registry.QUERIES.items():
         out[name] = _plan(fn(spark, sf_small))
     return out
 
 
 def test_every_query_has_an_oracle_or_is_a_model_fit():
-    rows_only = set(E.queries()) - set(E.oracle_sql())
+    rows_only = set(registry.QUERIES) - set(registry.SQL)
     assert rows_only <= {"featurize", "train_predict", "model_selection", "active_sample"}
 
 
@@ -29,9 +31,11 @@ def test_no_pair_joins_and_no_row_at_a_time_python(plans):
         assert "BatchEvalPython" not in p, name  # row-at-a-time Python UDFs
 
 
-def test_python_only_where_numpy_block_products_run(plans):
+def test_python_only_in_searches_and_summaries(plans):
     with_python = {n for n, p in plans.items() if "MapInPandas" in p or "FlatMapCoGroupsInPandas" in p or "ArrowEvalPython" in p}
-    assert with_python <= {"vector_search", "vector_search_batch", "search_text", "search_json"}
+    searches = {"vector_search", "vector_search_batch", "search_text", "search_json", "search_pages"}
+    summaries = {"chunk_summaries", "final_summary", "summarize", "enrich_pages"}  # Arrow batches of whole texts
+    assert with_python <= searches | summaries
 
 
 def test_aggregations_combine_before_the_shuffle(plans):
@@ -51,8 +55,23 @@ def test_small_sides_are_broadcast(plans):
 
 
 def test_scans_read_only_needed_columns(spark, sf_small):
-    df = E.queries()["valid_vectors"](spark, sf_small)
+    df = registry.QUERIES["valid_vectors"](spark, sf_small)
     p = _plan(df)
     assert "ReadSchema: struct<vec_id:bigint,embedding:array<float>>" in p
-    lookup = _plan(E.queries()["page_lookup"](spark, sf_small))
+    lookup = _plan(registry.QUERIES["page_lookup"](spark, sf_small))
     assert "html" not in lookup.split("ReadSchema")[1].split("\n")[0]
+
+
+def test_spread_never_runs_a_plan_with_a_shuffle(spark, sf_small):
+    from pagelake.session import read_table, spread
+
+    docs = read_table(spark, sf_small, "documents")
+    joined = docs.join(read_table(spark, sf_small, "labels"), "doc_id")
+    spark.sparkContext.setJobGroup("spread", "spread")
+    try:
+        for df in (joined, docs.groupBy("lang").count(), docs.distinct()):
+            assert spread(df) is df
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("spread")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert "RoundRobin" in spread(docs)._jdf.queryExecution().toString() or docs.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
