@@ -60,17 +60,16 @@ SELECT doc_id, quality AS y_quality, toxic AS y_toxic,
 FROM labels
 """
 
-LOGIT_LABELS = ("a", "b", "c")
+LOGIT_LABELS = tuple(f"v{i}" for i in range(1, 65))
 
 
 def logits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(vec_id, logits array<double>)``: the first three embedding values times 10,
-    read as logits of labels a, b, c."""
+    """``(vec_id, logits array<double>)``: the 64 embedding values times 10, read as logits of labels v1 to v64."""
     emb = read_table(spark, sf_dir, "embeddings")
-    return emb.select("vec_id", F.transform(F.slice(F.col("embedding").cast("array<double>"), 1, 3), lambda x: x * 10.0).alias("logits"))
+    return emb.select("vec_id", F.transform(F.col("embedding").cast("array<double>"), lambda x: x * 10.0).alias("logits"))
 
 
-LOGITS_SQL = "SELECT vec_id, list_transform((embedding::DOUBLE[])[1:3], lambda x: x * 10.0) AS logits FROM embeddings"
+LOGITS_SQL = "SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: x * 10.0) AS logits FROM embeddings"
 
 
 # ---------------------------------------------------------------- ingest fixtures

@@ -177,8 +177,8 @@ _PROBS_SQL = f"WITH g AS ({X.LOGITS_SQL}), p AS (SELECT vec_id, list_transform(l
     f"""
 {_PROBS_SQL}
 SELECT vec_id,
-       array_to_string(list_filter(['a', 'b', 'c'], lambda n, i: probs[i] >= 0.5), ',') AS labels,
-       round(probs[1], 9) AS score_a, round(probs[2], 9) AS score_b, round(probs[3], 9) AS score_c
+       array_to_string(list_filter(list_transform(range(1, 65), lambda i: 'v' || i), lambda n, i: probs[i] >= 0.5), ',') AS labels,
+       {', '.join(f'round(probs[{i}], 9) AS score_v{i}' for i in range(1, 65))}
 FROM p
 """,
 )
