@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from pagelake.functions.text import chunk_array, excerpt, keyword_tokens, lead_summary, py_strip
+from pagelake.functions.text import chunk_array, excerpt, extract_summary, keyword_tokens, lead_summary, py_strip
 from pagelake.operators import text as T
 
 
@@ -112,8 +112,8 @@ def test_summarize_record(spark):
     rows = {r.id: r for r in T.summarize(df, "id", "text", max_chars=4000, overlap=200, top_k=15).collect()}
     assert rows[1].num_chunks == 2
     assert all(rows[1].chunk_summaries)
-    # final summary: the first three chunk summaries joined by a space
-    assert rows[1].final_summary == " ".join(rows[1].chunk_summaries[:3]).strip()
+    # final summary: that of all chunk summaries together
+    assert rows[1].final_summary == extract_summary("\n\n".join(rows[1].chunk_summaries))
     # keywords come from the chunk summaries
     assert rows[1].keywords[:2] == ["spark", "engines"]
     for i in (2, 3):
