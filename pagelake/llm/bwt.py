@@ -71,9 +71,12 @@ class Columns:
         return [np.fromfile(os.path.join(self.folder, f"{name}.{self.turn}"), dtype=kind) for name, kind in self.KINDS.items()]
 
     def write(self, *columns: np.ndarray) -> None:
-        self.turn ^= 1
+        # a new file and the old one removed: overwriting would make file systems flush every round to disk
+        self.turn += 1
         for (name, kind), column in zip(self.KINDS.items(), columns, strict=True):
             column.astype(kind, copy=False).tofile(os.path.join(self.folder, f"{name}.{self.turn}"))
+            if self.turn > 1:
+                os.remove(os.path.join(self.folder, f"{name}.{self.turn - 1}"))
 
 
 def _entered(order: np.ndarray, begin: np.ndarray, place: np.ndarray, byte: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

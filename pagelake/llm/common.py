@@ -33,7 +33,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write a table under the shared folder and read it back (survives lost executors)."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

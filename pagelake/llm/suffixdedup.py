@@ -6,9 +6,9 @@ neighbours reaches ``length``, they begin with the same string.
 
 To build such collections in parallel, the strings of the documents are dealt by content: equal strings have
 equal anchors (see ``anchors``), so the runs of one anchor hash meet in one collection. A first pass counts
-the anchor hashes; only runs of hashes that occur again take part in the second, which sends their bytes.
-Equal runs are reduced to their first occurrence before they are sent, and at most two of them enter a
-collection, so a passage copied into a third of all documents weighs no more than two.
+the anchor hashes; only runs of hashes that are shared take part in the second, which sends their bytes.
+Equal runs are reduced to their first occurrence, in each task before they are sent and where they meet: the
+later ones are repeated as a whole. So a passage copied into a third of all documents enters a collection once.
 """
 
 from __future__ import annotations
@@ -24,16 +24,18 @@ from pyspark.sql import functions as F
 
 from pagelake.session import ship_code
 
-from .anchors import runs
+from .anchors import mix, runs
 from .bwt import construct, suffix_places
 from .common import arrow_schema, byte_rows, slices, written
 
 GRAM = 32
 #: Bytes hashed at once; a longer text goes in parts that overlap by a window.
 PART = 1 << 18
+#: Bytes of text of a task within which equal runs are reduced before anything is sent (about 30 runs a KB).
+SCOPE = 32 << 20
 #: Bytes of a collection; a collection ends at the first anchor hash after that.
-COLLECTION = 4 << 20
-#: Leading bits of an anchor hash in the broadcast bitmap of repeated hashes, at most (2^28 bits are 32 MB).
+COLLECTION = 1 << 19
+#: Bits of an anchor hash that say its slot in the broadcast bitmap of repeated hashes, at most (2^28 slots are 32 MB).
 BITMAP_BITS = 28
 NULL_ID = -(1 << 63)
 
@@ -60,77 +62,83 @@ def _parts(texts: list[bytes | None], length: int) -> Iterator[tuple[np.ndarray,
         yield block()
 
 
-def _repeated_hashes(source: DataFrame, length: int, gram: int) -> DataFrame:
-    """The anchor hashes with more than one run."""
+def _scopes(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    """A task's rows in slices, gathered into scopes of about SCOPE bytes of text: both passes cut them alike."""
+    held, size = [], 0
+    for whole in batches:
+        for b in slices(whole, "text", 4 << 20):
+            held.append(b)
+            size += pa.compute.sum(pa.compute.binary_length(b.column("text"))).as_py() or 0
+            if size >= SCOPE:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
 
-        def rows():
-            key, n = np.unique(np.concatenate(held), return_counts=True)
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(np.minimum(n, 2).astype(np.int8))], names=["hash", "n"])
+def _pairs(hash_: np.ndarray, content_hash: np.ndarray) -> np.ndarray:
+    return mix(hash_ + content_hash * np.uint64(0x9E3779B97F4A7C15))
 
-        for whole in batches:
-            for b in slices(whole, "text", 4 << 20):
-                for data, ends, _, _ in _parts(byte_rows(b.column("text")), length):
-                    held.append(runs(data, ends, length, gram)[3])
-                if sum(map(len, held)) > 3_000_000:
-                    yield rows()
-        if held:
-            yield rows()
 
-    counted = source.select("text").mapInArrow(count, "hash long, n tinyint").groupBy("hash").agg(F.sum("n").alias("n"))
-    return counted.where(F.col("n") > 1).select("hash")
+def _shared_hashes(source: DataFrame, length: int, gram: int) -> DataFrame:
+    """The anchor hashes that more than one (scope, run content) has: equal runs of one scope count once."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for scope in _scopes(batches):
+            found = [runs(data, ends, length, gram)[3:] for b in scope for data, ends, _, _ in _parts(byte_rows(b.column("text")), length)]
+            if found:
+                hash_, content_hash = (np.concatenate(x) for x in zip(*found, strict=True))
+                first = np.unique(_pairs(hash_, content_hash), return_index=True)[1]
+                yield pa.RecordBatch.from_arrays([pa.array(hash_[first].view(np.int64))], names=["hash"])
+
+    # dealt as bare hashes, then counted where they meet
+    dealt = source.mapInArrow(count, "hash long").repartition("hash")
+    return dealt.groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("hash")
 
 
 def _candidate_runs(source: DataFrame, bitmap, bits: int, share: tuple[int, int], length: int, gram: int) -> DataFrame:
-    """Runs whose anchor hash is in the bitmap. The first of equal runs in a task has its bytes; the others have none."""
+    """The first of equal runs in a scope, with its bytes, if its hash is in the bitmap; the later ones without bytes."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = np.frombuffer(bitmap.value, dtype=np.uint8)
-        held: list[tuple] = []
-
-        def rows():
-            hash_, content_hash, doc, mark, start, windows, content = (
-                np.concatenate([h[i] for h in held]) if i < 6 else np.array([c for h in held for c in h[6]], dtype=object) for i in range(7)
-            )
-            held.clear()
-            order = np.lexsort((start, doc, content_hash, hash_))
-            lead = np.ones(len(order), dtype=bool)
-            lead[1:] = (np.diff(hash_[order]) != 0) | (np.diff(content_hash[order]) != 0)
-            first = order[np.maximum.accumulate(np.where(lead, np.arange(len(order)), 0))]
-            again = (doc[order] == doc[first]) & (start[order] == start[first]) & ~lead  # the same place in a repeated row
-            content = content[order]
-            content[~lead] = None
-            keep = lead | ~again
-            order, content = order[keep], content[keep]
-            cols = [hash_.view(np.int64)[order], doc[order], mark[order], start[order], windows[order]]
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in cols] + [pa.array(content, pa.binary())], names=names)
-
-        names = ["hash", "doc", "mark", "start", "windows", "content"]
-        waiting = 0
-        for whole in batches:
-            for b in slices(whole, "text", 4 << 20):
+        for scope in _scopes(batches):
+            held: list[tuple] = []
+            texts: list[np.ndarray] = []
+            for b in scope:
                 docs = np.asarray(pa.compute.fill_null(b.column("doc"), NULL_ID), dtype=np.int64)
                 marks = np.asarray(b.column("mark"), dtype=np.int64)
                 for data, ends, row, offset in _parts(byte_rows(b.column("text")), length):
                     part, at, windows, hash_, content_hash = runs(data, ends, length, gram)
-                    slot = hash_ >> np.uint64(64 - bits)
-                    ok = (wanted[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 > 0
                     if share[1] > 1:
-                        ok &= hash_ % np.uint64(share[1]) == np.uint64(share[0])
-                    part, at, windows, hash_, content_hash = part[ok], at[ok], windows[ok], hash_[ok], content_hash[ok]
-                    raw = data.tobytes()
-                    content = [raw[a : a + n + length - 1] for a, n in zip(at.tolist(), windows.tolist(), strict=True)]
+                        ok = (hash_ >> np.uint64(32) & np.uint64(0xFFFF)) % np.uint64(share[1]) == np.uint64(share[0])
+                        part, at, windows, hash_, content_hash = part[ok], at[ok], windows[ok], hash_[ok], content_hash[ok]
                     begins = np.concatenate([[0], ends[:-1]])
-                    held.append((hash_, content_hash, docs[row[part]], marks[row[part]], at - begins[part] + offset[part], windows, content))
-                    waiting += len(at)
-                if waiting > 300_000:
-                    yield rows()
-                    waiting = 0
-        if held:
-            yield rows()
+                    block = np.full(len(at), len(texts))
+                    held.append((hash_, content_hash, docs[row[part]], marks[row[part]], at - begins[part] + offset[part], windows, block, at))
+                    texts.append(data)
+            if not held:
+                continue
+            cols = [np.concatenate(x) for x in zip(*held, strict=True)]
+            _, group, size = np.unique(_pairs(cols[0], cols[1]), return_inverse=True, return_counts=True)
+            slot = cols[0] & np.uint64((1 << bits) - 1)  # an anchor is a smallest hash: its leading bits are not spread
+            shared = (wanted[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 > 0
+            keep = shared | (size[group] > 1)
+            hash_, content_hash, doc, mark, start, windows, block, at = (c[keep] for c in cols)
+            shared = shared[keep]
+            order = np.lexsort((start, doc, content_hash, hash_))
+            lead = np.ones(len(order), dtype=bool)
+            lead[1:] = (np.diff(hash_[order]) != 0) | (np.diff(content_hash[order]) != 0)
+            first = order[np.maximum.accumulate(np.where(lead, np.arange(len(order)), 0))]
+            again = (doc[order] == doc[first]) & (start[order] == start[first])  # the same place in a row that repeats its id
+            wide = again & (lead | (mark[order] != mark[first]))  # with another text it has other strings, too
+            some = (wide & shared[order]) | ~again
+            order, bytes_ = order[some], wide[some]
+            content = [
+                texts[k][a : a + n + length - 1].tobytes() if w else None
+                for k, a, n, w in zip(block[order].tolist(), at[order].tolist(), windows[order].tolist(), bytes_.tolist(), strict=True)
+            ]
+            out = [pa.array(c) for c in (hash_.view(np.int64)[order], doc[order], mark[order], start[order], windows[order])]
+            yield pa.RecordBatch.from_arrays([*out, pa.array(content, pa.binary())], names=["hash", "doc", "mark", "start", "windows", "content"])
 
     return source.mapInArrow(find, "hash long, doc long, mark long, start long, windows long, content binary")
 
@@ -158,55 +166,54 @@ def _collections(runs_: DataFrame, length: int, collection: int) -> DataFrame:
     """Spans (doc, mark, start, windows) of repeated windows, from the runs that have their bytes."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        strings, doc, mark, start = [], [], [], []
-        more: list[tuple] = []  # third and further occurrences of a run, by the string that stands for them
-        size, seen, last_hash, last, place, marks = 0, 0, None, None, None, set()
+        strings, doc, mark, start, copies = [], [], [], [], []
+        size, group, last_hash, last, place, marks = 0, 0, None, None, None, set()
 
         def solve():
             nonlocal size
             d, s = np.array(doc, dtype=np.int64), np.array(start, dtype=np.int64)
-            hit = repeated_windows(strings, d, s, length)
-            out = []
+            hit = repeated_windows(strings, d, s, length) if strings else np.zeros((0, 2), dtype=np.int64)
+            out = list(copies)
             if len(hit):
                 new = np.ones(len(hit), dtype=bool)
                 new[1:] = (np.diff(hit[:, 0]) != 0) | (np.diff(hit[:, 1]) != 1)
                 first = np.flatnonzero(new)
                 n = np.diff(np.append(first, len(hit)))
-                by: dict[int, list] = {}
-                for (i, offset), windows in zip(hit[first].tolist(), n.tolist(), strict=True):
-                    out.append((doc[i], mark[i], start[i] + offset, windows))
-                    by.setdefault(i, []).append((offset, windows))
-                for i, d_, m_, s_ in more:
-                    out += [(d_, m_, s_ + offset, windows) for offset, windows in by.get(i, [])]
-            for x in (strings, doc, mark, start, more):
+                out += [(doc[i], mark[i], start[i] + offset, k) for (i, offset), k in zip(hit[first].tolist(), n.tolist(), strict=True)]
+            for x in (strings, doc, mark, start, copies):
                 x.clear()
             size = 0
             cols = list(zip(*out, strict=True)) if out else [[]] * 4
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["doc", "mark", "start", "windows"])
 
+        def alone():
+            """A string that shares its hash with no other has nothing to be compared with."""
+            nonlocal size
+            if len(strings) - group == 1:
+                size -= len(strings.pop())
+                for x in (doc, mark, start):
+                    x.pop()
+
         for b in batches:
-            for h, d, m, s, content in zip(*(b.column(c).to_pylist() for c in ("hash", "doc", "mark", "start", "content")), strict=True):
-                if h != last_hash and size >= collection:
-                    yield solve()
-                    last = None
+            for h, d, m, s, n, content in zip(*(b.column(c).to_pylist() for c in ("hash", "doc", "mark", "start", "windows", "content")), strict=True):
+                if h != last_hash:
+                    alone()
+                    if size >= collection or len(copies) > 100_000:
+                        yield solve()
+                    group, last = len(strings), None
                 if h != last_hash or content != last:
-                    seen, last_hash, last, place, marks = 0, h, content, (d, s), set()
-                if (d, s) == place:  # the first place, again in a row that repeats its id
-                    if m in marks:
-                        continue
+                    last_hash, last, place, marks = h, content, (d, s), set()
+                if (d, s) != place:  # the same run starts earlier: all its strings are repeated
+                    copies.append((d, m, s, n))
+                elif m not in marks:  # the first place (marks: rows that repeat its id with another text)
                     marks.add(m)
-                else:
-                    seen += 1
-                if seen > 1:
-                    more.append((len(strings) - 1, d, m, s))
-                    continue
-                strings.append(content)
-                doc.append(d)
-                mark.append(m)
-                start.append(s)
-                size += len(content)
-        if strings:
-            yield solve()
+                    strings.append(content)
+                    doc.append(d)
+                    mark.append(m)
+                    start.append(s)
+                    size += len(content)
+        alone()
+        yield solve()
 
     return runs_.mapInArrow(work, "doc long, mark long, start long, windows long")
 
@@ -215,24 +222,24 @@ def repeated_spans(
     source: DataFrame, length: int, gram: int = GRAM, collection: int = COLLECTION, bitmap_bits: int = BITMAP_BITS
 ) -> DataFrame:
     """(doc, mark, start, windows): stretches of window starts that are repeated, of a table (doc, mark, text)."""
-    hashes = written(_repeated_hashes(source, length, gram), "anchors")
+    hashes = written(_shared_hashes(source, length, gram), "anchors")
     n = hashes.count()
-    bits = max(10, min(bitmap_bits, int(8 * max(n, 1)).bit_length()))
-    shares = max(1, -(-4 * n // (1 << bitmap_bits)))  # more passes where the bitmap would be too full
+    bits = max(10, min(bitmap_bits, int(32 * max(n, 1)).bit_length()))
+    shares = max(1, -(-8 * n // (1 << bitmap_bits)))  # more passes where the bitmap would be too full
     sc, out = source.sparkSession.sparkContext, []
     for i in range(shares):
-        some = hashes if shares == 1 else hashes.where(F.expr(f"cast(conv(hex(hash), 16, 10) as decimal(20)) % {shares} = {i}"))
-        slot = F.shiftrightunsigned("hash", 64 - bits)
+        some = hashes if shares == 1 else hashes.where(F.expr(f"(shiftrightunsigned(hash, 32) & 65535) % {shares} = {i}"))
+        slot = F.col("hash").bitwiseAND(F.lit((1 << bits) - 1))
         words = some.groupBy(F.shiftrightunsigned(slot, 6).alias("word")).agg(
-            F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(hash, {64 - bits}) & 63 as int))")).alias("bits")
+            F.bit_or(F.expr("shiftleft(1L, cast(hash & 63 as int))")).alias("bits")
         )
         table, bitmap = words.toArrow(), np.zeros(max(1, (1 << bits) >> 6), dtype=np.int64)
         bitmap[table.column("word").to_numpy()] = table.column("bits").to_numpy()
         found = written(_candidate_runs(source, sc.broadcast(bitmap.tobytes()), bits, (i, shares), length, gram), "runs")
-        # bytes are there for the first of equal runs of a task; the others of the task stand behind it and are repeated as a whole
+        # the later ones of equal runs in a scope have no bytes: they are repeated as a whole
         copies = found.where("content is null").select("doc", "mark", "start", "windows")
         dealt = found.where("content is not null").repartition("hash").sortWithinPartitions("hash", "content", "doc", "start")
-        out += [copies, _collections(dealt.select("hash", "doc", "mark", "start", "content"), length, collection)]
+        out += [copies, _collections(dealt, length, collection)]
     return reduce(DataFrame.unionByName, out)
 
 
