@@ -20,12 +20,12 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .common import arrow_schema, byte_rows, id_text, id_type, slices, tokenizer_path
+from .common import arrow_schema, byte_rows, id_text, id_type, keep_cache, slices, tokenizer_path
 
 #: Remainders pooled at once (bounds a task's memory: at most capacity ids each).
 POOL = 6000
 #: Parts and words a worker remembers before it starts afresh (a bound on memory, not on results).
-REMEMBERED = 500_000
+REMEMBERED_PARTS, REMEMBERED_WORDS = 500_000, 700_000
 # Lower-case letters and the vocabulary's split pattern, for texts of plain characters
 LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏ"  # without U+0130, whose lower case is two characters
 PLAIN = re.compile(rf"[!-~{LETTERS}]*\Z")
@@ -122,6 +122,7 @@ def _worker(path: str):
     tok = Tokenizer.from_file(path)
     tok.no_truncation()
     tok.no_padding()
+    keep_cache("packing", _worker.cache_clear)
     return tok, {}, {}
 
 
@@ -150,9 +151,9 @@ def encode(texts: list[bytes | None], path: str, end_id: int) -> list[bytes]:
     tok, known, word_ids = _worker(path)
     end = end_id.to_bytes(4, "little")
     parts = [t.split() if t else [] for t in texts]
-    if len(known) > REMEMBERED:
+    if len(known) > REMEMBERED_PARTS:
         known.clear()
-    if len(word_ids) > REMEMBERED:
+    if len(word_ids) > REMEMBERED_WORDS:
         word_ids.clear()
     plain, other = [], []
     for p in {p for ps in parts for p in ps if p not in known}:
@@ -195,7 +196,7 @@ def pack_documents(
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
 
         for whole in batches:
-            for b in slices(whole, "text", 4 << 20):
+            for b in slices(whole, "text", 4 << 20, "packing"):
                 for doc, ids in zip(b.column("doc_id").to_pylist(), encode(byte_rows(b.column("text")), path, end_id), strict=True):
                     packer.add(ids, doc, len(ids) // 4)
                 if packer.size > POOL:
