@@ -32,7 +32,7 @@ GRAM = 32
 #: Bytes hashed at once; a longer text goes in parts that overlap by a window.
 PART = 1 << 18
 #: Bytes of text of a task within which equal runs are reduced before anything is sent (about 30 runs a KB).
-SCOPE = 32 << 20
+SCOPE = 16 << 20
 #: Bytes of a collection; a collection ends at the first anchor hash after that.
 COLLECTION = 1 << 19
 #: Bits of an anchor hash that say its slot in the broadcast bitmap of repeated hashes, at most (2^28 slots are 32 MB).
@@ -62,14 +62,14 @@ def _parts(texts: list[bytes | None], length: int) -> Iterator[tuple[np.ndarray,
         yield block()
 
 
-def _scopes(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
-    """A task's rows in slices, gathered into scopes of about SCOPE bytes of text: both passes cut them alike."""
+def _scopes(batches: Iterator[pa.RecordBatch], scope: int) -> Iterator[list[pa.RecordBatch]]:
+    """A task's rows in slices, gathered into scopes of about ``scope`` bytes of text: both passes cut them alike."""
     held, size = [], 0
     for whole in batches:
-        for b in slices(whole, "text", 4 << 20):
+        for b in slices(whole, "text", min(4 << 20, scope)):
             held.append(b)
             size += pa.compute.sum(pa.compute.binary_length(b.column("text"))).as_py() or 0
-            if size >= SCOPE:
+            if size >= scope:
                 yield held
                 held, size = [], 0
     if held:
@@ -80,11 +80,11 @@ def _pairs(hash_: np.ndarray, content_hash: np.ndarray) -> np.ndarray:
     return mix(hash_ + content_hash * np.uint64(0x9E3779B97F4A7C15))
 
 
-def _shared_hashes(source: DataFrame, length: int, gram: int) -> DataFrame:
+def _shared_hashes(source: DataFrame, length: int, gram: int, scope_bytes: int) -> DataFrame:
     """The anchor hashes that more than one (scope, run content) has: equal runs of one scope count once."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for scope in _scopes(batches):
+        for scope in _scopes(batches, scope_bytes):
             found = [runs(data, ends, length, gram)[3:] for b in scope for data, ends, _, _ in _parts(byte_rows(b.column("text")), length)]
             if found:
                 hash_, content_hash = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -96,12 +96,12 @@ def _shared_hashes(source: DataFrame, length: int, gram: int) -> DataFrame:
     return dealt.groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("hash")
 
 
-def _candidate_runs(source: DataFrame, bitmap, bits: int, share: tuple[int, int], length: int, gram: int) -> DataFrame:
+def _candidate_runs(source: DataFrame, bitmap, bits: int, share: tuple[int, int], length: int, gram: int, scope_bytes: int) -> DataFrame:
     """The first of equal runs in a scope, with its bytes, if its hash is in the bitmap; the later ones without bytes."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = np.frombuffer(bitmap.value, dtype=np.uint8)
-        for scope in _scopes(batches):
+        for scope in _scopes(batches, scope_bytes):
             held: list[tuple] = []
             texts: list[np.ndarray] = []
             for b in scope:
@@ -119,6 +119,7 @@ def _candidate_runs(source: DataFrame, bitmap, bits: int, share: tuple[int, int]
             if not held:
                 continue
             cols = [np.concatenate(x) for x in zip(*held, strict=True)]
+            held.clear()
             _, group, size = np.unique(_pairs(cols[0], cols[1]), return_inverse=True, return_counts=True)
             slot = cols[0] & np.uint64((1 << bits) - 1)  # an anchor is a smallest hash: its leading bits are not spread
             shared = (wanted[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 > 0
@@ -219,10 +220,10 @@ def _collections(runs_: DataFrame, length: int, collection: int) -> DataFrame:
 
 
 def repeated_spans(
-    source: DataFrame, length: int, gram: int = GRAM, collection: int = COLLECTION, bitmap_bits: int = BITMAP_BITS
+    source: DataFrame, length: int, gram: int = GRAM, collection: int = COLLECTION, bitmap_bits: int = BITMAP_BITS, scope: int = SCOPE
 ) -> DataFrame:
     """(doc, mark, start, windows): stretches of window starts that are repeated, of a table (doc, mark, text)."""
-    hashes = written(_shared_hashes(source, length, gram), "anchors")
+    hashes = written(_shared_hashes(source, length, gram, scope), "anchors")
     n = hashes.count()
     bits = max(10, min(bitmap_bits, int(32 * max(n, 1)).bit_length()))
     shares = max(1, -(-8 * n // (1 << bitmap_bits)))  # more passes where the bitmap would be too full
@@ -235,7 +236,7 @@ def repeated_spans(
         )
         table, bitmap = words.toArrow(), np.zeros(max(1, (1 << bits) >> 6), dtype=np.int64)
         bitmap[table.column("word").to_numpy()] = table.column("bits").to_numpy()
-        found = written(_candidate_runs(source, sc.broadcast(bitmap.tobytes()), bits, (i, shares), length, gram), "runs")
+        found = written(_candidate_runs(source, sc.broadcast(bitmap.tobytes()), bits, (i, shares), length, gram, scope), "runs")
         # the later ones of equal runs in a scope have no bytes: they are repeated as a whole
         copies = found.where("content is null").select("doc", "mark", "start", "windows")
         dealt = found.where("content is not null").repartition("hash").sortWithinPartitions("hash", "content", "doc", "start")

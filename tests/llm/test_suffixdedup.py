@@ -73,15 +73,10 @@ def texts_of(seed):
 
 
 @pytest.mark.parametrize(
-    "seed, sizes", [(1, {}), (2, {"collection": 500}), (3, {"bitmap_bits": 12, "gram": 16}), (4, {"bitmap_bits": 6})]
+    "seed, sizes", [(1, {}), (2, {"collection": 500}), (3, {"bitmap_bits": 12, "scope": 3000}), (4, {"bitmap_bits": 6, "scope": 1})]
 )
-def test_removal_against_brute_force(spark, docs_of, seed, sizes, monkeypatch):
+def test_removal_against_brute_force(spark, docs_of, seed, sizes):
     texts = texts_of(seed)
-    if seed == 2:
-        monkeypatch.setattr(suffixdedup, "PART", 700)  # (the tasks of a local session share this process's module only when forked anew)
-    gram = sizes.pop("gram", None)
-    if gram:
-        monkeypatch.setattr(suffixdedup, "GRAM", gram)
     got = suffixdedup.digest(suffixdedup.remove_repeats(docs_of(texts, parts=4), length=100, **sizes)).collect()
     assert sorted(map(tuple, got)) == brute([(i, (t or "").encode()) for i, t in enumerate(texts)], 100)
 
