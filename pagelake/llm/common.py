@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -51,8 +51,28 @@ def byte_rows(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
 
 
-def slices(batch: pa.RecordBatch, column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
-    """A batch cut into row runs of about ``max_bytes`` of one text column (at least one row each)."""
+_caches: dict[str, Callable[[], None]] = {}
+_owner = ""
+
+
+def keep_cache(owner: str, clear: Callable[[], None]) -> None:
+    """Register what ``owner`` remembers between the tasks of a Python worker."""
+    _caches[owner] = clear
+
+
+def claim(owner: str) -> None:
+    """Python workers are used again by other operators: what those remember is dropped before this one works."""
+    global _owner
+    if owner != _owner:
+        _owner = owner
+        for name, clear in _caches.items():
+            if name != owner:
+                clear()
+
+
+def slices(batch: pa.RecordBatch, column: str, max_bytes: int, owner: str = "") -> Iterator[pa.RecordBatch]:
+    """A batch cut into row runs of about ``max_bytes`` of one text column (at least one row each), for ``owner``."""
+    claim(owner)
     lens = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0), dtype=np.int64)
     block = np.cumsum(lens) // max_bytes
     cuts = np.flatnonzero(np.diff(block)) + 1

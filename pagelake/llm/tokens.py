@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import id_text, id_type, slices, tokenizer_path
+from .common import id_text, id_type, keep_cache, slices, tokenizer_path
 
 NONE = np.iinfo(np.int64).max
 #: Distinct pre-tokens remembered by a worker before it starts afresh (a bound on memory, not on results).
@@ -131,6 +131,7 @@ class Splitter:
 @lru_cache(maxsize=4)
 def _worker(path: str) -> tuple[MergeTable, Splitter, dict]:
     table = MergeTable(path)
+    keep_cache("tokens", _worker.cache_clear)
     return table, Splitter(path, table), {}
 
 
@@ -157,7 +158,7 @@ def count_tokens(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path = tokenizer_path(tokenizer)
         for whole in batches:
-            for b in slices(whole, "text", 4 << 20):
+            for b in slices(whole, "text", 4 << 20, "tokens"):
                 texts = b.column("text").to_pylist()
                 n = token_counts(texts, path)
                 size = [len(t.encode()) if t else 0 for t in texts]
