@@ -24,7 +24,7 @@ from .common import arrow_schema, byte_rows, id_text, id_type, slices, written
 #: Fixed value: words are runs of ASCII letters, digits and non-ASCII characters, in lower case.
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 #: Words of a shard's suffix array.
-SHARD_WORDS = 1 << 20
+SHARD_WORDS = 1 << 18
 #: Bytes of test text broadcast at once.
 BLOCK_BYTES = 16 << 20
 
@@ -228,7 +228,7 @@ def find_contamination(
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ready = TestSet(test.value, window)
             for whole in batches:
-                for b in slices(whole, "text", 8 << 20):
+                for b in slices(whole, "text", 2 << 20):
                     out = list(_document_matches(byte_rows(b.column("text")), ready))
                     cols = [b.column("doc_id").to_pylist(), *zip(*out, strict=True)]
                     named = [
