@@ -6,7 +6,8 @@ neighbours reaches ``length``, they begin with the same string.
 
 To build such collections in parallel, the strings of the documents are dealt by content: equal strings have
 equal anchors (see ``anchors``), so the runs of one anchor hash meet in one collection. A first pass counts
-the anchor hashes; only runs of hashes that are shared take part in the second, which sends their bytes.
+the runs of every anchor hash; only runs of hashes that have several take part in the second, which sends their
+bytes. What is counted does not depend on the order of the rows, so the passes may see them in different ones.
 Equal runs are reduced to their first occurrence, in each task before they are sent and where they meet: the
 later ones are repeated as a whole. So a passage copied into a third of all documents enters a collection once.
 """
@@ -63,7 +64,7 @@ def _parts(texts: list[bytes | None], length: int) -> Iterator[tuple[np.ndarray,
 
 
 def _scopes(batches: Iterator[pa.RecordBatch], scope: int) -> Iterator[list[pa.RecordBatch]]:
-    """A task's rows in slices, gathered into scopes of about ``scope`` bytes of text: both passes cut them alike."""
+    """A task's rows in slices, gathered into scopes of about ``scope`` bytes of text."""
     held, size = [], 0
     for whole in batches:
         for b in slices(whole, "text", min(4 << 20, scope)):
@@ -81,19 +82,21 @@ def _pairs(hash_: np.ndarray, content_hash: np.ndarray) -> np.ndarray:
 
 
 def _shared_hashes(source: DataFrame, length: int, gram: int, scope_bytes: int) -> DataFrame:
-    """The anchor hashes that more than one (scope, run content) has: equal runs of one scope count once."""
+    """The anchor hashes of more than one run. Runs of one scope that are equal are sent as one row with their number
+    (2 stands for any more), so the sum is the same however the rows lie in scopes."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for scope in _scopes(batches, scope_bytes):
             found = [runs(data, ends, length, gram)[3:] for b in scope for data, ends, _, _ in _parts(byte_rows(b.column("text")), length)]
             if found:
                 hash_, content_hash = (np.concatenate(x) for x in zip(*found, strict=True))
-                first = np.unique(_pairs(hash_, content_hash), return_index=True)[1]
-                yield pa.RecordBatch.from_arrays([pa.array(hash_[first].view(np.int64))], names=["hash"])
+                _, first, n = np.unique(_pairs(hash_, content_hash), return_index=True, return_counts=True)
+                cols = [pa.array(hash_[first].view(np.int64)), pa.array(np.minimum(n, 2).astype(np.int8))]
+                yield pa.RecordBatch.from_arrays(cols, names=["hash", "n"])
 
     # dealt as bare hashes, then counted where they meet
-    dealt = source.mapInArrow(count, "hash long").repartition("hash")
-    return dealt.groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("hash")
+    dealt = source.mapInArrow(count, "hash long, n tinyint").repartition("hash")
+    return dealt.groupBy("hash").agg(F.sum("n").alias("n")).where(F.col("n") > 1).select("hash")
 
 
 def _candidate_runs(source: DataFrame, bitmap, bits: int, share: tuple[int, int], length: int, gram: int, scope_bytes: int) -> DataFrame:
@@ -120,19 +123,16 @@ def _candidate_runs(source: DataFrame, bitmap, bits: int, share: tuple[int, int]
                 continue
             cols = [np.concatenate(x) for x in zip(*held, strict=True)]
             held.clear()
-            _, group, size = np.unique(_pairs(cols[0], cols[1]), return_inverse=True, return_counts=True)
             slot = cols[0] & np.uint64((1 << bits) - 1)  # an anchor is a smallest hash: its leading bits are not spread
             shared = (wanted[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 > 0
-            keep = shared | (size[group] > 1)
-            hash_, content_hash, doc, mark, start, windows, block, at = (c[keep] for c in cols)
-            shared = shared[keep]
+            hash_, content_hash, doc, mark, start, windows, block, at = (c[shared] for c in cols)
             order = np.lexsort((start, doc, content_hash, hash_))
             lead = np.ones(len(order), dtype=bool)
             lead[1:] = (np.diff(hash_[order]) != 0) | (np.diff(content_hash[order]) != 0)
             first = order[np.maximum.accumulate(np.where(lead, np.arange(len(order)), 0))]
             again = (doc[order] == doc[first]) & (start[order] == start[first])  # the same place in a row that repeats its id
             wide = again & (lead | (mark[order] != mark[first]))  # with another text it has other strings, too
-            some = (wide & shared[order]) | ~again
+            some = wide | ~again
             order, bytes_ = order[some], wide[some]
             content = [
                 texts[k][a : a + n + length - 1].tobytes() if w else None

@@ -4,6 +4,7 @@ import tempfile
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from pagelake.llm import anchors, bwt, suffixdedup
 
@@ -110,3 +111,17 @@ def test_rows_that_repeat_an_id(spark):
     assert got == [(0, 250), (1, 0), (1, 0), (2, 0)]
     got = sorted((r.doc_id, len(r.kept)) for r in suffixdedup.remove_repeats(df.where("doc_id is not null")).collect())
     assert got == [(1, 250), (1, 250), (2, 0)]
+
+
+def test_passes_may_see_rows_in_different_orders(spark, monkeypatch):
+    rnd = random.Random(4)
+    say = lambda: "".join(rnd.choice("abcdefgh") for _ in range(300))
+    twice = say()
+    rows = [(0, 0, twice), (1, 0, say()), (2, 0, twice), (3, 0, say())]
+    source = spark.createDataFrame(rows, "doc long, mark long, text string").coalesce(1)
+    real = suffixdedup._candidate_runs
+    # the copies share a scope of two rows in the first pass, and lie in different ones in the second
+    monkeypatch.setattr(suffixdedup, "_candidate_runs", lambda s, *rest: real(s.sortWithinPartitions("doc"), *rest))
+    first = source.sortWithinPartitions(F.col("doc") % 2, "doc")
+    got = suffixdedup.repeated_spans(first, 100, scope=301).collect()
+    assert {r.doc for r in got} == {2} and sum(r.windows for r in got) == 201
