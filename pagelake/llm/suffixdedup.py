@@ -10,6 +10,10 @@ the runs of every anchor hash; only runs of hashes that have several take part i
 bytes. What is counted does not depend on the order of the rows, so the passes may see them in different ones.
 Equal runs are reduced to their first occurrence, in each task before they are sent and where they meet: the
 later ones are repeated as a whole. So a passage copied into a third of all documents enters a collection once.
+
+A common gram with other bytes around it everywhere gives one hash very many different runs. Where they have more
+bytes than a collection, their windows are dealt again by anchors of longer grams, at last by the whole window:
+equal windows have equal anchors of every gram length, so they still meet.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagelake.operators.indexing import broadcast_if_small
 from pagelake.session import ship_code
 
 from .anchors import mix, runs
@@ -34,11 +39,14 @@ GRAM = 32
 PART = 1 << 18
 #: Bytes of text of a task within which equal runs are reduced before anything is sent (about 30 runs a KB).
 SCOPE = 16 << 20
-#: Bytes of a collection; a collection ends at the first anchor hash after that.
+#: Bytes of a collection; a collection ends at the first anchor hash after that. A hash with more is dealt again.
 COLLECTION = 1 << 19
+#: Bytes of runs dealt again at once: by whole windows they become some sixty times as many.
+AGAIN = 1 << 20
 #: Bits of an anchor hash that say its slot in the broadcast bitmap of repeated hashes, at most (2^28 slots are 32 MB).
 BITMAP_BITS = 28
 NULL_ID = -(1 << 63)
+RUNS = "hash long, doc long, mark long, start long, windows long, content binary"
 
 
 def _parts(texts: list[bytes | None], length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -63,13 +71,13 @@ def _parts(texts: list[bytes | None], length: int) -> Iterator[tuple[np.ndarray,
         yield block()
 
 
-def _scopes(batches: Iterator[pa.RecordBatch], scope: int) -> Iterator[list[pa.RecordBatch]]:
+def _scopes(batches: Iterator[pa.RecordBatch], scope: int, column: str = "text") -> Iterator[list[pa.RecordBatch]]:
     """A task's rows in slices, gathered into scopes of about ``scope`` bytes of text."""
     held, size = [], 0
     for whole in batches:
-        for b in slices(whole, "text", min(4 << 20, scope)):
+        for b in slices(whole, column, min(4 << 20, scope)):
             held.append(b)
-            size += pa.compute.sum(pa.compute.binary_length(b.column("text"))).as_py() or 0
+            size += pa.compute.sum(pa.compute.binary_length(b.column(column))).as_py() or 0
             if size >= scope:
                 yield held
                 held, size = [], 0
@@ -82,7 +90,7 @@ def _pairs(hash_: np.ndarray, content_hash: np.ndarray) -> np.ndarray:
 
 
 def _shared_hashes(source: DataFrame, length: int, gram: int, scope_bytes: int) -> DataFrame:
-    """The anchor hashes of more than one run. Runs of one scope that are equal are sent as one row with their number
+    """(hash, n): the anchor hashes of more than one run. Runs of one scope that are equal are sent as one row with their number
     (2 stands for any more), so the sum is the same however the rows lie in scopes."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,7 +104,25 @@ def _shared_hashes(source: DataFrame, length: int, gram: int, scope_bytes: int)
 
     # dealt as bare hashes, then counted where they meet
     dealt = source.mapInArrow(count, "hash long, n tinyint").repartition("hash")
-    return dealt.groupBy("hash").agg(F.sum("n").alias("n")).where(F.col("n") > 1).select("hash")
+    return dealt.groupBy("hash").agg(F.sum("n").alias("n")).where(F.col("n") > 1)
+
+
+def _reduced(hash_, content_hash, doc, mark, start, windows, block, at, texts: list[np.ndarray], length: int) -> pa.RecordBatch:
+    """Of equal runs the first one with its bytes (``at`` in ``texts[block]``), the later ones without."""
+    order = np.lexsort((start, doc, content_hash, hash_))
+    lead = np.ones(len(order), dtype=bool)
+    lead[1:] = (np.diff(hash_[order]) != 0) | (np.diff(content_hash[order]) != 0)
+    first = order[np.maximum.accumulate(np.where(lead, np.arange(len(order)), 0))]
+    again = (doc[order] == doc[first]) & (start[order] == start[first])  # the same place in a row that repeats its id
+    wide = again & (lead | (mark[order] != mark[first]))  # with another text it has other strings, too
+    some = wide | ~again
+    order, bytes_ = order[some], wide[some]
+    content = [
+        texts[k][a : a + n + length - 1].tobytes() if w else None
+        for k, a, n, w in zip(block[order].tolist(), at[order].tolist(), windows[order].tolist(), bytes_.tolist(), strict=True)
+    ]
+    out = [pa.array(c) for c in (hash_.view(np.int64)[order], doc[order], mark[order], start[order], windows[order])]
+    return pa.RecordBatch.from_arrays([*out, pa.array(content, pa.binary())], names=["hash", "doc", "mark", "start", "windows", "content"])
 
 
 def _candidate_runs(source: DataFrame, bitmap, bits: int, share: tuple[int, int], length: int, gram: int, scope_bytes: int) -> DataFrame:
@@ -125,23 +151,29 @@ def _candidate_runs(source: DataFrame, bitmap, bits: int, share: tuple[int, int]
             held.clear()
             slot = cols[0] & np.uint64((1 << bits) - 1)  # an anchor is a smallest hash: its leading bits are not spread
             shared = (wanted[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 > 0
-            hash_, content_hash, doc, mark, start, windows, block, at = (c[shared] for c in cols)
-            order = np.lexsort((start, doc, content_hash, hash_))
-            lead = np.ones(len(order), dtype=bool)
-            lead[1:] = (np.diff(hash_[order]) != 0) | (np.diff(content_hash[order]) != 0)
-            first = order[np.maximum.accumulate(np.where(lead, np.arange(len(order)), 0))]
-            again = (doc[order] == doc[first]) & (start[order] == start[first])  # the same place in a row that repeats its id
-            wide = again & (lead | (mark[order] != mark[first]))  # with another text it has other strings, too
-            some = wide | ~again
-            order, bytes_ = order[some], wide[some]
-            content = [
-                texts[k][a : a + n + length - 1].tobytes() if w else None
-                for k, a, n, w in zip(block[order].tolist(), at[order].tolist(), windows[order].tolist(), bytes_.tolist(), strict=True)
-            ]
-            out = [pa.array(c) for c in (hash_.view(np.int64)[order], doc[order], mark[order], start[order], windows[order])]
-            yield pa.RecordBatch.from_arrays([*out, pa.array(content, pa.binary())], names=["hash", "doc", "mark", "start", "windows", "content"])
-
-    return source.mapInArrow(find, "hash long, doc long, mark long, start long, windows long, content binary")
+            yield _reduced(*(c[shared] for c in cols), texts, length)
+
+    return source.mapInArrow(find, RUNS)
+
+
+def _dealt_again(found: DataFrame, length: int, gram: int) -> DataFrame:
+    """Runs by the anchors of another gram length, of the windows of runs that have their bytes; reduced like those."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for scope in _scopes(batches, AGAIN, "content"):
+            held, texts = [], []
+            for b in scope:
+                doc, mark, start = (np.asarray(b.column(c), dtype=np.int64) for c in ("doc", "mark", "start"))
+                for data, ends, row, offset in _parts(byte_rows(b.column("content")), length):
+                    part, at, windows, hash_, content_hash = runs(data, ends, length, gram)
+                    begins, of = np.concatenate([[0], ends[:-1]]), row[part]
+                    at_start = start[of] + at - begins[part] + offset[part]
+                    held.append((hash_, content_hash, doc[of], mark[of], at_start, windows, np.full(len(at), len(texts)), at))
+                    texts.append(data)
+            if held:
+                yield _reduced(*(np.concatenate(x) for x in zip(*held, strict=True)), texts, length)
+
+    return found.mapInArrow(find, RUNS)
 
 
 def repeated_windows(strings: list[bytes], doc: np.ndarray, start: np.ndarray, length: int) -> np.ndarray:
@@ -170,6 +202,10 @@ def _collections(runs_: DataFrame, length: int, collection: int) -> DataFrame:
         strings, doc, mark, start, copies = [], [], [], [], []
         size, group, last_hash, last, place, marks = 0, 0, None, None, None, set()
 
+        def table(rows):
+            cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["doc", "mark", "start", "windows"])
+
         def solve():
             nonlocal size
             d, s = np.array(doc, dtype=np.int64), np.array(start, dtype=np.int64)
@@ -184,8 +220,7 @@ def _collections(runs_: DataFrame, length: int, collection: int) -> DataFrame:
             for x in (strings, doc, mark, start, copies):
                 x.clear()
             size = 0
-            cols = list(zip(*out, strict=True)) if out else [[]] * 4
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["doc", "mark", "start", "windows"])
+            return table(out)
 
         def alone():
             """A string that shares its hash with no other has nothing to be compared with."""
@@ -199,13 +234,16 @@ def _collections(runs_: DataFrame, length: int, collection: int) -> DataFrame:
             for h, d, m, s, n, content in zip(*(b.column(c).to_pylist() for c in ("hash", "doc", "mark", "start", "windows", "content")), strict=True):
                 if h != last_hash:
                     alone()
-                    if size >= collection or len(copies) > 100_000:
+                    if size >= collection:
                         yield solve()
                     group, last = len(strings), None
                 if h != last_hash or content != last:
                     last_hash, last, place, marks = h, content, (d, s), set()
                 if (d, s) != place:  # the same run starts earlier: all its strings are repeated
                     copies.append((d, m, s, n))
+                    if len(copies) > 100_000:
+                        yield table(copies)
+                        copies.clear()
                 elif m not in marks:  # the first place (marks: rows that repeat its id with another text)
                     marks.add(m)
                     strings.append(content)
@@ -237,10 +275,23 @@ def repeated_spans(
         table, bitmap = words.toArrow(), np.zeros(max(1, (1 << bits) >> 6), dtype=np.int64)
         bitmap[table.column("word").to_numpy()] = table.column("bits").to_numpy()
         found = written(_candidate_runs(source, sc.broadcast(bitmap.tobytes()), bits, (i, shares), length, gram, scope), "runs")
-        # the later ones of equal runs in a scope have no bytes: they are repeated as a whole
-        copies = found.where("content is null").select("doc", "mark", "start", "windows")
-        dealt = found.where("content is not null").repartition("hash").sortWithinPartitions("hash", "content", "doc", "start")
-        out += [copies, _collections(dealt, length, collection)]
+        counts, at = some, gram
+        for longer in ((gram + length) // 2, length, None):
+            # the later ones of equal runs in a scope have no bytes: they are repeated as a whole
+            out.append(found.where("content is null").select("doc", "mark", "start", "windows"))
+            dealt = found.where("content is not null")
+            # a run has at most 2 * length - gram bytes; anchors of whole windows need no others, as equal windows stand once
+            large = counts.where(F.col("n") > collection // (2 * length - at)).select("hash")
+            again = longer is not None and len(large.head(1)) > 0
+            if again:
+                large = broadcast_if_small(large, 4_000_000)
+                found = written(_dealt_again(dealt.join(large, "hash", "left_semi"), length, longer), "runs")
+                dealt = dealt.join(large, "hash", "left_anti")
+            out.append(_collections(dealt.repartition("hash").sortWithinPartitions("hash", "content", "doc", "start"), length, collection))
+            if not again:
+                break
+            if longer < length:
+                counts, at = written(found.where("content is not null").groupBy("hash").agg(F.count("*").alias("n")), "anchors"), longer
     return reduce(DataFrame.unionByName, out)
 
 

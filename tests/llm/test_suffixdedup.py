@@ -125,3 +125,18 @@ def test_passes_may_see_rows_in_different_orders(spark, monkeypatch):
     first = source.sortWithinPartitions(F.col("doc") % 2, "doc")
     got = suffixdedup.repeated_spans(first, 100, scope=301).collect()
     assert {r.doc for r in got} == {2} and sum(r.windows for r in got) == 201
+
+
+def test_a_common_gram_among_other_bytes_is_dealt_again(spark, docs_of, monkeypatch):
+    rnd = random.Random(5)
+    say = lambda n: "".join(rnd.choice("abcdefgh") for _ in range(n))
+    short, long_ = say(40), say(90)
+    texts = [say(80) + short + say(80) for _ in range(60)] + [say(80) + long_ + say(80) for _ in range(60)]
+    texts += [texts[3][20:180] + say(9), say(7) + texts[70][40:190], texts[80][:170]]
+    dealt, real = [], suffixdedup._collections
+    monkeypatch.setattr(suffixdedup, "_collections", lambda runs_, *rest: dealt.append(runs_) or real(runs_, *rest))
+    got = suffixdedup.digest(suffixdedup.remove_repeats(docs_of(texts, parts=4), length=100, collection=2000)).collect()
+    assert sorted(map(tuple, got)) == brute([(i, t.encode()) for i, t in enumerate(texts)], 100)
+    for runs_ in dealt:
+        sizes = runs_.select("hash", "content").distinct().groupBy("hash").agg(F.sum(F.octet_length("content")).alias("n"))
+        assert all(r.n <= 2000 for r in sizes.collect())
