@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pagelake.session import read_table
 
-from . import annsearch, chat, decontam, langmodel, packing, sharding, simhash, suffixdedup, tokens, toxicity
+from . import annsearch, chat, decontam, langmodel, packing, sharding, simhash, sketches, suffixdedup, tokens, toxicity
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,6 +74,11 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(documents(spark, sf_dir), shards=40)
 
 
+@query
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.fingerprint_documents(documents(spark, sf_dir), scale=4)
+
+
 def _chat_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results derived from the conversations by a fixed rule: every assistant turn is a call with an
     identifier of its turn, whole text included; the turn after it is the result, unless it is one of the
