@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pagelake.session import read_table
 
-from . import annsearch, chat, decontam, langmodel, packing, sharding, simhash, sketches, suffixdedup, tokens, toxicity
+from . import annsearch, chat, decontam, langmodel, packing, ranking, sharding, simhash, sketches, suffixdedup, tokens, toxicity
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,6 +79,30 @@ def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketches.fingerprint_documents(documents(spark, sf_dir), scale=4)
 
 
+@query
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.rank_documents(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"), k=10)
+
+
+SQL["op12_ranked_search"] = r"""
+with occurrence as (
+  select doc_id, translate(unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as term from documents),
+tf as (select doc_id, term, count(*) as tf from occurrence group by all),
+length as (select doc_id, sum(tf)::bigint as n from tf group by all),
+total as (select count(*) as docs, sum(n)::bigint as terms from length),
+weight as (select term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::bigint as w from tf, total group by term, docs),
+asked as (
+  select item_id, translate(unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as term from benchmark),
+scored as (
+  select item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // terms))))::bigint as score
+  from asked join tf using (term) join weight using (term) join length using (doc_id), total group by all having score > 0)
+select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank, doc_id, score
+from scored qualify rank <= 10
+"""
+
+
 def _chat_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results derived from the conversations by a fixed rule: every assistant turn is a call with an
     identifier of its turn, whole text included; the turn after it is the result, unless it is one of the
