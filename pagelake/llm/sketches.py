@@ -1,6 +1,6 @@
 """Document fingerprints by threshold-scaled sketches.
 
-A document is the set of its shingles of five words. Each shingle has a hash of 48 bits, and the sketch keeps
+A document is the set of its shingles of five words. Each shingle has a hash of 31 bits, and the sketch keeps
 every hash below a fixed fraction (1/``scale``) of their range. So the sketch grows with the document, and the
 sketches of a short and of a very long document are samples of the same hashes: what is common to two
 sketches estimates what is common to the documents, whatever their sizes. A set of which no hash is that
@@ -24,7 +24,7 @@ from .common import written
 SHINGLE = 5
 SCALE = 4
 #: Bits of a hash.
-BITS = 48
+BITS = 31
 #: Ranges of scripts written without spaces (Thai, Lao, Myanmar, Khmer, kana, Han).
 UNSPACED = r"\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}"
 WORD = rf"[{UNSPACED}]|[^\s\p{{Z}}{UNSPACED}]+"
@@ -44,13 +44,13 @@ def _kept(hashes: Column, scale: int) -> Column:
 
 
 def sketch(text: Column, scale: int = SCALE, shingle: int = SHINGLE) -> Column:
-    """The sorted hashes kept of a text (array of longs); empty for a null text or one without words."""
+    """The sorted hashes kept of a text (array of ints); empty for a null text or one without words."""
 
     def hashes(words: Column) -> Column:
         places = F.sequence(F.lit(0), F.greatest(F.size(words) - shingle, F.lit(0)))
         # words beyond the end are null and leave the hash as it is
-        each = F.transform(places, lambda i: F.shiftrightunsigned(F.xxhash64(*[F.get(words, i + j) for j in range(shingle)]), 64 - BITS))
-        return F.when(F.size(words) > 0, each).otherwise(F.array().cast("array<bigint>"))
+        each = F.transform(places, lambda i: F.shiftrightunsigned(F.xxhash64(*[F.get(words, i + j) for j in range(shingle)]), 64 - BITS).cast("int"))
+        return F.when(F.size(words) > 0, each).otherwise(F.array().cast("array<int>"))
 
     words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
     return _let(_let(words, hashes), lambda h: _kept(h, scale))
@@ -83,8 +83,8 @@ def resemblance(a: Column, b: Column) -> Column:
 
 
 def as_text(hashes: Column) -> Column:
-    """A sketch as text: eight characters (base 64) for each hash, in ascending order."""
-    digits = F.transform(hashes, lambda h: F.lpad(F.lower(F.hex(h)), BITS // 4, "0"))
+    """A sketch as text: its hashes in ascending order, four bytes each, in base 64."""
+    digits = F.transform(hashes, lambda h: F.lpad(F.hex(h), 8, "0"))
     return F.translate(F.base64(F.unhex(F.array_join(digits, ""))), "\r\n", "")  # without the line ends of MIME
 
 
@@ -107,7 +107,7 @@ def _positions(rows: DataFrame, order: list[str]) -> tuple[DataFrame, int]:
 
 def fingerprint_documents(docs: DataFrame, scale: int = SCALE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next,
-    jaccard_edited, jaccard_next, sketch_size.
+    jaccard_edited, jaccard_next, sketch_size, next_id.
 
     The edited text has the last floor(n_chars/4) characters replaced by the first as many (or all) of the
     next document by ascending id; the last one is followed by the first, a single one by itself. Null ids come
@@ -115,22 +115,29 @@ def fingerprint_documents(docs: DataFrame, scale: int = SCALE, id_col: str = "do
     next. A null text is empty. Other columns take no part. near_*: ``likeness``; jaccard_*: ``resemblance``.
 
     The texts are written once with a number of their own, so ids need not be unique; the order is found on
-    narrow rows. Each document sends only the characters needed to the one before it.
+    narrow rows. The texts are shuffled once, by that number: there each learns how many characters the document
+    before it needs, sends them with its sketch, and meets what the next one sends.
     """
     body = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     base = docs.select(F.monotonically_increasing_id().alias("row"), docs[id_col].alias("doc_id"), body.alias("text"))
-    base = written(base.withColumn("n", F.char_length("text")).withColumn("own", sketch(F.col("text"), scale)), "sketches")
+    base = written(base.withColumn("n", F.char_length("text")), "sketches")
     keys = base.select("row", "doc_id", F.xxhash64("text").alias("hash"), "n")
     at, total = _positions(keys, ["doc_id", "hash", "row"])
     taker = at.select(F.col("row").alias("taker"), F.floor(F.col("n") / 4).cast("int").alias("need"), ((F.col("pos") + 1) % max(total, 1)).alias("pos"))
     links = taker.join(at.select(F.col("row"), "pos"), "pos").select("row", "taker", "need")
+    # (both joins take the same columns of the texts, so that the second one uses the first one's shuffle)
     heads = base.join(links, "row").select(
-        F.col("taker").alias("row"), F.expr("substring(text, 1, need)").alias("head"), F.col("own").alias("next"), "need"
+        F.col("taker").alias("row"),
+        F.expr("substring(text, 1, least(need, n))").alias("head"),
+        sketch(F.col("text"), scale).alias("next"),
+        F.col("doc_id").alias("next_id"),
+        "need",
     )
     edited = F.concat(F.expr("substring(text, 1, n - need)"), F.col("head"))
-    both = base.join(heads, "row").select("doc_id", "n", "own", "next", edited.alias("edited"))
-    # (one row out for each row in: the edited sketch is computed once, below what uses it)
-    both = both.select("*", F.explode(F.array(sketch(F.col("edited"), scale))).alias("new"))
+    both = base.join(heads, "row").select("doc_id", "n", "text", "next", "next_id", edited.alias("edited"))
+    # (one row out for each row in: the sketches are computed once, below what uses them)
+    sketches = F.struct(sketch(F.col("text"), scale).alias("own"), sketch(F.col("edited"), scale).alias("new"))
+    both = both.select("doc_id", "n", "next", "next_id", "edited", F.inline(F.array(sketches)))
     return both.select(
         "doc_id",
         F.col("n").cast("long").alias("n_chars"),
@@ -142,4 +149,5 @@ def fingerprint_documents(docs: DataFrame, scale: int = SCALE, id_col: str = "do
         resemblance(F.col("own"), F.col("new")).alias("jaccard_edited"),
         resemblance(F.col("own"), F.col("next")).alias("jaccard_next"),
         F.size("own").alias("sketch_size"),
+        "next_id",
     )

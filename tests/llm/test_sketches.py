@@ -19,12 +19,12 @@ def plain_sketch(text, scale):
         h = 42
         for w in words[i : i + 5]:
             h = xxhash.xxh64_intdigest(w.encode(), h)
-        hashes.add(h >> 16)
-    return sorted({h for h in hashes if h < 2**48 // scale} or sorted(hashes)[:1])
+        hashes.add(h >> 33)
+    return sorted({h for h in hashes if h < 2**31 // scale} or sorted(hashes)[:1])
 
 
 def as_text(hashes):
-    return base64.b64encode(b"".join(h.to_bytes(6, "big") for h in hashes)).decode()
+    return base64.b64encode(b"".join(h.to_bytes(4, "big") for h in hashes)).decode()
 
 
 def like(a, b):
@@ -60,7 +60,7 @@ def test_sketches_merge(spark):
     left, right = sketches.sketch(F.col("a"), 8), sketches.sketch(F.col("b"), 8)
     r = df.select(left.alias("l"), right.alias("r"), sketches.merged(left, right, 8).alias("m"), sketches.containment(right, left).alias("c")).first()
     both = sorted(set(r.l) | set(r.r))
-    assert r.m == ([h for h in both if h < 2**48 // 8] or both[:1])
+    assert r.m == ([h for h in both if h < 2**31 // 8] or both[:1])
     assert r.c == len(set(r.l) & set(r.r)) / len(r.r)
 
 
