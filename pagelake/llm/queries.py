@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pagelake.session import read_table
 
-from . import annsearch, chat, decontam, langmodel, packing, ranking, sharding, simhash, sketches, suffixdedup, tokens, toxicity
+from . import annsearch, chat, collocations, decontam, langmodel, packing, ranking, sharding, simhash, sketches, suffixdedup, tokens, toxicity
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,6 +103,39 @@ from scored qualify rank <= 10
 """
 
 
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(documents(spark, sf_dir), top=2000, least=10)
+
+
+SQL["op13_collocations"] = r"""
+with words as (
+  select coalesce(lang, 'und') as lang, row_number() over () as piece,
+    regexp_extract_all(translate(piece, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09]+') as w
+  from (select lang, unnest(regexp_split_to_array(coalesce(text, ''), '[.,;:!?\x0A-\x0D]')) as piece from documents)),
+grams as (
+  select lang, k, array_to_string(w[i : i + k - 1], ' ') as phrase, w[i : i + k - 1] as part
+  from (select lang, w, unnest(range(1, len(w) + 1)) as i from words), (select unnest([1, 2, 3]) as k) where i + k - 1 <= len(w)),
+f as (select lang, k, phrase, any_value(part) as part, count(*)::hugeint as a from grams group by lang, k, phrase),
+total as (select lang, sum(a)::bigint as n from f where k = 1 group by lang),
+cut as (
+  select c.lang, c.k, c.phrase, c.part, c.a, cut, x.a as l, y.a as r, (1000000 * c.a * c.a) // (x.a * y.a) as score
+  from (select *, unnest(range(1, k)) as cut from f where k > 1 and a >= 10) c
+  join f x on x.lang = c.lang and x.phrase = array_to_string(c.part[1 : cut], ' ')
+  join f y on y.lang = c.lang and y.phrase = array_to_string(c.part[cut + 1 : c.k], ' ')),
+candidate as (select * from cut qualify row_number() over (partition by lang, phrase order by score, cut) = 1),
+held as (
+  select lang, phrase, max(a) as longer
+  from (select lang, a, unnest([array_to_string(part[1:2], ' '), array_to_string(part[2:3], ' ')]) as phrase from candidate where k = 3) group by all),
+kept as (
+  select c.* from candidate c left join held h on h.lang = c.lang and h.phrase = c.phrase and c.k = 2
+  where h.longer is null or 100 * h.longer < 50 * c.a)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase,
+  a::bigint as a, l::bigint as l, r::bigint as r, n, score::bigint as score
+from kept join total using (lang) qualify rank <= 2000
+"""
+
+
 def _chat_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results derived from the conversations by a fixed rule: every assistant turn is a call with an
     identifier of its turn, whole text included; the turn after it is the result, unless it is one of the
