@@ -19,13 +19,27 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .common import arrow_schema, byte_rows, id_text, id_type, keep_cache, slices, tokenizer_path
+from .common import arrow_schema, id_text, id_type, keep_cache, slices, tokenizer_path
+from .wordruns import LOWER, flat, runs
 
 #: Remainders pooled at once (bounds a task's memory: at most capacity ids each).
 POOL = 6000
-#: Parts and words a worker remembers before it starts afresh (a bound on memory, not on results).
-REMEMBERED_PARTS, REMEMBERED_WORDS = 500_000, 700_000
+#: Words and parts a worker remembers before it starts afresh (a bound on memory, not on results).
+REMEMBERED = 700_000
+#: Bytes of a part: all but ASCII white space.
+PART = np.ones(256, dtype=bool)
+PART[list(b" \t\n\r\x0b\x0c")] = False
+#: Kinds of bytes: white space (0), letters (those of two bytes too), digits, other ASCII, and what makes a part whole.
+LETTER, DIGIT, OTHER, ODD = 1, 2, 3, 4
+KIND = np.full(256, ODD, dtype=np.uint8)
+KIND[ord("!") : ord("~") + 1] = OTHER
+KIND[ord("'")] = ODD
+KIND[ord("0") : ord("9") + 1] = DIGIT
+for _a, _b in ((ord("A"), ord("Z")), (ord("a"), ord("z")), (0xC3, 0xC9), (0x80, 0xBF)):
+    KIND[_a : _b + 1] = LETTER
+KIND[~PART] = 0
 # Lower-case letters and the vocabulary's split pattern, for texts of plain characters
 LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏ"  # without U+0130, whose lower case is two characters
 PLAIN = re.compile(rf"[!-~{LETTERS}]*\Z")
@@ -123,52 +137,107 @@ def _worker(path: str):
     tok.no_truncation()
     tok.no_padding()
     keep_cache("packing", _worker.cache_clear)
-    return tok, {}, {}
+    return tok, {}
 
 
-def _words(words: list[str], tok, known: dict) -> None:
+def _words(words: list[bytes], tok, known: dict) -> None:
     """Ids of words that are one pre-token each: many in one call, told apart by their word numbers."""
     for a in range(0, len(words), 5000):
         some = words[a : a + 5000]
-        e = tok.encode(" ".join(some), add_special_tokens=False)
+        e = tok.encode(b" ".join(some).decode(), add_special_tokens=False)
         ids, of = np.array(e.ids, dtype="<u4"), np.array(e.word_ids, dtype=np.int64)
         if len(of) and of[-1] + 1 == len(some):
             cuts = (4 * np.searchsorted(of, np.arange(len(some) + 1))).tolist()
             data = ids.tobytes()
             known.update((w, data[i:j]) for w, i, j in zip(some, cuts, cuts[1:], strict=False))
         else:
-            for w, one in zip(some, tok.encode_batch(some, add_special_tokens=False), strict=True):
+            for w, one in zip(some, tok.encode_batch([w.decode() for w in some], add_special_tokens=False), strict=True):
                 known[w] = np.array(one.ids, dtype="<u4").tobytes()
 
 
-def encode(texts: list[bytes | None], path: str, end_id: int) -> list[bytes]:
-    """Little-endian 32-bit ids of each text, ``end_id`` last; a null text has only that id.
-
-    The vocabulary drops white space and splits at it, so the ids of a text are those of its parts between
-    ASCII spaces. Each distinct part is looked at once, and split on to words where it is plain; parts with
-    other characters, or with the mark of a special string, go to the library as they are.
-    """
-    tok, known, word_ids = _worker(path)
-    end = end_id.to_bytes(4, "little")
-    parts = [t.split() if t else [] for t in texts]
-    if len(known) > REMEMBERED_PARTS:
-        known.clear()
-    if len(word_ids) > REMEMBERED_WORDS:
-        word_ids.clear()
+def _parts(parts: list[bytes], tok, known: dict) -> None:
+    """Ids of parts without white space: plain ones are split on to words, others (with other characters, or with
+    the mark of a special string) go to the library as they are."""
     plain, other = [], []
-    for p in {p for ps in parts for p in ps if p not in known}:
+    for p in parts:
         t = p.decode()
         if PLAIN.match(t) and "<|" not in t:
-            plain.append((p, WORDS.findall(t.lower())))
+            plain.append((p, [w.encode() for w in WORDS.findall(t.lower())]))
         else:
             other.append(p)
-    _words(list({w for _, ws in plain for w in ws if w not in word_ids}), tok, word_ids)
-    known.update((p, b"".join(map(word_ids.__getitem__, ws))) for p, ws in plain)
+    _words(list({w for _, ws in plain for w in ws if w not in known}), tok, known)
+    known.update([(p, b"".join(map(known.__getitem__, ws))) for p, ws in plain])
     for a in range(0, len(other), 20_000):
         some = other[a : a + 20_000]
         for p, e in zip(some, tok.encode_batch([p.decode() for p in some], add_special_tokens=False), strict=True):
             known[p] = np.array(e.ids, dtype="<u4").tobytes()
-    return [b"".join(map(known.__getitem__, ps)) + end for ps in parts]
+
+
+def units(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]:
+    """What the texts consist of besides ASCII white space: for each unit in order the number of the distinct one; those
+    (binary); which of those are whole parts; and how many units lie before the end of each text.
+
+    A unit is a run of letters, a digit or a run of other ASCII characters, in lower case (A-Z), if the part
+    between white space has nothing but those and no apostrophe; else it is the whole part.
+    """
+    data, begins = flat(texts)
+    kind = KIND[data]
+    before, after = data[:-1], data[1:]
+    pair = (before >= 0xC3) & (before <= 0xC9)  # first bytes of letters of two bytes
+    kind[1:][(after & 0xC0 == 0x80) & ~pair] = ODD
+    none = pair & (((before == 0xC3) & ((after == 0x97) | (after == 0xB7))) | ((before == 0xC4) & (after == 0xB0)) | ((before == 0xC9) & (after > 0x8F)))
+    kind[1:][none | ((before == ord("<")) & (after == ord("|")))] = ODD
+    starts, ends = runs(data, begins, PART)
+    odd = np.concatenate([[0], np.cumsum(kind == ODD)])
+    whole = odd[ends] > odd[starts]
+    # from here on without white space
+    inside = PART[data]
+    kind, data, size = kind[inside], data[inside], ends - starts
+    in_whole = np.repeat(whole, size)
+    first = np.ones(len(data), dtype=bool)
+    first[1:] = ~in_whole[1:] & ((kind[1:] != kind[:-1]) | (kind[1:] == DIGIT))
+    first[np.cumsum(size) - size] = True
+    at = np.flatnonzero(first)
+    found = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(at), [None, pa.py_buffer(np.append(at, len(data)).astype(np.int64)), pa.py_buffer(np.where(in_whole, data, LOWER[data]))]
+    ).dictionary_encode()
+    code = found.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    distinct_whole = np.zeros(len(found.dictionary), dtype=bool)
+    distinct_whole[code] = in_whole[at]
+    ended = np.concatenate([[0], np.cumsum(inside)])[begins[1:]]
+    return code, found.dictionary, distinct_whole, np.searchsorted(at, ended)
+
+
+def encode(texts: list[bytes | None], path: str, end_id: int) -> list[bytes]:
+    """Little-endian 32-bit ids of each text, ``end_id`` last; a null text has only that id."""
+    ids, at = encode_column(pa.array(texts, pa.binary()).cast(pa.string()), path, end_id)
+    return [ids[a:b].tobytes() for a, b in zip(at, at[1:], strict=False)]
+
+
+def encode_column(texts: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts one after the other, and where each text's ids begin (with the end). The last id of a
+    text is ``end_id``, a null text's only one.
+
+    The vocabulary drops white space and splits at it, so the ids of a text are those of its units. Distinct units
+    are looked up once, those not remembered are worked out, and the ids are then gathered for all places.
+    """
+    tok, known = _worker(path)
+    code, distinct, whole, last = units(texts)
+    if len(known) > REMEMBERED:
+        known.clear()
+    found = distinct.to_pylist()
+    new = [(u, w) for u, w in zip(found, whole.tolist(), strict=True) if u not in known]
+    _words([u for u, w in new if not w], tok, known)
+    _parts([u for u, w in new if w], tok, known)
+    found = [*map(known.__getitem__, found), end_id.to_bytes(4, "little")]
+    ids = np.frombuffer(b"".join(found), dtype="<u4")
+    size = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+    at = np.cumsum(size) - size
+    # after its last unit each text has one more, the end
+    code = np.insert(code, last, len(distinct))
+    size, before = size[code], np.concatenate([[0], np.cumsum(size[code])])
+    gathered = ids[np.repeat(at[code] - before[:-1], size) + np.arange(before[-1])]
+    return gathered, before[np.concatenate([[0], last + np.arange(1, len(last) + 1)])]
 
 
 def pack_documents(
@@ -183,8 +252,9 @@ def pack_documents(
 
     A null or empty text is a document of the end id alone. Repeated rows are packed as often as they
     occur; ids are carried as they are. No shuffle: a partition packs its own rows, and only its last
-    sequence can be short. Sequence ids are unique (partition number and a running number); rerunning a
-    lost task gives the same pieces.
+    sequence can be short. The rows of a partition are sorted by id and text first, so a task that is run again
+    gives the same pieces, in whatever order its rows arrive. Sequence ids are unique (partition number and a
+    running number).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,8 +267,9 @@ def pack_documents(
 
         for whole in batches:
             for b in slices(whole, "text", 4 << 20, "packing"):
-                for doc, ids in zip(b.column("doc_id").to_pylist(), encode(byte_rows(b.column("text")), path, end_id), strict=True):
-                    packer.add(ids, doc, len(ids) // 4)
+                ids, at = encode_column(b.column("text"), path, end_id)
+                for doc, x, y in zip(b.column("doc_id").to_pylist(), at.tolist(), at[1:].tolist(), strict=False):
+                    packer.add(ids[x:y].tobytes(), doc, y - x)
                 if packer.size > POOL:
                     packer.pack(keep=POOL // 2)
                 yield rows()
@@ -207,4 +278,5 @@ def pack_documents(
 
     ddl = f"doc_id {id_type(docs, id_col)}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     schema = arrow_schema(ddl)
-    return id_text(docs, id_col, text_col).mapInArrow(run, ddl)
+    rows = id_text(docs, id_col, text_col).sortWithinPartitions("doc_id", F.xxhash64("text"))
+    return rows.mapInArrow(run, ddl)
