@@ -49,42 +49,80 @@ class Hasher:
         return mix((self.sums[end] - self.sums[start]) * self.down[start] + (end - start).astype(np.uint64))
 
 
+class Runs:
+    """Runs of all texts in ``data`` (one after the other, text i ending at ``ends[i]``): text, first window start in
+    data, windows, place and hash of the anchor.
+
+    The windows of a run have two sides: those in which ``half`` bytes or more stand before the anchor, and those
+    in which the bytes after it are the more. Equal windows are on the same side, so two runs can only share
+    windows of a side if the bytes around the anchor that all of its windows hold agree: ``sides`` has their hashes.
+    """
+
+    def __init__(self, data: np.ndarray, ends: np.ndarray, length: int, gram: int):
+        self.length, self.gram, self.half = length, gram, (length - gram) // 2 + 1
+        self.text = self.first = self.windows = self.place = np.zeros(0, dtype=np.int64)
+        self.hash = np.zeros(0, dtype=np.uint64)
+        self.hasher = None
+        starts = np.concatenate([[0], ends[:-1]])
+        if len(data) >= gram and np.any(ends - starts >= length):
+            self.hasher = Hasher(data)
+            self._find(data, ends)
+
+    def content_hash(self, first: np.ndarray, windows: np.ndarray) -> np.ndarray:
+        if self.hasher is None:
+            return np.zeros(0, dtype=np.uint64)
+        return self.hasher.of(first, first + windows + self.length - 1)
+
+    def sides(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Whether a run has windows of the first side and its hash (0 without), and the same for the second side."""
+        left = self.first <= self.place - self.half
+        right = self.first + self.windows > self.place - self.half + 1
+        hashes = [np.zeros(len(self.first), dtype=np.uint64) for _ in range(2)]
+        if self.hasher is not None:
+            at = self.place[left]
+            hashes[0][left] = self.hasher.of(at - self.half, at + self.gram)
+            at = self.place[right]
+            hashes[1][right] = self.hasher.of(at, at + self.length - self.half + 1)
+        return left, hashes[0], right, hashes[1]
+
+    def _find(self, data: np.ndarray, ends: np.ndarray) -> None:
+        length, gram, hasher = self.length, self.gram, self.hasher
+        n = len(data) - gram + 1
+        at = np.arange(n)
+        h = mix((hasher.sums[gram:] - hasher.sums[:n]) * hasher.down[:n])
+        # sliding minimum over the grams of a window, with its place: the hash's low bits make room for the offset
+        width = length - gram + 1
+        bits = np.uint64(max(1, (width - 1).bit_length()))
+        low, k = h >> bits << bits, 1
+        place = np.zeros(n, dtype=np.uint8 if width <= 255 else np.int64)
+        while k < width:
+            step = min(k, width - k)
+            other, there = low[step:], place[step:]
+            less = other < low[: n - step]
+            place = np.where(less, there + place.dtype.type(step), place[: n - step])
+            low = np.where(less, other, low[: n - step])
+            n, k = n - step, k + step
+        ok = np.zeros(n, dtype=bool)  # windows that lie in one text
+        text = np.searchsorted(ends, at[:n], side="right")
+        ok = at[:n] + length <= ends[text]
+        where = at[:n] + place
+        new = np.ones(n, dtype=bool)
+        new[1:] = (where[1:] != where[:-1]) | ~ok[:-1]
+        first = np.flatnonzero(new & ok)
+        if not len(first):
+            return
+        stop = np.flatnonzero(new | ~ok)
+        after = np.searchsorted(stop, first, side="right")
+        last = np.append(stop, n)[after]
+        self.text, self.first, self.windows = text[first], first, last - first
+        self.place, self.hash = where[first], h[where[first]]
+
+
 def runs(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Runs of all texts in ``data`` (one after the other, text i ending at ``ends[i]``).
+    """(text, first window start in data, windows, anchor hash, content hash) of each of the ``Runs``.
 
-    Returns (text, first window start in data, windows, anchor hash, content hash) per run; the content of a
-    run are the bytes of its windows, ``windows`` + ``length`` - 1 of them. Texts shorter than ``length`` have none.
+    The content of a run are the bytes of its windows, ``windows`` + ``length`` - 1 of them. Texts shorter than
+    ``length`` have none.
     """
-    none = np.zeros(0, dtype=np.int64)
-    starts = np.concatenate([[0], ends[:-1]])
-    n = len(data) - gram + 1
-    if n <= 0 or not np.any(ends - starts >= length):
-        return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
-    hasher = Hasher(data)
-    at = np.arange(n)
-    h = mix((hasher.sums[gram:] - hasher.sums[:n]) * hasher.down[:n])
-    # sliding minimum over the grams of a window, with its place: the hash's low bits make room for the offset
-    width = length - gram + 1
-    bits = np.uint64(max(1, (width - 1).bit_length()))
-    low, k = h >> bits << bits, 1
-    place = np.zeros(n, dtype=np.uint8 if width <= 255 else np.int64)
-    while k < width:
-        step = min(k, width - k)
-        other, there = low[step:], place[step:]
-        less = other < low[: n - step]
-        place = np.where(less, there + place.dtype.type(step), place[: n - step])
-        low = np.where(less, other, low[: n - step])
-        n, k = n - step, k + step
-    ok = np.zeros(n, dtype=bool)  # windows that lie in one text
-    text = np.searchsorted(ends, at[:n], side="right")
-    ok = at[:n] + length <= ends[text]
-    where = at[:n] + place
-    new = np.ones(n, dtype=bool)
-    new[1:] = (where[1:] != where[:-1]) | ~ok[:-1]
-    first = np.flatnonzero(new & ok)
-    if not len(first):
-        return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
-    stop = np.flatnonzero(new | ~ok)
-    after = np.searchsorted(stop, first, side="right")
-    last = np.append(stop, n)[after]
-    return text[first], first, last - first, h[where[first]], hasher.of(first, last + length - 1)
+    r = Runs(data, ends, length, gram)
+    return r.text, r.first, r.windows, r.hash, r.content_hash(r.first, r.windows)

@@ -5,9 +5,11 @@ transform and common prefixes (see ``bwt``) put equal strings next to each other
 neighbours reaches ``length``, they begin with the same string.
 
 To build such collections in parallel, the strings of the documents are dealt by content: equal strings have
-equal anchors (see ``anchors``), so the runs of one anchor hash meet in one collection. A first pass counts
-the runs of every anchor hash; only runs of hashes that have several take part in the second, which sends their
-bytes. What is counted does not depend on the order of the rows, so the passes may see them in different ones.
+equal anchors (see ``anchors``), so the runs of one anchor hash meet in one collection. Two runs of one anchor can
+only share a window if half of the window's other bytes agree on one side of the anchor. A first pass counts the
+runs by the hashes of these wider strings; only the windows of sides whose hash several runs have take part in the
+second pass, which sends their bytes. What is counted does not depend on the order of the rows, so the passes may
+see them in different ones.
 Equal runs are reduced to their first occurrence, in each task before they are sent and where they meet: the
 later ones are repeated as a whole. So a passage copied into a third of all documents enters a collection once.
 
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 from pagelake.operators.indexing import broadcast_if_small
 from pagelake.session import ship_code
 
-from .anchors import mix, runs
+from .anchors import Runs, runs
 from .bwt import construct, suffix_places
 from .common import arrow_schema, byte_rows, slices, written
 
@@ -85,21 +87,20 @@ def _scopes(batches: Iterator[pa.RecordBatch], scope: int, column: str = "text")
         yield held
 
 
-def _pairs(hash_: np.ndarray, content_hash: np.ndarray) -> np.ndarray:
-    return mix(hash_ + content_hash * np.uint64(0x9E3779B97F4A7C15))
-
-
 def _shared_hashes(source: DataFrame, length: int, gram: int, scope_bytes: int) -> DataFrame:
-    """(hash, n): the anchor hashes of more than one run. Runs of one scope that are equal are sent as one row with their number
-    (2 stands for any more), so the sum is the same however the rows lie in scopes."""
+    """(hash, n): the hashes of sides (see ``anchors.Runs``) that more than one run has. A scope sends each hash once, with
+    their number (2 stands for any more), so the sum is the same however the rows lie in scopes."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for scope in _scopes(batches, scope_bytes):
-            found = [runs(data, ends, length, gram)[3:] for b in scope for data, ends, _, _ in _parts(byte_rows(b.column("text")), length)]
+            found = []
+            for b in scope:
+                for data, ends, _, _ in _parts(byte_rows(b.column("text")), length):
+                    left, left_hash, right, right_hash = Runs(data, ends, length, gram).sides()
+                    found += [left_hash[left], right_hash[right]]
             if found:
-                hash_, content_hash = (np.concatenate(x) for x in zip(*found, strict=True))
-                _, first, n = np.unique(_pairs(hash_, content_hash), return_index=True, return_counts=True)
-                cols = [pa.array(hash_[first].view(np.int64)), pa.array(np.minimum(n, 2).astype(np.int8))]
+                hash_, n = np.unique(np.concatenate(found), return_counts=True)
+                cols = [pa.array(hash_.view(np.int64)), pa.array(np.minimum(n, 2).astype(np.int8))]
                 yield pa.RecordBatch.from_arrays(cols, names=["hash", "n"])
 
     # dealt as bare hashes, then counted where they meet
@@ -107,29 +108,57 @@ def _shared_hashes(source: DataFrame, length: int, gram: int, scope_bytes: int)
     return dealt.groupBy("hash").agg(F.sum("n").alias("n")).where(F.col("n") > 1)
 
 
+def _same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the ``size`` bytes at a and at b are equal; not if the size is negative."""
+    same = size >= 0
+    todo = np.flatnonzero(same & (a != b))
+    block = np.cumsum(size[todo]) >> 22  # (so many bytes are compared at once)
+    for some in np.split(todo, np.flatnonzero(np.diff(block)) + 1):
+        n = size[some]
+        before = np.cumsum(n) - n
+        step = np.arange(n.sum()) - np.repeat(before, n)
+        differ = data[np.repeat(a[some], n) + step] != data[np.repeat(b[some], n) + step]
+        same[some] = np.add.reduceat(differ, before) == 0 if len(some) else True
+    return same
+
+
 def _reduced(hash_, content_hash, doc, mark, start, windows, block, at, texts: list[np.ndarray], length: int) -> pa.RecordBatch:
-    """Of equal runs the first one with its bytes (``at`` in ``texts[block]``), the later ones without."""
+    """Of equal runs the first one with its bytes (``at`` in ``texts[block]``), the later ones without. Runs are taken for
+    equal by their hashes, and then compared byte by byte: one that is different after all has its bytes, too."""
     order = np.lexsort((start, doc, content_hash, hash_))
     lead = np.ones(len(order), dtype=bool)
     lead[1:] = (np.diff(hash_[order]) != 0) | (np.diff(content_hash[order]) != 0)
     first = order[np.maximum.accumulate(np.where(lead, np.arange(len(order)), 0))]
+    data = np.concatenate(texts)
+    place = (np.cumsum([0, *map(len, texts)])[:-1])[block] + at
+    lead |= ~_same_bytes(data, place[order], place[first], np.where(windows[order] == windows[first], windows[order] + length - 1, -1))
+    first = np.where(lead, order, first)
     again = (doc[order] == doc[first]) & (start[order] == start[first])  # the same place in a row that repeats its id
     wide = again & (lead | (mark[order] != mark[first]))  # with another text it has other strings, too
     some = wide | ~again
     order, bytes_ = order[some], wide[some]
     content = [
-        texts[k][a : a + n + length - 1].tobytes() if w else None
-        for k, a, n, w in zip(block[order].tolist(), at[order].tolist(), windows[order].tolist(), bytes_.tolist(), strict=True)
+        data[a : a + n + length - 1].tobytes() if w else None
+        for a, n, w in zip(place[order].tolist(), windows[order].tolist(), bytes_.tolist(), strict=True)
     ]
     out = [pa.array(c) for c in (hash_.view(np.int64)[order], doc[order], mark[order], start[order], windows[order])]
     return pa.RecordBatch.from_arrays([*out, pa.array(content, pa.binary())], names=["hash", "doc", "mark", "start", "windows", "content"])
 
 
 def _candidate_runs(source: DataFrame, bitmap, bits: int, share: tuple[int, int], length: int, gram: int, scope_bytes: int) -> DataFrame:
-    """The first of equal runs in a scope, with its bytes, if its hash is in the bitmap; the later ones without bytes."""
+    """The first of equal runs in a scope, with its bytes, the later ones without bytes; of every run only the windows of
+    sides whose hash is in the bitmap."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = np.frombuffer(bitmap.value, dtype=np.uint8)
+
+        def shared(has: np.ndarray, hash_: np.ndarray) -> np.ndarray:
+            slot = hash_ & np.uint64((1 << bits) - 1)
+            ok = has & ((wanted[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 > 0)
+            if share[1] > 1:
+                ok &= (hash_ >> np.uint64(32) & np.uint64(0xFFFF)) % np.uint64(share[1]) == np.uint64(share[0])
+            return ok
+
         for scope in _scopes(batches, scope_bytes):
             held: list[tuple] = []
             texts: list[np.ndarray] = []
@@ -137,21 +166,19 @@ def _candidate_runs(source: DataFrame, bitmap, bits: int, share: tuple[int, int]
                 docs = np.asarray(pa.compute.fill_null(b.column("doc"), NULL_ID), dtype=np.int64)
                 marks = np.asarray(b.column("mark"), dtype=np.int64)
                 for data, ends, row, offset in _parts(byte_rows(b.column("text")), length):
-                    part, at, windows, hash_, content_hash = runs(data, ends, length, gram)
-                    if share[1] > 1:
-                        ok = (hash_ >> np.uint64(32) & np.uint64(0xFFFF)) % np.uint64(share[1]) == np.uint64(share[0])
-                        part, at, windows, hash_, content_hash = part[ok], at[ok], windows[ok], hash_[ok], content_hash[ok]
-                    begins = np.concatenate([[0], ends[:-1]])
-                    block = np.full(len(at), len(texts))
-                    held.append((hash_, content_hash, docs[row[part]], marks[row[part]], at - begins[part] + offset[part], windows, block, at))
+                    r = Runs(data, ends, length, gram)
+                    left, left_hash, right, right_hash = r.sides()
+                    left, right = shared(left, left_hash), shared(right, right_hash)
+                    some = np.flatnonzero(left | right)
+                    border = r.place[some] - r.half + 1  # the first window of the second side
+                    at = np.where(left[some], r.first[some], np.maximum(r.first[some], border))
+                    after = np.where(right[some], r.first[some] + r.windows[some], np.minimum(r.first[some] + r.windows[some], border))
+                    of, begins = r.text[some], np.concatenate([[0], ends[:-1]])
+                    start = at - begins[of] + offset[of]
+                    held.append((r.hash[some], r.content_hash(at, after - at), docs[row[of]], marks[row[of]], start, after - at, np.full(len(at), len(texts)), at))
                     texts.append(data)
-            if not held:
-                continue
-            cols = [np.concatenate(x) for x in zip(*held, strict=True)]
-            held.clear()
-            slot = cols[0] & np.uint64((1 << bits) - 1)  # an anchor is a smallest hash: its leading bits are not spread
-            shared = (wanted[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 > 0
-            yield _reduced(*(c[shared] for c in cols), texts, length)
+            if held:
+                yield _reduced(*(np.concatenate(x) for x in zip(*held, strict=True)), texts, length)
 
     return source.mapInArrow(find, RUNS)
 
@@ -275,7 +302,7 @@ def repeated_spans(
         table, bitmap = words.toArrow(), np.zeros(max(1, (1 << bits) >> 6), dtype=np.int64)
         bitmap[table.column("word").to_numpy()] = table.column("bits").to_numpy()
         found = written(_candidate_runs(source, sc.broadcast(bitmap.tobytes()), bits, (i, shares), length, gram, scope), "runs")
-        counts, at = some, gram
+        counts, at = found.groupBy("hash").agg(F.count("*").alias("n")), gram
         for longer in ((gram + length) // 2, length, None):
             # the later ones of equal runs in a scope have no bytes: they are repeated as a whole
             out.append(found.where("content is null").select("doc", "mark", "start", "windows"))
