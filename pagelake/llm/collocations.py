@@ -46,7 +46,7 @@ SLOTS = 1 << 25
 #: Flags of words and pairs: frequent; may begin a phrase at the threshold; may end one; is itself at the threshold.
 FREQUENT, BEGINS, ENDS, SCORED = 1, 2, 4, 8
 #: Bytes of text whose words are numbered at once.
-SLICE = 8 << 20
+SLICE = 2 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
