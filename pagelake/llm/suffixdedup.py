@@ -302,7 +302,7 @@ def repeated_spans(
         table, bitmap = words.toArrow(), np.zeros(max(1, (1 << bits) >> 6), dtype=np.int64)
         bitmap[table.column("word").to_numpy()] = table.column("bits").to_numpy()
         found = written(_candidate_runs(source, sc.broadcast(bitmap.tobytes()), bits, (i, shares), length, gram, scope), "runs")
-        counts, at = found.groupBy("hash").agg(F.count("*").alias("n")), gram
+        counts, at = written(found.where("content is not null").groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") > 1), "anchors"), gram
         for longer in ((gram + length) // 2, length, None):
             # the later ones of equal runs in a scope have no bytes: they are repeated as a whole
             out.append(found.where("content is null").select("doc", "mark", "start", "windows"))
