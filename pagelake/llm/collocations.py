@@ -106,6 +106,8 @@ def _counted(texts: DataFrame, length: int, wanted) -> DataFrame:
 
     names = [f"w{j + 1}" for j in range(length)]
     found = texts.mapInArrow(run, "lang string, " + ", ".join(f"{w} string" for w in names) + ", n long")
+    if length > 1:  # a slice repeats hardly any: they are summed where they meet, not also before they are sent
+        found = found.repartition("lang", *names)
     return found.groupBy("lang", *names).agg(F.sum("n").alias("n"))
 
 
