@@ -18,13 +18,20 @@ def with_clean(df: DataFrame, html_col: str = "html", key: str | None = None) ->
     return spread(df, key).withColumn("_clean", H.clean_html(html_col))
 
 
-def extract_pages(df: DataFrame, html_col: str = "html", key: str | None = None) -> DataFrame:
-    """X5 over a table: adds ``title``, ``text``, ``method``."""
-    c = with_clean(df, html_col, key)
-    c = c.withColumn("_t1", H.accepted(H.main_blocks("_clean"))).withColumn("_t2", H.accepted(H.paragraph_text("_clean")))
-    c = c.withColumn(
-        "_t3", F.when(F.col("_t1").isNull() & F.col("_t2").isNull(), H.body_text("_clean"))
-    )
+def extract_pages(
+    df: DataFrame,
+    html_col: str = "html",
+    key: str | None = None,
+    min_text: int = H.MIN_TEXT_CHARS,
+    min_block: int = H.MIN_BLOCK_CHARS,
+    max_link_density: float = H.MAX_LINK_DENSITY,
+    **boilerplate,
+) -> DataFrame:
+    """X5 over a table: adds ``title``, ``text``, ``method``. A page is folded into blocks once, for both extractors."""
+    c = with_clean(df, html_col, key).withColumn("_blocks", H.folded("_clean", **boilerplate))
+    c = c.withColumn("_t1", H.accepted(H.joined_blocks("_blocks", min_block, max_link_density), min_text))
+    c = c.withColumn("_t2", F.when(F.col("_t1").isNull(), H.accepted(H.joined_paragraphs("_blocks"), min_text)))
+    c = c.withColumn("_t3", F.when(F.col("_t1").isNull() & F.col("_t2").isNull(), H.body_text("_clean")))
     return c.select(
         *[x for x in df.columns],
         F.when(F.col("_t1").isNotNull(), H.title_text("_clean")).otherwise(H.title_string("_clean")).alias("title"),

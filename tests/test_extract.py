@@ -91,3 +91,61 @@ def test_quoted_brackets_and_unclosed_parts(spark):
     df = spark.createDataFrame(rows, "html string, want string")
     for r in df.select("want", H.body_text(H.clean_html("html")).alias("got")).collect():
         assert r["got"] == r["want"]
+
+
+def _texts(spark, pages, column):
+    df = spark.createDataFrame(list(enumerate(pages)), "id long, html string")
+    return [r.t for r in df.select("id", column(H.clean_html("html")).alias("t")).orderBy("id").collect()]
+
+
+def test_tags_of_any_size(spark):
+    pages = [
+        "<p " + "a=1 " * 100_000 + ">ok</p>",
+        "<p " + "".join(f"a{i}='>' " for i in range(3000)) + ">ok</p>",
+        "<p x='" + "y" * 1_000_000 + "'>ok</p>",
+        "<p class='" + "y " * 200_000 + "'>ok</p>",
+        "<a <a <a" * 20_000 + "<p>ok</p>",
+        "<div>" * 3000 + "<p>ok</p>",
+        "<p>ok</p>" + "<" * 50_000,
+    ]
+    assert _texts(spark, pages, H.body_text)[:6] == ["ok"] * 6
+    assert _texts(spark, pages, H.paragraph_text)[:5] == ["ok"] * 5
+    assert _texts(spark, pages, H.paragraph_text)[6] == "ok"
+
+
+def test_attribute_values(spark):
+    pages = [
+        "<body><a data=x'>it's <b>bold</b> text</body>",
+        "<p a='>x</p><p b=\"z\">y</p>",  # the quote is not closed before the next one
+        "<p title = \"a>b\" x>one</p>",
+        "<p title=>one</p>",
+    ]
+    assert _texts(spark, pages, H.body_text) == ["it's \nbold\n text", "x\ny", "one", "one"]
+
+
+def test_paragraphs_and_boilerplate(spark):
+    pages = [
+        "<p>one<br>two</p>tail",
+        "<p>a<span class='ad'>X</span>b</p>",
+        '<p>a<span class="x ad y">X<span>n</span></span>b</p>',
+        "<p>a <span class=ad>X</span>b",
+        "<div class=\"menu\"><div><p>x</p></div><p>y</p></div><p>z</p>",
+        "<nav><ul><li>x<li>y</ul></nav><li>z",
+        "<blockquote><div>quoted</div></blockquote><div>not</div>",
+        "<p><b>x<p>y</b></p>z",
+        "<p data-x='class=ad' title=\"id=ad\">kept</p>",
+        "<P CLASS = 'Ad'>gone</P><p class='adding'>kept</p>",
+        "<header><p>x</p></header><p>caf&eacute; &#8217;s &amp;lt;</p>",
+        None,
+    ]
+    want = ["one\ntwo", "ab", "ab", "a b", "z", "z", "quoted", "x\ny", "kept", "kept", "café ’s &lt;", None]
+    assert _texts(spark, pages, H.paragraph_text) == want
+    got = _texts(spark, pages[:2], lambda c: H.paragraph_text(c, names=["other"]))
+    assert got == ["one\ntwo", "aXb"]
+
+
+def test_block_thresholds_are_parameters(spark):
+    page = "<div>short text</div><div>a longer block of text <a>with a link that is most of the block of text</a></div>"
+    assert _texts(spark, [page], H.main_blocks) == [""]
+    assert _texts(spark, [page], lambda c: H.main_blocks(c, min_chars=5)) == ["short text"]
+    assert _texts(spark, [page], lambda c: H.main_blocks(c, 5, 0.9))[0].count("\n") == 1
