@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import html as H
 from ..session import spread
+from ..sources.rawstore import digest
 
 
 def with_clean(df: DataFrame, html_col: str = "html", key: str | None = None) -> DataFrame:
@@ -45,24 +46,20 @@ def extract_pages(
 
 def raw_digest(html_col: str = "html"):
     """sha256 of the UTF-8 bytes of the page, hex."""
-    return F.sha2(F.encode(F.col(html_col), "UTF-8"), 256)
+    return digest(html_col)
 
 
-def raw_store(df: DataFrame, html_col: str = "html", raw_dir: str = "raw") -> DataFrame:
-    """Content-addressed store, one row per distinct page body:
-    ``digest, html_path, html, n_bytes, n_pages``.
+def raw_digests(df: DataFrame, html_col: str = "html", raw_dir: str = "raw") -> DataFrame:
+    """What the raw store holds of the pages, without them: ``digest, html_path, n_bytes, n_pages``. Only digests
+    are shuffled."""
+    d = df.select(raw_digest(html_col).alias("digest"), F.octet_length(html_col).cast("bigint").alias("n_bytes"))
+    path = F.concat(F.lit(raw_dir.rstrip("/") + "/"), "digest", F.lit(".html"))
+    return d.groupBy("digest", "n_bytes").agg(F.count("*").alias("n_pages")).select("digest", path.alias("html_path"), "n_bytes", "n_pages")
+
 
-    The same bytes always land on the same key, so re-ingesting a page
-    overwrites itself; identical pages of many URLs are stored once (the
-    aggregation pre-combines per task before the shuffle on the digest).
-    """
+def raw_store(df: DataFrame, html_col: str = "html", raw_dir: str = "raw") -> DataFrame:
+    """S2 without a store: one row per distinct page body, ``digest, html_path, html, n_bytes, n_pages``. It shuffles the
+    bodies; ``sources.rawstore`` keeps them in a table and does not."""
     d = df.select(raw_digest(html_col).alias("digest"), F.col(html_col).alias("html"))
-    return d.groupBy("digest").agg(
-        F.first("html").alias("html"), F.count("*").alias("n_pages")
-    ).select(
-        "digest",
-        F.concat(F.lit(raw_dir.rstrip("/") + "/"), "digest", F.lit(".html")).alias("html_path"),
-        "html",
-        F.octet_length("html").cast("bigint").alias("n_bytes"),
-        "n_pages",
-    )
+    bodies = d.groupBy("digest").agg(F.first("html").alias("html"))
+    return raw_digests(df, html_col, raw_dir).join(bodies, "digest").select("digest", "html_path", "html", "n_bytes", "n_pages")

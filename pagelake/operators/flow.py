@@ -19,13 +19,15 @@ from . import extract as X
 from . import ingest as I
 from . import langid
 from ..session import written
+from ..sources import rawstore
 
 
 @dataclass
 class IngestResult:
     pages: DataFrame  # the page table after the upsert (I4), with ``is_new``
     outcomes: DataFrame  # one row per URL: ``seq, url, outcome`` (I3)
-    raw: DataFrame  # the content-addressed raw store rows of this run (S2)
+    raw: DataFrame  # the raw pages of this run (S2), without their html: ``digest, html_path, n_bytes, n_pages``
+    n_stored: int | None = None  # how many of them the raw store did not have yet
 
 
 def ingest(
@@ -38,10 +40,12 @@ def ingest(
     max_text: int | None = None,
     retries: int = I.FETCH_RETRIES,
     now: Column | None = None,
+    raw_path: str | None = None,
 ) -> IngestResult:
     """``urls``: ``(seq, url)``; ``rules``: parsed robots rules; ``attempts``:
     ``(url, attempt, status_code, html, error)``; ``stored``: the page table. ``max_text`` cuts the
-    text (F4) for a caller who asks for it, for example ``ingest.MAX_TEXT_SIZE``."""
+    text (F4) for a caller who asks for it, for example ``ingest.MAX_TEXT_SIZE``. With ``raw_path`` the pages are
+    stored there as they came (see ``sources.rawstore``)."""
     adm = written(I.robots_admission(urls, rules, "url", "seq"), "admission")
     # attempts are resolved without their html; it is fetched once, for the successes that are admitted
     res = I.resolve_attempts(attempts.withColumn("html", F.lit(None).cast("string")), "url", retries)
@@ -79,5 +83,5 @@ def ingest(
         # (an attempt that is logged twice gives two equal rows: one is enough)
         pages_rows.select("seq", "status_code", F.length("text_excerpt").alias("len_text"), "lang").dropDuplicates(["seq"]), "seq", "left"
     ).select("seq", "url", outcome.alias("outcome"))
-    raw = X.raw_store(ok, "html", raw_dir)
-    return IngestResult(upserted, outcomes, raw)
+    stored_now = rawstore.insert_pages(ok, raw_path) if raw_path else None
+    return IngestResult(upserted, outcomes, X.raw_digests(ok, "html", raw_dir), stored_now)
