@@ -17,14 +17,17 @@ def _f1(t, f1, f2):
     return F.when(den == 0, F.lit(0.0)).otherwise(2.0 * t / den)
 
 
-def flattened_f1(df: DataFrame, truth_cols: list[str], prob_cols: list[str], threshold: float = 0.5) -> DataFrame:
-    """``n_cells, tp, fp, fn, tn, f1_micro, f1_macro`` for 0/1 truth and probability columns."""
+def flattened_f1(
+    df: DataFrame, truth_cols: list[str], prob_cols: list[str], threshold: float = 0.5, by: list[str] | None = None
+) -> DataFrame:
+    """``n_cells, tp, fp, fn, tn, f1_micro, f1_macro`` for 0/1 truth and probability columns, for each group ``by``."""
+    by = by or []
     aggs = []
     for y, p in zip(truth_cols, prob_cols):
         pred = (F.col(p) >= threshold).cast("int")
         aggs.append(F.struct(F.col(y).alias("y"), pred.alias("p")))
-    cells = df.select(F.explode(F.array(*aggs)).alias("c")).select("c.y", "c.p")
-    s = cells.agg(
+    cells = df.select(*by, F.explode(F.array(*aggs)).alias("c")).select(*by, "c.y", "c.p")
+    s = cells.groupBy(*by).agg(
         F.count("*").alias("n_cells"),
         F.sum(((F.col("y") == 1) & (F.col("p") == 1)).cast("long")).alias("tp"),
         F.sum(((F.col("y") == 0) & (F.col("p") == 1)).cast("long")).alias("fp"),
@@ -39,4 +42,4 @@ def flattened_f1(df: DataFrame, truth_cols: list[str], prob_cols: list[str], thr
         (F.when(has1, f1_1).otherwise(0.0) + F.when(has0, f1_0).otherwise(0.0)) / n_classes
     )
     micro = F.when(F.col("n_cells") == 0, F.lit(0.0)).otherwise((F.col("tp") + F.col("tn")) / F.col("n_cells"))
-    return s.select("n_cells", "tp", "fp", "fn", "tn", micro.alias("f1_micro"), macro.alias("f1_macro"))
+    return s.select(*by, "n_cells", "tp", "fp", "fn", "tn", micro.alias("f1_micro"), macro.alias("f1_macro"))

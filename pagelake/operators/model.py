@@ -1,29 +1,30 @@
-"""Multi-label text classifier with Spark ML (L5 featurise, L6 train, L8 select, L9 score).
+"""Multi-label text classifier (L5 featurise, L6 train, L8 select, L9 score).
 
 The reference fine-tunes a transformer with one sigmoid output per label;
 here the same contract (independent per-label probability, threshold 0.5) is
-binary relevance: one ``LogisticRegression`` per label over shared sparse
-features. Weight decay maps to ``regParam``.
+binary relevance: one logistic regression per label over shared sparse
+features. Weight decay maps to ``reg_param``. All labels, and all points of a grid, are
+trained in the same passes over the features (see ``multilabel``).
 
 Features: ``RegexTokenizer`` (letters, digits, ``_``), ``HashingTF`` and ``IDF`` over
 the whole text (``max_tokens`` cuts it for a caller who asks). The
 features of the training rows are computed once and written to the shared
-checkpoint folder before the per-label fits, so every fit (and every
-executor retry) reads them instead of re-tokenising the texts.
+folder, so every pass (and every executor retry) reads them instead of
+re-tokenising the texts.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer, SQLTransformer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import ship_code, written
+from . import multilabel
 from .metrics import flattened_f1
 
 NUM_FEATURES = 1 << 12
@@ -46,50 +47,42 @@ def _prob_col(label: str) -> str:
 @dataclass
 class MultiLabelModel:
     features: PipelineModel
-    per_label: list[tuple[str, LogisticRegressionModel | float]]  # a number: the constant probability of a label with one class
-
-    @property
-    def labels(self) -> list[str]:
-        return [lab for lab, _ in self.per_label]
+    labels: list[str]
+    coefficients: np.ndarray  # a row for each label; zeros for a label with one class in training
+    intercepts: np.ndarray
+    constants: list[float | None]  # the probability of a label with one class in training
 
     def predict_proba(self, df: DataFrame) -> DataFrame:
         """Adds ``p_<label>`` (probability of the label) for every label, and
-        ``probs`` (``array<double>`` in label-index order). Columns on the way are
-        numbered, so a label may have any name."""
-        out = self.features.transform(df)
-        probs = []
-        for i, (_, m) in enumerate(self.per_label):
-            if isinstance(m, float):  # a label with one class in training
-                probs.append(F.lit(m))
-                continue
-            out = m.transform(out).withColumn(f"_p{i}", vector_to_array(F.col(f"_prob_{i}"))[1]).drop(f"_raw_{i}", f"_prob_{i}", f"_pred_{i}")
-            probs.append(F.col(f"_p{i}"))
-        out = out.withColumn("probs", F.array(*probs)).drop(*[f"_p{i}" for i in range(len(probs))], "_tokens_all", "_tokens", "_tf", "features")
+        ``probs`` (``array<double>`` in label-index order)."""
+        ship_code(df.sparkSession)
+        score = multilabel.scorer(self.coefficients, self.intercepts)
+        out = self.features.transform(df).withColumn("probs", score("features"))
+        if any(c is not None for c in self.constants):
+            fixed = [F.col("probs")[i] if c is None else F.lit(float(c)) for i, c in enumerate(self.constants)]
+            out = out.withColumn("probs", F.array(*fixed))
+        out = out.drop("_tokens_all", "_tokens", "_tf", "features")
         return out.select("*", *[F.col("probs")[i].alias(_prob_col(lab)) for i, lab in enumerate(self.labels)])
 
     def save(self, path: str) -> None:
-        """The feature stages, one model per label, and the label map beside them."""
+        """The feature stages, and the labels with their coefficients beside them."""
         path = path.rstrip("/")
         self.features.write().overwrite().save(f"{path}/features")
-        rows = [(lab, i, m if isinstance(m, float) else None) for i, (lab, m) in enumerate(self.per_label)]
-        spark = SparkSession.active()
-        spark.createDataFrame(rows, LABEL_FILE).coalesce(1).write.mode("overwrite").json(f"{path}/labels")
-        for i, (_, m) in enumerate(self.per_label):
-            if not isinstance(m, float):
-                m.write().overwrite().save(f"{path}/label-{i}")
+        cells = zip(self.labels, self.constants, self.intercepts.tolist(), self.coefficients.tolist(), strict=True)
+        rows = [(lab, i, c, b, w) for i, (lab, c, b, w) in enumerate(cells)]
+        SparkSession.active().createDataFrame(rows, LABEL_FILE).coalesce(1).write.mode("overwrite").parquet(f"{path}/labels")
 
 
-LABEL_FILE = "label string, idx int, constant double"
+LABEL_FILE = "label string, idx int, constant double, intercept double, coefficients array<double>"
 
 
 def load_model(spark: SparkSession, path: str) -> MultiLabelModel:
     """A saved model, with its labels in index order."""
     path = path.rstrip("/")
-    rows = sorted(spark.read.schema(LABEL_FILE).json(f"{path}/labels").collect(), key=lambda r: r["idx"])
-    models = [
-        (r["label"], r["constant"] if r["constant"] is not None else LogisticRegressionModel.load(f"{path}/label-{r['idx']}")) for r in rows
-    ]
-    return MultiLabelModel(PipelineModel.load(f"{path}/features"), models)
+    rows = sorted(spark.read.schema(LABEL_FILE).parquet(f"{path}/labels").collect(), key=lambda r: r["idx"])
+    coefficients, intercepts = np.array([r["coefficients"] for r in rows]), np.array([r["intercept"] for r in rows])
+    features = PipelineModel.load(f"{path}/features")
+    return MultiLabelModel(features, [r["label"] for r in rows], coefficients, intercepts, [r["constant"] for r in rows])
 
 
 @dataclass
@@ -97,7 +90,7 @@ class Features:
     """Fitted features and the training rows' features, written once to the shared folder."""
 
     model: PipelineModel
-    table: DataFrame  # ``features, _y0 .. _yk``
+    problem: multilabel.Problem  # the table ``features, y`` with its moments
     labels: list[str]
 
 
@@ -112,51 +105,31 @@ def prepare(
     """L5 on the training rows: fit the features, then materialise them with the
     per-label 0/1 targets, for any number of fits (a grid reuses them)."""
     feats = feature_pipeline(text_col, max_tokens, num_features).fit(train_df)
-    x = feats.transform(train_df).select("features", *[F.col(target_col)[i].cast("double").alias(f"_y{i}") for i in range(len(labels))])
-    return Features(feats, materialize(x), list(labels))
-
-
-def parallel_map(fn, items: list, parallelism: int, spark=None) -> list:
-    """Run independent Spark jobs from driver threads, as Spark ML's tuning
-    classes do with their ``parallelism`` parameter (results in input order)."""
-    if parallelism <= 1 or len(items) <= 1:
-        return [fn(x) for x in items]
-    from concurrent.futures import ThreadPoolExecutor
-
-    from pyspark.util import inheritable_thread_target
-
-    with ThreadPoolExecutor(max_workers=min(parallelism, len(items))) as pool:
-        target = inheritable_thread_target(spark)(fn) if spark is not None else inheritable_thread_target(fn)
-        return list(pool.map(target, items))
-
-
-def fit(features: Features, reg_param: float = 0.01, max_iter: int = 20, parallelism: int = 4) -> MultiLabelModel:
-    """One logistic regression per label on prepared features; the
-    per-label fits are independent and run ``parallelism`` at a time."""
-    x = features.table
-    lo_hi = x.agg(*[F.struct(F.min(f"_y{i}"), F.max(f"_y{i}")).alias(f"c{i}") for i in range(len(features.labels))]).first()
-
-    def one(item):
-        i, lab = item
-        y = f"_y{i}"
-        lo, hi = lo_hi[f"c{i}"][0], lo_hi[f"c{i}"][1]
-        if lo is None or lo == hi:
-            # a label with one class only: a constant model (the fit would be degenerate)
-            return (lab, float(hi or 0.0))
-        lr = LogisticRegression(
-            featuresCol="features",
-            labelCol=y,
-            regParam=reg_param,
-            elasticNetParam=0.0,
-            maxIter=max_iter,
-            family="binomial",
-            rawPredictionCol=f"_raw_{i}",
-            probabilityCol=f"_prob_{i}",
-            predictionCol=f"_pred_{i}",
-        )
-        return (lab, lr.fit(x))
-
-    return MultiLabelModel(features.model, parallel_map(one, list(enumerate(features.labels)), parallelism, x.sparkSession))
+    y = F.transform(F.col(target_col), lambda v: v.cast("float"))
+    table = written(feats.transform(train_df).select("features", y.alias("y")), "features")
+    return Features(feats, multilabel.Problem.of(table, num_features, len(labels)), list(labels))
+
+
+def fit_grid(features: Features, grid: list[tuple[float, int]]) -> list[MultiLabelModel]:
+    """L6 for each (reg_param, max_iter): all labels of all grid points in the same passes."""
+    p = features.problem
+    # a label with one class has a constant model (a fit would be degenerate)
+    constants = [None if 0 < k < p.n else float(k > 0) for k in p.positive.tolist()]
+    wanted = [(g, i) for g in range(len(grid)) for i, c in enumerate(constants) if c is None]
+    trained, _ = multilabel.train(p, [(i, grid[g][0], grid[g][1]) for g, i in wanted])
+    out = []
+    for g in range(len(grid)):
+        coefficients, intercepts = np.zeros((len(features.labels), len(p.scale))), np.zeros(len(features.labels))
+        for (at, i), (w, b) in zip(wanted, trained, strict=True):
+            if at == g:
+                coefficients[i], intercepts[i] = w, b
+        out.append(MultiLabelModel(features.model, features.labels, coefficients, intercepts, constants))
+    return out
+
+
+def fit(features: Features, reg_param: float = 0.01, max_iter: int = 20) -> MultiLabelModel:
+    """One logistic regression per label on prepared features."""
+    return fit_grid(features, [(reg_param, max_iter)])[0]
 
 
 def train(
@@ -181,15 +154,31 @@ def f1_scores(model: MultiLabelModel, rows: DataFrame, threshold: float = 0.5, t
     return flattened_f1(p, [f"y{i}" for i in n], [f"p{i}" for i in n], threshold)
 
 
-def select_model(features: Features, val: DataFrame, grid: list[tuple[float, int]], threshold: float = 0.5) -> tuple[MultiLabelModel, list[dict]]:
+def select_model(
+    features: Features, val: DataFrame, grid: list[tuple[float, int]], threshold: float = 0.5, target_col: str = "vec"
+) -> tuple[MultiLabelModel, list[dict]]:
     """A model for each (reg_param, max_iter) of the grid, scored on ``val``: the one with the highest micro F1
-    (ties: the first), and a row for every grid point."""
+    (ties: the first), and a row for every grid point. The grid is trained in the passes of one fit and scored
+    in one pass over ``val``."""
+    models = fit_grid(features, grid)
     spark = val.sparkSession
-    models = parallel_map(lambda g: fit(features, reg_param=g[0], max_iter=g[1]), grid, len(grid), spark)
-    scores = parallel_map(lambda m: f1_scores(m, val, threshold).first(), models, len(models), spark)
-    best = max(range(len(grid)), key=lambda i: (scores[i]["f1_micro"] or 0.0, -i))
+    ship_code(spark)
+    n = range(len(features.labels))
+    scored = features.model.transform(val)
+    every = multilabel.scorer(np.concatenate([m.coefficients for m in models]), np.concatenate([m.intercepts for m in models]))
+    cells = scored.select(target_col, every("features").alias("all"))
+    out = []
+    for g, m in enumerate(models):
+        at = [F.col("all")[g * len(n) + i] if m.constants[i] is None else F.lit(m.constants[i]) for i in n]
+        truth = [F.col(target_col)[i] for i in n]
+        out.append(F.struct(F.lit(g).alias("grid"), *[c.alias(f"y{i}") for i, c in enumerate(truth)], *[c.alias(f"p{i}") for i, c in enumerate(at)]))
+    rows = cells.select(F.explode(F.array(*out)).alias("r")).select("r.*")
+    by_grid = flattened_f1(rows, [f"y{i}" for i in n], [f"p{i}" for i in n], threshold, by=["grid"])
+    scores = {r["grid"]: r for r in by_grid.collect()}
+    f1 = [(scores[g]["f1_micro"], scores[g]["f1_macro"]) if g in scores else (0.0, 0.0) for g in range(len(grid))]
+    best = max(range(len(grid)), key=lambda i: (f1[i][0], -i))
     rows = [
-        {"grid_idx": i, "reg_param": reg, "max_iter": it, "f1_micro": s["f1_micro"], "f1_macro": s["f1_macro"], "chosen": i == best}
-        for i, ((reg, it), s) in enumerate(zip(grid, scores, strict=True))
+        {"grid_idx": i, "reg_param": reg, "max_iter": it, "f1_micro": f1[i][0], "f1_macro": f1[i][1], "chosen": i == best}
+        for i, (reg, it) in enumerate(grid)
     ]
     return models[best], rows
