@@ -18,7 +18,7 @@ table of already-parsed rules):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
@@ -53,14 +53,38 @@ def url_path(url: Column) -> Column:
 
 def normal_path(path: Column) -> Column:
     """A path with its percent-escapes decoded and written anew, so that all spellings of it compare equal.
-    What is no valid escape stays as it is."""
-    plain = F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
-    quoted = F.url_encode(plain)
+    A percent sign that begins no valid escape stands for itself."""
+    escaped = F.regexp_replace(path, "%(?![0-9a-fA-F]{2})", "%25")
+    quoted = F.url_encode(F.url_decode(F.replace(escaped, F.lit("+"), F.lit("%2B"))))
     for escape, char in (("+", "%20"), ("%2F", "/"), ("%7E", "~")):
         quoted = F.replace(quoted, F.lit(escape), F.lit(char))
     return quoted
 
 
+def host_rules(rules: DataFrame, user_agent: str = USER_AGENT) -> DataFrame:
+    """``base, status, decisions``: one row per host, with the rules that decide for one user agent, in order, as an array
+    of (``prefix`` in its normal spelling, ``allow``)."""
+    token = agent_token(user_agent)
+    group = rules.groupBy("base", "group_seq").agg(
+        F.max("robots_status").alias("status"),
+        # a group that names "*" beside other agents is only the default
+        F.coalesce(F.max(F.col("agent") == "*"), F.lit(False)).alias("_star"),
+        F.coalesce(F.max(F.instr(F.lit(token), F.lower(F.col("agent"))) > 0), F.lit(False)).alias("_named"),
+        F.array_sort(
+            F.collect_set(
+                F.when(
+                    F.col("rule_seq").isNotNull() & F.col("path_prefix").isNotNull(),
+                    # an empty Disallow allows everything
+                    F.struct("rule_seq", normal_path(F.col("path_prefix")).alias("prefix"), (F.col("allow") | (F.col("path_prefix") == "")).alias("allow")),
+                )
+            )
+        ).alias("decisions"),
+    )
+    # the first group for this agent, else the first default one
+    first = F.min(F.when(F.col("_star"), F.struct(F.lit(1), "group_seq", "decisions")).when(F.col("_named"), F.struct(F.lit(0), "group_seq", "decisions")))
+    return group.groupBy("base").agg(F.max("status").alias("status"), first["decisions"].alias("decisions"))
+
+
 def robots_admission(
     urls: DataFrame,
     rules: DataFrame,
@@ -73,38 +97,19 @@ def robots_admission(
     """``key, url, allowed, reason`` for every URL.
 
     ``rules``: ``(base, robots_status, agent, group_seq, rule_seq, allow, path_prefix)``;
-    hosts without rules have one row with NULL agent. The rules side is
-    broadcast when a count shows it is small (a hot host then costs nothing
-    extra); beyond that it is a shuffle join where AQE splits skewed hosts.
-    The per-URL decision is one aggregation with partial aggregation.
+    hosts without rules have one row with NULL agent. The rules of a host become one row
+    (a host's rules are what one robots file holds), so a URL meets one row and is decided there:
+    nothing is aggregated over URLs. The hosts are broadcast when a count shows that they are few (a hot host then
+    costs nothing extra); beyond that it is a shuffle join where AQE splits skewed hosts.
     """
-    token = agent_token(user_agent)
+    hosts = written(host_rules(rules, user_agent), "hosts")
     u = urls.select(F.col(key_col).alias("_key"), F.col(url_col).alias("_url")).withColumn("base", site_base(F.col("_url")))
     u = u.withColumn("_path", normal_path(url_path(F.col("_url"))))
-    whole = Window.partitionBy("base", "group_seq")
-    rules = rules.withColumn("_default", F.coalesce(F.max(F.col("agent") == "*").over(whole), F.lit(False)))
-    r = broadcast_if_small(rules.select("_default", "base", "robots_status", "agent", "group_seq", "rule_seq", "allow", "path_prefix"), max_broadcast_rules)
-    j = u.join(r, "base", "left")
-    named = ~F.col("_default") & F.col("agent").isNotNull() & (F.col("agent") != "*") & (F.instr(F.lit(token), F.lower(F.col("agent"))) > 0)
-    # a group that names "*" beside other agents is only the default
-    star = F.col("agent") == "*"
-    matches = F.col("rule_seq").isNotNull() & ((F.col("path_prefix") == "*") | F.col("_path").startswith(normal_path(F.col("path_prefix"))))
-    # an empty Disallow allows everything
-    allow_val = F.col("allow") | (F.col("path_prefix") == "")
-    rule_struct = F.struct(F.col("group_seq").alias("g"), F.col("rule_seq").alias("r"), allow_val.alias("a"))
-    agg = j.groupBy("_key", "_url").agg(
-        F.max("robots_status").alias("status"),
-        F.max(F.col("base").isNotNull() & F.col("robots_status").isNotNull()).alias("_known"),
-        F.min(F.when(named, F.col("group_seq"))).alias("g_named"),
-        F.min(F.when(named & matches, rule_struct)).alias("m_named"),
-        F.min(F.when(star, F.col("group_seq"))).alias("g_star"),
-        F.min(F.when(star & matches, rule_struct)).alias("m_star"),
-    )
-    by_rules = (
-        F.when(F.col("g_named").isNotNull(), F.when(F.col("m_named.g") == F.col("g_named"), F.col("m_named.a")).otherwise(F.lit(True)))
-        .when(F.col("g_star").isNotNull(), F.when(F.col("m_star.g") == F.col("g_star"), F.col("m_star.a")).otherwise(F.lit(True)))
-        .otherwise(F.lit(True))
-    )
+    sized = hosts.withColumn("_bytes", F.to_json("decisions"))  # (strings are what the size check measures)
+    small = broadcast_if_small(sized, max_broadcast_rules)
+    j = u.join(small.drop("_bytes") if small is sized else F.broadcast(hosts), "base", "left")
+    fits = F.filter("decisions", lambda d: (d["prefix"] == "*") | F.col("_path").startswith(d["prefix"]))
+    by_rules = F.coalesce(F.get(fits, F.lit(0))["allow"], F.lit(True))
     st = F.col("status")
     allowed = (
         F.when(st.isNull(), F.lit(fallback))
@@ -120,7 +125,7 @@ def robots_admission(
         .when(st >= 500, F.lit("robots_server_error"))
         .otherwise(F.lit("robots_rules"))
     )
-    return agg.select(F.col("_key").alias(key_col), F.col("_url").alias(url_col), allowed.alias("allowed"), reason.alias("reason"))
+    return j.select(F.col("_key").alias(key_col), F.col("_url").alias(url_col), allowed.alias("allowed"), reason.alias("reason"))
 
 
 def resolve_attempts(attempts: DataFrame, url_col: str = "url", retries: int = FETCH_RETRIES) -> DataFrame:
@@ -154,6 +159,27 @@ def outcome_struct(admitted: Column, ok: Column, status_code: Column, excerpt_le
 UPDATED = ["status_code", "title", "lang", "text_excerpt", "html_path"]
 
 
+def reduced_batch(batch: DataFrame) -> DataFrame:
+    """I4: one row per URL of a batch, written once: ``url, _first_seq`` and the last write's columns as ``_n_<column>``.
+    One aggregation, combined map-side: a URL written many times (a hot key) is reduced before the shuffle."""
+    last = F.max_by(F.struct(*[F.col(c).alias("_n_" + c) for c in UPDATED]), F.col("seq"))
+    red = batch.where(F.col("url").isNotNull()).groupBy("url").agg(last.alias("_last"), F.min("seq").alias("_first_seq"))
+    return written(red.select("url", "_first_seq", "_last.*"), "upsert-batch")
+
+
+def new_ids(reduced: DataFrame, urls: DataFrame, max_id: int) -> DataFrame:
+    """``url, _new_id`` of the URLs of a reduced batch that are not among ``urls``: ``max_id + 1, ...`` in first-seen order."""
+    fresh = written(reduced.select("url", "_first_seq").join(urls.select("url"), "url", "left_anti"), "upsert-new")
+    return dense_positions(fresh, "_first_seq", "_new_id", start=max_id + 1).select("url", "_new_id")
+
+
+def new_meta() -> Column:
+    """The ``raw_meta`` of a page stored by this pipeline."""
+    from ..sources.pagestore import FETCHED_BY
+
+    return F.create_map(*[x for k, v in FETCHED_BY.items() for x in (F.lit(k), F.lit(v))])
+
+
 def upsert_pages(stored: DataFrame, batch: DataFrame, now: Column | None = None) -> DataFrame:
     """I4: upsert a batch ``(seq, url, status_code, title, lang, text_excerpt, html_path)``
     into the page table by URL.
@@ -171,22 +197,15 @@ def upsert_pages(stored: DataFrame, batch: DataFrame, now: Column | None = None)
     the other way, numbered as narrow ``(url, first_seq)`` rows (bucket the stored table by
     ``url`` to avoid shuffling it on every run).
     """
-    from ..sources.pagestore import COLUMNS, FETCHED_BY
+    from ..sources.pagestore import COLUMNS
 
     now = now if now is not None else F.current_timestamp()
-    b = batch.where(F.col("url").isNotNull())
-    # one aggregation per URL, combined map-side: a URL written many times in a
-    # batch (a hot key) is reduced before the shuffle
-    last = F.max_by(F.struct(*[F.col(c).alias("_n_" + c) for c in UPDATED]), F.col("seq"))
-    red = b.groupBy("url").agg(last.alias("_last"), F.min("seq").alias("_first_seq")).select("url", "_first_seq", "_last.*")
-    red = written(red, "upsert-batch")
+    red = reduced_batch(batch)
     s = stored.select(*COLUMNS)
     old_rows = s.join(red, "url", "left")
-    new_urls = written(red.select("url", "_first_seq").join(s.select("url"), "url", "left_anti"), "upsert-new")
     max_id = s.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).collect()[0]["m"]  # one number
-    new_urls = dense_positions(new_urls, "_first_seq", "_new_id", start=int(max_id) + 1)
-    new_rows = red.join(new_urls.select("url", "_new_id"), "url")
-    meta = F.create_map(*[x for k, v in FETCHED_BY.items() for x in (F.lit(k), F.lit(v))])
+    new_rows = red.join(new_ids(red, s, int(max_id)), "url")
+    meta = new_meta()
 
     def shape(df, new: bool):
         cols = []

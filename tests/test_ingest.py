@@ -169,3 +169,19 @@ def test_a_group_of_star_and_an_agent_is_the_default_only(spark):
     )
     urls_df = spark.createDataFrame([(1, "https://h.org/x")], "seq long, url string")
     assert I.robots_admission(urls_df, rules).first()["allowed"]
+
+
+def test_each_valid_escape_counts(spark):
+    paths = ["/100%/caf%C3%A9", "/100%/café", "/100%25/caf%c3%a9", "/a%2", "/a%252", "/%zz%41", "/%25zzA", "/a+b", "/a%2Bb"]
+    df = spark.createDataFrame([(p,) for p in paths], "p string")
+    got = [r.n for r in df.select(I.normal_path(F.col("p")).alias("n")).collect()]
+    assert got[0] == got[1] == got[2] and got[3] == got[4] and got[5] == got[6] and got[7] == got[8]
+    assert len(set(got)) == 4
+
+
+def test_urls_are_not_aggregated(spark):
+    rules = spark.createDataFrame([("https://a.org", 200, "*", 1, i, i % 2 == 0, f"/{i}") for i in range(5)], RULES_SCHEMA)
+    urls = spark.createDataFrame([(i, f"https://a.org/{i}") for i in range(6)] * 2, "seq long, url string")
+    out = I.robots_admission(urls, rules)
+    assert "Aggregate" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r.seq, r.allowed) for r in out.collect()) == sorted([(i, i % 2 == 0 or i == 5) for i in range(6)] * 2)
