@@ -18,6 +18,9 @@ import numpy as np
 #: Stands in the transform where a string has no byte before the suffix; the byte 255 occurs in no UTF-8 text.
 END = 255
 BLOCK = 16
+#: For the columns low to high of a block (row low * BLOCK + high): 255 in all other columns.
+_COLUMN = np.arange(BLOCK)
+OUTSIDE = np.where((_COLUMN >= np.repeat(_COLUMN, BLOCK)[:, None]) & (_COLUMN <= np.tile(_COLUMN, BLOCK)[:, None]), 0, 255).astype(np.uint8)
 
 
 class RangeMinimum:
@@ -27,8 +30,11 @@ class RangeMinimum:
         n = len(values)
         self.rows = np.full(-(-n // BLOCK) * BLOCK, 255, dtype=np.uint8)
         self.rows[:n] = values
+        least = self.rows
+        for _ in range(BLOCK.bit_length() - 1):
+            least = np.minimum(least[0::2], least[1::2])
         self.rows = self.rows.reshape(-1, BLOCK)
-        self.levels = [self.rows.min(axis=1)]
+        self.levels = [least]
         while len(self.levels[-1]) > 1 << (len(self.levels) - 1):
             half = 1 << (len(self.levels) - 1)
             last = self.levels[-1]
@@ -36,16 +42,18 @@ class RangeMinimum:
                 break
             self.levels.append(np.minimum(last[:-half], last[half:]))
 
+    def _within(self, block: np.ndarray, low: np.ndarray | int, high: np.ndarray) -> np.ndarray:
+        """Minimum over the columns low to high of blocks: the others are raised, then columns are compared whole."""
+        raised = self.rows[block] | OUTSIDE[low * BLOCK + high]
+        return np.ascontiguousarray(raised.T).min(axis=0)
+
     def between(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
         """Minimum over [first, last] of each pair, both inclusive."""
         a, b = first // BLOCK, last // BLOCK
-        column = np.arange(BLOCK)
-        high = np.where(a == b, last % BLOCK, BLOCK - 1)
-        out = np.where((column >= (first % BLOCK)[:, None]) & (column <= high[:, None]), self.rows[a], 255).min(axis=1)
+        out = self._within(a, first % BLOCK, np.where(a == b, last % BLOCK, BLOCK - 1))
         apart = np.flatnonzero(a != b)
         if len(apart):
-            tail = np.where(column <= (last[apart] % BLOCK)[:, None], self.rows[b[apart]], 255).min(axis=1)
-            out[apart] = np.minimum(out[apart], tail)
+            out[apart] = np.minimum(out[apart], self._within(b[apart], 0, last[apart] % BLOCK))
             lo, size = a[apart] + 1, b[apart] - a[apart] - 1
             for level in range(len(self.levels)):
                 some = np.flatnonzero((size >> level > 0) & (size >> level + 1 == 0))
@@ -83,7 +91,7 @@ def _entered(order: np.ndarray, begin: np.ndarray, place: np.ndarray, byte: np.n
     """``order`` with the places of new bytes entered, the new beginnings of the bytes, and where each place went.
     Places whose byte is END are left out (-1)."""
     at = np.full(len(place), -1, dtype=np.int64)
-    sort = np.lexsort((place, byte))
+    sort = np.argsort(byte.astype(np.int64) << 32 | place)
     cut = np.searchsorted(byte[sort], np.arange(257))
     for c in np.flatnonzero(np.diff(cut[:END + 1])).tolist():
         some = sort[cut[c] : cut[c + 1]]
@@ -133,7 +141,8 @@ def construct(data: np.ndarray, lens: np.ndarray, cap: int, folder: str) -> tupl
         inner = at + 1 < len(old)
         new_lcp[at[inner] + 1] = below[inner]
         new_lcp[at] = above
-        order, begin, k = _entered(np.flatnonzero(old).astype(np.int32)[order], begin, at, byte)
+        moved = np.arange(len(old), dtype=np.int32)[old]  # where the old places are now
+        order, begin, k = _entered(np.take(moved, order), begin, at, byte)
         files.write(new_bwt, new_lcp, order)
         active, k = active[more], k[more]
     return tuple(files.read())

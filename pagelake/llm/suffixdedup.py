@@ -42,7 +42,7 @@ PART = 1 << 18
 #: Bytes of text of a task within which equal runs are reduced before anything is sent (about 30 runs a KB).
 SCOPE = 16 << 20
 #: Bytes of a collection; a collection ends at the first anchor hash after that. A hash with more is dealt again.
-COLLECTION = 1 << 19
+COLLECTION = 1 << 20
 #: Bytes of runs dealt again at once: by whole windows they become some sixty times as many.
 AGAIN = 1 << 20
 #: Bits of an anchor hash that say its slot in the broadcast bitmap of repeated hashes, at most (2^28 slots are 32 MB).
