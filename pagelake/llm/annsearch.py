@@ -21,12 +21,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import ship_code, written
+from .common import integer_ids, ship_code, written
 
 #: Rows that the codebooks and the share are fitted on.
 SAMPLE_ROWS = 16_384
 #: Vectors of a group, the unit of work; a cell with more is split.
 GROUP_ROWS = 8192
+#: Queries that a group of stored vectors meets at once (more go in further blocks).
+QUERY_ROWS = 1 << 16
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int = 12, seed: int = 7) -> np.ndarray:
@@ -117,6 +119,7 @@ def search(
     vector_col: str = "embedding",
     sample_rows: int = SAMPLE_ROWS,
     group_rows: int = GROUP_ROWS,
+    query_rows: int = QUERY_ROWS,
 ) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the ``k`` nearest found for each row where ``is_query`` (a column) holds.
 
@@ -126,6 +129,7 @@ def search(
     Repeated rows are candidates each; a repeated query id is searched once. With few rows all are compared.
     An empty table gives no rows.
     """
+    integer_ids(vectors, id_col)
     spark = vectors.sparkSession
     ship_code(spark)
     rows = vectors.select(
@@ -193,12 +197,16 @@ def search(
 
     queries = placed.where("is_query").dropDuplicates(["vec_id"]).select("vec_id", "v")
     asked = queries.mapInArrow(route, "query_id long, q binary, cells binary, grp int")
+    # a group meets its queries in blocks, so neither side of a task grows with the table
+    blocks = max(1, -(-placed.where("is_query").count() // query_rows))
+    asked = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)))
     stored = placed.join(F.broadcast(cells), "cell").select(
         (F.col("first") + F.pmod(F.xxhash64("vec_id", "v"), F.col("parts"))).cast("int").alias("grp"), "cell", "vec_id", "v"
-    )
+    ).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
 
     def rerank(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        got: list[tuple] = []
+        none = np.zeros(0, dtype=np.int64)
+        got: list[tuple] = [(none, none, none.astype(np.float64))]
         if len(left) and len(right):
             right = right.sort_values("vec_id", kind="stable")
             x = np.frombuffer(b"".join(right["v"]), dtype=np.float64).reshape(len(right), -1)
@@ -217,9 +225,9 @@ def search(
                         at = at[r >= kth - 1e-9 * max(1.0, abs(kth))]
                     exact = (x[at] * q[i]).sum(axis=1)
                     best = np.lexsort((ids[at], -exact))[:k]
-                    got += zip([query] * len(best), ids[at[best]].tolist(), exact[best].tolist(), strict=True)
-        return pd.DataFrame(got, columns=["query_id", "vec_id", "score"])
+                    got.append((np.full(len(best), query), ids[at[best]], exact[best]))
+        return pd.DataFrame({c: np.concatenate(x) for c, x in zip(("query_id", "vec_id", "score"), zip(*got, strict=True), strict=True)})
 
-    found = asked.groupBy("grp").cogroup(stored.groupBy("grp")).applyInPandas(rerank, "query_id long, vec_id long, score double")
+    found = asked.groupBy("grp", "block").cogroup(stored.groupBy("grp", "block")).applyInPandas(rerank, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

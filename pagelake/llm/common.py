@@ -11,7 +11,8 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelake.session import read_table, scratch_path, ship_code, spread
+from pagelake.session import read_table, ship_code, spread
+from pagelake.session import written as _written
 
 
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
@@ -29,12 +30,16 @@ def id_type(docs: DataFrame, id_col: str = "doc_id") -> str:
     return docs.select(docs[id_col].alias("x")).schema["x"].dataType.simpleString()
 
 
+def integer_ids(docs: DataFrame, id_col: str) -> None:
+    """Ids of other types would become null where they are compared as numbers: an error."""
+    kind = id_type(docs, id_col)
+    if kind not in ("tinyint", "smallint", "int", "bigint"):
+        raise ValueError(f"{id_col} must be an integer column, not {kind}")
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage: write a table under the shared folder and read it back (survives lost executors)."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """``session.written``, compressed well: what is written here holds texts."""
+    return _written(df, name, "zstd")
 
 
 def tokenizer_path(name: str) -> str:

@@ -57,3 +57,14 @@ def test_odd_vectors(spark):
         (140, 1, 3, 0.5), (140, 2, 4, 0.5), (140, 3, 4, 0.5), (140, 4, 0, 0.0),
     ]
     assert annsearch.search(df.where("false"), F.col("vec_id") % 20 == 0).collect() == []
+
+
+def test_queries_of_a_group_in_blocks_and_ids_of_other_types(spark):
+    rng = np.random.default_rng(9)
+    df = spark.createDataFrame([(i, rng.normal(size=6).tolist(), "x", 1) for i in range(900)], SCHEMA).repartition(3)
+    whole, blocks = (
+        sorted(map(tuple, annsearch.search(df, F.col("vec_id") % 2 == 0, k=5, centroids=6, query_rows=n).collect())) for n in (1 << 16, 70)
+    )
+    assert len(whole) == 450 * 5 and blocks == whole
+    with pytest.raises(ValueError, match="integer"):
+        annsearch.search(df.withColumn("vec_id", F.col("vec_id").cast("string")), F.lit(True))
