@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagelake.session import scratch_path
+
 from .common import written
 
 KEY = ["conv_id", "call_id"]
@@ -29,25 +31,38 @@ def _needs(calls: DataFrame) -> DataFrame:
 
 def stages(calls: DataFrame, needs: DataFrame) -> DataFrame:
     """(conv_id, call_id, stage): 0 without needs, else one more than the latest need. Calls on a cycle, or behind
-    one, are left out. ``needs`` only names calls that exist. As many rounds as the longest chain has calls."""
-    parts = []
-    ready = written(calls.select(*KEY).join(needs.select(*KEY).distinct(), KEY, "left_anti").withColumn("stage", F.lit(0)), "stage")
-    parts.append(ready)
-    open_ = written(needs.withColumn("met", F.lit(None).cast("int")), "needs")
+    one, are left out. ``needs`` only names calls that exist.
+
+    Each round settles the calls whose needs are all settled. Where a call waits for one that itself waits for a
+    single call, its need is passed on to that one, with the length of the way: so a chain takes as many rounds as
+    its length has binary digits. Every round's calls are written to one table, which is read at the end.
+    """
+    out, i = scratch_path(calls.sparkSession, "stages"), 0
+    ready = calls.select(*KEY).join(needs.select(*KEY).distinct(), KEY, "left_anti").withColumn("stage", F.lit(0).cast("long"))
+    ready.write.parquet(f"{out}/round=0")
+    ready = calls.sparkSession.read.parquet(f"{out}/round=0")
+    # way: steps to the need; settled: way + stage of a need that is settled (such needs become one row without a need)
+    open_ = written(needs.select(*KEY, "need", F.lit(1).cast("long").alias("way"), F.lit(None).cast("long").alias("settled")), "needs")
     while True:
-        met = ready.select("conv_id", F.col("call_id").alias("need"), F.col("stage").alias("now"))
-        open_ = open_.join(met, ["conv_id", "need"], "left").select(*KEY, "need", F.coalesce("met", "now").alias("met"))
-        open_ = written(open_, "needs")
-        ready = open_.groupBy(*KEY).agg((F.max("met") + 1).alias("stage"), F.count("*").alias("n"), F.count("met").alias("k"))
-        ready = written(ready.where("n = k").select(*KEY, "stage"), "stage")
+        met = ready.select("conv_id", F.col("call_id").alias("need"), "stage")
+        open_ = open_.join(met, ["conv_id", "need"], "left")
+        open_ = written(open_.select(*KEY, "need", "way", F.coalesce("settled", F.col("way") + F.col("stage")).alias("settled")), "needs")
+        calls_ = open_.groupBy(*KEY).agg(F.count("*").alias("n"), F.count("settled").alias("k"), F.max("settled").alias("stage"))
+        i += 1
+        calls_.where("n = k").select(*KEY, "stage").write.parquet(f"{out}/round={i}")
+        ready = calls.sparkSession.read.schema(ready.schema).parquet(f"{out}/round={i}")
         if ready.isEmpty():
             break
-        parts.append(ready)
         open_ = open_.join(ready.select(*KEY), KEY, "left_anti")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        single = open_.groupBy(*KEY).agg(F.count("*").alias("n"), F.first("need").alias("further"), F.first("way").alias("more")).where("n = 1")
+        single = single.select("conv_id", F.col("call_id").alias("need"), "further", "more")
+        waiting = open_.where("settled is null").drop("settled").join(single, ["conv_id", "need"], "left")
+        waiting = waiting.select(*KEY, F.coalesce("further", "need").alias("need"), (F.col("way") + F.coalesce("more", F.lit(0))).alias("way"))
+        waiting = waiting.groupBy(*KEY, "need").agg(F.max("way").alias("way")).withColumn("settled", F.lit(None).cast("long"))
+        done = open_.where("settled is not null").groupBy(*KEY).agg(F.max("settled").alias("settled"))
+        open_ = waiting.unionByName(done.select(*KEY, F.lit(None).cast("string").alias("need"), F.lit(0).cast("long").alias("way"), "settled"))
+    found = calls.sparkSession.read.schema(ready.schema).option("basePath", out).parquet(*[f"{out}/round={r}" for r in range(i)])
+    return found.select(*KEY, F.col("stage").cast("int").alias("stage"))
 
 
 def problems(calls: DataFrame, schemas: DataFrame) -> DataFrame:

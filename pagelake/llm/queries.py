@@ -138,8 +138,9 @@ from kept join total using (lang) qualify rank <= 2000
 
 def _chat_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results derived from the conversations by a fixed rule: every assistant turn is a call with an
-    identifier of its turn, whole text included; the turn after it is the result, unless it is one of the
-    unanswered (turn divisible by 7). The call needs the one of half its turn's number. Some calls break their schema."""
+    identifier of its turn, whole text included; every other turn (a null role, too) is a result, of the turn before
+    it, or without an identifier if its turn is divisible by 7. The call needs the one of half its turn's number.
+    Some calls break their schema."""
     c = conversations.withColumn("n", F.length("text"))
     call = F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string"))
     parent = F.concat(F.lit("$c"), F.col("conv_id").cast("string"), F.lit("-"), ((F.col("turn") / 4).cast("long") * 2 + 1).cast("string"))
@@ -155,7 +156,8 @@ def _chat_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
         .alias("arguments"),
     )
     before = F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), (F.col("turn") - 1).cast("string"))
-    results = c.where("role <> 'assistant' and turn > 0 and turn % 7 <> 0").select("conv_id", before.alias("call_id"), "turn", F.col("text").alias("content"))
+    answers = F.when(F.col("turn") % 7 != 0, before).alias("call_id")
+    results = c.where("coalesce(role, '') <> 'assistant'").select("conv_id", answers, "turn", F.col("text").alias("content"))
     return calls, results
 
 
@@ -186,8 +188,8 @@ calls as (
     case when turn >= 3 then '$c' || conv_id || '-' || ((turn // 4) * 2 + 1) end as source
   from c where role = 'assistant'),
 results as (
-  select conv_id, 'c' || conv_id || '-' || (turn - 1) as call_id, turn, text as content
-  from c where role <> 'assistant' and turn > 0 and turn % 7 <> 0),
+  select conv_id, case when turn % 7 <> 0 then 'c' || conv_id || '-' || (turn - 1) end as call_id, turn, text as content
+  from c where coalesce(role, '') <> 'assistant'),
 canon as (
   select *, case name
       when 'search' then '{' || case when n % 7 <> 0 then '"limit":' || n || ',' else '' end || '"query":' || to_json(text)
@@ -210,10 +212,10 @@ staged(conv_id, call_id, stage) as (
 joined as (
   select coalesce(k.conv_id, r.conv_id) as conv_id, coalesce(k.call_id, r.call_id) as call_id, k.turn as called, r.turn as answered, k.name, k.arguments,
     r.content, list_concat(coalesce(k.faults, []), coalesce(k.lost, [])) as errors,
-    case when k.call_id is null then 'no_call' when r.call_id is null then 'no_result' else 'linked' end as status
+    case when coalesce(k.call_id, r.call_id) is null then 'no_id' when k.call_id is null then 'no_call' when r.call_id is null then 'no_result' else 'linked' end as status
   from known k full join results r on r.conv_id = k.conv_id and r.call_id = k.call_id)
 select j.conv_id, j.call_id, coalesce(j.called, j.answered) as turn, j.status, s.stage::int as stage, array_to_string(j.errors, ',') as errors,
-  '{"arguments":' || coalesce(j.arguments, 'null') || ',"duplicates":0,"errors":' || to_json(j.errors)::varchar || ',"id":' || to_json(j.call_id)
+  '{"arguments":' || coalesce(j.arguments, 'null') || ',"duplicates":0,"errors":' || to_json(j.errors)::varchar || ',"id":' || coalesce(to_json(j.call_id)::varchar, 'null')
   || ',"name":' || coalesce(to_json(j.name)::varchar, 'null') || ',"result":' || coalesce(to_json(j.content)::varchar, 'null') || ',"status":"' || j.status || '"}' as message
 from joined j left join staged s on s.conv_id = j.conv_id and s.call_id = j.call_id
 """

@@ -1,4 +1,5 @@
 import json
+import random
 
 from pagelake.llm import chat
 
@@ -57,3 +58,23 @@ def test_long_chain_and_empty_tables(spark):
     r, s = spark.createDataFrame([], RESULTS), spark.createDataFrame([], SCHEMAS)
     assert {x.call_id: x.stage for x in chat.link_calls(c, r, s).collect()} == {f"k{i}": i for i in range(9)}
     assert chat.link_calls(c.where("false"), r, s).collect() == []
+
+
+def test_a_chain_of_a_thousand(spark):
+    calls = spark.range(1000).selectExpr("1L as conv_id", "concat('k', id) as call_id")
+    needs = spark.range(1, 1000).selectExpr("1L as conv_id", "concat('k', id) as call_id", "concat('k', id - 1) as need")
+    got = {r.call_id: r.stage for r in chat.stages(calls, needs).collect()}
+    assert got == {f"k{i}": i for i in range(1000)}
+
+
+def test_stages_of_any_graph(spark):
+    rnd = random.Random(7)
+    edges = {(f"n{a}", f"n{b}") for a in range(60) for b in rnd.sample(range(a), min(a, rnd.choice([0, 1, 1, 1, 2, 3])))}
+    edges |= {("x", "y"), ("y", "z"), ("z", "x"), ("behind", "x"), ("behind", "n5"), ("self", "self"), ("far", "behind")}
+    nodes = {f"n{a}" for a in range(60)} | {"x", "y", "z", "behind", "self", "far"}
+    stage = {}
+    for a in range(60):
+        stage[f"n{a}"] = max((stage[d] + 1 for c, d in edges if c == f"n{a}"), default=0)
+    calls = spark.createDataFrame([(1, n) for n in nodes], "conv_id long, call_id string")
+    needs = spark.createDataFrame([(1, *e) for e in edges], "conv_id long, call_id string, need string")
+    assert {r.call_id: r.stage for r in chat.stages(calls, needs).collect()} == stage
