@@ -25,6 +25,8 @@ from .common import arrow_schema, byte_rows, id_text, id_type, slices, written
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 #: Words of a shard's suffix array.
 SHARD_WORDS = 1 << 18
+#: Pairs of a place and a start in an item that are looked at once.
+PAIRS = 1 << 21
 #: Bytes of test text broadcast at once.
 BLOCK_BYTES = 16 << 20
 
@@ -59,16 +61,22 @@ class TestSet:
         self.word_id = {w: i for i, w in enumerate(sorted({w for _, ws in texts for w in ws}), 1)}
         self.items = [item for item, _ in texts]
         self.words = [np.array([self.word_id[w] for w in ws], dtype=np.int64) for _, ws in texts]
-        found: dict[tuple, dict[int, int]] = {}
+        found: dict[tuple, list[tuple[int, int]]] = {}
         for i, ws in enumerate(self.words):
             n = min(window, len(ws))
             for s in range(len(ws) - n + 1):
-                found.setdefault(tuple(ws[s : s + n].tolist()), {}).setdefault(i, s)
-        #: windows by length: a matrix of ids, and for each window the items that have it with its first start there
+                found.setdefault(tuple(ws[s : s + n].tolist()), []).append((i, s))
+        #: windows by length: a matrix of ids, and for each window the items that have it with its starts there
         self.windows = {}
         for n in sorted({len(w) for w in found}):
             some = [w for w in found if len(w) == n]
-            self.windows[n] = (np.array(some, dtype=np.int64), [list(found[w].items()) for w in some])
+            self.windows[n] = (np.array(some, dtype=np.int64), [found[w] for w in some])
+        size = np.array([len(ws) for ws in self.words], dtype=np.int64)
+        #: the items' words one after the other, each with a word of no document (-1) before and after it
+        self.first = np.cumsum(size + 1) - size
+        self.flat = np.full(int((size + 1).sum()) + 1, -1, dtype=np.int64)
+        for a, ws in zip(self.first, self.words, strict=True):
+            self.flat[a : a + len(ws)] = ws
         self.depth = max(self.windows, default=1)
         self.least = min(self.windows, default=1)
 
@@ -105,27 +113,47 @@ def _bound(words: np.ndarray, sa: np.ndarray, wanted: np.ndarray, right: bool) -
     return low
 
 
-def shard_matches(docs: list[list[bytes]], test: TestSet) -> list[tuple[list, list]]:
+def _maximal(words: np.ndarray, test: TestSet, n: int, at: np.ndarray, which: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """(place, item, start in the item, words) of the matches that begin at ``at`` with the windows ``which`` of ``n`` words
+    and are not part of a longer one. Places are paired with the starts of their windows in pieces of bounded size."""
+    owners = test.windows[n][1]
+    begins = np.cumsum([0, *map(len, owners)])
+    flat = np.array([p for o in owners for p in o], dtype=np.int64).reshape(-1, 2)
+    count = np.diff(begins)[which]
+    ahead = np.concatenate([[0], np.cumsum(count)])
+    cut = 0
+    while cut < len(at):
+        stop = max(cut + 1, int(np.searchsorted(ahead, ahead[cut] + PAIRS, side="right")) - 1)
+        some = slice(cut, stop)
+        k = np.repeat(begins[which[some]] - ahead[some] + ahead[cut], count[some]) + np.arange(ahead[stop] - ahead[cut])
+        place, item, start = np.repeat(at[some], count[some]), flat[k, 0], flat[k, 1]
+        # a word further left that agrees means that a longer match begins there
+        here = test.first[item] + start
+        left = (place > 0) & (words[place - 1] == test.flat[here - 1])
+        place, item, start, here = place[~left], item[~left], start[~left], here[~left]
+        length, on = np.full(len(place), n), np.arange(len(place))
+        while len(on):
+            on = on[words[place[on] + length[on]] == test.flat[here[on] + length[on]]]
+            length[on] += 1
+        yield place, item, start, length
+        cut = stop
+
+
+def shard_matches(docs: list[list[bytes]], test: TestSet, every: bool = False) -> list[tuple[list, list]]:
     """For each document (its words): hit spans (start, words), and (item, words, doc start, item start) of each
-    matching item's longest match (the first one; starts in the item are those of its first equal window)."""
+    matching item's longest match (the first one), or of every maximal match."""
     sizes = np.array([len(d) for d in docs], dtype=np.int64)
     begin = np.cumsum(sizes + 1) - sizes - 1
-    words = np.zeros(int((sizes + 1).sum()), dtype=np.int64)
+    words = np.zeros(int((sizes + 1).sum()) + 1, dtype=np.int64)
     ids = test.word_id
     for b, d in zip(begin, docs, strict=True):
         words[b : b + len(d)] = [ids.get(w, 0) for w in d]
     cover = np.zeros(len(words) + 1, dtype=np.int64)
-    pairs = []
+    found = []
     for n, at, which in test.places(words):
         np.add.at(cover, at, 1)
         np.add.at(cover, at + n, -1)
-        owners = test.windows[n][1]
-        count = np.array([len(o) for o in owners], dtype=np.int64)[which]
-        flat = np.array([p for o in owners for p in o], dtype=np.int64).reshape(-1, 2)
-        first = np.cumsum([0] + [len(o) for o in owners])[:-1][which]
-        k = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
-        if len(k):
-            pairs.append(np.stack([np.repeat(at, count), flat[k, 0], flat[k, 1], np.full(len(k), n)]))
+        found += [np.stack(x) for x in _maximal(words, test, n, at, which)]
     hit = np.cumsum(cover)[:-1] > 0
     edge = np.flatnonzero(np.diff(np.concatenate([[0], hit.view(np.int8), [0]])))
     spans: list[list] = [[] for _ in docs]
@@ -133,33 +161,36 @@ def shard_matches(docs: list[list[bytes]], test: TestSet) -> list[tuple[list, li
     of = np.searchsorted(begin, edge[::2], side="right") - 1
     for d, a, e in zip(of.tolist(), edge[::2].tolist(), edge[1::2].tolist(), strict=True):
         spans[d].append((a - int(begin[d]), e - a))
-    if pairs:
-        at, item, start, n = np.concatenate(pairs, axis=1)
-        # places on one diagonal of a document and an item that follow each other make one match
-        order = np.lexsort((at, at - start, item))
-        at, item, start, n = at[order], item[order], start[order], n[order]
-        new = np.ones(len(at), dtype=bool)
-        new[1:] = (np.diff(item) != 0) | (np.diff(at - start) != 0) | (np.diff(at) != 1)
-        first = np.flatnonzero(new)
-        length = np.maximum.reduceat(at + n, first) - at[first]
-        doc = np.searchsorted(begin, at[first], side="right") - 1
-        order = np.lexsort((at[first], -length, item[first], doc))
-        f, length, doc = first[order], length[order], doc[order]
-        lead = np.ones(len(f), dtype=bool)
-        lead[1:] = (np.diff(doc) != 0) | (np.diff(item[f]) != 0)
-        for d, i, size, a, s in zip(
-            doc[lead].tolist(), item[f][lead].tolist(), length[lead].tolist(), at[f][lead].tolist(), start[f][lead].tolist(), strict=True
-        ):
+    if found:
+        at, item, start, length = np.concatenate(found, axis=1)
+        doc = np.searchsorted(begin, at, side="right") - 1
+        order = np.lexsort((start, at, *([] if every else [-length]), item, doc))
+        if not every:
+            lead = np.ones(len(order), dtype=bool)
+            lead[1:] = (np.diff(doc[order]) != 0) | (np.diff(item[order]) != 0)
+            order = order[lead]
+        for d, i, size, a, s in zip(*(x[order].tolist() for x in (doc, item, length, at, start)), strict=True):
             items[d].append((test.items[i], size, a - int(begin[d]), s))
     return list(zip(spans, items, strict=True))
 
 
+def _joined(matches: list[tuple]) -> list[tuple]:
+    """Matches found in parts of a document: those that overlap on one diagonal of an item are one match."""
+    out: list[tuple] = []
+    for item, n, at, start in sorted(matches, key=lambda m: (str(m[0]), m[2] - m[3], m[2])):
+        if out and out[-1][0] == item and out[-1][2] - out[-1][3] == at - start and at <= out[-1][2] + out[-1][1]:
+            out[-1] = (item, max(out[-1][1], at + n - out[-1][2]), *out[-1][2:])
+        else:
+            out.append((item, n, at, start))
+    return sorted(out, key=lambda m: (str(m[0]), m[2], m[3]))
+
+
 def _document_matches(texts: list[bytes | None], test: TestSet, shard_words: int = SHARD_WORDS) -> Iterator[tuple[int, list, list]]:
-    """(words, hit spans, matching items) of each text. A document longer than a shard goes in overlapping parts."""
+    """(words, hit spans, maximal matches) of each text. A document longer than a shard goes in overlapping parts."""
     group: list[tuple[list[bytes], int]] = []
 
     def flush():
-        out = shard_matches([ws for ws, _ in group], test)
+        out = shard_matches([ws for ws, _ in group], test, every=True)
         got = [(n, s, i) for (_, n), (s, i) in zip(group, out, strict=True)]
         group.clear()
         return got
@@ -176,18 +207,16 @@ def _document_matches(texts: list[bytes | None], test: TestSet, shard_words: int
             continue
         if group:
             yield from flush()
-        held, spans, best = 0, [], {}
+        held, spans, matches = 0, [], []
         for a in range(0, len(ws), shard_words):
-            s, items = shard_matches([ws[a : a + shard_words + test.depth - 1]], test)[0]
+            s, items = shard_matches([ws[a : a + shard_words + test.depth - 1]], test, every=True)[0]
             for b, n in s:
                 if spans and a + b <= spans[-1][0] + spans[-1][1]:
                     spans[-1] = (spans[-1][0], max(spans[-1][1], a + b + n - spans[-1][0]))
                 else:
                     spans.append((a + b, n))
-            for item, n, at, start in items:
-                if item not in best or best[item][1] < n:
-                    best[item] = (item, n, a + at, start)
-        yield len(ws), spans, list(best.values())
+            matches += [(item, n, a + at, start) for item, n, at, start in items]
+        yield len(ws), spans, _joined(matches)
     if group:
         yield from flush()
 
@@ -203,7 +232,7 @@ def find_contamination(
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, spans (start, words: maximal runs of hit words) and items
-    (item_id as string, words, doc_start, item_start: the longest verbatim match of each item found).
+    (item_id as string, words, doc_start, item_start: every maximal verbatim match of ``window`` words or more).
 
     A word is hit when it lies in an occurrence of ``window`` consecutive words of an item (of the whole item
     where it has fewer). Null and wordless texts have no words; items without words never match; a null

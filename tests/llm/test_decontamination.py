@@ -84,3 +84,31 @@ def test_decontaminate_keeps_clean_and_null_rows(spark, odd):
     assert kept.where("doc_id is null").count() == 1
     assert decontam.find_contamination(odd, items.where("false")).where("size(spans) > 0").count() == 0
     assert decontam.find_contamination(odd.where("false"), items).count() == 0
+
+
+def all_matches(doc, items, window):
+    """Every maximal match by comparing all pairs of places."""
+    out = []
+    for name, t in items:
+        n, m = min(window, len(t)), len(t)
+        for a in range(len(doc)):
+            for b in range(m):
+                if doc[a] == t[b] and not (a and b and doc[a - 1] == t[b - 1]):
+                    k = 0
+                    while a + k < len(doc) and b + k < m and doc[a + k] == t[b + k]:
+                        k += 1
+                    if k >= n:
+                        out.append((name, k, a, b))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed, shard_words", [(1, 1 << 18), (2, 25), (3, 9)])
+def test_every_maximal_match(seed, shard_words, monkeypatch):
+    monkeypatch.setattr(decontam, "PAIRS", 50)
+    rnd = random.Random(seed)
+    say = lambda n: [rnd.choice([b"a", b"b", b"c"]) for _ in range(n)]
+    items = [(f"i{k}", say(rnd.choice([2, 6, 15]))) for k in range(5)] + [("same", [b"a"] * 7)]
+    test = decontam.TestSet([(k, b" ".join(t)) for k, t in items], 4)
+    docs = [say(60) + items[0][1] + say(10), [b"a"] * 40, say(3), [b"x"] * 9, items[2][1] * 3]
+    got = list(decontam._document_matches([b" ".join(d) for d in docs], test, shard_words))
+    assert [sorted(m) for _, _, m in got] == [all_matches(d, items, 4) for d in docs]
