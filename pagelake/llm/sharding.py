@@ -18,10 +18,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import sql_text_crc32
+from .common import sql_text_crc32, written
 
 #: Places of the ring: the size of the histogram and of the broadcast table, whatever the number of rows.
 PLACES = 1 << 16
+#: Rows of a place from which it is numbered in chunks, and the number of those.
+HOT_ROWS, CHUNKS = 1 << 20, 256
 
 
 def ring_owners(shards: int, virtual: int) -> list[int]:
@@ -68,11 +70,14 @@ def allocate(counts: list[int], owners: list[int], bounds: list[int]) -> list[li
     return out
 
 
-def assign_shards(docs: DataFrame, shards: int = 40, virtual: int = 64, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def assign_shards(
+    docs: DataFrame, shards: int = 40, virtual: int = 64, id_col: str = "doc_id", text_col: str = "text", hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """One row per row of ``docs``: doc_id, size (UTF-8 bytes + 16), text_crc32, law (``rows``), shard, slot, grown_shard (null).
 
     Slots number a shard's rows from 0 without gaps. A null id hashes like any value; a null text counts as
-    empty; identical rows are interchangeable and each get a slot. An empty table gives no rows. The text
+    empty; identical rows are interchangeable and each get a slot. A place with more than ``hot_rows`` rows (one id,
+    or none, in a third of the table) is split among tasks. An empty table gives no rows. The text
     is read once, for its size and checksum; what is shuffled is a few numbers per row.
     """
     if shards < 1 or virtual < 1:
@@ -97,9 +102,9 @@ def assign_shards(docs: DataFrame, shards: int = 40, virtual: int = 64, id_col:
         sql_text_crc32(text).alias("text_crc32"),
         place.alias("place"),
     )
-    nth = F.row_number().over(Window.partitionBy("place").orderBy("doc_id", "text_crc32", "size")) - 1
+    hot = [p for p, n in seen.items() if n > hot_rows]
     return (
-        rows.withColumn("nth", nth)
+        _numbered(rows, hot)
         .join(F.broadcast(table), "place")
         .where((F.col("nth") >= F.col("low")) & (F.col("nth") < F.col("high")))
         .select(
@@ -112,3 +117,27 @@ def assign_shards(docs: DataFrame, shards: int = 40, virtual: int = 64, id_col:
             F.lit(None).cast("int").alias("grown_shard"),
         )
     )
+
+
+def _numbered(rows: DataFrame, hot: list[int]) -> DataFrame:
+    """``rows`` with their number ``nth`` within their place, in the order of id, checksum and size.
+
+    A hot place (an id, or no id, that very many rows have) is numbered in chunks, each from the number of rows
+    in the chunks before it. Chunks are dealt by a number of the rows, which are written with it first, so
+    equal rows are split, too; the order within such a place is that of its chunks.
+    """
+    order = ["doc_id", "text_crc32", "size"]
+    alone = lambda df: df.withColumn("nth", F.row_number().over(Window.partitionBy("place").orderBy(*order)) - 1)
+    if not hot:
+        return alone(rows)
+    places = rows.sparkSession.createDataFrame([(p,) for p in hot], "place int")
+    cold = rows.join(F.broadcast(places), "place", "left_anti")
+    some = rows.join(F.broadcast(places), "place", "left_semi").withColumn("row", F.monotonically_increasing_id())
+    some = written(some.withColumn("chunk", F.pmod(F.xxhash64("row"), F.lit(CHUNKS))), "hot-places")
+    sizes = some.groupBy("place", "chunk").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("place").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    # (at most PLACES * CHUNKS rows)
+    offsets = sizes.select("place", "chunk", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    inside = F.row_number().over(Window.partitionBy("place", "chunk").orderBy(*order, "row")) - 1
+    split = some.withColumn("nth", inside).join(offsets, ["place", "chunk"]).withColumn("nth", F.col("nth") + F.col("offset"))
+    return alone(cold).unionByName(split.select(*rows.columns, "nth"))

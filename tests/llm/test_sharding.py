@@ -40,3 +40,15 @@ def test_odd_rows(odd):
     rows = sharding.assign_shards(odd, shards=3).collect()
     assert len(rows) == odd.count() and [r["size"] for r in rows if r.doc_id == 1] == [16]
     assert sharding.assign_shards(odd.where("false"), shards=3).collect() == []
+
+
+def test_a_third_without_an_id(spark):
+    rows = [(None, f"t{i % 40}") for i in range(500)] + [(7, "same")] * 300 + [(i, "x" * (i % 9)) for i in range(700)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = sharding.assign_shards(docs, shards=7, hot_rows=100).collect()
+    assert sorted((str(r.doc_id), r["size"]) for r in got) == sorted((str(i), len(t) + 16) for i, t in rows)
+    by = {s: sorted(r.slot for r in got if r.shard == s) for s in range(7)}
+    assert all(v == list(range(len(v))) for v in by.values())
+    assert max(map(len, by.values())) - min(map(len, by.values())) <= 1
+    plain = sharding.assign_shards(docs, shards=7).collect()
+    assert sorted((r.shard, r.slot) for r in plain) == sorted((r.shard, r.slot) for r in got)
