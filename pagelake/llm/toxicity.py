@@ -29,8 +29,6 @@ from .common import id_text, id_type, slices, written
 
 #: Labelled rows that lexicon and model are fitted on, at most.
 TRAINING_ROWS = 12_000
-#: Terms of the lexicon, at most: those with the highest weight.
-TERMS = 5000
 #: States of the automaton a worker keeps before it starts afresh (a bound on memory, not on results).
 STATES = 100_000
 TOKEN = re.compile(r"[^\W\d_]+|[\"“”„«»‘’'`]")
@@ -226,12 +224,12 @@ def train(rows: DataFrame, min_contexts: int = 6, min_ratio: float = 20.0) -> Sc
     text = rows.select("toxic", "text").where("text is not null")
     bad = text.where("toxic = 1").select("text").mapInArrow(_contexts(), "term string, context long")
     bad = bad.distinct().groupBy("term").agg(F.count("*").alias("n")).where(F.col("n") >= min_contexts)
-    counts = {r.term: r.n for r in bad.orderBy(F.desc("n"), "term").limit(40 * TERMS).collect()}
+    counts = {r.term: r.n for r in bad.collect()}  # (terms of a bounded sample)
     wanted = sc.broadcast(set(counts))
     good = text.where("toxic = 0").select("text").mapInArrow(_contexts(wanted), "term string, context long")
     clean = Counter({r.term: r.n for r in good.distinct().groupBy("term").agg(F.count("*").alias("n")).collect()})
     ratio = {t: (k + 0.5) / n[1] / ((clean[t] + 0.5) / n[0]) for t, k in counts.items()}
-    good_terms = sorted((t for t, r in ratio.items() if r >= min_ratio), key=lambda t: (-ratio[t], t))[:TERMS]
+    good_terms = sorted((t for t, r in ratio.items() if r >= min_ratio), key=lambda t: (-ratio[t], t))
     # a beginning is a stem when no single word makes most of its occurrences
     by_start: dict[str, list[str]] = {}
     for w in counts:
@@ -254,7 +252,9 @@ def train(rows: DataFrame, min_contexts: int = 6, min_ratio: float = 20.0) -> Sc
 
     table = rows.select("toxic", "text").mapInArrow(measure, "toxic int, x array<double>").toArrow()
     x = np.array(table.column("x").to_pylist(), dtype=np.float64)
-    return Scorer(lexicon, fit_logistic(x, table.column("toxic").to_numpy().astype(float)), rate)
+    y = table.column("toxic").to_numpy().astype(float)
+    order = np.lexsort((y, *x.T))  # the sums of the fit do not depend on the order of arrival
+    return Scorer(lexicon, fit_logistic(x[order], y[order]), rate)
 
 
 def score_toxicity(
@@ -279,7 +279,10 @@ def score_toxicity(
     known = usable.groupBy(labels[id_col].alias("id")).agg(F.max((labels[label_col] > 0).cast("int")).alias("toxic"))
     known = known.orderBy(F.xxhash64("id"), "id").limit(training_rows)
     texts = id_text(docs, id_col, text_col)
-    rows = texts.join(F.broadcast(known), texts["doc_id"] == known["id"]).dropDuplicates(["id"]).select("toxic", "text")
+    # of rows that repeat an id the text with the smallest hash teaches
+    rows = texts.join(F.broadcast(known), texts["doc_id"] == known["id"]).groupBy("id").agg(
+        F.max("toxic").alias("toxic"), F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text")
+    ).select("toxic", "text")
     fitted = docs.sparkSession.sparkContext.broadcast(train(written(rows, "labelled")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
