@@ -185,3 +185,30 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 3, id_col: st
     name = c.groupBy("root").agg(F.min("least").alias("component_id"))
     named = c.join(name, "root").select("fp", "component_id")
     return seen.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def deduplicate(docs: DataFrame, shingle: int = 3, bits: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with exactly one of each group of near duplicates: the one with the smallest id (a null id
+    is larger than any; of rows that repeat an id, the one with the smallest hash of its text, and one of equal rows).
+
+    All columns are kept; columns other than the id and the text take no part.
+    """
+    id_, text = docs[id_col], docs[text_col].cast("string")
+    key = F.struct(id_.isNull().alias("none"), id_.alias("id"), F.coalesce(F.xxhash64(text), F.lit(0)).alias("text"))
+    groups = near_duplicates(docs.select(key.alias("key"), text.alias("text")), shingle, bits, "key", "text")
+    groups = written(groups.select(F.col("doc_id").alias("key"), F.col("component_id").alias("first")), "groups")
+    parts = [F.col("key.none").alias("__none"), F.col("key.id").alias("__id"), F.col("key.text").alias("__text")]
+    on = ["__none", "__id", "__text"]
+    gone = groups.where("key <> first").select(*parts).distinct()
+    same = written(groups.where("key = first").groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select(*parts), "repeated")
+    rows = docs.select("*", key["none"].alias("__none"), key["id"].alias("__id"), key["text"].alias("__text"))
+
+    def meets(other: DataFrame):
+        both = [rows[c].eqNullSafe(other[c]) for c in on]
+        return both[0] & both[1] & both[2]
+
+    rows = rows.join(gone, meets(gone), "left_anti")
+    if same.head(1):
+        once = rows.join(same, meets(same), "left_semi").dropDuplicates(on)
+        rows = rows.join(same, meets(same), "left_anti").unionByName(once)
+    return rows.select(*docs.columns)

@@ -34,7 +34,7 @@ from pagelake.session import ship_code
 
 from .anchors import Runs, runs
 from .bwt import construct, suffix_places
-from .common import arrow_schema, byte_rows, slices, written
+from .common import arrow_schema, byte_rows, integer_ids, slices, written
 
 GRAM = 32
 #: Bytes hashed at once; a longer text goes in parts that overlap by a window.
@@ -330,18 +330,20 @@ def remove_repeats(
     the bytes of characters of which only a part is left; null where the text is).
 
     A byte goes when a string of ``length`` bytes that covers it also starts earlier: in a smaller id, or
-    further up in the same document. Null and empty texts have no bytes. Ids are integers; null is smaller
-    than any. Rows that repeat an id are judged by their text: the same place of the same id is not earlier
+    further up in the same document. Null and empty texts have no bytes. Ids are integers (others are an error);
+    null is smaller than any. Rows that repeat an id are judged by their text: the same place of the same id is not earlier
     than itself, so identical rows keep the same bytes. An empty table gives no rows.
     """
     if not 32 <= length < 255:
         raise ValueError("length must be 32 to 254 bytes")
+    integer_ids(docs, id_col)
     ship_code(docs.sparkSession)
+    pad = "_" * (1 + max([0, *map(len, carry or [])]))  # (a struct needs a field; longer than any name carried)
     rows = docs.select(
         docs[id_col].alias("doc_id"),
         docs[id_col].cast("long").alias("doc"),
         docs[text_col].cast("string").alias("text"),
-        F.struct(*[docs[c].alias(c) for c in carry or []], F.lit(None).cast("int").alias("_")).alias("rest"),
+        F.struct(*[docs[c].alias(c) for c in carry or []], F.lit(None).cast("int").alias(pad)).alias("rest"),
     ).withColumn("mark", F.xxhash64("text"))
     spans = written(repeated_spans(rows.select("doc", "mark", "text"), length, min(GRAM, length // 2), **sizes), "spans")
     # a document's spans meet as stretches of starts; neighbours are joined where they are applied

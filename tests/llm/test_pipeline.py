@@ -1,6 +1,8 @@
 import random
 
 import corpus_pipeline
+import pytest
+from pagelake.llm import simhash, suffixdedup
 
 from .conftest import DOCS
 
@@ -37,3 +39,43 @@ def test_stages_do_their_work(spark, tmp_path):
     assert {r.doc_id for r in now.collect()} == set(seen["decontamination"])
     whole = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {(r.doc_id, r.doc_tokens) for r in whole} == {(r.doc_id, r.doc_tokens) for r in now.collect()}
+
+
+def test_one_row_of_each_group_stays(spark):
+    rnd = random.Random(3)
+    say = lambda n: " ".join(rnd.choice("red green blue black white grey".split()) + str(rnd.randrange(40)) for _ in range(n))
+    a, b = say(150), say(150)
+    rows = [(5, a, "x"), (5, a, "x"), (9, a, "x"), (None, a, "x"), (None, b, "x"), (None, b, "x"), (3, None, "n"), (4, "", "n"), (None, None, "n")]
+    rows += [(7, say(150), "x"), (7, say(150), "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, key string").repartition(3)
+    got = sorted((str(r.doc_id), str(r.text)) for r in simhash.deduplicate(docs).collect())
+    assert got == sorted([("5", a), ("None", b), ("3", "None"), ("7", rows[-1][1]), ("7", rows[-2][1])])
+    assert simhash.deduplicate(docs).columns == docs.columns
+
+
+ODD = DOCS + ", key string, _ int, __row long, spans string, row string"
+
+
+def test_stages_on_odd_tables(spark, tmp_path):
+    words = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [(None, words), (None, words), (1, None), (2, ""), (3, " \n"), (4, words + " thirteen"), (4, words + " thirteen"), (5, "é" * 300), (6, "long " * 30_000)]
+    docs = spark.createDataFrame([(i, t, "xx", None, None, "k", 1, 2, "s", "r") for i, t in rows], ODD).repartition(2)
+    spark.createDataFrame([(1, "no such words"), (None, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for table in (docs, docs.where("false")):
+        for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+            out = stage(spark, table, str(tmp_path))
+            n = out.count()
+            if name != "packing":
+                assert out.columns == docs.columns
+            if table is not docs:
+                assert n == 0
+            elif name in ("suffix_dedup", "decontamination"):
+                assert n == len(rows)
+            elif name == "near_dedup":
+                assert n == 5  # the words, the empty ones, thirteen, é and the long one
+
+
+def test_ids_that_are_no_integers(spark):
+    docs = spark.createDataFrame([("a", "text")], "doc_id string, text string")
+    with pytest.raises(ValueError, match="integer"):
+        suffixdedup.remove_repeats(docs)
