@@ -126,11 +126,23 @@ TIMEOUT_ERROR = "Timeout 30000ms exceeded"
 DNS_ERROR = "net::ERR_NAME_NOT_RESOLVED"
 
 
+def crawl_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The URLs to ingest ``(seq, url)``: every page's, and for ``page_id % 11 = 4`` one more that was never fetched."""
+    p = read_table(spark, sf_dir, "pages")
+    more = p.where(F.col("page_id") % 11 == 4).select((-1 - F.col("page_id")).alias("seq"), F.concat("url", F.lit("/never-fetched")).alias("url"))
+    return p.select(F.col("page_id").alias("seq"), "url").unionByName(more)
+
+
+CRAWL_URLS_SQL = """
+crawl AS (SELECT page_id AS seq, url FROM pages
+          UNION ALL SELECT -1 - page_id, url || '/never-fetched' FROM pages WHERE page_id % 11 = 4)"""
+
+
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fetch-attempt log: every page x attempts 1..4, but none for ``page_id % 11 = 4``; attempt fails when
+    """Fetch-attempt log: every page x attempts 1..4; attempt fails when
     ``(page_id + attempt) % 3 = 0``; every attempt fails for ``page_id % 10 = 9``;
     a successful page answers 404 when ``page_id % 7 = 0``, else 200."""
-    p = read_table(spark, sf_dir, "pages").where(F.col("page_id") % 11 != 4)
+    p = read_table(spark, sf_dir, "pages")
     a = p.select("page_id", "url", "html", F.explode(F.sequence(F.lit(1), F.lit(4))).alias("attempt"))
     err = F.when(F.col("page_id") % 10 == 9, F.lit(DNS_ERROR)).when((F.col("page_id") + F.col("attempt")) % 3 == 0, F.lit(TIMEOUT_ERROR))
     a = a.withColumn("error", err)
@@ -145,7 +157,7 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ATTEMPTS_SQL = f"""
-a0 AS (SELECT page_id, url, html, unnest(generate_series(1, 4)) AS attempt FROM pages WHERE page_id % 11 <> 4),
+a0 AS (SELECT page_id, url, html, unnest(generate_series(1, 4)) AS attempt FROM pages),
 a1 AS (SELECT *, CASE WHEN page_id % 10 = 9 THEN '{DNS_ERROR}'
                       WHEN (page_id + attempt) % 3 = 0 THEN '{TIMEOUT_ERROR}' END AS error FROM a0),
 attempts AS (SELECT page_id, url, attempt,

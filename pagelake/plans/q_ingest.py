@@ -23,7 +23,8 @@ TOKEN = I.agent_token(I.USER_AGENT)
 def admission_sql() -> str:
     return f"""
 {X.robots_rules_sql()},
-u AS (SELECT page_id AS seq, url, {BASE_SQL} AS base, {PATH_SQL} AS path FROM pages),
+{X.CRAWL_URLS_SQL},
+u AS (SELECT seq, url, {BASE_SQL} AS base, {PATH_SQL} AS path FROM crawl),
 j AS (SELECT u.seq, u.url, u.path, r.*,
              (r.agent IS NOT NULL AND r.agent <> '*' AND contains('{TOKEN}', lower(r.agent))) AS named,
              (r.agent = '*') AS star,
@@ -56,8 +57,7 @@ FROM a)"""
 
 
 def _admission(spark, sf_dir):
-    pages = read_table(spark, sf_dir, "pages").select(F.col("page_id").alias("seq"), "url")
-    return I.robots_admission(pages, X.robots_rules(spark, sf_dir), "url", "seq")
+    return I.robots_admission(X.crawl_urls(spark, sf_dir), X.robots_rules(spark, sf_dir), "url", "seq")
 
 
 @register("robots_admission", f"WITH {admission_sql()} SELECT seq, url, allowed, reason FROM adm")
@@ -84,7 +84,9 @@ FROM adm LEFT JOIN w ON adm.url = w.url
 def fetch_outcomes(spark, sf_dir):
     """I2 + I3: admission, then the first successful attempt (of 3) or the last error."""
     adm = _admission(spark, sf_dir)
-    res = I.resolve_attempts(X.attempts(spark, sf_dir).drop("page_id"), "url")
+    # the pages themselves stay where they are: their digests take part
+    log = X.attempts(spark, sf_dir).drop("page_id").withColumn("html", raw_digest("html"))
+    res = I.resolve_attempts(log, "url")
     j = adm.join(res, "url", "left")  # a blocked URL has no attempt, by nature
     tried = F.coalesce(F.col("ok"), F.lit(False))
     ok = F.col("allowed") & tried
@@ -95,7 +97,7 @@ def fetch_outcomes(spark, sf_dir):
         F.when(ok, F.col("status_code")).alias("status_code"),
         F.when(F.col("allowed"), F.col("attempt")).alias("attempt"),
         F.when(F.col("allowed") & ~tried, F.coalesce("error", F.lit(NO_ATTEMPT))).alias("error"),
-        F.when(ok, raw_digest("html")).alias("digest"),
+        F.when(ok, F.col("html")).alias("digest"),
     )
 
 
