@@ -8,13 +8,13 @@ of open elements.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .references import unescape as _unescape
-from .text import WS, py_strip
+from .text import WS, let, py_strip
 
 SP = r"[ \t\n\r\f]"  # ASCII blank
 
@@ -95,11 +95,6 @@ def title_text(cleaned) -> Column:
     return F.when(t == "", F.lit(None).cast("string")).otherwise(t)
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _in(value: Column, names: Sequence[str]) -> Column:
     return value.isin(list(names)) if names else F.lit(False)
 
@@ -111,7 +106,7 @@ def _token(token: Column, containers: Sequence[str], names: Sequence[str]) -> Co
     # attributes one by one (a value in quotes is part of its attribute), then those with one of the names as a word
     attributes = F.regexp_extract_all(token, F.lit(ATTRIBUTE_RE), F.lit(0))
     named = F.exists(attributes, lambda a: a.rlike(rf"(?is)^(?:class|id){SP}*+={SP}*+[\"']?(?:.*{SP})?(?:{'|'.join(names) or '(?!)'})(?:{SP}.*)?[\"']?$"))
-    return _let(
+    return let(
         F.when(tag, name),
         lambda name: F.struct(
             F.when(name.isNull(), token).alias("text"),
@@ -142,7 +137,7 @@ def _step(s: Column, t: Column) -> Column:
     def cut(depth, then):
         """Elements deeper than ``depth`` end."""
         left = F.struct(F.slice(s["stack"], 1, depth).alias("stack"), *[F.when(s[n] > depth, 0).otherwise(s[n]).alias(n) for n in ("skip", "link", "para")])
-        return F.when(depth < F.size(s["stack"]), _let(left, then)).otherwise(then(s))
+        return F.when(depth < F.size(s["stack"]), let(left, then)).otherwise(then(s))
 
     said = F.when(s["skip"] > 0, "").when(s["link"] > 0, F.concat(F.lit(LINK), t["text"], F.lit(UNLINK))).otherwise(t["text"])
     text = state(s, F.concat(s["out"], said))
@@ -150,7 +145,7 @@ def _step(s: Column, t: Column) -> Column:
     def closed(at):
         """``at``: how far from the end of the stack the element is that the tag closes (0: there is none)."""
         depth = F.when(at > 0, F.size(s["stack"]) - at).otherwise(F.size(s["stack"]))
-        return _let(depth, lambda d: cut(d, lambda left: state(left, bounded(left["para"]))))
+        return let(depth, lambda d: cut(d, lambda left: state(left, bounded(left["para"]))))
 
     def opened(left):
         here = F.size(left["stack"]) + 1
@@ -161,13 +156,13 @@ def _step(s: Column, t: Column) -> Column:
             link = F.when((left["link"] == 0) & (t["name"] == "a"), here).otherwise(left["link"])
             return state(left, bounded(inside), stack=F.array_append(left["stack"], t["name"]), skip=skip, link=link, para=inside)
 
-        return F.when(t["void"] | (here > MAX_DEPTH), state(left, bounded(left["para"]))).otherwise(_let(here, pushed))
+        return F.when(t["void"] | (here > MAX_DEPTH), state(left, bounded(left["para"]))).otherwise(let(here, pushed))
 
     # a block ends an open paragraph, a link the link just opened
     before = F.when(t["block"] & ~t["void"], F.array_position(s["stack"], "p").cast("int"))
     before = before.when((t["name"] == "a") & (F.try_element_at(s["stack"], F.lit(-1)) == "a"), F.size(s["stack"])).otherwise(0)
-    open_ = _let(F.when(before > 0, before - 1).otherwise(F.size(s["stack"])), lambda d: cut(d, opened))
-    close = _let(F.array_position(F.reverse(s["stack"]), t["name"]).cast("int"), closed)
+    open_ = let(F.when(before > 0, before - 1).otherwise(F.size(s["stack"])), lambda d: cut(d, opened))
+    close = let(F.array_position(F.reverse(s["stack"]), t["name"]).cast("int"), closed)
     return F.when(t["name"].isNull(), text).when(t["name"] == "", s).when(t["closes"], close).otherwise(open_)
 
 
@@ -190,14 +185,14 @@ def folded(cleaned, containers: Sequence[str] = BOILERPLATE_CONTAINERS, names: S
                 fresh = F.struct(*[s[n].alias(n) for n in ("stack", "skip", "link", "para")], F.lit("").alias("out")).cast(_STATE)
                 return F.struct(fresh.alias("state"), F.array_append(acc["done"], s["out"]).alias("done"))
 
-            return _let(F.aggregate(some, acc["state"], _step), gathered).cast(
+            return let(F.aggregate(some, acc["state"], _step), gathered).cast(
                 f"struct<state:{_STATE},done:array<string>>"
             )
 
         return F.aggregate(parts, first.cast(f"struct<state:{_STATE},done:array<string>>"), part, lambda acc: F.array_join(acc["done"], ""))
 
     tokens = F.transform(F.regexp_extract_all(text, F.lit(TOKEN_RE), F.lit(0)), lambda t: _token(t, containers, names))
-    whole = _let(tokens, lambda t: F.when(F.size(t) > 0, all_blocks(t)).otherwise(""))
+    whole = let(tokens, lambda t: F.when(F.size(t) > 0, all_blocks(t)).otherwise(""))
     return F.when(text.isNotNull(), F.split(F.concat(F.lit("x"), whole), MARK))
 
 

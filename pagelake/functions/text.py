@@ -8,12 +8,11 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Callable
 
-import pandas as pd
 import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # The characters Python's str.isspace() accepts (strip()/split() semantics).
 WS = r"\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
@@ -34,9 +33,14 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def py_strip(c) -> Column:
-    """Strip Unicode whitespace from both ends (Python ``str.strip()``)."""
-    return F.regexp_replace(_c(c), rf"^[{WS}]+|[{WS}]+$", "")
+    """Strip Unicode whitespace from both ends (Python ``str.strip()``), in linear time however long the runs of it are."""
+    return F.regexp_extract(_c(c), rf"(?s)^[{WS}]*+(.*[^{WS}])?", 1)
 
 
 def keyword_tokens(c) -> Column:
@@ -78,15 +82,21 @@ def chunk_array(text, max_chars: int = 4000, overlap: int = 200) -> Column:
     step = max(1, max_chars - overlap)
     t = _c(text)
     n = F.length(t)
-    k = chunk_count(n, max_chars, overlap)
-    elem = lambda i: F.struct(
-        i.alias("chunk_idx"),
-        (i * step).alias("start_idx"),
-        F.least(i * step + max_chars, n).alias("end_idx"),
-        F.substring(t, i * step + 1, max_chars).alias("chunk"),
+    # one pass: each match takes ``step`` characters and looks ahead at the whole chunk that begins there
+    chunks = F.regexp_extract_all(t, F.lit(f"(?s)(?=(.{{1,{max_chars}}})).{{1,{step}}}"), F.lit(1))
+    kept = F.slice(chunks, 1, F.coalesce(chunk_count(n, max_chars, overlap), F.lit(0)))
+    return let(
+        F.struct(F.coalesce(kept, F.array().cast("array<string>")).alias("c"), n.alias("n")),
+        lambda v: F.transform(
+            v["c"],
+            lambda c, i: F.struct(
+                i.alias("chunk_idx"),
+                (i * step).alias("start_idx"),
+                F.least(i * step + max_chars, v["n"]).alias("end_idx"),
+                c.alias("chunk"),
+            ),
+        ),
     )
-    # sequence(0, max(k-1, 0)) then drop everything when k = 0 (NULL or empty text)
-    return F.filter(F.transform(F.sequence(F.lit(0), F.greatest(k - 1, F.lit(0))), elem), lambda _: k > 0)
 
 
 LEAD_CHARS = 200
@@ -102,7 +112,8 @@ def lead_summary(chunk) -> Column:
 
 
 SUMMARY_SENTENCES = 3
-SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")
+SENTENCE_RE = "[^.!?。！？\\n]+[.!?。！？]*"
+SENTENCE = re.compile(SENTENCE_RE)
 TOKEN = regex.compile(r"[\p{L}\p{N}_]+")
 _STOP = frozenset(STOP_WORDS)
 
@@ -122,16 +133,52 @@ def extract_summary(text: str | None, sentences: int = SUMMARY_SENTENCES) -> str
     return " ".join(found[i] for i in best) if best else text.strip()
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def chunk_extracts(chunks: pd.Series) -> pd.Series:
-    """T4 default backend: the extractive summary of every chunk of a row (a whole text in Arrow batches, no shuffle)."""
-    return chunks.map(lambda cs: [extract_summary(c) for c in cs])
+def _run_ends(sorted_: Column, same: Callable[[Column, Column], Column]) -> Column:
+    """The positions (from 1) at which runs of equal elements of a sorted array end."""
+    n = F.size(sorted_)
+    places = F.slice(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), 1, n)
+    return F.filter(places, lambda i: (i == n) | ~same(F.get(sorted_, i - 1), F.get(sorted_, i)))
+
+
+def _runs(sorted_: Column, same, body: Callable[[Column], Column]) -> Column:
+    """``body`` of each run of equal elements (an array) of a sorted array."""
+    ends = lambda e: F.zip_with(e, F.slice(F.concat(F.array(F.lit(0)), e), 1, F.size(e)), lambda to, after: body(F.slice(sorted_, after + 1, to - after)))
+    return let(_run_ends(sorted_, same), ends)
+
+
+def sentence_extract(text, sentences: int = SUMMARY_SENTENCES) -> Column:
+    """``extract_summary`` as a column expression: sorted arrays and their runs, no Python."""
+
+    def of(found: Column) -> Column:
+        tokens = F.flatten(F.transform(found, lambda s, i: F.transform(keyword_tokens(s), lambda t: F.struct(t.alias("t"), i.alias("i")))))
+        # every token's sentence with the token's count, then every sentence's mean
+        counted = lambda run: F.transform(run, lambda x: F.struct(x["i"].alias("i"), F.size(run).alias("n")))
+        by_token = let(F.sort_array(tokens), lambda s: F.flatten(_runs(s, lambda a, b: a["t"] == b["t"], lambda r: let(r, counted))))
+        total = lambda run: F.aggregate(run, F.lit(0).cast("long"), lambda acc, x: acc + x["n"])
+        mean = lambda run: F.struct((-(total(run) / F.size(run))).alias("score"), F.get(run, F.lit(0))["i"].alias("i"))
+        scored = let(F.sort_array(by_token), lambda s: F.sort_array(_runs(s, lambda a, b: a["i"] == b["i"], lambda r: let(r, mean))))
+
+        def chosen(at: Column) -> Column:
+            # sentences without a keyword token come last, the first ones first
+            rest = F.array_except(F.slice(F.sequence(F.lit(0), F.size(found)), 1, F.size(found)), at)
+            best = F.sort_array(F.slice(F.concat(at, F.sort_array(rest)), 1, sentences))
+            return F.array_join(F.transform(best, lambda i: F.get(found, i)), " ")
+
+        return let(F.transform(scored, lambda x: x["i"]), chosen)
+
+    t = F.coalesce(_c(text), F.lit(""))
+    found = F.filter(F.transform(F.regexp_extract_all(t, F.lit(SENTENCE_RE), F.lit(0)), lambda s: py_strip(s)), lambda s: s != "")
+    return let(found, lambda f: F.when(F.size(f) > 0, of(f)).otherwise(py_strip(t)))
+
+
+def chunk_extracts(chunks) -> Column:
+    """T4 default backend: the extractive summary of every chunk of a row."""
+    return F.transform(_c(chunks), lambda c: sentence_extract(c))
 
 
-@F.pandas_udf(T.StringType())
-def text_extract(texts: pd.Series) -> pd.Series:
+def text_extract(text) -> Column:
     """T5 default backend: the extractive summary of all chunk summaries together."""
-    return texts.map(extract_summary)
+    return sentence_extract(text)
 
 
 def joined_summaries(summaries) -> Column:

@@ -91,7 +91,6 @@ def keywords_array(df: DataFrame, id_col: str, text_col: str, top_k: int, repart
 
 def chunk_summaries(df: DataFrame, id_col: str, text_col: str, max_chars: int = 4000, overlap: int = 200) -> DataFrame:
     """T4: extractive summary per chunk (``id, chunk_idx, summary``)."""
-    ship_code(df.sparkSession)
     arr = F.transform(chunk_array(text_col, max_chars, overlap), lambda c: c["chunk"])
     s = spread(df.select(id_col, text_col), id_col).select(id_col, chunk_extracts(arr).alias("_s"))
     return s.select(id_col, F.posexplode("_s").alias("chunk_idx", "summary"))
@@ -110,7 +109,7 @@ def summarize(
     """``id, final_summary, chunk_summaries, keywords, num_chunks``.
 
     Default backend: extractive summaries of each whole chunk, and of all chunk
-    summaries together, in Arrow batches without a shuffle. ``summarizer`` (optional) is a model slot: a function
+    summaries together, as column expressions without a shuffle. ``summarizer`` (optional) is a model slot: a function
     ``pandas.Series[str] -> pandas.Series[str]`` applied with ``mapInPandas``
     to the chunk rows and to the joined summaries (one model load per worker).
     Keywords come from the chunk summaries joined by a blank line. Empty or
@@ -121,8 +120,9 @@ def summarize(
     arr = chunk_array(text_col, max_chars, overlap)
     df = spread(df.select(id_col, text_col, *[c for c in keep if c != text_col]), id_col)
     if summarizer is None:
-        ship_code(df.sparkSession)
-        base = df.select(id_col, *keep, chunk_extracts(F.transform(arr, lambda s: s["chunk"])).alias("chunk_summaries"))
+        # (through a one-element generator: what uses the summaries cannot be merged with, and repeat, what makes them)
+        extracts = F.array(chunk_extracts(F.transform(arr, lambda s: s["chunk"])))
+        base = df.select(id_col, *keep, F.explode_outer(extracts).alias("chunk_summaries"))
         base = base.select(id_col, *keep, "chunk_summaries", joined_summaries("chunk_summaries").alias("_joined"))
         base = base.select("*", text_extract("_joined").alias("final_summary"), F.size("chunk_summaries").alias("num_chunks"))
     else:
@@ -162,6 +162,7 @@ def _model_summaries(df: DataFrame, id_col: str, arr, summarizer) -> DataFrame:
     A document's chunk summaries then meet in one row, as its record asks for.
     A failing call falls back to the lead summary for that chunk, as the original does.
     """
+    ship_code(df.sparkSession)
     rows = df.select(id_col, F.inline(arr)).select(id_col, "chunk_idx", "chunk", lead_summary("chunk").alias("lead"))
 
     def run(it):

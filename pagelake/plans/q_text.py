@@ -42,7 +42,7 @@ def summary_sql(source: str, name: str) -> str:
     """CTEs ending in ``name(id, k, summary)``: of every text ``source(id, k, x)`` the three sentences whose
     keyword tokens are the most frequent in it on average, in text order; without a sentence the stripped text."""
     return f"""
-{name}_r AS (SELECT id, k, regexp_extract_all(x, '[^.!?\\n]+[.!?]*') AS parts FROM {source}),
+{name}_r AS (SELECT id, k, regexp_extract_all(x, '[^.!?。！？\\n]+[.!?。！？]*') AS parts FROM {source}),
 {name}_s AS (SELECT id, k, p, {strip_sql('raw')} AS s FROM
              (SELECT id, k, unnest(parts) AS raw, generate_subscripts(parts, 1) AS p FROM {name}_r) WHERE {strip_sql('raw')} <> ''),
 {name}_t AS (SELECT id, k, p, unnest({tokens_sql('s')}) AS tok FROM {name}_s),

@@ -1,11 +1,13 @@
 """Chunking, keyword tokens, top-k keywords, lead summaries."""
 
+import random
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from pagelake.functions.text import chunk_array, excerpt, extract_summary, keyword_tokens, lead_summary, py_strip
+from pagelake.functions.text import chunk_array, excerpt, extract_summary, keyword_tokens, lead_summary, py_strip, sentence_extract
 from pagelake.operators import text as T
 
 
@@ -166,3 +168,31 @@ def test_the_end_of_a_chunk_reaches_summary_and_keywords(spark):
     assert all(1 <= s.count(".") <= 3 for s in got[1].chunk_summaries)
     assert (got[2].final_summary, got[2].chunk_summaries, got[2].num_chunks) == (got[3].final_summary, [], 0) == ("", [], 0)
     assert (got[4].final_summary, got[5].final_summary) == ("", "...")
+
+
+def test_summaries_as_expressions_equal_the_plain_ones(spark):
+    rnd = random.Random(5)
+    words = "the spark plan reads data Data und über größe 東京 a an it x1 y_2 été".split()
+    ends = [". ", "! ", "?", "\n", "。", "... ", " ", ", "]
+    texts = ["", None, "   ", "no end", "...", "One. Two. One two three four. The the the.", "東京 東京。京都 data data！"]
+    texts += ["".join(rnd.choice(words) + rnd.choice([" ", " ", " ", *ends]) for _ in range(rnd.randint(1, 80))) for _ in range(150)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = {r.i: r.s for r in df.select("i", sentence_extract("t").alias("s")).collect()}
+    assert got == {i: extract_summary(t) for i, t in enumerate(texts)}
+
+
+def test_summaries_run_without_python(spark):
+    df = spark.createDataFrame([(1, "One two three. Four five.")], "id long, text string")
+    for out in (T.summarize(df, "id", "text"), T.chunk_summaries(df, "id", "text")):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_long_texts_in_linear_time(spark):
+    text = "word and 😀 more. " * 300_000
+    spaces = "a" + " " * 300_000 + "b" + "\t" * 300_000
+    df = spark.createDataFrame([(text, spaces)], "t string, s string")
+    r = df.select(F.size(chunk_array("t")).alias("n"), chunk_array("t")[900].alias("c"), py_strip("s").alias("p")).first()
+    assert r.n == 1 + -(-(len(text) - 4000) // 3800) and r.c.chunk == text[900 * 3800 : 900 * 3800 + 4000]
+    assert (r.c.start_idx, r.c.end_idx) == (900 * 3800, 900 * 3800 + 4000)
+    assert r.p == spaces.strip()
