@@ -6,7 +6,8 @@ new suffix is a byte c before a suffix already placed, so it comes after all suf
 smaller byte and after as many with c as there are c's above that place (LF mapping). Its common prefix with
 a neighbour is one more than the smallest common prefix between the two places below them.
 
-Transform and prefixes live in files that each round reads and writes once, in order.
+Transform and prefixes live in files that each round reads and writes once, in order. A round reads them whole, so
+they do not bound the memory of a collection; its size does.
 """
 
 from __future__ import annotations
@@ -65,12 +66,9 @@ class RangeMinimum:
 
 
 class Columns:
-    """The arrays of the construction in files; a round reads the old ones and leaves new ones.
+    """The transform and the common prefixes in files; a round reads the old ones and leaves new ones."""
 
-    bwt and lcp are the transform and the common prefixes; order lists the places of the transform's bytes,
-    byte by byte (that is, the LF mapping, kept up to date instead of sorted anew)."""
-
-    KINDS = {"bwt": np.uint8, "lcp": np.uint8, "order": np.int32}
+    KINDS = {"bwt": np.uint8, "lcp": np.uint8}
 
     def __init__(self, folder: str):
         self.folder, self.turn = folder, 0
@@ -116,11 +114,12 @@ def construct(data: np.ndarray, lens: np.ndarray, cap: int, folder: str) -> tupl
     bwt = np.full(m, END, dtype=np.uint8)
     bwt[lens > 0] = data[ends[lens > 0] - 1]
     order, begin, k = _entered(np.zeros(0, dtype=np.int32), np.zeros(257, dtype=np.int64), np.arange(m), bwt)
-    files.write(bwt, np.zeros(m, dtype=np.uint8), order)
+    # (order lists the places of the transform's bytes, byte by byte: the LF mapping, kept up to date instead of sorted anew)
+    files.write(bwt, np.zeros(m, dtype=np.uint8))
     active = np.flatnonzero(lens > 0)
     k = k[active]
     for j in range(int(lens.max(initial=0))):
-        bwt, lcp, order = files.read()
+        bwt, lcp = files.read()
         p = order[k].astype(np.int64)
         c = bwt[p].astype(np.int64)
         minimum = RangeMinimum(lcp)
@@ -143,9 +142,9 @@ def construct(data: np.ndarray, lens: np.ndarray, cap: int, folder: str) -> tupl
         new_lcp[at] = above
         moved = np.arange(len(old), dtype=np.int32)[old]  # where the old places are now
         order, begin, k = _entered(np.take(moved, order), begin, at, byte)
-        files.write(new_bwt, new_lcp, order)
+        files.write(new_bwt, new_lcp)
         active, k = active[more], k[more]
-    return tuple(files.read())
+    return (*files.read(), order)
 
 
 def suffix_places(order: np.ndarray, total: int, lens: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

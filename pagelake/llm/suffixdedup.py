@@ -45,7 +45,9 @@ SCOPE = 16 << 20
 COLLECTION = 1 << 19
 #: Bytes of runs dealt again at once: by whole windows they become some sixty times as many.
 AGAIN = 1 << 20
-#: Bits of an anchor hash that say its slot in the broadcast bitmap of repeated hashes, at most (2^28 slots are 32 MB).
+#: Bits of a hash that are counted; whole bytes.
+COUNTED_BITS = 48
+#: Bits of a hash that say its slot in the broadcast bitmap of repeated hashes, at most (2^28 slots are 32 MB).
 BITMAP_BITS = 28
 NULL_ID = -(1 << 63)
 RUNS = "hash long, doc long, mark long, start long, windows long, content binary"
@@ -87,9 +89,33 @@ def _scopes(batches: Iterator[pa.RecordBatch], scope: int, column: str = "text")
         yield held
 
 
+def _kept_bits(hash_: np.ndarray) -> np.ndarray:
+    """What is counted of a hash: its leading bits (a chance agreement only sends bytes in vain)."""
+    return hash_ >> np.uint64(64 - COUNTED_BITS)
+
+
+def _packed(sorted_: np.ndarray) -> bytes:
+    """Sorted numbers of COUNTED_BITS bits, byte plane by byte plane: the leading planes hardly change and compress."""
+    return sorted_.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - COUNTED_BITS // 8 :].T.tobytes()
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(packed, dtype=np.uint8).reshape(COUNTED_BITS // 8, -1)
+    out = np.zeros((planes.shape[1], 8), dtype=np.uint8)
+    out[:, 8 - COUNTED_BITS // 8 :] = planes.T
+    return out.view(">u8").ravel().astype(np.uint64)
+
+
 def _shared_hashes(source: DataFrame, length: int, gram: int, scope_bytes: int) -> DataFrame:
-    """(hash, n): the hashes of sides (see ``anchors.Runs``) that more than one run has. A scope sends each hash once, with
-    their number (2 stands for any more), so the sum is the same however the rows lie in scopes."""
+    """(hash): the counted bits of the hashes of sides (see ``anchors.Runs``) that more than one run has. A scope sends each hash
+    once, or twice if several of its runs have it, so the result is the same however the rows lie in scopes.
+
+    Hashes travel in sorted blocks, a block for each range of hashes, and are counted by sorting where they meet.
+    """
+    ranges = 1
+    while ranges < min(1 << 16, 2 * int(source.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))):
+        ranges *= 2
+    shift = np.uint64(COUNTED_BITS - (ranges.bit_length() - 1))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for scope in _scopes(batches, scope_bytes):
@@ -99,13 +125,25 @@ def _shared_hashes(source: DataFrame, length: int, gram: int, scope_bytes: int)
                     left, left_hash, right, right_hash = Runs(data, ends, length, gram).sides()
                     found += [left_hash[left], right_hash[right]]
             if found:
-                hash_, n = np.unique(np.concatenate(found), return_counts=True)
-                cols = [pa.array(hash_.view(np.int64)), pa.array(np.minimum(n, 2).astype(np.int8))]
-                yield pa.RecordBatch.from_arrays(cols, names=["hash", "n"])
-
-    # dealt as bare hashes, then counted where they meet
-    dealt = source.mapInArrow(count, "hash long, n tinyint").repartition("hash")
-    return dealt.groupBy("hash").agg(F.sum("n").alias("n")).where(F.col("n") > 1)
+                all_ = np.sort(_kept_bits(np.concatenate(found)))
+                third = np.zeros(len(all_), dtype=bool)
+                third[2:] = all_[2:] == all_[:-2]
+                all_ = all_[~third]
+                cuts = np.searchsorted(all_, np.arange(ranges + 1, dtype=np.uint64) << shift)
+                some = np.flatnonzero(np.diff(cuts))
+                blocks = [_packed(all_[cuts[r] : cuts[r + 1]]) for r in some.tolist()]
+                yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(blocks, pa.binary())], names=["part", "hashes"])
+
+    def several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [_unpacked(x) for b in batches for x in b.column("hashes").to_pylist()]
+        if found:
+            all_ = np.sort(np.concatenate(found))
+            again = np.flatnonzero(all_[1:] == all_[:-1])
+            shared = np.unique(all_[again]).view(np.int64)
+            for a in range(0, len(shared), 1 << 16):
+                yield pa.RecordBatch.from_arrays([pa.array(shared[a : a + (1 << 16)])], names=["hash"])
+
+    return source.mapInArrow(count, "part long, hashes binary").repartition("part").mapInArrow(several, "hash long")
 
 
 def _same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -153,6 +191,7 @@ def _candidate_runs(source: DataFrame, bitmap, bits: int, share: tuple[int, int]
         wanted = np.frombuffer(bitmap.value, dtype=np.uint8)
 
         def shared(has: np.ndarray, hash_: np.ndarray) -> np.ndarray:
+            hash_ = _kept_bits(hash_)
             slot = hash_ & np.uint64((1 << bits) - 1)
             ok = has & ((wanted[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 > 0)
             if share[1] > 1:
