@@ -90,21 +90,18 @@ class Runs:
         n = len(data) - gram + 1
         at = np.arange(n)
         h = mix((hasher.sums[gram:] - hasher.sums[:n]) * hasher.down[:n])
-        # sliding minimum over the grams of a window, with its place: the hash's low bits make room for the offset
+        # sliding minimum over the grams of a window: the hash's low bits hold the gram's offset in the window, so the
+        # leftmost of equals is the smallest
         width = length - gram + 1
         bits = np.uint64(max(1, (width - 1).bit_length()))
         low, k = h >> bits << bits, 1
-        place = np.zeros(n, dtype=np.uint8 if width <= 255 else np.int64)
         while k < width:
             step = min(k, width - k)
-            other, there = low[step:], place[step:]
-            less = other < low[: n - step]
-            place = np.where(less, there + place.dtype.type(step), place[: n - step])
-            low = np.where(less, other, low[: n - step])
             n, k = n - step, k + step
-        ok = np.zeros(n, dtype=bool)  # windows that lie in one text
-        text = np.searchsorted(ends, at[:n], side="right")
-        ok = at[:n] + length <= ends[text]
+            low = np.minimum(low[:n], low[step:] + np.uint64(step))
+        place = (low & np.uint64((1 << int(bits)) - 1)).astype(np.int64)
+        text = np.repeat(np.arange(len(ends)), np.diff(np.concatenate([[0], ends])))[:n]
+        ok = at[:n] + length <= ends[text]  # windows that lie in one text
         where = at[:n] + place
         new = np.ones(n, dtype=bool)
         new[1:] = (where[1:] != where[:-1]) | ~ok[:-1]

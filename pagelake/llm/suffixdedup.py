@@ -163,9 +163,9 @@ def _same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray
 def _reduced(hash_, content_hash, doc, mark, start, windows, block, at, texts: list[np.ndarray], length: int) -> pa.RecordBatch:
     """Of equal runs the first one with its bytes (``at`` in ``texts[block]``), the later ones without. Runs are taken for
     equal by their hashes, and then compared byte by byte: one that is different after all has its bytes, too."""
-    order = np.lexsort((start, doc, content_hash, hash_))
+    order = np.lexsort((start, doc, content_hash))  # (equal bytes have equal anchors)
     lead = np.ones(len(order), dtype=bool)
-    lead[1:] = (np.diff(hash_[order]) != 0) | (np.diff(content_hash[order]) != 0)
+    lead[1:] = (np.diff(content_hash[order]) != 0) | (np.diff(hash_[order]) != 0)
     first = order[np.maximum.accumulate(np.where(lead, np.arange(len(order)), 0))]
     data = np.concatenate(texts)
     place = (np.cumsum([0, *map(len, texts)])[:-1])[block] + at
