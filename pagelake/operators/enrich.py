@@ -31,6 +31,7 @@ def enrich(
     limit: int | None = None,
     skip_empty_first: bool = False,
     encoder: V.TextEncoder | None = None,
+    encoder_path: str | None = None,
     summarizer=None,
     max_chars: int = 4000,
     overlap: int = 200,
@@ -39,12 +40,12 @@ def enrich(
     """The page table with ``summary_text``, ``summary_keywords`` and
     ``embedding`` filled for the pending pages (``updated`` marks them).
 
-    ``encoder``: a fitted text encoder; by default one is fitted on the
-    ``text_excerpt`` of every page. The vector is that of the final summary,
-    or of the excerpt when the summary is empty.
+    ``encoder``: a fitted text encoder, or ``encoder_path``: where the table's encoder is kept (see ``page_encoder``).
+    Without either, one is fitted on the ``text_excerpt`` of every page, for this call alone. The vector is that of
+    the final summary, or of the excerpt when the summary is empty.
     """
     if encoder is None:
-        encoder = V.fit_encoder(pages.select("text_excerpt"), "text_excerpt")
+        encoder = page_encoder(pages, encoder_path) if encoder_path else fit_page_encoder(pages)
     todo = pending(pages, limit, skip_empty_first).select("id", "text_excerpt")
     if summarizer is None:
         # the summary is empty only when the text is blank: only those rows carry their text along
@@ -71,3 +72,13 @@ def enrich(
 
 def fit_page_encoder(pages: DataFrame, dim: int = V.DIM) -> V.TextEncoder:
     return V.fit_encoder(spread(pages.select("text_excerpt")), "text_excerpt", dim)
+
+
+def page_encoder(pages: DataFrame, path: str, dim: int = V.DIM) -> V.TextEncoder:
+    """The encoder kept at ``path``; where there is none yet, one is fitted on every page and kept. Later runs read it, so
+    they scan only the pages they enrich, and all vectors lie in one space."""
+    spark = pages.sparkSession
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        fit_page_encoder(pages, dim).save(spark, path)
+    return V.TextEncoder.load(spark, path)

@@ -62,3 +62,14 @@ def test_encoder_model_slot_isolates_failing_texts(spark):
 
     got = {r.id: r.embedding for r in V.embed_with_model(df, "text", encode).collect()}
     assert got == {1: [1.0], 2: None}
+
+
+def test_a_kept_encoder_is_read_by_later_runs(spark, tmp_path):
+    path = str(tmp_path / "encoder")
+    first = {r.id: r for r in enrich(_pages(spark), encoder_path=path).collect()}
+    fitted = V.TextEncoder.load(spark, path)
+    assert fitted.n_docs == 4
+    later = _pages(spark).where("id <> 3").withColumn("text_excerpt", F.when(F.col("id") == 2, "other words").otherwise(F.col("text_excerpt")))
+    again = {r.id: r for r in enrich(later, encoder_path=path).collect()}
+    assert again[1].embedding == first[1].embedding and again[2].embedding != first[2].embedding
+    assert V.TextEncoder.load(spark, path) == fitted
