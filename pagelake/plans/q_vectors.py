@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.vectors import cosine, is_valid_vector, l2norm
+from ..operators import blocks
 from ..operators.search import cosine_topk, search_vector
 from ..session import read_table
 from .registry import register
@@ -45,9 +46,7 @@ def vector_search(spark, sf_dir):
     return hits.select("vec_id", "label", F.round("score", 9).alias("score"), F.col("rank").cast("bigint").alias("rank"))
 
 
-@register(
-    "vector_search_batch",
-    f"""
+VECTOR_SEARCH_BATCH_SQL = f"""
 WITH s AS (SELECT q.vec_id AS qid, e.vec_id, e.label,
                   {_score_sql('e.embedding::DOUBLE[]', 'q.embedding::DOUBLE[]')} AS score
            FROM embeddings q CROSS JOIN embeddings e
@@ -57,8 +56,10 @@ SELECT qid, vec_id, label, round(score, 9) AS score,
        CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, vec_id) AS BIGINT) AS rank
 FROM s WHERE score > 0 AND NOT isnan(score)
 QUALIFY rank <= {TOP_K}
-""",
-)
+"""
+
+
+@register("vector_search_batch", VECTOR_SEARCH_BATCH_SQL)
 def vector_search_batch(spark, sf_dir):
     """V6: every stored vector is also a query: top-k neighbours of each (exact kNN)."""
     emb = read_table(spark, sf_dir, "embeddings")
@@ -69,6 +70,16 @@ def vector_search_batch(spark, sf_dir):
     )
 
 
+@register("vector_search_blocks", VECTOR_SEARCH_BATCH_SQL)
+def vector_search_blocks(spark, sf_dir):
+    """V6 over blocks of similar vectors, those skipped that cannot hold one of the k best."""
+    emb = read_table(spark, sf_dir, "embeddings")
+    queries = emb.select(F.col("vec_id").alias("qid"), F.col("embedding").alias("qvec"))
+    hits = blocks.search(blocks.build(emb, "vec_id", "embedding"), queries, k=TOP_K).hits
+    hits = hits.join(emb.select(F.col("vec_id").alias("id"), "label"), "id")
+    return hits.select("qid", F.col("id").alias("vec_id"), "label", F.round("score", 9).alias("score"), F.col("rank").cast("bigint").alias("rank"))
+
+
 @register(
     "cosine_scores",
     f"""
