@@ -86,3 +86,21 @@ def test_without_labels(tables):
     none = toxicity.score_toxicity(docs, labels.where("false"), lambda i: F.lit(True))
     assert {(r.score, r.predicted) for r in none.collect()} == {(0.0, 0)}
     assert toxicity.score_toxicity(docs.where("false"), labels, lambda i: F.lit(True)).collect() == []
+
+
+def test_the_model_does_not_depend_on_the_order_of_rows(spark, tables):
+    docs, labels = tables
+    teaches = lambda i: ~langmodel.held_out(i, 3, 1)
+    twice = docs.unionByName(docs.where("doc_id % 50 = 0").withColumn("text", F.lit("another text of the same id")))
+    a = toxicity.score_toxicity(twice.repartition(5, "text"), labels.repartition(2), teaches).collect()
+    b = toxicity.score_toxicity(twice.orderBy(F.desc("text")), labels.orderBy("doc_id"), teaches).collect()
+    key = lambda r: (str(r.doc_id), r.score)
+    assert sorted(map(key, a)) == sorted(map(key, b))
+
+
+def test_a_very_long_text(spark, tables):
+    docs, labels = tables
+    long = spark.createDataFrame([(10_001, "calm words here " * 200_000 + "you moronic scumbag"), (10_002, "x" * 2_000_000)], "doc_id long, text string")
+    got = toxicity.score_toxicity(docs.select("doc_id", "text").unionByName(long), labels, lambda i: ~langmodel.held_out(i, 3, 1))
+    rows = {r.doc_id: r for r in got.where("doc_id > 10000").collect()}
+    assert rows[10_001].score > rows[10_002].score and all(0 <= r.score <= 1 for r in rows.values())
