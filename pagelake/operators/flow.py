@@ -10,7 +10,9 @@ pages.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,11 +26,16 @@ from ..sources import rawstore
 
 @dataclass
 class IngestResult:
-    pages: DataFrame  # the page table after the upsert (I4), with ``is_new``
+    upsert: Callable[[], DataFrame]
     outcomes: DataFrame  # one row per URL: ``seq, url, outcome`` (I3)
     raw: DataFrame  # the raw pages of this run (S2), without their html: ``digest, html_path, n_bytes, n_pages``
     n_stored: int | None = None  # how many of them the raw store did not have yet
 
+    @cached_property
+    def pages(self) -> DataFrame:
+        """The page table after the upsert (I4), with ``is_new``; run when it is asked for."""
+        return self.upsert()
+
 
 def ingest(
     urls: DataFrame,
@@ -70,7 +77,6 @@ def ingest(
         "html_path",
     )
     pages_rows = written(pages_rows, "page-rows")
-    upserted = I.upsert_pages(stored, pages_rows, now)
     outcome = I.outcome_struct(
         F.col("allowed"),
         F.coalesce(F.col("ok"), F.lit(False)),
@@ -84,4 +90,4 @@ def ingest(
         pages_rows.select("seq", "status_code", F.length("text_excerpt").alias("len_text"), "lang").dropDuplicates(["seq"]), "seq", "left"
     ).select("seq", "url", outcome.alias("outcome"))
     stored_now = rawstore.insert_pages(ok, raw_path) if raw_path else None
-    return IngestResult(upserted, outcomes, X.raw_digests(ok, "html", raw_dir), stored_now)
+    return IngestResult(lambda: I.upsert_pages(stored, pages_rows, now), outcomes, X.raw_digests(ok, "html", raw_dir), stored_now)
