@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import langid
 from ..session import read_table
 from .registry import register
@@ -44,17 +46,27 @@ lg_sc AS (SELECT lg_sg.id, lg_dl.lang,
 lg_best AS (SELECT id, lang FROM lg_sc QUALIFY row_number() OVER (PARTITION BY id ORDER BY s DESC, lang) = 1)"""
 
 
+def _fold_sql(name: str, fold: int) -> str:
+    """CTEs ``<name>_*``: the profile of the other fold, and ``<name>_best`` for the rows of this one."""
+    profile = profile_sql().strip().replace("FROM documents WHERE", f"FROM documents WHERE doc_id % 2 <> {fold} AND")
+    scores = score_sql(f"(SELECT * FROM documents WHERE doc_id % 2 = {fold})", "doc_id", "text").strip()
+    return f"{profile},\n{scores}".replace("lg_", f"{name}_")
+
+
 LANG_SQL = f"""
-WITH {profile_sql().strip()},
-{score_sql('documents', 'doc_id', 'text').strip()}
-SELECT d.doc_id, b.lang FROM documents d LEFT JOIN lg_best b ON d.doc_id = b.id
+WITH {_fold_sql('la', 0)},
+{_fold_sql('lb', 1)},
+best AS (SELECT * FROM la_best UNION ALL SELECT * FROM lb_best)
+SELECT d.doc_id, b.lang FROM documents d LEFT JOIN best b ON d.doc_id = b.id
 """
 
 
 @register("lang_detect", LANG_SQL)
 def lang_detect(spark, sf_dir):
-    """X6 + X7: language of every document longer than 50 characters, from a
-    3-gram profile learned on the labelled documents table."""
+    """X6 + X7: language of every document longer than 50 characters, from the
+    3-gram profile learned on the other half of the labelled documents."""
     docs = read_table(spark, sf_dir, "documents")
-    prof = langid.fit_profile(docs, "text", "lang")
-    return langid.detect(docs, prof, "doc_id", "text")
+    fold = F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(2))
+    profiles = [langid.fit_profile(docs.where(fold != k), "text", "lang") for k in (0, 1)]
+    found = [langid.detect(docs.where(fold == k), profiles[k], "doc_id", "text") for k in (0, 1)]
+    return found[0].unionByName(found[1])
