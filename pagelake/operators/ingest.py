@@ -102,7 +102,7 @@ def robots_admission(
     nothing is aggregated over URLs. The hosts are broadcast when a count shows that they are few (a hot host then
     costs nothing extra); beyond that it is a shuffle join where AQE splits skewed hosts.
     """
-    hosts = written(host_rules(rules, user_agent), "hosts")
+    hosts = host_rules(rules, user_agent)
     u = urls.select(F.col(key_col).alias("_key"), F.col(url_col).alias("_url")).withColumn("base", site_base(F.col("_url")))
     u = u.withColumn("_path", normal_path(url_path(F.col("_url"))))
     sized = hosts.withColumn("_bytes", F.to_json("decisions"))  # (strings are what the size check measures)

@@ -15,14 +15,17 @@ re-tokenising the texts.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer, SQLTransformer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import let
 from ..session import ship_code, written
 from . import multilabel
 from .metrics import flattened_f1
@@ -54,16 +57,23 @@ class MultiLabelModel:
 
     def predict_proba(self, df: DataFrame) -> DataFrame:
         """Adds ``p_<label>`` (probability of the label) for every label, and
-        ``probs`` (``array<double>`` in label-index order)."""
-        ship_code(df.sparkSession)
-        score = multilabel.scorer(self.coefficients, self.intercepts)
-        out = self.features.transform(df).withColumn("probs", score("features"))
+        ``probs`` (``array<double>`` in label-index order). A column expression; what scores very many models at once
+        is ``multilabel.scorer``."""
+        out = self.features.transform(df).withColumn("probs", self._probabilities())
         if any(c is not None for c in self.constants):
             fixed = [F.col("probs")[i] if c is None else F.lit(float(c)) for i, c in enumerate(self.constants)]
             out = out.withColumn("probs", F.array(*fixed))
         out = out.drop("_tokens_all", "_tokens", "_tf", "features")
         return out.select("*", *[F.col("probs")[i].alias(_prob_col(lab)) for i, lab in enumerate(self.labels)])
 
+    def _probabilities(self) -> Column:
+        known = lambda values, kind: F.from_json(F.lit(json.dumps(values.tolist())), kind)  # noqa: E731  (folded to a constant)
+        total = lambda x, w: F.aggregate(F.zip_with(x, w, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
+        each = lambda x: F.zip_with(
+            known(self.coefficients, "array<array<double>>"), known(self.intercepts, "array<double>"), lambda w, b: 1 / (1 + F.exp(-(total(x, w) + b)))
+        )
+        return let(vector_to_array("features"), each)
+
     def save(self, path: str) -> None:
         """The feature stages, and the labels with their coefficients beside them."""
         path = path.rstrip("/")
