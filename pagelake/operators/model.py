@@ -15,7 +15,6 @@ re-tokenising the texts.
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass
 
 import numpy as np
@@ -59,7 +58,9 @@ class MultiLabelModel:
         """Adds ``p_<label>`` (probability of the label) for every label, and
         ``probs`` (``array<double>`` in label-index order). A column expression; what scores very many models at once
         is ``multilabel.scorer``."""
-        out = self.features.transform(df).withColumn("probs", self._probabilities())
+        out = self.features.transform(df)
+        # (through a one-element generator: what uses the scores cannot be merged with, and repeat, what makes them)
+        out = out.select("*", F.explode_outer(F.array(self._probabilities())).alias("probs"))
         if any(c is not None for c in self.constants):
             fixed = [F.col("probs")[i] if c is None else F.lit(float(c)) for i, c in enumerate(self.constants)]
             out = out.withColumn("probs", F.array(*fixed))
@@ -67,11 +68,9 @@ class MultiLabelModel:
         return out.select("*", *[F.col("probs")[i].alias(_prob_col(lab)) for i, lab in enumerate(self.labels)])
 
     def _probabilities(self) -> Column:
-        known = lambda values, kind: F.from_json(F.lit(json.dumps(values.tolist())), kind)  # noqa: E731  (folded to a constant)
         total = lambda x, w: F.aggregate(F.zip_with(x, w, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
-        each = lambda x: F.zip_with(
-            known(self.coefficients, "array<array<double>>"), known(self.intercepts, "array<double>"), lambda w, b: 1 / (1 + F.exp(-(total(x, w) + b)))
-        )
+        models = list(zip(self.coefficients, self.intercepts.tolist(), strict=True))
+        each = lambda x: F.array(*[1 / (1 + F.exp(-(total(x, F.lit(w)) + b))) for w, b in models])
         return let(vector_to_array("features"), each)
 
     def save(self, path: str) -> None:

@@ -92,7 +92,7 @@ def keywords_array(df: DataFrame, id_col: str, text_col: str, top_k: int, repart
 def chunk_summaries(df: DataFrame, id_col: str, text_col: str, max_chars: int = 4000, overlap: int = 200) -> DataFrame:
     """T4: extractive summary per chunk (``id, chunk_idx, summary``)."""
     arr = F.transform(chunk_array(text_col, max_chars, overlap), lambda c: c["chunk"])
-    s = spread(df.select(id_col, text_col), id_col).select(id_col, chunk_extracts(arr).alias("_s"))
+    s = spread(df.select(id_col, text_col), id_col).select(id_col, F.explode_outer(F.array(chunk_extracts(arr))).alias("_s"))
     return s.select(id_col, F.posexplode("_s").alias("chunk_idx", "summary"))
 
 
