@@ -11,7 +11,7 @@ a gram, its context and the shorter ones they end in lie in one range, so each p
 the whole. Texts are scored by one part after the other.
 
 The language with the lowest cross-entropy per character wins. A text is rejected when even that is higher
-than what texts of that language and length show in a calibration sample, by a margin.
+than what the training texts of that language and length show, by a margin; the limits come from all of them.
 """
 
 from __future__ import annotations
@@ -32,8 +32,8 @@ SPACE = 32
 UNKNOWN = "und"
 #: Entries of the highest order, over all languages, that a model sent at once may hold (16 bytes each); beyond that it is split.
 MAX_ENTRIES = 4_000_000
-#: Rows that the rejection limits are fitted on.
-CALIBRATION_ROWS = 8000
+#: Ranges that a language's values are counted in, per round of the search for a quantile.
+RANGES = 4096
 #: Numbers (languages times distinct grams) held while the parts of a split model are gone through.
 CELLS = 1 << 23
 #: Distinct grams a training task holds before it hands them on.
@@ -130,11 +130,10 @@ def _find(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray, other: float |
 
 
 class LanguageModels:
-    """The models of all languages and, once calibrated, the limits of rejection."""
+    """The models of all languages."""
 
     def __init__(self, models: dict[str, KneserNey], order: int):
         self.languages, self.models, self.order = sorted(models), models, order
-        self.limits: dict[str, tuple[float, float]] = {}
 
     def entropies(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """(characters of each stream, bits per character under each language)."""
@@ -146,33 +145,65 @@ class LanguageModels:
                 total[:, j] += np.bincount(row, weights=self.models[lang].bits(known)[at], minlength=len(texts))
         return n, total / np.maximum(n, 1)[:, None]
 
-    def predict(self, texts: list[bytes | None]) -> list[tuple[str, float, float | None, bool]]:
-        """(language, score, bits per character, rejected) of each text."""
-        n, h = self.entropies(texts)
+    def predict(self, n: np.ndarray, h: np.ndarray) -> list[tuple[str, float, float | None]]:
+        """(language, score, bits per character) of each text, from its ``entropies``."""
         out = []
         for size, row in zip(n.tolist(), h, strict=True):
             if not size or not len(row):
-                out.append((UNKNOWN, 0.0, None, True))
+                out.append((UNKNOWN, 0.0, None))
                 continue
             best = int(np.argmin(row))
             score = 1.0 / np.exp2(-min(size, 64) * (row - row[best])).sum()
-            out.append((self.languages[best], float(score), float(row[best]), bool(row[best] > self.limit(self.languages[best], size))))
+            out.append((self.languages[best], float(score), float(row[best])))
         return out
 
-    def limit(self, lang: str, size: int) -> float:
-        base, spread = self.limits.get(lang, (np.inf, 0.0))
-        return base + spread / np.sqrt(size)
 
-    def calibrate(self, seen: list[tuple[str, int, float]], share: float, margin: float) -> None:
-        """Limits from (language, characters, bits) of accepted texts: all but ``share`` lie below, and ``margin`` bits more."""
-        by = defaultdict(list)
-        for lang, size, h in seen:
-            by[lang].append((size, h))
-        for lang, rows in by.items():
-            size, h = np.array(rows).T
-            mean = float(np.average(h, weights=size))
-            z = (h - mean) * np.sqrt(size)
-            self.limits[lang] = (mean + margin, max(0.0, float(np.quantile(z, 1 - share))))
+def _of(values: dict[str, float], lang: str) -> F.Column:
+    """A column of each language's value, null where there is none."""
+    if not values:
+        return F.lit(None).cast("double")
+    return F.try_element_at(F.create_map(*[F.lit(x) for kv in sorted(values.items()) for x in kv]), F.col(lang))
+
+
+def _at_rank(seen: DataFrame, ranks: dict[str, int]) -> dict[str, float]:
+    """Each language's ``z`` at a rank (from 0, ascending), exactly: the rows of ever narrower ranges are counted."""
+    ends = {r.lang: (r.a, r.b) for r in seen.groupBy("lang").agg(F.min("z").alias("a"), F.max("z").alias("b")).collect()}
+    found, ranks = {}, dict(ranks)
+    while True:
+        found.update({lang: a for lang, (a, b) in ends.items() if a == b})
+        ends = {lang: e for lang, e in ends.items() if lang not in found}
+        if not ends:
+            return found
+        low, high = (_of({lang: e[i] for lang, e in ends.items()}, "lang") for i in (0, 1))
+        place = F.least(F.floor((F.col("z") - low) / (high - low) * RANGES), F.lit(RANGES - 1))
+        counted = seen.where(F.col("z").between(low, high)).groupBy("lang", place.alias("range"))
+        rows = counted.agg(F.count("*").alias("n"), F.min("z").alias("a"), F.max("z").alias("b")).collect()
+        passed = set()
+        for r in sorted(rows, key=lambda r: (r.lang, r.range)):  # (the first range holds the least, the last one the largest)
+            if r.lang not in passed and ranks[r.lang] < r.n:
+                ends[r.lang] = (r.a, r.b)
+                passed.add(r.lang)
+            elif r.lang not in passed:
+                ranks[r.lang] -= r.n
+
+
+def rejection_limits(seen: DataFrame, share: float, margin: float) -> dict[str, tuple[float, float]]:
+    """Per language (base, spread) from all rows of ``seen`` (lang, n characters, h bits per character): a text of n
+    characters may have base + spread / sqrt(n) bits. All but ``share`` of the rows lie below that, by ``margin`` bits."""
+    bits = F.sum((F.col("h") * F.col("n")).cast("decimal(28,9)")).cast("double")  # (the same sum in any order)
+    total = seen.groupBy("lang").agg((bits / F.sum("n")).alias("mean"), F.count("*").alias("rows")).collect()
+    means = {r.lang: r["mean"] for r in total}
+    z = seen.select("lang", ((F.col("h") - _of(means, "lang")) * F.sqrt(F.col("n").cast("double"))).alias("z"))
+    at = {r.lang: (r["rows"] - 1) * (1 - share) for r in total}
+    below = _at_rank(z, {lang: int(x) for lang, x in at.items()})
+    value = _of(below, "lang")
+    after = z.groupBy("lang").agg(F.count_if(F.col("z") <= value).alias("n"), F.min(F.when(F.col("z") > value, F.col("z"))).alias("next"))
+    out = {}
+    for r in after.collect():
+        a, whole = below[r.lang], int(at[r.lang])
+        b = a if r.n > whole + 1 or r["next"] is None else r["next"]
+        out[r.lang] = (means[r.lang] + margin, max(0.0, a + (b - a) * (at[r.lang] - whole)))
+    return out
 
 
 def _place(keys: np.ndarray) -> np.ndarray:
@@ -356,14 +387,14 @@ def identify(
     lang_col: str = "lang",
     rejected_share: float = 0.001,
     margin_bits: float = 2.0,
-    calibration_rows: int = CALIBRATION_ROWS,
     keep: bool = False,
     max_entries: int = MAX_ENTRIES,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, lang_pred, score, bits (per character), rejected.
 
     ``training`` is a column saying which rows teach (null: none); of these only text and language are used, and
-    a row's own language never takes part in its prediction. Null texts and texts without a letter are ``und``
+    a row's own language never takes part in its prediction. The limits of rejection come from all training rows, as
+    the one scoring of every row finds them: its result is written first. Null texts and texts without a letter are ``und``
     with score 0, and rejected. Ties go to the first language by name. With no training row every text is
     ``und``. The score is the posterior of the language at 64 characters, or fewer in a shorter text. With
     ``keep`` the result has all columns of ``docs`` (its own names, one of which may clash, come last under
@@ -375,38 +406,34 @@ def identify(
     teach = teach.where("teaches and lang is not null and text is not null").select("lang", "text")
     models = fit(teach, order, max_entries)
     size = (16 if isinstance(models, SplitModels) else 4) << 20
-    if models.languages:
-        total = docs.where(training & docs[lang_col].isNotNull()).count()
-        part = min(1.0, calibration_rows / max(total, 1))
-        some = teach.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(part * (1 << 20))) if part < 1 else teach
-        raw = spark.sparkContext.broadcast(models)
-
-        def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for whole in batches:
-                for b in slices(whole, "text", size):
-                    n, h = raw.value.entropies(byte_rows(b.column("text")))
-                    at = np.array([raw.value.languages.index(x) for x in b.column("lang").to_pylist()])
-                    own = h[np.arange(len(at)), at]
-                    yield pa.RecordBatch.from_arrays([b.column("lang"), pa.array(n), pa.array(own)], names=["lang", "n", "h"])
-
-        seen = some.distinct() if part < 1 else some
-        rows = seen.mapInArrow(measure, "lang string, n long, h double").where("n > 0").limit(4 * calibration_rows).collect()
-        models.calibrate([(r.lang, r.n, r.h) for r in rows], rejected_share, margin_bits)
     fitted = spark.sparkContext.broadcast(models)
-    names = ["lang_pred", "score", "bits", "rejected"]
+    names = ["lang_pred", "score", "bits", "chars", "own", "own_bits"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        languages = {lang: j for j, lang in enumerate(fitted.value.languages)}
         for whole in batches:
             for b in slices(whole, "text", size):
-                got = list(zip(*fitted.value.predict(byte_rows(b.column("text"))), strict=True))
-                cols = [pa.array(c, t) for c, t in zip(got, (pa.string(), pa.float64(), pa.float64(), pa.bool_()), strict=True)]
-                rest = [b.column(i) for i in range(b.num_columns - 1)]
+                n, h = fitted.value.entropies(byte_rows(b.column("text")))
+                got = list(zip(*fitted.value.predict(n, h), strict=True))
+                at = [languages.get(x) for x in b.column("own").to_pylist()]
+                own = [float(h[i, j]) if j is not None and n[i] else None for i, j in enumerate(at)]
+                cols = [pa.array(c, t) for c, t in zip(got, (pa.string(), pa.float64(), pa.float64()), strict=True)]
+                cols += [pa.array(n, pa.int64()), b.column("own"), pa.array(own, pa.float64())]
+                rest = [b.column(i) for i in range(b.num_columns - 2)]
                 yield pa.RecordBatch.from_arrays(rest + cols, names=[f"c{i}" for i in range(len(rest))] + names)
 
     kept = docs.columns if keep else [id_col]
-    source = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(kept)], docs[text_col].cast("string").alias("text"))
+    # (the own language of a training row only: of the others it is not even passed on)
+    own = F.when(training, docs[lang_col].cast("string")).alias("own")
+    source = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(kept)], docs[text_col].cast("string").alias("text"), own)
     ddl = ", ".join(f"c{i} {source.schema[f'c{i}'].dataType.simpleString()}" for i in range(len(kept)))
-    out = source.mapInArrow(run, f"{ddl}, lang_pred string, score double, bits double, rejected boolean")
+    out = written(source.mapInArrow(run, f"{ddl}, lang_pred string, score double, bits double, chars long, own string, own_bits double"), "languages")
+    seen = out.where("own_bits is not null").select(F.col("own").alias("lang"), F.col("chars").alias("n"), F.col("own_bits").alias("h"))
+    limits = rejection_limits(seen, rejected_share, margin_bits)
+    base, spread = (_of({lang: x[i] for lang, x in limits.items()}, "lang_pred") for i in (0, 1))
+    limit = F.coalesce(base + spread / F.sqrt(F.greatest("chars", F.lit(1)).cast("double")), F.lit(float("inf")))
+    out = out.withColumn("rejected", F.coalesce(F.col("bits") > limit, F.lit(True)))
+    names = ["lang_pred", "score", "bits", "rejected"]
     if keep:
         return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(kept)], *[F.col(n).alias(f"__{n}") for n in names])
     return out.select(F.col("c0").alias("doc_id"), *names)

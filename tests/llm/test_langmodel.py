@@ -142,3 +142,28 @@ def test_ties_go_to_the_first_language_by_name(spark):
     docs = spark.createDataFrame([(i, text, lang) for i, lang in enumerate(["bb", "aa"] * 5)], "doc_id long, text string, lang string")
     got = lm.identify(docs.unionByName(spark.createDataFrame([(99, "lomika " * 100_000, None)], docs.schema)), F.col("lang").isNotNull()).collect()
     assert len(got) == 11 and {r.lang_pred for r in got} == {"aa"}
+
+
+@pytest.mark.parametrize("ranges", [2, 4096])
+def test_limits_come_from_every_row(spark, monkeypatch, ranges):
+    monkeypatch.setattr(lm, "RANGES", ranges)
+    rnd = np.random.default_rng(5)
+    rows = [(lang, int(n), float(h)) for lang, k in (("aa", 3000), ("bb", 1), ("cc", 40)) for n, h in zip(rnd.integers(1, 500, k), rnd.normal(3, 1, k), strict=True)]
+    rows += [("dd", 9, 2.5)] * 60 + [("dd", 9, 4.0)]
+    got = lm.rejection_limits(spark.createDataFrame(rows, "lang string, n long, h double").repartition(3), 0.01, 2.0)
+    assert set(got) == {"aa", "bb", "cc", "dd"}
+    for lang, (base, spread) in got.items():
+        n, h = np.array([r[1:] for r in rows if r[0] == lang]).T
+        mean = np.average(h, weights=n)
+        assert abs(base - mean - 2) < 1e-8
+        assert abs(spread - max(0.0, np.quantile((h - mean) * np.sqrt(n), 0.99))) < 1e-6
+    assert lm.rejection_limits(spark.createDataFrame([], "lang string, n long, h double"), 0.01, 2.0) == {}
+
+
+def test_all_training_rows_set_the_limits(spark):
+    """More rows than a sample once held, most of them copies of one text: of all rows the given share lies above the limit."""
+    rnd = random.Random(8)
+    rows = [(i, t, "aa") for i, t in enumerate(["kalo mitu " * 3] * 8000 + corpus(rnd, "aa", 1000))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    got = lm.identify(docs, F.lit(True), rejected_share=0.05, margin_bits=0.0)
+    assert 430 <= got.where("rejected").count() <= 451
