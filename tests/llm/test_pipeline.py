@@ -79,3 +79,10 @@ def test_ids_that_are_no_integers(spark):
     docs = spark.createDataFrame([("a", "text")], "doc_id string, text string")
     with pytest.raises(ValueError, match="integer"):
         suffixdedup.remove_repeats(docs)
+
+
+def test_language_limits_know_every_row(spark):
+    """An odd text in 50 of 9,050 rows is more than the thousandth that may lie above the limit: none of its copies goes."""
+    rows = ["ab" * (10 + i % 50) + " " + "ab" * (10 + i // 50 % 50) for i in range(9000)] + ["aba" * 30] * 50
+    docs = spark.createDataFrame([(i, t, "aa", "s", len(t)) for i, t in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert corpus_pipeline.language_id(spark, docs.repartition(4), "").count() == 9050
