@@ -79,3 +79,11 @@ def test_search_pages_by_text(spark, tmp_path):
     pages.write.parquet(path)
     plan = spark.read.parquet(path).where(F.col("embedding").isNotNull())._jdf.queryExecution().toString()
     assert "IsNotNull(embedding)" in plan
+
+
+def test_batches_give_the_same_vectors(spark):
+    texts = [None, "", " ., ", "One two two, THREE", "é_1 日本 é_1", "x " * 3000] + [f"w{i} w{i % 7} q" for i in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string").repartition(3)
+    enc = V.fit_encoder(df, "text", 16)
+    plain, batches = ({r.id: r.embedding for r in f(df, "text").collect()} for f in (enc.embed, enc.embed_batches))
+    assert plain == batches and len(plain) == len(texts) and not any(plain[0])
