@@ -28,8 +28,8 @@ from ..session import ship_code, written
 
 #: Vectors of a block, centres of the clustering, and vectors that the centres are fitted on, at most.
 BLOCK_ROWS, CENTRES, SAMPLE_ROWS = 1024, 256, 16_384
-#: Queries broadcast at once.
-QUERIES = 4096
+#: Queries broadcast at once, and queries scored against a block at once.
+QUERIES, SLAB = 16_384, 4096
 #: What rounding may add to a bound.
 SLACK = 1e-9
 
@@ -184,16 +184,22 @@ def _search(blocks: DataFrame, queries: DataFrame, k: int, total: int, dim: int
     near = near.withColumn("before", F.coalesce(F.sum("n").over(running), F.lit(0))).where(F.col("before") < k)
     asked = near.groupBy("block").agg(F.collect_list("q").alias("qs"))  # (a block has at most the broadcast queries)
 
+    slack = SLACK + 10.0**-digits
+
     def score(x: np.ndarray, some: np.ndarray) -> np.ndarray:
-        return np.round((sent.value[0][some] @ x.T) / np.outer(sent.value[2][some], np.linalg.norm(x, axis=1)), digits)
+        s = sent.value[0][some] @ x.T
+        s /= sent.value[2][some][:, None] * np.linalg.norm(x, axis=1)
+        return s
 
     def kth(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for v, d, qs in zip(b.column("vectors").to_pylist(), b.column("dim").to_pylist(), b.column("qs").to_pylist(), strict=True):
-                some = np.array(qs)
-                s = score(np.frombuffer(v).reshape(-1, d), some)
-                best = -np.sort(-s, axis=1)[:, :k]
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(some, best.shape[1])), pa.array(best.ravel())], names=["q", "score"])
+                x = np.frombuffer(v).reshape(-1, d)
+                for i in range(0, len(qs), SLAB):
+                    some = np.array(qs[i : i + SLAB])
+                    s, n = score(x, some), min(k, len(x))
+                    best = np.round(np.partition(s, len(x) - n, axis=1)[:, len(x) - n :], digits)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(some, n)), pa.array(best.ravel())], names=["q", "score"])
 
     scores = blocks.select("block", "dim", "vectors").join(F.broadcast(asked), "block").mapInArrow(kth, "q long, score double")
     rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score")))
@@ -212,17 +218,22 @@ def _search(blocks: DataFrame, queries: DataFrame, k: int, total: int, dim: int
         for b in batches:
             reach = _bounds(sent.value[1], b) >= floor.value[:, None] - SLACK if b.num_rows else None
             for i in range(b.num_rows):
-                some = np.flatnonzero(reach[:, i])
-                if len(some):
-                    s = score(np.frombuffer(b.column("vectors")[i].as_buffer()).reshape(-1, b.column("dim")[i].as_py()), some)
-                    s[~(s > 0)] = -np.inf
-                    # (ids ascend within a block, so a stable order breaks ties by id)
-                    order = np.argsort(-s, axis=1, kind="stable")[:, :k]
-                    who, at = np.repeat(np.arange(len(some)), order.shape[1]), order.ravel()
-                    keep = np.isfinite(s[who, at])
-                    who, at = who[keep], at[keep]
-                    ids = b.column("ids")[i].values.take(pa.array(at))
-                    yield pa.RecordBatch.from_arrays([pa.array(some[who]), ids, pa.array(s[who, at])], names=["q", "id", "score"])
+                reached = np.flatnonzero(reach[:, i])
+                if not len(reached):
+                    continue
+                x = np.frombuffer(b.column("vectors")[i].as_buffer()).reshape(-1, b.column("dim")[i].as_py())
+                for some in (reached[j : j + SLAB] for j in range(0, len(reached), SLAB)):
+                    s = score(x, some)
+                    # (only what reaches the query's threshold is sorted and sent)
+                    who, at = np.nonzero(s >= floor.value[some][:, None] - slack)
+                    found = np.round(s[who, at], digits)
+                    keep = np.isfinite(found) & (found > 0)
+                    who, at, found = who[keep], at[keep], found[keep]
+                    # (ids ascend within a block, so the place breaks ties by id)
+                    order = np.lexsort((at, -found, who))
+                    order = order[np.arange(len(order)) - np.searchsorted(who, who[order]) < k]
+                    ids = b.column("ids")[i].values.take(pa.array(at[order]))
+                    yield pa.RecordBatch.from_arrays([pa.array(some[who[order]]), ids, pa.array(found[order])], names=["q", "id", "score"])
 
     kind = blocks.schema["ids"].dataType.elementType.simpleString()
     hits = blocks.select("block", "dim", "centre", "radius", "ids", "vectors").mapInArrow(best, f"q long, id {kind}, score double")

@@ -54,3 +54,24 @@ def test_empty_tables_and_lengths(spark):
         B.search(B.build(store), spark.createDataFrame([(1, [1.0])], QUERIES))
     with pytest.raises(ValueError, match="lengths"):
         B.build(store.unionByName(spark.createDataFrame([(99, [1.0], 0)], STORE)))
+
+
+def test_only_what_reaches_the_threshold_is_sent(spark, monkeypatch):
+    """Vectors without structure: no block is skipped, but few of their vectors leave a task; slabs do not matter."""
+    rng = np.random.default_rng(9)
+    store = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(rng.normal(size=(2000, 16)))], STORE).repartition(3)
+    queries = store.where("id % 40 = 0").select(F.col("id").alias("qid"), F.col("embedding").alias("qvec"))
+    built = B.build(store, centres=4, block_rows=100)
+    monkeypatch.setattr(B, "SLAB", 7)
+    sent, with_column = [], type(store).withColumn
+
+    def watched(df, name, column):
+        if name == "rank" and "id" in df.columns:
+            sent.append(df.count())
+        return with_column(df, name, column)
+
+    monkeypatch.setattr(type(store), "withColumn", watched)
+    found = B.search(built, queries, 5)
+    monkeypatch.undo()
+    assert _hits(found.hits) == _hits(cosine_topk(store, queries, 5, score_digits=12))
+    assert 50 * 5 <= sent[0] < found.scored * 5 / 2
