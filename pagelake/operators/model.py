@@ -99,7 +99,7 @@ class Features:
     """Fitted features and the training rows' features, written once to the shared folder."""
 
     model: PipelineModel
-    problem: multilabel.Problem  # the table ``features, y`` with its moments
+    problem: multilabel.Problem  # the packed ``features, y`` with their moments
     labels: list[str]
 
 
@@ -111,11 +111,15 @@ def prepare(
     max_tokens: int | None = None,
     num_features: int = NUM_FEATURES,
 ) -> Features:
-    """L5 on the training rows: fit the features, then materialise them with the
-    per-label 0/1 targets, for any number of fits (a grid reuses them)."""
-    feats = feature_pipeline(text_col, max_tokens, num_features).fit(train_df)
+    """L5 on the training rows: count their terms once, fit the weights on the counts, then materialise the features
+    with the per-label 0/1 targets, for any number of fits (a grid reuses them)."""
+    *counting, idf = feature_pipeline(text_col, max_tokens, num_features).getStages()
+    counting = Pipeline(stages=counting).fit(train_df)
     y = F.transform(F.col(target_col), lambda v: v.cast("float"))
-    table = written(feats.transform(train_df).select("features", y.alias("y")), "features")
+    counted = written(counting.transform(train_df).select("_tf", y.alias("y")), "counts")
+    weighted = idf.fit(counted)
+    feats = PipelineModel(stages=[*counting.stages, weighted])
+    table = weighted.transform(counted).select("features", "y")
     return Features(feats, multilabel.Problem.of(table, num_features, len(labels)), list(labels))
 
 

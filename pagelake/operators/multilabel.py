@@ -1,7 +1,7 @@
 """One-pass training of many logistic regressions.
 
 All models - every label, and every point of a grid - are trained together: a pass over the feature table gives the
-loss and the gradient of each of them, as one block product of the rows' features with all coefficient vectors.
+loss and the gradient of each of them, from the values that the rows' features hold (packed in blocks, once).
 Each task sums its rows; the sums of many tasks are added in a second level before they reach the driver, which
 holds one small matrix for them. There, each model has a limited-memory quasi-Newton search of its own; all of
 them ask for their next points at the same time. So the number of passes is that of the slowest model, whatever the
@@ -18,13 +18,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ship_code
+from ..session import ship_code, written
 
-#: Cells of a dense block of features, and sums of tasks that reach the driver at once.
-CELLS, DIRECT = 1 << 22, 64
+#: Cells of a dense block of features, values of a packed one, and sums of tasks that reach the driver at once.
+CELLS, PACKED, DIRECT = 1 << 22, 1 << 20, 64
 #: Steps whose curvature a search remembers, points it tries on a line, and the relative gain at which it ends.
 MEMORY, TRIES, TOLERANCE = 10, 30, 1e-6
 
@@ -38,13 +39,22 @@ def blocks(features: pa.Array) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]
         step = np.arange(1, n - first + 1) * (at[first + 1 :] - at[first])
         last = first + max(1, int(np.searchsorted(step, CELLS, side="right")))
         some = slice(at[first], at[last])
-        columns, place = np.unique(index[some], return_inverse=True)
+        columns, place = _columns(index[some])
         x = np.zeros((last - first, len(columns)))
         x[np.repeat(np.arange(last - first), size[first:last]), place] = value[some]
         yield slice(first, last), x, columns
         first = last
 
 
+def _columns(index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct indices, ascending, and each index's place among them: by marks, as sorting them cost most of a pass."""
+    place = np.zeros(index.max(initial=-1) + 1, dtype=np.int64)
+    place[index] = 1
+    columns = np.flatnonzero(place)
+    place[columns] = np.arange(len(columns))
+    return columns, place[index]
+
+
 def _sparse(features: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Number of values of each row, and all indices and values; dense vectors have all their indices."""
     def lists(name):
@@ -62,6 +72,33 @@ def _sparse(features: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return m, whole, value
 
 
+def packed(table: DataFrame) -> DataFrame:
+    """The rows of ``features, y`` in blocks, written for many passes: each a row with the number of values of its rows,
+    their indices and values, and the targets, all as bytes."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            size, index, value = _sparse(b.column("features"))
+            y = b.column("y").flatten().to_numpy(zero_copy_only=False).astype(np.float32).reshape(b.num_rows, -1)
+            at = np.concatenate([[0], np.cumsum(size)])
+            cuts = np.flatnonzero(np.diff(at[1:] // PACKED)) + 1
+            for first, last in zip([0, *cuts], [*cuts, b.num_rows], strict=True):
+                some = slice(at[first], at[last])
+                cells = size[first:last].astype(np.int32), index[some].astype(np.int32), value[some].astype(np.float64), y[first:last]
+                if last > first:
+                    yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in cells], names=list("nivy"))
+
+    return written(table.mapInArrow(pack, "n binary, i binary, v binary, y binary"), "features")
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch], labels: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Of each block: the row, the index and the value of each value, and the targets of its rows."""
+    for b in batches:
+        for cells in zip(*(b.column(c) for c in "nivy"), strict=True):
+            size, index, value, y = (np.frombuffer(x.as_buffer(), t) for x, t in zip(cells, (np.int32, np.int32, np.float64, np.float32), strict=True))
+            yield np.repeat(np.arange(len(size)), size), index.astype(np.int64), value, y.astype(np.float64).reshape(len(size), labels)
+
+
 def _summed(table: DataFrame, per_task) -> np.ndarray:
     """The sum over all tasks of the arrays that ``per_task`` (batches -> array) makes, in two levels if they are many."""
 
@@ -87,7 +124,7 @@ def _summed(table: DataFrame, per_task) -> np.ndarray:
 
 @dataclass
 class Problem:
-    """A feature table (``features``, ``y``: 0/1 targets as an array) with what standardises it."""
+    """A packed table of ``features`` and ``y`` (0/1 targets as an array) with what standardises it."""
 
     table: DataFrame
     n: int
@@ -98,14 +135,15 @@ class Problem:
     def of(table: DataFrame, dim: int, labels: int) -> Problem:
         ship_code(table.sparkSession)
 
+        table = packed(table)
+
         def moments(batches):
             out = np.zeros(1 + 2 * dim + labels)
-            for b in batches:
-                out[0] += b.num_rows
-                out[1 + 2 * dim :] += _targets(b, labels).sum(axis=0)
-                for _, x, columns in blocks(b.column("features")):
-                    out[1 + columns] += x.sum(axis=0)
-                    out[1 + dim + columns] += (x * x).sum(axis=0)
+            for _, index, value, y in _unpacked(batches, labels):
+                out[0] += len(y)
+                out[1 + 2 * dim :] += y.sum(axis=0)
+                out[1 : 1 + dim] += np.bincount(index, weights=value, minlength=dim)
+                out[1 + dim : 1 + 2 * dim] += np.bincount(index, weights=value * value, minlength=dim)
             return out
 
         sums = _summed(table, moments)
@@ -123,15 +161,14 @@ class Problem:
         def one_pass(batches):
             w, bias, which = sent.value
             out = np.zeros((len(w), w.shape[1] + 2))
-            for b in batches:
-                targets = _targets(b, labels)
-                for rows, x, columns in blocks(b.column("features")):
-                    margin = x @ w[:, columns].T + bias
-                    y = targets[rows][:, which]
-                    out[:, -1] += (np.logaddexp(0, margin) - y * margin).sum(axis=0)
+            for row, index, value, targets in _unpacked(batches, labels):
+                for j, coefficients in enumerate(w):
+                    margin = np.bincount(row, weights=value * coefficients[index], minlength=len(targets)) + bias[j]
+                    y = targets[:, which[j]]
                     rest = 1 / (1 + np.exp(-margin)) - y
-                    out[:, columns] += rest.T @ x
-                    out[:, -2] += rest.sum(axis=0)
+                    out[j, :-2] += np.bincount(index, weights=value * rest[row], minlength=w.shape[1])
+                    out[j, -2] += rest.sum()
+                    out[j, -1] += (np.logaddexp(0, margin) - y * margin).sum()
             return out
 
         sums = _summed(self.table, one_pass).reshape(len(points), -1)
@@ -141,10 +178,6 @@ class Problem:
         return sums[:, -1] / self.n + 0.5 * reg * (points[:, :-1] ** 2).sum(axis=1), gradient
 
 
-def _targets(batch: pa.RecordBatch, labels: int) -> np.ndarray:
-    return batch.column("y").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(batch.num_rows, labels)
-
-
 Search = Generator[np.ndarray, tuple[float, np.ndarray], np.ndarray]
 
 

@@ -57,3 +57,17 @@ def test_the_whole_text_counts(spark):
     df = spark.createDataFrame([(1, "word " * 400 + "last")], "id long, text string")
     n = lambda k: M.feature_pipeline(max_tokens=k).fit(df).transform(df).selectExpr("size(_tokens)").first()[0]
     assert (n(None), n(256)) == (401, 256)
+
+
+def test_terms_are_counted_once_for_a_fit(spark):
+    """The weights are fitted on the written counts: the texts of the training rows are gone through once."""
+    read = spark.sparkContext.accumulator(0)
+
+    def texts(it):
+        for b in it:
+            read.add(len(b))
+            yield b
+
+    df = _toy(spark).repartition(2).mapInPandas(texts, "id long, text string, vec array<int>")
+    model = M.fit(M.prepare(df, ["sport", "money"]), 0.01, 5)
+    assert read.value == 80 and len(model.labels) == 2

@@ -80,3 +80,17 @@ def test_scores_are_the_logistic_function(spark):
     rows = table.select(vector_to_array("features").alias("x"), M.scorer(w, b)("features").alias("p")).collect()
     for r in rows:
         assert r.p == pytest.approx((1 / (1 + np.exp(-(w @ np.array(r.x) + b)))).tolist())
+
+
+def test_packed_blocks_hold_every_value_and_target_once(spark, monkeypatch):
+    monkeypatch.setattr(M, "PACKED", 5)
+    table, dim = _table(spark, 2, n=60, parts=2)
+    table = table.unionByName(spark.createDataFrame([(Vectors.sparse(dim, [], []), [1.0, 0.0])], table.schema))
+    want = sorted((list(x), list(y)) for x, y in table.select(vector_to_array("features"), "y").collect())
+    batches = M.packed(table).select("n", "i", "v", "y").toArrow().to_batches()
+    got = []
+    for row, index, value, y in M._unpacked(batches, 2):
+        x = np.zeros((len(y), dim))
+        x[row, index] = value
+        got += zip(x.tolist(), y.tolist(), strict=True)
+    assert len(got) == 61 and sorted(map(list, got)) == sorted(map(list, want))
