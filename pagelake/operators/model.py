@@ -20,7 +20,6 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer, SQLTransformer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,10 +67,15 @@ class MultiLabelModel:
         return out.select("*", *[F.col("probs")[i].alias(_prob_col(lab)) for i, lab in enumerate(self.labels)])
 
     def _probabilities(self) -> Column:
-        total = lambda x, w: F.aggregate(F.zip_with(x, w, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
-        models = list(zip(self.coefficients, self.intercepts.tolist(), strict=True))
-        each = lambda x: F.array(*[1 / (1 + F.exp(-(total(x, F.lit(w)) + b))) for w, b in models])
-        return let(vector_to_array("features"), each)
+        """Each label's probability from the values that a row's vector holds (a dense one: all), in index order."""
+
+        def each(v: Column) -> Column:
+            index = F.coalesce(v["indices"], F.slice(F.sequence(F.lit(0), F.size(v["values"])), 1, F.size(v["values"])))
+            total = lambda at, w: F.aggregate(F.zip_with(at, v["values"], lambda i, x: x * F.get(w, i)), F.lit(0.0), lambda s, x: s + x)
+            models = list(zip(self.coefficients, self.intercepts.tolist(), strict=True))
+            return let(index, lambda at: F.array(*[1 / (1 + F.exp(-(total(at, F.lit(w)) + b))) for w, b in models]))
+
+        return let(F.unwrap_udt("features"), each)
 
     def save(self, path: str) -> None:
         """The feature stages, and the labels with their coefficients beside them."""

@@ -1,5 +1,8 @@
 """Featurising, per-label training, scoring (L5, L6, L8, L9) on a learnable toy set."""
 
+import numpy as np
+import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from pagelake.operators import active as A
@@ -59,6 +62,17 @@ def test_the_whole_text_counts(spark):
     assert (n(None), n(256)) == (401, 256)
 
 
+def test_scoring_goes_through_held_values_only(spark):
+    """Sparse, dense and empty vectors score as the logistic function, without a dense copy of each row."""
+    rows = [(Vectors.sparse(5, [1, 3], [2.0, -1.0]),), (Vectors.dense([1.0, 0.0, 0.5, 0.0, 3.0]),), (Vectors.sparse(5, [], []),)]
+    w, b = np.array([[0.1, 0.7, -2.0, 0.3, 0.9], [1.0, -1.0, 0.2, 0.0, -0.4]]), np.array([0.2, -0.1])
+    model = M.MultiLabelModel(None, ["a", "b"], w, b, [None, None])
+    out = spark.createDataFrame(rows, ["features"]).select("features", model._probabilities().alias("p"))
+    for r in out.collect():
+        assert r.p == pytest.approx((1 / (1 + np.exp(-(w @ r.features.toArray() + b)))).tolist())
+    assert "UDF" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_terms_are_counted_once_for_a_fit(spark):
     """The weights are fitted on the written counts: the texts of the training rows are gone through once."""
     read = spark.sparkContext.accumulator(0)
