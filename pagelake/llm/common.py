@@ -42,6 +42,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return _written(df, name, "zstd")
 
 
+#: Rows up to which one side of a join is broadcast.
+FEW = 1 << 17
+
+
+def side(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """One side of a join, broadcast if its rows are few: counted (of a written table), or ``rows`` as a bound; else merged.
+
+    Spark by itself takes a written table for as large as its compressed files and what an explode makes for as large as
+    what it is made of, so it may broadcast many times what the driver holds.
+    """
+    return F.broadcast(df) if (df.count() if rows is None else rows) <= FEW else df.hint("merge")
+
+
 def tokenizer_path(name: str) -> str:
     """A tokenizer file: an absolute path, or the name of one of the installed public vocabularies."""
     if os.path.isabs(name):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import side, written
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -18,12 +18,13 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """
     both = lambda e: e.select("a", "b").unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
-    def star(e: DataFrame, large: bool) -> DataFrame:
-        """Each (a, b), b an older or younger neighbour of a, becomes (b, smallest of a and its neighbours)."""
+    def star(e: DataFrame, large: bool, n: int) -> DataFrame:
+        """Each (a, b), b an older or younger neighbour of a, becomes (b, smallest of a and its neighbours). ``n``: edges
+        at most."""
         pairs = both(e) if large else e  # e has a > b
         least = pairs.groupBy("a").agg(F.min("b").alias("least"))
         least = least.select(F.col("a").alias("k"), F.least("a", "least").alias("least"))
-        met = pairs.join(least, pairs["a"] == least["k"])
+        met = pairs.join(side(least, 2 * n), pairs["a"] == least["k"])
         if large:
             new = met.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("least").alias("b"))
         else:
@@ -36,7 +37,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     state = lambda e: e.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.pmod(F.xxhash64("b", "a"), F.lit(1 << 30)))).first()
     mark = state(now)
     for _ in range(max_rounds if mark[0] else 0):
-        now = written(star(star(now, True), False), "star")
+        now = written(star(star(now, True, mark[0]), False, mark[0]), "star")
         new = state(now)
         if new == mark:
             break

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_rows, id_text, id_type, slices, written
+from .common import byte_rows, id_text, id_type, side, slices, written
 from .graph import components
 
 SEED = 42
@@ -121,8 +121,9 @@ def links(fps: DataFrame, bits: int = 3, paired: int = PAIRED) -> DataFrame:
         return seen.withColumnRenamed("value", "key"), ball.select(*prefix, "fp", F.col("value").bitwiseXOR(F.col("flip")).alias("key"))
 
     def verified(entries: DataFrame, ball: DataFrame, on: list[str]) -> DataFrame:
-        """Table matches at full distance. Equal segment values meet twice; one of the two is enough."""
-        e, p = entries.withColumnRenamed("fp", "a"), ball.withColumnRenamed("fp", "b")
+        """Table matches at full distance. Equal segment values meet twice; one of the two is enough. Always merged: a ball
+        has up to 33 rows for each of its fingerprints, which Spark does not count."""
+        e, p = entries.withColumnRenamed("fp", "a"), ball.withColumnRenamed("fp", "b").hint("merge")
         cond = [e[c] == p[c] for c in on] + [e["a"] != p["b"], F.bit_count(e["a"].bitwiseXOR(p["b"])) <= bits]
         both = cond[0]
         for c in cond[1:]:
@@ -134,6 +135,7 @@ def links(fps: DataFrame, bits: int = 3, paired: int = PAIRED) -> DataFrame:
     large = written(entries.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > paired).select("key"), "large-buckets")
     if large.isEmpty():
         return verified(entries, ball, ["key"])
+    large = side(large)
     cold = verified(entries.join(large, "key", "left_anti"), ball, ["key"])
 
     # the other half of the members of large buckets, cut in two again
@@ -152,6 +154,7 @@ def links(fps: DataFrame, bits: int = 3, paired: int = PAIRED) -> DataFrame:
     entries2, ball2 = written(entries2, "entries2"), written(ball2, "ball2")
     on = ["bucket", "key"]
     large2 = written(entries2.groupBy(*on).agg(F.count("*").alias("n")).where(F.col("n") > paired).select(*on), "large-buckets2")
+    large2 = side(large2)
     warm = verified(entries2.join(large2, on, "left_anti"), ball2, on)
     members = (
         entries2.join(large2, on, "left_semi")
@@ -180,11 +183,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 3, id_col: st
     """
     seen = written(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
     classes = written(seen.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
+    n = classes.count()
     root = components(links(classes.select("fp"), bits))
-    c = classes.join(root.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    c = classes.join(side(root.withColumnRenamed("node", "fp")), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     name = c.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = c.join(name, "root").select("fp", "component_id")
-    return seen.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    named = c.join(side(name, n), "root").select("fp", "component_id")
+    return seen.join(side(named, n), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def deduplicate(docs: DataFrame, shingle: int = 3, bits: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -199,7 +203,7 @@ def deduplicate(docs: DataFrame, shingle: int = 3, bits: int = 3, id_col: str =
     groups = written(groups.select(F.col("doc_id").alias("key"), F.col("component_id").alias("first")), "groups")
     parts = [F.col("key.none").alias("__none"), F.col("key.id").alias("__id"), F.col("key.text").alias("__text")]
     on = ["__none", "__id", "__text"]
-    gone = groups.where("key <> first").select(*parts).distinct()
+    gone = side(written(groups.where("key <> first").select(*parts).distinct(), "gone"))
     same = written(groups.where("key = first").groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select(*parts), "repeated")
     rows = docs.select("*", key["none"].alias("__none"), key["id"].alias("__id"), key["text"].alias("__text"))
 
@@ -209,6 +213,7 @@ def deduplicate(docs: DataFrame, shingle: int = 3, bits: int = 3, id_col: str =
 
     rows = rows.join(gone, meets(gone), "left_anti")
     if same.head(1):
+        same = side(same)
         once = rows.join(same, meets(same), "left_semi").dropDuplicates(on)
         rows = rows.join(same, meets(same), "left_anti").unionByName(once)
     return rows.select(*docs.columns)

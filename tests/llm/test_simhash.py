@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 import xxhash
 
-from pagelake.llm import graph, simhash
+from pagelake.llm import common, graph, simhash
+from pagelake.llm.common import written
 
 
 def bits_of(text, shingle):
@@ -101,3 +102,33 @@ def test_odd_rows(odd):
     empty = {c for i, f, c in got if f == "0" * 16}
     assert empty == {1} and [c for i, f, c in got if i == 4] == [4, 4]
     assert simhash.near_duplicates(odd.where("false")).collect() == []
+
+
+def _broadcast(df):
+    """What stands right under the broadcasts of a plan."""
+    lines = df._jdf.queryExecution().sparkPlan().toString().splitlines()
+    return [line for line in lines if "BroadcastHashJoin" in line]
+
+
+def test_what_an_explode_makes_is_never_broadcast(spark):
+    """A look-up table has up to 33 rows for each fingerprint, and Spark takes it for as large as the fingerprints."""
+    rnd = random.Random(7)
+    fps = [(rnd.getrandbits(64) - (1 << 63),) for _ in range(200)]
+    fps += [((5 << 32) + i,) for i in range(100)]  # a large bucket
+    fps = written(spark.createDataFrame(fps, "fp long"), "fps")
+    for df in (simhash.links(fps.limit(200)), simhash.links(fps)):
+        inner = [line for line in _broadcast(df) if "Inner" in line]
+        assert inner == [] and "SortMergeJoin" in df._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_joins_are_merged_where_rows_are_many(spark, docs_of, monkeypatch):
+    """The counted rows decide what is broadcast, not Spark's estimate; either way the results are the same."""
+    words = "one two three four five six seven eight".split()
+    rnd = random.Random(9)
+    base = [" ".join(rnd.choice(words) for _ in range(60)) for _ in range(12)]
+    docs = docs_of(base * 3 + [t.replace("one", "two", 1) for t in base] + [(1, base[1]), (None, base[2]), (None, base[2])])
+    few = sorted(map(tuple, simhash.near_duplicates(docs).collect()), key=str), sorted(map(tuple, simhash.deduplicate(docs).collect()), key=str)
+    monkeypatch.setattr(common, "FEW", 0)
+    near, kept = simhash.near_duplicates(docs), simhash.deduplicate(docs)
+    assert (sorted(map(tuple, near.collect()), key=str), sorted(map(tuple, kept.collect()), key=str)) == few
+    assert _broadcast(near) == _broadcast(kept) == []
