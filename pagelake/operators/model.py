@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import let
-from ..session import ship_code, written
+from ..session import arrow_bytes, ship_code, written
 from . import multilabel
 from .metrics import flattened_f1
 
@@ -191,7 +191,8 @@ def select_model(
         out.append(F.struct(F.lit(g).alias("grid"), *[c.alias(f"y{i}") for i, c in enumerate(truth)], *[c.alias(f"p{i}") for i, c in enumerate(at)]))
     rows = cells.select(F.explode(F.array(*out)).alias("r")).select("r.*")
     by_grid = flattened_f1(rows, [f"y{i}" for i in n], [f"p{i}" for i in n], threshold, by=["grid"])
-    scores = {r["grid"]: r for r in by_grid.collect()}
+    with arrow_bytes(spark, multilabel.BATCH):
+        scores = {r["grid"]: r for r in by_grid.collect()}
     f1 = [(scores[g]["f1_micro"], scores[g]["f1_macro"]) if g in scores else (0.0, 0.0) for g in range(len(grid))]
     best = max(range(len(grid)), key=lambda i: (f1[i][0], -i))
     rows = [

@@ -22,10 +22,11 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ship_code, written
+from ..session import LARGE_ROWS, arrow_bytes, ship_code, written
 
-#: Cells of a dense block of features, values of a packed one, and sums of tasks that reach the driver at once.
-CELLS, PACKED, DIRECT = 1 << 22, 1 << 20, 64
+#: Cells of a dense block of features, values of a packed one, sums of tasks that reach the driver at once, and bytes of
+#: an Arrow batch of features or blocks.
+CELLS, PACKED, DIRECT, BATCH = 1 << 22, 1 << 16, 64, 8 << 20
 #: Steps whose curvature a search remembers, points it tries on a line, and the relative gain at which it ends.
 MEMORY, TRIES, TOLERANCE = 10, 30, 1e-6
 
@@ -88,7 +89,8 @@ def packed(table: DataFrame) -> DataFrame:
                 if last > first:
                     yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in cells], names=list("nivy"))
 
-    return written(table.mapInArrow(pack, "n binary, i binary, v binary, y binary"), "features")
+    with arrow_bytes(table.sparkSession, BATCH):
+        return written(table.mapInArrow(pack, "n binary, i binary, v binary, y binary"), "features", options=LARGE_ROWS)
 
 
 def _unpacked(batches: Iterator[pa.RecordBatch], labels: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -119,7 +121,8 @@ def _summed(table: DataFrame, per_task) -> np.ndarray:
     if parts > DIRECT:
         level = int(np.ceil(np.sqrt(parts)))
         sums = sums.repartition(level, F.spark_partition_id() % level).mapInArrow(add, "sums binary")
-    return sum(np.frombuffer(r.sums, dtype=np.float64) for r in sums.collect())
+    with arrow_bytes(table.sparkSession, BATCH):
+        return sum(np.frombuffer(r.sums, dtype=np.float64) for r in sums.collect())
 
 
 @dataclass

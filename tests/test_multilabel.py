@@ -2,9 +2,10 @@
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
@@ -94,3 +95,23 @@ def test_packed_blocks_hold_every_value_and_target_once(spark, monkeypatch):
         x[row, index] = value
         got += zip(x.tolist(), y.tolist(), strict=True)
     assert len(got) == 61 and sorted(map(list, got)) == sorted(map(list, want))
+
+
+def test_what_a_task_holds_does_not_grow_with_its_share(spark):
+    """Blocks, row groups and Arrow batches are a few MB, however many values (here 36 MB) a task goes through."""
+    values = F.transform(F.sequence(F.lit(1), F.lit(1000)), lambda i: F.rand(3) * i)
+    table = spark.range(0, 3000, 1, 1).select(array_to_vector(values).alias("features"), F.array(F.lit(1.0)).cast("array<float>").alias("y"))
+    packed = M.packed(table)
+    files = [f.removeprefix("file:") for f in packed.inputFiles()]
+    groups = [m.row_group(i).total_byte_size for m in map(pq.read_metadata, files) for i in range(m.num_row_groups)]
+    assert sum(groups) > 24 << 20 and max(groups) < 12 << 20
+    assert packed.select(F.max(F.length("v"))).first()[0] <= 1 << 20
+
+    def largest(batches):
+        sizes = [b.nbytes for b in batches]
+        return np.array([max(sizes), sum(sizes)], dtype=float)
+
+    most, total = M._summed(packed.coalesce(1), largest)
+    assert total > 36e6 and most < 12 << 20
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    assert spark.conf.get(key) == spark.newSession().conf.get(key)
