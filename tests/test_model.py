@@ -1,6 +1,7 @@
 """Featurising, per-label training, scoring (L5, L6, L8, L9) on a learnable toy set."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
@@ -85,3 +86,20 @@ def test_terms_are_counted_once_for_a_fit(spark):
     df = _toy(spark).repartition(2).mapInPandas(texts, "id long, text string, vec array<int>")
     model = M.fit(M.prepare(df, ["sport", "money"]), 0.01, 5)
     assert read.value == 80 and len(model.labels) == 2
+
+
+def test_a_grid_is_scored_in_batches_of_bounded_bytes(spark, monkeypatch):
+    """The features of the validation rows reach the scorer in batches of a few MB (here: KB), not of a number of rows."""
+    batches = spark.sparkContext.accumulator(0)
+
+    @F.arrow_udf("array<double>")
+    def halves(features: pa.Array) -> pa.Array:
+        batches.add(1)
+        return pa.array([[0.5] * 4] * len(features), pa.list_(pa.float64()))
+
+    df = _toy(spark).coalesce(1)
+    features = M.prepare(df, ["sport", "money"])
+    monkeypatch.setattr(M.multilabel, "scorer", lambda w, b: halves)
+    monkeypatch.setattr(M.multilabel, "BATCH", 2048, raising=False)
+    _, table = M.select_model(features, df, [(0.1, 3), (0.01, 3)])
+    assert batches.value > 1 and [r["chosen"] for r in table] == [True, False]
