@@ -34,7 +34,7 @@ from pagelake.session import ship_code
 
 from .anchors import Runs, runs
 from .bwt import construct, suffix_places
-from .common import arrow_schema, byte_rows, integer_ids, slices, written
+from .common import arrow_schema, byte_rows, integer_ids, side, slices, written
 
 GRAM = 32
 #: Bytes hashed at once; a longer text goes in parts that overlap by a window.
@@ -388,7 +388,7 @@ def remove_repeats(
     # a document's spans meet as stretches of starts; neighbours are joined where they are applied
     by_doc = spans.groupBy("doc", "mark").agg(F.collect_list(F.struct("start", "windows")).alias("found"))
     key = F.coalesce("doc", F.lit(NULL_ID))
-    joined = rows.withColumn("doc", key).join(by_doc, ["doc", "mark"], "left").select("doc_id", "text", "found", "rest")
+    joined = rows.withColumn("doc", key).join(side(by_doc, spans.count()), ["doc", "mark"], "left").select("doc_id", "text", "found", "rest")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:

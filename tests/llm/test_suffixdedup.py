@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pagelake.llm import anchors, bwt, suffixdedup
+from pagelake.llm import common as helpers
 
 
 @pytest.mark.parametrize("seed", range(25))
@@ -140,3 +141,15 @@ def test_a_common_gram_among_other_bytes_is_dealt_again(spark, docs_of, monkeypa
     for runs_ in dealt:
         sizes = runs_.select("hash", "content").distinct().groupBy("hash").agg(F.sum(F.octet_length("content")).alias("n"))
         assert all(r.n <= 2000 for r in sizes.collect())
+
+
+def test_spans_meet_their_rows_by_a_merge_where_they_are_many(docs_of, monkeypatch):
+    """A row's spans are a list, which Spark does not measure: their counted number decides whether they are broadcast."""
+    rnd = random.Random(5)
+    part = "".join(rnd.choice("abcdefgh ") for _ in range(150))
+    docs = docs_of([f"{i} {part} {i}{part[:120]}" for i in range(9)] + [None, ""])
+    few = {r.doc_id: r for r in suffixdedup.remove_repeats(docs, 100).collect()}
+    monkeypatch.setattr(helpers, "FEW", 0, raising=False)
+    out = suffixdedup.remove_repeats(docs, 100)
+    assert "BroadcastHashJoin" not in out._jdf.queryExecution().sparkPlan().toString()
+    assert {r.doc_id: r for r in out.collect()} == few and any(r.spans for r in few.values())
